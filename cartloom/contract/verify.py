@@ -6,7 +6,7 @@ NULL fails.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame, SparkSession
@@ -80,11 +80,20 @@ def row_measures(table: Table, rule_classes: tuple[str, ...] = ("not_null", "len
     ]
 
 
-def row_rules(contract: Contract, tables: dict[str, DataFrame], rule_classes: tuple[str, ...] = ("not_null", "length", "check")) -> DataFrame:
-    """Every row rule of every table; one scan per table."""
+def scan_rules(
+    contract: Contract,
+    tables: dict[str, DataFrame],
+    rule_classes: tuple[str, ...] = ("not_null", "length", "check"),
+    expected_counts: dict[str, int] | None = None,
+    extra: dict[str, list[Measure]] | None = None,
+) -> DataFrame:
+    """Row rules, row counts and any further measures; one scan per table for all of them."""
     frames = []
     for table in contract.tables:
         measures = row_measures(table, rule_classes)
+        if table.name in (expected_counts or {}):
+            measures.append(Measure("row_count", table.name, F.count(F.lit(1)), f"= {expected_counts[table.name]}"))
+        measures += (extra or {}).get(table.name, [])
         if measures:
             frames.append(measured(tables[table.name], measures))
     return union_all(frames)
@@ -112,13 +121,6 @@ def reference_rules(contract: Contract, tables: dict[str, DataFrame]) -> DataFra
     return union_all(frames)
 
 
-def count_rules(tables: dict[str, DataFrame], expected: dict[str, int]) -> DataFrame:
-    return union_all([
-        measured(tables[name], [Measure("row_count", name, F.count(F.lit(1)), f"= {rows}")])
-        for name, rows in expected.items()
-    ])
-
-
 def schema_report(spark: SparkSession, contract: Contract, tables: dict[str, DataFrame]) -> DataFrame:
     """Table set, and column order and types, compared on the driver (metadata only)."""
     rows = []
@@ -151,20 +153,22 @@ def structural(
     tables: dict[str, DataFrame],
     expected_counts: dict[str, int] | None = None,
     stored_catalog: DataFrame | None = None,
+    extra: dict[str, list[Measure]] | None = None,
 ) -> DataFrame:
-    """Schema, row rules, keys, references, and optionally counts and the rule inventory."""
-    present = {n: df for n, df in tables.items() if n in contract.names}
-    known = Contract(tuple(t for t in contract.tables if t.name in present))
-    usable = Contract(tuple(
-        Table(t.name, t.columns, t.primary_key, t.uniques, tuple(r for r in t.references if r.table in present), t.checks)
-        for t in known.tables
+    """Schema, row rules, keys, references, and optionally counts, the rule inventory and extra measures.
+
+    Rules about a missing table are left out; the missing table itself is reported.
+    """
+    present = Contract(tuple(
+        replace(t, references=tuple(r for r in t.references if r.table in tables)) for t in contract.tables if t.name in tables
     ))
-    parts = [schema_report(spark, contract, tables)]
-    parts += [row_rules(usable, present), key_rules(usable, present)]
-    if any(t.references for t in usable.tables):
-        parts.append(reference_rules(usable, present))
-    if expected_counts:
-        parts.append(count_rules(present, {n: c for n, c in expected_counts.items() if n in present}))
+    parts = [
+        schema_report(spark, contract, tables),
+        scan_rules(present, tables, expected_counts=expected_counts, extra=extra),
+        key_rules(present, tables),
+    ]
+    if any(t.references for t in present.tables):
+        parts.append(reference_rules(present, tables))
     if stored_catalog is not None:
         parts.append(catalog_report(contract, stored_catalog))
     return union_all(parts)

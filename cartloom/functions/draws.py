@@ -51,5 +51,4 @@ def instant(epoch_seconds: int, offset_seconds: Column | int = 0) -> Column:
 
 def later(moment: Column, seconds: Column | int) -> Column:
     """``moment`` shifted by a whole number of seconds."""
-    shift = seconds if isinstance(seconds, Column) else F.lit(seconds)
-    return moment + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), shift.cast("decimal(18,6)"))
+    return moment + F.expr("interval '1' second") * seconds

@@ -4,21 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Fixed format: one line of JSON, columns in declared order, nulls kept, UTC offset as +00:00.
-JSON_OPTIONS = {
-    "ignoreNullFields": "false",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssxxx",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss'+00:00'",
-    "timeZone": "UTC",
-}
+# Fixed format: one line of JSON, columns in declared order, nulls kept, decimals unquoted with their scale,
+# timestamps as 2024-01-31T23:59:59.5+00:00 with the fraction only where there is one.
+JSON_OPTIONS = {"ignoreNullFields": "false", "timeZone": "UTC"}
 
 NULL_MARK = "\\N"
 
 
+def utc_ntz(moment: Column) -> Column:
+    """UTC wall-clock reading of a timestamp, independent of the session time zone."""
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.expr("interval '0.000001' second") * F.unix_micros(moment)
+
+
+def iso_text(df: DataFrame, column: str) -> Column:
+    """A timestamp column as ISO text with a +00:00 offset; other columns unchanged."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        moment = utc_ntz(F.col(column))
+    elif isinstance(kind, T.TimestampNTZType):
+        moment = F.col(column)
+    else:
+        return F.col(column)
+    return F.concat(F.translate(moment.cast("string"), " ", "T"), F.lit("+00:00")).alias(column)
+
+
 def row_json(df: DataFrame, columns: list[str] | None = None) -> Column:
     """Row as canonical JSON text."""
-    return F.to_json(F.struct(*(columns or df.columns)), JSON_OPTIONS)
+    return F.to_json(F.struct(*[iso_text(df, c) for c in columns or df.columns]), JSON_OPTIONS)
 
 
 def row_text(columns: list[str]) -> Column:
@@ -29,12 +43,3 @@ def row_text(columns: list[str]) -> Column:
 def hex_number(digest: Column, first: int, count: int) -> Column:
     """``count`` (at most 15) hex digits of ``digest`` as a bigint."""
     return F.conv(F.substring(digest, first, count), 16, 10).cast("bigint")
-
-
-def utc_ntz(moment: Column) -> Column:
-    """UTC wall-clock reading of a timestamp, independent of the session time zone."""
-    micros = F.unix_micros(moment).cast("decimal(20,0)")
-    seconds = (micros / F.lit(1_000_000)).cast("decimal(18,6)")
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds
-    )

@@ -75,13 +75,11 @@ def summary(edges: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     )
 
 
-def children(edges: DataFrame, nodes: DataFrame, name: str = "name", task_rows: int = TASK_ROWS) -> DataFrame:
-    """(parent_id, parent_name, id, name) of every edge."""
-    parents = nodes.select(F.col("id").alias("parent_id"), F.col(name).alias("parent_name")).join(
-        edges.select("parent_id").distinct(), "parent_id", "left_semi"
-    )
-    listed = edges.join(nodes.select("id", name), "id").where("parent_id IS NOT NULL")
-    return lookup(listed, parents, "parent_id", "inner", task_rows).select("parent_id", "parent_name", "id", name)
+def children(nodes: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(parent_id, parent_name, id, name) of every edge of a (id, parent_id, name) node list."""
+    parents = _inner_nodes(nodes).select(F.col("id").alias("parent_id"), F.col("name").alias("parent_name"))
+    listed = nodes.where("parent_id IS NOT NULL").select("parent_id", "id", "name")
+    return lookup(listed, parents, "parent_id", "inner", task_rows).select("parent_id", "parent_name", "id", "name")
 
 
 def rollup(edges: DataFrame, measures: DataFrame, aggregates: dict[str, str], max_depth: int = 10_000) -> DataFrame:

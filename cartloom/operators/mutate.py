@@ -16,10 +16,23 @@ from pyspark.sql import functions as F
 from cartloom.contract.model import Table, conform
 from cartloom.operators import keys
 from cartloom.operators.profiling import union_all
-from cartloom.operators.skew import broadcast_if_small
+from cartloom.operators.skew import BROADCAST_ROWS
+from cartloom.session import cut_lineage
 
 INSERT, UPDATE = "insert", "update"
-REJECT_COLUMNS = ["violation", "rule"]
+
+
+class _Hint:
+    """Broadcasts keys of a change set, but only if the whole set was counted and is small.
+
+    Every hinted relation is a subset of the change set, so its count bounds them all.
+    """
+
+    def __init__(self, changes: DataFrame):
+        self.small = changes.count() <= BROADCAST_ROWS
+
+    def __call__(self, subset: DataFrame) -> DataFrame:
+        return F.broadcast(subset) if self.small else subset
 
 
 @dataclass(frozen=True)
@@ -41,7 +54,7 @@ def update_where(df: DataFrame, condition: Expr, assignments: dict[str, Expr]) -
 def update_from(df: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """UPDATE ... FROM: rows with a partner in ``source`` (unique ``key``) take its values, NULLs included."""
     fresh = source.select(key, F.struct(*columns).alias("fresh__"))
-    joined = df.join(broadcast_if_small(fresh), key, "left")
+    joined = df.join(fresh, key, "left")
     return joined.select(*[
         F.when(F.col("fresh__").isNotNull(), F.col(f"fresh__.{c}")).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c)
         if c in columns
@@ -69,12 +82,12 @@ def _label(df: DataFrame, key: tuple[str, ...], violation: str, rule: str) -> Da
     return df.select(*key, F.lit(violation).alias("violation"), F.lit(rule).alias("rule"))
 
 
-def _key_breaches(changes: DataFrame, current: DataFrame, table: Table) -> list[DataFrame]:
+def _key_breaches(changes: DataFrame, current: DataFrame, table: Table, hint: _Hint) -> list[DataFrame]:
     """Inserted keys that exist, updated keys that do not, and keys that occur twice in the set."""
     key = list(table.primary_key)
     rule = "_".join(key)
     keyed = changes.where(~keys.any_null(key))
-    wanted = broadcast_if_small(keyed.select(*key).distinct())
+    wanted = hint(keyed.select(*key).distinct())
     existing = current.select(*key).join(wanted, key, "left_semi")
     # An update of a row that is not there changes nothing; it is reported, not silently dropped.
     return [
@@ -84,13 +97,13 @@ def _key_breaches(changes: DataFrame, current: DataFrame, table: Table) -> list[
     ]
 
 
-def _unique_breaches(changes: DataFrame, current: DataFrame, table: Table) -> list[DataFrame]:
+def _unique_breaches(changes: DataFrame, current: DataFrame, table: Table, hint: _Hint) -> list[DataFrame]:
     """Unique values held by another current row or claimed by another change."""
     key, found = list(table.primary_key), []
     for unique in table.uniques:
         columns, rule = list(unique), "_".join(unique)
         claims = changes.where(~keys.any_null(columns)).select(*key, *columns)
-        wanted = broadcast_if_small(claims.select(*columns).distinct())
+        wanted = hint(claims.select(*columns).distinct())
         held = current.select(*columns, F.struct(*key).alias("holder")).join(wanted, columns, "left_semi")
         taken = claims.join(held, columns).where(F.struct(*key) != F.col("holder"))
         found.append(_label(taken, table.primary_key, "unique", rule))
@@ -99,39 +112,45 @@ def _unique_breaches(changes: DataFrame, current: DataFrame, table: Table) -> li
     return found
 
 
-def _reference_breaches(changes: DataFrame, table: Table, parents: dict[str, DataFrame]) -> list[DataFrame]:
+def _reference_breaches(
+    changes: DataFrame, table: Table, parents: dict[str, DataFrame], hint: _Hint
+) -> list[DataFrame]:
     found = []
     for r in table.references:
         claims = changes.where(F.col(r.column).isNotNull())
-        wanted = broadcast_if_small(claims.select(F.col(r.column).alias(r.key)).distinct())
+        wanted = hint(claims.select(F.col(r.column).alias(r.key)).distinct())
         present = parents[r.table].select(r.key).join(wanted, r.key, "left_semi").withColumnRenamed(r.key, r.column)
         found.append(_label(claims.join(present, r.column, "left_anti"), table.primary_key, "foreign_key", r.column))
     return found
 
 
-def screen(changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+def screen(
+    changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame], hint: _Hint | None = None
+) -> DataFrame:
     """(key, violation, rule): one row per broken rule. ``changes`` holds whole new rows plus ``op``."""
+    hint = hint or _Hint(changes)
     return union_all([
         _row_breaches(changes, table),
-        *_key_breaches(changes, current, table),
-        *_unique_breaches(changes, current, table),
-        *_reference_breaches(changes, table, parents),
+        *_key_breaches(changes, current, table, hint),
+        *_unique_breaches(changes, current, table, hint),
+        *_reference_breaches(changes, table, parents, hint),
     ]).distinct()
 
 
 def upsert(changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame]) -> Outcome:
     """Apply inserts and updates that break no rule.
 
-    The current table is only filtered by the accepted keys, with a broadcast when there are few of them,
-    so a small change set does not shuffle a large table.
+    The verdict is written once to the checkpoint folder, because both results need it. The current table
+    is only filtered by the accepted keys, with a broadcast when the change set is small, so a small change
+    set does not shuffle a large table.
     """
     key = list(table.primary_key)
-    rejected = screen(changes, table, current, parents)
-    # A key that is itself NULL cannot be matched by an equi-join; such rows always break not_null.
-    accepted = changes.where(~keys.any_null(key)).join(rejected.select(*key).distinct(), key, "left_anti")
+    hint = _Hint(changes)
+    rejected = cut_lineage(screen(changes, table, current, parents, hint))
+    # A row whose key is NULL cannot be matched by an equi-join; it always breaks not_null.
+    accepted = changes.where(~keys.any_null(key)).join(hint(rejected.select(*key).distinct()), key, "left_anti")
     fresh = conform(accepted, table)
-    replaced = broadcast_if_small(fresh.select(*key))
-    kept = current.join(replaced, key, "left_anti").select(*current.columns)
+    kept = current.join(hint(fresh.select(*key)), key, "left_anti").select(*current.columns)
     return Outcome(kept.unionByName(fresh), rejected)
 
 
@@ -141,12 +160,15 @@ def delete(
     """Delete rows unless a child still refers to them. ``children`` maps rule name to (child, column)."""
     (key,) = table.primary_key
     doomed = current.where(condition).select(key)
+    hint = _Hint(doomed)
     rejected = union_all([
         _label(
-            doomed.join(keys.referenced(child, column, key).select(key), key, "left_semi"),
+            # Only references to doomed keys are grouped and shuffled.
+            doomed.join(keys.referenced(child.join(hint(doomed.withColumnRenamed(key, column)), column, "left_semi"), column, key).select(key), key, "left_semi"),
             table.primary_key, "foreign_key", rule,
         )
         for rule, (child, column) in children.items()
     ])
-    removable = doomed.join(rejected.select(key).distinct(), key, "left_anti")
-    return Outcome(current.join(broadcast_if_small(removable), key, "left_anti").select(*current.columns), rejected)
+    rejected = cut_lineage(rejected)
+    removable = doomed.join(hint(rejected.select(key).distinct()), key, "left_anti")
+    return Outcome(current.join(hint(removable), key, "left_anti").select(*current.columns), rejected)

@@ -1,3 +1,120 @@
+"""Change sets against the given orders and customers, with rejected rows by class."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cartloom.contract.model import Check, Column, Reference, Table
+from cartloom.operators import mutate
 from cartloom.plans.registry import Registry
+from cartloom.plans.star import STAR, table
 
 QUERIES = Registry()
+
+ORDERS = Table(
+    "orders",
+    STAR["orders"].columns,
+    primary_key=("o_orderkey",),
+    references=(Reference("o_custkey", "customer", "c_custkey"),),
+    checks=(Check.one_of("o_orderstatus", ["O", "F", "P"]), Check.finite_amount("o_totalprice")),
+)
+CUSTOMERS = Table(
+    "customer",
+    (Column("c_custkey", "bigint"), Column("c_name", "string"), Column("c_nationkey", "int"),
+     Column("c_acctbal", "double"), Column("c_mktsegment", "string")),
+    primary_key=("c_custkey",),
+)
+
+# Every order brings one change. Its priority decides what kind:
+#   1 a new order under a free key     2 an insert under a key that exists    3 a valid status update
+#   4 an update to a missing customer  5 an update to a negative price and an unknown status
+CHANGES_SQL = f"""
+  SELECT if(o_orderpriority LIKE '1%', o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders), o_orderkey) AS o_orderkey,
+         if(o_orderpriority LIKE '4%', -1, o_custkey) AS o_custkey,
+         CASE left(o_orderpriority, 1) WHEN '3' THEN 'F' WHEN '5' THEN '?' ELSE o_orderstatus END AS o_orderstatus,
+         if(o_orderpriority LIKE '5%', -1, o_totalprice) AS o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+REJECTED_SQL = f"""
+  SELECT o_orderkey, 'unique' AS violation, 'o_orderkey' AS rule FROM ({CHANGES_SQL}) WHERE o_orderpriority LIKE '2%'
+  UNION ALL SELECT o_orderkey, 'foreign_key', 'o_custkey' FROM ({CHANGES_SQL}) WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT o_orderkey, 'check', 'o_orderstatus.one_of' FROM ({CHANGES_SQL}) WHERE o_orderstatus NOT IN ('O', 'F', 'P')
+  UNION ALL SELECT o_orderkey, 'check', 'o_totalprice.finite_amount' FROM ({CHANGES_SQL}) WHERE o_totalprice < 0"""
+
+
+def order_changes(orders: DataFrame) -> DataFrame:
+    kind = F.substring("o_orderpriority", 1, 1)
+    above = orders.agg(F.max("o_orderkey") + 1).scalar()
+    status = F.when(kind == "3", "F").when(kind == "5", "?").otherwise(F.col("o_orderstatus"))
+    return orders.select(
+        F.when(kind == "1", F.col("o_orderkey") + above).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        F.when(kind == "4", F.lit(-1).cast("bigint")).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        status.alias("o_orderstatus"),
+        F.when(kind == "5", F.lit(-1.0)).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        "o_orderdate",
+        "o_orderpriority",
+        F.when(kind.isin("1", "2"), mutate.INSERT).otherwise(mutate.UPDATE).alias("op"),
+    )
+
+
+def _outcome(spark, folder) -> mutate.Outcome:
+    orders = table(spark, folder, "orders")
+    return mutate.upsert(order_changes(orders), ORDERS, orders, {"customer": table(spark, folder, "customer")})
+
+
+@QUERIES.add("upsert_apply", f"""
+WITH changes AS ({CHANGES_SQL}), rejected AS ({REJECTED_SQL}),
+accepted AS (SELECT * FROM changes WHERE o_orderkey NOT IN (SELECT o_orderkey FROM rejected))
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM accepted) UNION ALL SELECT * FROM accepted""")
+def upsert_apply(spark, folder):
+    return _outcome(spark, folder).table
+
+
+@QUERIES.add("reject_classes", REJECTED_SQL)
+def reject_classes(spark, folder):
+    return _outcome(spark, folder).rejected
+
+
+@QUERIES.add("update_where", """
+SELECT * REPLACE (if(o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1998-01-01', 'F', o_orderstatus) AS o_orderstatus,
+                  if(o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1998-01-01', o_orderdate + INTERVAL 5 MINUTE, o_orderdate) AS o_orderdate)
+FROM orders""")
+def update_where(spark, folder):
+    stale = (F.col("o_orderstatus") == "P") & (F.col("o_orderdate") < F.expr("timestamp_ntz'1998-01-01 00:00:00'"))
+    return mutate.update_where(
+        table(spark, folder, "orders"), stale,
+        {"o_orderstatus": F.lit("F"), "o_orderdate": F.col("o_orderdate") + F.expr("interval 5 minutes")},
+    )
+
+
+@QUERIES.add("update_from", """
+SELECT o.* REPLACE (coalesce(l.last_ship, o.o_orderdate) AS o_orderdate)
+FROM orders o LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey) l ON l_orderkey = o_orderkey""")
+def update_from(spark, folder):
+    """Every order with lines takes the date of its last shipment."""
+    last = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max("l_shipdate").alias("o_orderdate")
+    )
+    return mutate.update_from(table(spark, folder, "orders"), last, "o_orderkey", ["o_orderdate"])
+
+
+_DOOMED = "c_acctbal < 1000"
+
+
+def _delete(spark, folder) -> mutate.Outcome:
+    events = table(spark, folder, "events")
+    return mutate.delete(
+        table(spark, folder, "customer"), F.expr(_DOOMED), CUSTOMERS, {"events.user_id": (events, "user_id")}
+    )
+
+
+@QUERIES.add("delete_apply", f"""
+SELECT * FROM customer WHERE NOT ({_DOOMED}) OR c_custkey IN (SELECT user_id FROM events)""")
+def delete_apply(spark, folder):
+    return _delete(spark, folder).table
+
+
+@QUERIES.add("delete_rejected", f"""
+SELECT c_custkey, 'foreign_key' AS violation, 'events.user_id' AS rule FROM customer
+WHERE {_DOOMED} AND c_custkey IN (SELECT user_id FROM events)""")
+def delete_rejected(spark, folder):
+    return _delete(spark, folder).rejected

@@ -89,7 +89,7 @@ def null_counts(spark, folder):
 
 @QUERIES.add("check_rows", "\nUNION ALL ".join(_rules_sql(("length", "check"))))
 def check_rows(spark, folder):
-    return verify.row_rules(STAR, tables(spark, folder), ("length", "check"))
+    return verify.scan_rules(STAR, tables(spark, folder), ("length", "check"))
 
 
 @QUERIES.add("contract_report", "\nUNION ALL ".join(

@@ -1,3 +1,112 @@
+"""Fingerprints and version differences of the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cartloom.functions.rendering import row_text
+from cartloom.operators import diff, fingerprint
 from cartloom.plans.registry import Registry
+from cartloom.plans.star import STAR, as_double, table
 
 QUERIES = Registry()
+
+PRINTED = ["customer", "orders", "lineitem", "events"]
+TREE_DIGITS = 2
+
+
+def _exact(df: DataFrame) -> DataFrame:
+    """Amounts as decimals, so that their text does not depend on a double printer."""
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
+    return df.withColumns({c: F.col(c).cast("decimal(12,2)") for c in doubles})
+
+
+def _json_sql(name: str) -> str:
+    """Canonical JSON text of a row, spelled out by concatenation."""
+    printed = []
+    for c in STAR[name].columns:
+        if c.type == "string":
+            value = f"""'"' || replace(replace({c.name}, '\\', '\\\\'), '"', '\\"') || '"'"""
+        elif c.type == "double":
+            value = f"{c.name}::DECIMAL(12,2)::VARCHAR"
+        elif c.type == "timestamp_ntz":
+            value = f"""'"' || replace({c.name}::VARCHAR, ' ', 'T') || '+00:00"'"""
+        else:
+            value = f"{c.name}::VARCHAR"
+        printed.append(f"""'"{c.name}":' || coalesce({value}, 'null')""")
+    return "'{' || " + " || ',' || ".join(printed) + " || '}'"
+
+
+@QUERIES.add("row_digest", f"SELECT event_id, md5({_json_sql('events')}) AS digest FROM events")
+def row_digest(spark, folder):
+    return fingerprint.row_digests(_exact(table(spark, folder, "events")), keep=["event_id"])
+
+
+@QUERIES.add("table_fingerprint", "\nUNION ALL ".join(f"""
+SELECT '{t}' AS table_name, count(*) AS row_count, sum(('0x' || substr(d, 1, 15))::BIGINT)::VARCHAR AS lane_a,
+       sum(('0x' || substr(d, 16, 15))::BIGINT)::VARCHAR AS lane_b FROM (SELECT md5({_json_sql(t)}) AS d FROM {t})"""
+    for t in PRINTED))
+def table_fingerprint(spark, folder):
+    prints = fingerprint.of_tables({t: _exact(table(spark, folder, t)) for t in PRINTED})
+    return prints.withColumns({lane: F.col(lane).cast("string") for lane in ("lane_a", "lane_b")})
+
+
+_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+
+
+@QUERIES.add("table_fingerprint_bucketed", f"""
+SELECT bucket, sum(n)::BIGINT AS row_count, md5(string_agg(d || ':' || n, '' ORDER BY d || ':' || n)) AS digest
+FROM (SELECT d, substr(d, 1, {TREE_DIGITS}) AS bucket, count(*) AS n
+      FROM (SELECT md5(concat_ws('|', {', '.join(f"coalesce({c}::VARCHAR, '\\N')" for c in _TEXT)})) AS d FROM orders) GROUP BY d)
+GROUP BY bucket""")
+def table_fingerprint_bucketed(spark, folder):
+    """Leaf digests of the orders; deeper than two hex digits once leaves would pass a few thousand rows."""
+    orders = table(spark, folder, "orders").select(*_TEXT)
+    digits = max(TREE_DIGITS, fingerprint.leaf_digits(orders.count()))
+    return fingerprint.bucketed(orders, digits, row_text(_TEXT))
+
+
+# -- two versions of the orders ----------------------------------------------------------------------------
+
+# Version two closes old pending orders, drops finished low-priority ones, and reopens urgent ones under new keys.
+NEXT_SQL = """
+  SELECT o_orderkey, o_custkey, if(o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1998-01-01', 'F', o_orderstatus) AS o_orderstatus,
+         o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')
+  UNION ALL
+  SELECT o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders), o_custkey, 'O', o_totalprice, o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'"""
+
+
+def next_orders(orders: DataFrame) -> DataFrame:
+    closing = (F.col("o_orderstatus") == "P") & (F.col("o_orderdate") < F.expr("timestamp_ntz'1998-01-01 00:00:00'"))
+    kept = orders.where("NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')").withColumn(
+        "o_orderstatus", F.when(closing, "F").otherwise(F.col("o_orderstatus"))
+    )
+    above = orders.agg(F.max("o_orderkey") + 1).scalar()
+    reopened = orders.where("o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'").withColumns(
+        {"o_orderkey": F.col("o_orderkey") + above, "o_orderstatus": F.lit("O")}
+    )
+    return kept.unionByName(reopened)
+
+
+@QUERIES.add("relation_diff", f"""
+WITH after AS ({NEXT_SQL})
+SELECT 'before' AS side, * FROM (SELECT * FROM orders EXCEPT SELECT * FROM after)
+UNION ALL SELECT 'after', * FROM (SELECT * FROM after EXCEPT SELECT * FROM orders)""")
+def relation_diff(spark, folder):
+    orders = _exact(table(spark, folder, "orders"))
+    return as_double(diff.relation_diff(orders, next_orders(orders), "before", "after"), "o_totalprice")
+
+
+@QUERIES.add("row_diff", f"""
+WITH after AS ({NEXT_SQL})
+SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+       CASE WHEN b.o_orderkey IS NULL THEN 'added' WHEN a.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change
+FROM orders b FULL JOIN after a ON a.o_orderkey = b.o_orderkey
+WHERE (b.o_orderkey, b.o_custkey, b.o_orderstatus, b.o_totalprice, b.o_orderdate, b.o_orderpriority)
+   IS DISTINCT FROM (a.o_orderkey, a.o_custkey, a.o_orderstatus, a.o_totalprice, a.o_orderdate, a.o_orderpriority)""")
+def row_diff(spark, folder):
+    orders = _exact(table(spark, folder, "orders"))
+    return diff.row_diff(orders, next_orders(orders), ["o_orderkey"])
