@@ -94,11 +94,11 @@ def status_mismatches(parents: DataFrame, key: str, status: str, latest: DataFra
     return parents.join(latest, key, "left").where(~F.col(status).eqNullSafe(F.col(latest_status)))
 
 
-def tied_events(events: DataFrame, by: list[str], moment: str, ident: str) -> DataFrame:
-    """Events whose predecessor in (moment, id) order is not strictly earlier.
-
-    In that order the predecessor can only be equal in time, so these are the events of a (group, moment)
-    beyond its lowest id. No window is needed and a hot group is merged before the shuffle.
-    """
-    lowest = events.groupBy(*by, moment).agg(F.min(ident).alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return events.join(lowest, [*by, moment]).where(F.col(ident) > F.col("first_id")).select(*by, moment, ident)
+def unordered_events(
+    events: DataFrame, by: list[str], moment: str, ident: str, task_rows: int = ordered.TASK_ROWS
+) -> DataFrame:
+    """Events whose predecessor in (moment, id) order is not strictly earlier."""
+    scanned = ordered.scan(
+        events.select(*by, moment, ident), by, [moment, ident], previous={"previous__": moment}, task_rows=task_rows
+    )
+    return scanned.where(F.col("previous__") >= F.col(moment)).drop("previous__")

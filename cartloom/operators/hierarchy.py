@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.operators.profiling import union_all
 from cartloom.operators.skew import TASK_ROWS, lookup
 from cartloom.session import cut_lineage
 
@@ -82,23 +83,23 @@ def children(nodes: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     return lookup(listed, parents, "parent_id", "inner", task_rows).select("parent_id", "parent_name", "id", "name")
 
 
-def rollup(edges: DataFrame, measures: DataFrame, aggregates: dict[str, str], max_depth: int = 10_000) -> DataFrame:
+def rollup(edges: DataFrame, measures: DataFrame, aggregates: dict[str, str], task_rows: int = TASK_ROWS) -> DataFrame:
     """Sum measures of every node into itself and all its ancestors.
 
     ``measures`` holds (id, <columns>), any number of rows per id; ``aggregates`` maps output to source
     column. Each round adds the sums that have arrived at a node to its parent, so a level moves up as one
-    row per node and a parent with very many children is merged before the shuffle. Needs an acyclic tree.
+    row per node, and a parent with very many children is merged before the shuffle. After the first round
+    only inner nodes are left. A cycle is an error.
     """
-    level = measures.groupBy("id").agg(*[F.sum(source).alias(name) for name, source in aggregates.items()])
-    level = cut_lineage(level)
-    arrived = level
-    for _ in range(max_depth):
-        level = cut_lineage(
-            level.join(edges.where("parent_id IS NOT NULL").select("id", "parent_id"), "id")
-            .groupBy(F.col("parent_id").alias("id"))
-            .agg(*[F.sum(name).alias(name) for name in aggregates])
-        )
-        if level.isEmpty():
-            return arrived.groupBy("id").agg(*[F.sum(name).alias(name) for name in aggregates])
-        arrived = arrived.unionByName(level)
-    raise ValueError(f"the tree is deeper than {max_depth} levels or has a cycle")
+    inner = cut_lineage(_inner_nodes(edges).select("id", "parent_id"))
+    shape = summary(inner, task_rows).first()
+    if shape.cyclic_nodes:
+        raise ValueError(f"{shape.cyclic_nodes} inner nodes of the tree lie on or below a cycle")
+    sums = [F.sum(name).alias(name) for name in aggregates]
+    level = cut_lineage(measures.groupBy("id").agg(*[F.sum(source).alias(name) for name, source in aggregates.items()]))
+    levels, upwards = [level], edges.select("id", "parent_id")
+    for _ in range(shape.max_depth or 0):
+        moved = level.join(upwards.where("parent_id IS NOT NULL"), "id").groupBy(F.col("parent_id").alias("id"))
+        level, upwards = cut_lineage(moved.agg(*sums)), inner
+        levels.append(level)
+    return union_all(levels).groupBy("id").agg(*sums)

@@ -48,21 +48,22 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def lookup(
     many: DataFrame,
     one: DataFrame,
-    key: str,
+    key: str | list[str],
     how: str = "inner",
     task_rows: int = TASK_ROWS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join many rows to one row per ``key`` (inner or left), whatever the skew of ``many``.
+    """Join many rows to at most one row per ``key`` (inner or left), whatever the skew of ``many``.
 
     A small ``one`` is broadcast after a count. Otherwise a hot key of ``many`` is split over several
     tasks by a salt, and its single row of ``one`` is repeated once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup keeps or drops unmatched rows of the many side only: inner or left")
+    key = [key] if isinstance(key, str) else key
     if one.count() <= broadcast_rows:
         return many.join(F.broadcast(one), key, how)
-    hot = hot_keys(many, [key], task_rows)
+    hot = hot_keys(many, key, task_rows)
     if hot is None:
         return many.join(one, key, how)
     hot = F.broadcast(hot)
@@ -73,4 +74,4 @@ def lookup(
     salted_one = (
         one.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     )
-    return salted_many.join(salted_one, [key, "salt"], how).drop("salt")
+    return salted_many.join(salted_one, [*key, "salt"], how).drop("salt")

@@ -335,7 +335,7 @@ SELECT o_custkey, o_orderdate, o_orderkey FROM (
 WHERE previous >= o_orderdate""")
 def history_order_violations(spark, folder):
     """A customer's orders that do not follow a strictly earlier one."""
-    return commerce.tied_events(table(spark, folder, "orders"), ["o_custkey"], "o_orderdate", "o_orderkey")
+    return commerce.unordered_events(table(spark, folder, "orders"), ["o_custkey"], "o_orderdate", "o_orderkey")
 
 
 @QUERIES.add("status_mismatch", """

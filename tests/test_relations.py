@@ -50,6 +50,13 @@ def test_rollup_sums_every_descendant(spark):
     assert rolled == {1: 123, 2: 116, 3: 7, 4: 11, 5: 5}
 
 
+def test_rollup_refuses_a_cycle(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (3, 1)], "id bigint, parent_id bigint")
+    measures = spark.createDataFrame([(3, 5)], "id bigint, v int")
+    with pytest.raises(ValueError, match="cycle"):
+        hierarchy.rollup(edges, measures, {"total": "v"})
+
+
 def test_lookup_with_hot_keys(spark):
     many = spark.range(30_000).select(F.expr("if(id % 3 = 0, 7, id % 500)").alias("k"), F.col("id").alias("row"))
     one = spark.range(400).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
