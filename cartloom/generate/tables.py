@@ -54,6 +54,11 @@ def sequence(spark: SparkSession, last: int, first: int = 1) -> DataFrame:
     return spark.range(first, last + 1)
 
 
+def _square(draw: Column) -> Column:
+    """Exact square of a draw below 2^26, with the hash evaluated once."""
+    return F.pow(draw, F.lit(2)).cast("bigint")
+
+
 def _money(cents: Column) -> Column:
     return (cents.cast("decimal(20,0)") / F.lit(100)).cast("decimal(12,2)")
 
@@ -98,8 +103,7 @@ class Generator:
 
     def product_price(self, product: Column) -> Column:
         """Quadratic skew towards low prices, 5.00 to 1004.80."""
-        q = self.draw(product, "price") % 10_000
-        return _money(quotient(q * q, 1000) + 500)
+        return _money(quotient(_square(self.draw(product, "price") % 10_000), 1000) + 500)
 
     def products(self, ids: DataFrame) -> DataFrame:
         i = F.col("id")
@@ -149,7 +153,7 @@ class Generator:
         steps, spread = p.ledger_steps, p.products - 4
         q = self.draw(movement, "inventory-product") % steps
         if steps == LEDGER_STEPS:
-            drawn = quotient(q * q * spread, steps * steps)
+            drawn = quotient(_square(q) * spread, steps * steps)
         else:  # two divisions keep the product inside a bigint
             drawn = quotient(quotient(q * q, steps) * spread, steps)
         return F.when(movement % 5 == 0, F.lit(HOT_PRODUCT).cast("bigint")).otherwise(drawn + HOT_PRODUCT)

@@ -1,6 +1,7 @@
 """Command line: build, verify, restore and report on published snapshots.
 
     spark-submit cartloom/jobs.py build   --root <folder> --profile small [--times 10] [--namespace <text>]
+    spark-submit cartloom/jobs.py build   --root <folder> --profile all      each profile in its own subfolder
     spark-submit cartloom/jobs.py verify  --root <folder> --profile small
     spark-submit cartloom/jobs.py restore --root <folder> --profile small --version <version>
     spark-submit cartloom/jobs.py versions|fingerprint|facts --root <folder> [--csv <folder>] [--exact]
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from cartloom.contract.commerce import COMMERCE, verify  # noqa: E402
 from cartloom.contract.verify import VerificationError  # noqa: E402
-from cartloom.generate import Generator, Profile, profile_named  # noqa: E402
+from cartloom.generate import PROFILES, Generator, Profile, profile_named  # noqa: E402
 from cartloom.generate.profile import DEFAULT_NAMESPACE  # noqa: E402
 from cartloom.generate.tables import HOT_CUSTOMER, HOT_PRODUCT  # noqa: E402
 from cartloom.operators import fingerprint, keys  # noqa: E402
@@ -48,7 +49,10 @@ def verifier(spark: SparkSession, profile: Profile) -> Callable[[dict[str, DataF
 
 def build(spark: SparkSession, root: str, profile: Profile) -> str:
     """Generate, stage, verify and publish one profile; returns the new version."""
-    return snapshot.publish(spark, Generator(profile).build(spark), root, verifier(spark, profile), profile.name)
+    tables = Generator(profile).build(spark)
+    return snapshot.publish(
+        spark, tables, root, verifier(spark, profile), profile.name, rows=profile.expected_counts()
+    )
 
 
 def fact_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -94,6 +98,11 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.command == "build" and args.profile == "all":
+        for name in PROFILES:
+            version = build(spark, f"{args.root}/{name}", profile_named(name, args.namespace))
+            print(f"published {name} as {version}")
+        return
     profile = profile_named(args.profile, args.namespace)
     if args.times > 1:
         profile = profile.times(args.times)

@@ -1,7 +1,9 @@
 """Content fingerprints of tables.
 
-``summed`` costs one scan and no shuffle; ``bucketed`` is a hex-prefix tree that also tells where two
-tables differ; ``exact`` is the published ordered digest, for comparisons of bounded size only.
+``hashed`` and ``summed`` cost one scan and no shuffle: the first hashes typed columns and is the cheapest,
+the second sums digests of the canonical row text, which any engine can reproduce. ``bucketed`` is a
+hex-prefix tree that also tells where two tables differ. ``exact`` is the published ordered digest, for
+comparisons of bounded size only.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from cartloom.functions.rendering import hex_number, row_json
 EXACT_ROW_LIMIT = 2_000_000
 DIGITS_PER_LEVEL = 3
 DECIMAL = "decimal(38,0)"
+SUMMAND = "decimal(28,0)"  # a sum of these is a decimal(38,0)
 
 
 def row_digests(df: DataFrame, text: Column | None = None, keep: list[str] = ()) -> DataFrame:
@@ -27,13 +30,33 @@ def summed(df: DataFrame, text: Column | None = None) -> DataFrame:
     Partial sums merge on the map side, so a third of equal rows costs nothing extra. Sums stay below
     10^38 up to 8 * 10^19 rows.
     """
+
+    def lane(first: int) -> Column:
+        total = F.sum(hex_number(F.col("digest"), first, 15).cast(SUMMAND))
+        return F.coalesce(total, F.lit(0)).cast(DECIMAL)
+
     return row_digests(df, text).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(hex_number(F.col("digest"), 1, 15).cast("decimal(19,0)")).cast(DECIMAL), F.lit(0).cast(DECIMAL)).alias("lane_a"),
-        F.coalesce(F.sum(hex_number(F.col("digest"), 16, 15).cast("decimal(19,0)")).cast(DECIMAL), F.lit(0).cast(DECIMAL)).alias("lane_b"),
+        lane(1).alias("lane_a"),
+        lane(16).alias("lane_b"),
     )
 
 
+def hashed(df: DataFrame) -> DataFrame:
+    """One row (row_count, lane_a, lane_b): order-free sums of two 64-bit hashes of the typed row.
+
+    NULLs do not enter the hash by themselves, so their positions are hashed too.
+    """
+    columns = [F.col(c) for c in df.columns]
+    nulls = [F.col(f.name).isNull() for f in df.schema.fields if f.nullable]
+
+    def lane(seed: int) -> Column:
+        total = F.sum(F.xxhash64(F.lit(seed), *columns, *nulls).cast(SUMMAND))
+        return F.coalesce(total, F.lit(0)).cast(DECIMAL)
+
+    return df.agg(F.count(F.lit(1)).alias("row_count"), lane(1).alias("lane_a"), lane(2).alias("lane_b"))
+
+
 def leaf_digits(row_count: int) -> int:
     """Hex digits of a leaf bucket so that a leaf holds a few thousand rows."""
     digits = 0
@@ -42,12 +65,14 @@ def leaf_digits(row_count: int) -> int:
     return digits
 
 
-def bucketed(df: DataFrame, digits: int, text: Column | None = None) -> DataFrame:
+def bucketed(df: DataFrame, digits: int | None = None, text: Column | None = None) -> DataFrame:
     """(bucket, row_count, digest) of every leaf: md5 over the sorted row digests of the bucket.
 
+    ``digits`` must be the same for two tables that are to be compared; by default it follows the row count.
     The bucket is a prefix of the row digest, so buckets are even. Equal rows are merged into one
     entry with its multiplicity before they meet, so no bucket can be filled by copies.
     """
+    digits = leaf_digits(df.count()) if digits is None else digits
     entries = (
         row_digests(df, text)
         .groupBy("digest")

@@ -8,15 +8,13 @@ keys run as one ordinary window over the same single shuffle.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartloom.operators.skew import SAMPLES_PER_CHUNK, TASK_ROWS, bounded_sample, rows_per_chunk
 
-_CHUNK, _POSITION, _ALL = "chunk__", "position__", "all__"
+_CHUNK, _POSITION, _CUTS, _ALL = "chunk__", "position__", "cuts__", "all__"
 
 
 def _position(order: list[str]) -> Column:
@@ -24,9 +22,9 @@ def _position(order: list[str]) -> Column:
 
 
 def cut_points(df: DataFrame, keys: list[str], order: list[str], task_rows: int) -> DataFrame | None:
-    """(keys, heads, blocks): cut positions of every key larger than a task, as two search levels.
+    """(keys, cuts): ascending cut positions of every key larger than a task; None if there is none.
 
-    The number of cut points is bounded by ``MAX_CHUNKS`` chunks, so they fit the driver and a broadcast.
+    There are at most ``MAX_CHUNKS`` chunks in all, so the cut points fit the driver and a broadcast.
     """
     total = df.count()
     if total <= task_rows:
@@ -38,31 +36,22 @@ def cut_points(df: DataFrame, keys: list[str], order: list[str], task_rows: int)
         sample.groupBy(*keys)
         .agg(F.sort_array(F.collect_list(_POSITION)).alias("s"))
         .where(F.size("s") > per_chunk)
-        .select(*keys, F.array_distinct(F.filter("s", lambda _, i: (i > 0) & (i % per_chunk == 0))).alias("cuts"))
+        .select(*keys, F.array_distinct(F.filter("s", lambda _, i: (i > 0) & (i % per_chunk == 0))).alias(_CUTS))
     )
     rows = cuts.collect()
-    if not rows:
-        return None
-    position_type = cuts.schema["cuts"].dataType
-    schema = T.StructType(
-        [cuts.schema[k] for k in keys]
-        + [T.StructField("heads", position_type), T.StructField("blocks", T.ArrayType(position_type))]
-    )
-    searchable = []
-    for row in rows:
-        width = math.isqrt(len(row["cuts"])) + 1
-        blocks = [row["cuts"][i : i + width] for i in range(0, len(row["cuts"]), width)]
-        searchable.append((*[row[k] for k in keys], [b[0] for b in blocks], blocks))
-    return df.sparkSession.createDataFrame(searchable, schema)
+    return df.sparkSession.createDataFrame(rows, cuts.schema) if rows else None
 
 
-def _chunk_number(order: list[str]) -> Column:
-    """Number of cut points at or before the row: first among block heads, then inside one block."""
+def _chunk_number(order: list[str], longest: int) -> Column:
+    """Number of cut points at or before the row, by binary search; 0 for keys that are not cut."""
     position = _position(order)
-    block = F.size(F.filter("heads", lambda h: h <= position))
-    width = F.size(F.element_at("blocks", 1))
-    inside = F.size(F.filter(F.element_at("blocks", block), lambda h: h <= position))
-    return F.when(F.col("heads").isNull(), 0).when(block == 0, 0).otherwise((block - 1) * width + inside)
+    steps = F.array(*[F.lit(2**i) for i in range(longest.bit_length() - 1, -1, -1)])
+
+    def halve(found: Column, step: Column) -> Column:
+        probe = found + step
+        return F.when((probe <= F.size(_CUTS)) & (F.element_at(_CUTS, probe) <= position), probe).otherwise(found)
+
+    return F.when(F.col(_CUTS).isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), halve))
 
 
 def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -94,12 +83,12 @@ def scan(
         scanned = _scan_chunks(rows, keys, order, number, sums, previous)
         return scanned.drop(_ALL)
 
+    longest = cuts.agg(F.max(F.size(_CUTS))).first()[0]
     cuts = F.broadcast(cuts)
-    chunked = (
-        rows.join(cuts, _same(rows, cuts, keys), "left")
-        .select(*[rows[c] for c in rows.columns], _chunk_number(order).alias(_CHUNK))
-    )
-    carries = _carries(rows, cuts, keys, order, number, sums, previous)
+    chunk = _chunk_number(order, longest).alias(_CHUNK)
+    chunked = rows.join(cuts, _same(rows, cuts, keys), "left").select(*[rows[c] for c in rows.columns], chunk)
+    hot = rows.join(cuts, _same(rows, cuts, keys), "inner").select(*[rows[c] for c in rows.columns], chunk)
+    carries = _carries(hot, keys, order, number, sums, previous)
     local = _scan_chunks(chunked, [*keys, _CHUNK], order, number, sums, previous)
     same = F.lit(True)
     for c in [*keys, _CHUNK]:
@@ -138,11 +127,8 @@ def _scan_chunks(df, keys, order, number, sums, previous) -> DataFrame:
     return df.withColumns(added)
 
 
-def _carries(rows, cuts, keys, order, number, sums, previous) -> DataFrame:
+def _carries(hot, keys, order, number, sums, previous) -> DataFrame:
     """(<key>__key, <name>__before): what precedes each chunk of a hot key; one row per chunk."""
-    hot = rows.join(cuts, _same(rows, cuts, keys), "inner").select(
-        *[rows[c] for c in rows.columns], _chunk_number(order).alias(_CHUNK)
-    )
     aggregates = []
     if number:
         aggregates.append(F.count(F.lit(1)).alias(number))

@@ -22,18 +22,19 @@ from cartloom.contract.verify import require
 from cartloom.operators import fingerprint
 from cartloom.operators.profiling import union_all
 
+ROWS_PER_FILE = 5_000_000
 PUBLICATION_SCHEMA = "sequence bigint, version string, label string, published_at timestamp"
 
 # Access paths of the commerce tables: rows are range-clustered on these columns, so that file and row-group
 # statistics can skip data where a database would use an index.
 CLUSTERING = {
-    "customers": ["email"],
+    "customers": ["email", "id"],
     "categories": ["parent_id", "id"],
     "products": ["category_id", "id"],
     "orders": ["customer_id", "created_at", "id"],
     "order_items": ["order_id", "id"],
     "payments": ["order_id", "created_at", "id"],
-    "shipments": ["order_id"],
+    "shipments": ["order_id", "id"],
     "order_status_history": ["order_id", "changed_at", "id"],
     "inventory_movements": ["product_id", "created_at", "id"],
 }
@@ -49,26 +50,36 @@ def _version_path(root: str, version: str) -> str:
     return f"{root}/versions/{version}"
 
 
-def write_table(df: DataFrame, path: str, cluster: list[str] | None) -> None:
-    """Range-cluster on the access path (a composite key also splits a hot prefix) and sort inside files."""
-    laid_out = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster) if cluster else df
-    laid_out.write.parquet(path, mode="error")
+def write_table(df: DataFrame, path: str, cluster: list[str] | None, rows: int | None = None) -> None:
+    """Range-cluster on the access path and sort inside files.
+
+    The access path ends in a unique id, so a hot prefix is cut into several files. With a known row count
+    the number of files follows it; otherwise it is the session's shuffle parallelism.
+    """
+    if cluster:
+        files = [max(1, -(-rows // ROWS_PER_FILE))] if rows is not None else []
+        df = df.repartitionByRange(*files, *cluster).sortWithinPartitions(*cluster)
+    df.write.parquet(path, mode="error")
 
 
 def _manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     schemas = spark.createDataFrame([(n, df.schema.json()) for n, df in tables.items()], "table_name string, schema string")
-    return fingerprint.of_tables(tables).join(F.broadcast(schemas), "table_name")
+    return fingerprint.of_tables(tables, fingerprint.hashed).join(F.broadcast(schemas), "table_name")
 
 
 def stage(
-    spark: SparkSession, tables: dict[str, DataFrame], root: str, clustering: dict[str, list[str]] | None = None
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    clustering: dict[str, list[str]] | None = None,
+    rows: dict[str, int] | None = None,
 ) -> str:
     """Write all tables and their manifest under a new version that no reader sees yet."""
     clustering = CLUSTERING if clustering is None else clustering
     version = uuid.uuid4().hex
     path = _version_path(root, version)
     for name, df in tables.items():
-        write_table(df, f"{path}/{name}", clustering.get(name))
+        write_table(df, f"{path}/{name}", clustering.get(name), (rows or {}).get(name))
     staged = {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
     _manifest(spark, staged).coalesce(1).write.parquet(f"{path}/manifest", mode="error")
     return version
@@ -91,7 +102,7 @@ def check_integrity(spark: SparkSession, root: str, version: str) -> dict[str, D
     """Recompute all fingerprints and compare them with the manifest; returns the tables."""
     tables = open_version(spark, root, version)
     stored = spark.read.parquet(f"{_version_path(root, version)}/manifest").drop("schema")
-    broken = [r.table_name for r in fingerprint.mismatches(stored, fingerprint.of_tables(tables)).collect()]
+    broken = [r.table_name for r in fingerprint.mismatches(stored, fingerprint.of_tables(tables, fingerprint.hashed)).collect()]
     if broken:
         raise SnapshotError(f"content differs from the manifest: {', '.join(sorted(broken))}")
     return tables
@@ -127,9 +138,10 @@ def publish(
     verifier: Verifier,
     label: str = "",
     clustering: dict[str, list[str]] | None = None,
+    rows: dict[str, int] | None = None,
 ) -> str:
     """Stage, verify what was written, and only then append the publication. One writer at a time."""
-    version = stage(spark, tables, root, clustering)
+    version = stage(spark, tables, root, clustering, rows)
     require(verifier(open_version(spark, root, version)))
     _announce(spark, root, version, label)
     return version

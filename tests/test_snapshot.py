@@ -85,7 +85,7 @@ def test_fingerprints_agree_on_equality(spark, shop):
     orders = shop["orders"]
     shuffled = orders.repartition(13, "status")
     changed = mutate.update_where(orders, F.col("id") == 77, {"status": F.lit("PAID")})
-    for method in (fingerprint.summed, fingerprint.exact, lambda d: fingerprint.root_digest(fingerprint.bucketed(d, 4), 4)):
+    for method in (fingerprint.summed, fingerprint.hashed, fingerprint.exact, lambda d: fingerprint.root_digest(fingerprint.bucketed(d, 4), 4)):
         assert method(orders).first() == method(shuffled).first()
         assert method(orders).first() != method(changed).first()
     before, after = fingerprint.bucketed(orders, 2), fingerprint.bucketed(changed, 2)
@@ -94,6 +94,8 @@ def test_fingerprints_agree_on_equality(spark, shop):
     doubled = orders.unionAll(orders)
     assert fingerprint.summed(doubled).first().lane_a == 2 * fingerprint.summed(orders).first().lane_a
     assert fingerprint.summed(orders.limit(0)).first().row_count == 0
+    moved = spark.createDataFrame([(None, 1), (1, None)], "a int, b int")
+    assert fingerprint.hashed(moved.limit(1)).first() != fingerprint.hashed(moved.where("a = 1")).first()
     with pytest.raises(ValueError, match="limit"):
         fingerprint.exact(orders, limit=10)
 
