@@ -46,12 +46,16 @@ LEDGER_FIXTURES = [
     (3, -11, "ADJUSTMENT", 2),
 ]
 LAST_PRODUCT_FIXTURE = (25, "RESTOCK", 1)
-MAX_ITEMS = 5
+IDS_PER_TASK = 500_000
+MAX_TASKS = 50_000
 
 
 def sequence(spark: SparkSession, last: int, first: int = 1) -> DataFrame:
-    """Dense ids first..last, split over tasks."""
-    return spark.range(first, last + 1)
+    """Dense ids first..last in ascending ranges, split so that a task stays short at any size."""
+    rows = max(0, last - first + 1)
+    per_task = max(IDS_PER_TASK, rows // MAX_TASKS)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-rows // per_task))
+    return spark.range(first, last + 1, numPartitions=tasks)
 
 
 def _square(draw: Column) -> Column:
@@ -101,9 +105,9 @@ class Generator:
         crowded = self.draw(product, "category-skew") % 10 < 6
         return F.when(crowded, spread % 4 + 33).otherwise(spread % 24 + 17)
 
-    def product_price(self, product: Column) -> Column:
-        """Quadratic skew towards low prices, 5.00 to 1004.80."""
-        return _money(quotient(_square(self.draw(product, "price") % 10_000), 1000) + 500)
+    def product_cents(self, product: Column) -> Column:
+        """List price in cents: quadratic skew towards low prices, 5.00 to 1004.80."""
+        return quotient(_square(self.draw(product, "price") % 10_000), 1000) + 500
 
     def products(self, ids: DataFrame) -> DataFrame:
         i = F.col("id")
@@ -111,7 +115,7 @@ class Generator:
             i,
             self.product_category(i).alias("category_id"),
             F.concat(F.lit("Product "), padded(i, self.profile.product_digits)).alias("name"),
-            self.product_price(i).alias("price"),
+            _money(self.product_cents(i)).alias("price"),
             (i % 10 != 0).alias("active"),
             instant(YEAR_2023, self.draw(i, "product-date") % SECONDS_2023).alias("created_at"),
         )
@@ -197,10 +201,10 @@ class Generator:
         single = self.draw(line, "quantity") % 10 < 8
         return F.when(single, F.lit(1)).otherwise((self.draw(line, "quantity-large") % 4 + 2).cast("int"))
 
-    def item_price(self, order: Column, slot: Column, list_price: Column) -> Column:
-        """Sale price: 80 to 110 percent of the list price, rounded half away from zero."""
-        percent = (self.draw(order * 10 + slot, "discount") % 31 + 80).cast("decimal(3,0)")
-        return F.round(list_price * percent / F.lit(100), 2).cast("decimal(12,2)")
+    def item_cents(self, order: Column, slot: Column, list_cents: Column) -> Column:
+        """Sale price in cents: 80 to 110 percent of the list price, half a cent rounded up."""
+        percent = self.draw(order * 10 + slot, "discount") % 31 + 80
+        return quotient(list_cents * percent + 50, 100)
 
     def order_items(self, orders: DataFrame, products: DataFrame | None = None) -> DataFrame:
         """One to five lines per order.
@@ -217,9 +221,10 @@ class Generator:
             F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("id") % 5 + 1)).alias("slot"),
         ).withColumn("product_id", self.item_product(order, slot))
         if products is None:
-            priced = lines.withColumn("list_price", self.product_price(F.col("product_id")))
+            priced = lines.withColumn("list_cents", self.product_cents(F.col("product_id")))
         else:
-            catalog = products.select(F.col("id").alias("product_id"), F.col("price").alias("list_price"))
+            cents = (F.col("price") * 100).cast("bigint")
+            catalog = products.select(F.col("id").alias("product_id"), cents.alias("list_cents"))
             priced = lines.join(catalog, "product_id")
         before = n + quotient(n, 5) * 10 + quotient(residue * (residue + 1), 2)
         return priced.select(
@@ -227,19 +232,18 @@ class Generator:
             "order_id",
             "product_id",
             self.item_quantity(order, slot).alias("quantity"),
-            self.item_price(order, slot, F.col("list_price")).alias("unit_price"),
+            _money(self.item_cents(order, slot, F.col("list_cents"))).alias("unit_price"),
         )
 
     def order_amount(self, order: Column) -> Column:
-        """Order total from the id alone: the line rules unrolled over the five possible slots."""
-        total = None
-        for s in range(1, MAX_ITEMS + 1):
-            slot = F.lit(s).cast("bigint")
-            price = self.item_price(order, slot, self.product_price(self.item_product(order, slot)))
-            line = F.when(order % 5 + 1 >= s, price * self.item_quantity(order, slot)).otherwise(F.lit(0))
-            line = line.cast("decimal(14,2)")
-            total = line if total is None else total + line
-        return total.cast("decimal(12,2)")
+        """Order total from the id alone, by folding the line rules over the slots of the order."""
+
+        def add_line(cents: Column, slot: Column) -> Column:
+            price = self.item_cents(order, slot, self.product_cents(self.item_product(order, slot)))
+            return cents + price * self.item_quantity(order, slot)
+
+        slots = F.sequence(F.lit(1).cast("bigint"), order % 5 + 1)
+        return _money(F.aggregate(slots, F.lit(0).cast("bigint"), add_line))
 
     def payments(self, orders: DataFrame, totals: DataFrame | None = None) -> DataFrame:
         """One attempt per order, two for every fifth; each carries the whole order amount.

@@ -51,7 +51,8 @@ def build(spark: SparkSession, root: str, profile: Profile) -> str:
     """Generate, stage, verify and publish one profile; returns the new version."""
     tables = Generator(profile).build(spark)
     return snapshot.publish(
-        spark, tables, root, verifier(spark, profile), profile.name, rows=profile.expected_counts()
+        spark, tables, root, verifier(spark, profile), profile.name,
+        snapshot.CLUSTERING_OF_GENERATED, profile.expected_counts(),
     )
 
 
