@@ -50,5 +50,5 @@ def instant(epoch_seconds: int, offset_seconds: Column | int = 0) -> Column:
 
 
 def later(moment: Column, seconds: Column | int) -> Column:
-    """``moment`` shifted by a whole number of seconds."""
-    return moment + F.expr("interval '1' second") * seconds
+    """``moment`` shifted by exact seconds; adding an interval would follow the session's clock changes."""
+    return F.timestamp_micros(F.unix_micros(moment) + seconds * F.lit(1_000_000).cast("bigint"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cartloom.contract.model import Table, conform
 from cartloom.operators import keys
 from cartloom.operators.profiling import union_all
-from cartloom.operators.skew import BROADCAST_ROWS
+from cartloom.operators.skew import BROADCAST_ROWS, lookup
 from cartloom.session import cut_lineage
 
 INSERT, UPDATE = "insert", "update"
@@ -54,7 +54,8 @@ def update_where(df: DataFrame, condition: Expr, assignments: dict[str, Expr]) -
 def update_from(df: DataFrame, source: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """UPDATE ... FROM: rows with a partner in ``source`` (unique ``key``) take its values, NULLs included."""
     fresh = source.select(key, F.struct(*columns).alias("fresh__"))
-    joined = df.join(fresh, key, "left")
+    # The source may be an aggregate, so it is not counted just to decide on a broadcast.
+    joined = lookup(df, fresh, key, "left", broadcast_rows=0)
     return joined.select(*[
         F.when(F.col("fresh__").isNotNull(), F.col(f"fresh__.{c}")).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c)
         if c in columns
@@ -86,9 +87,9 @@ def _key_breaches(changes: DataFrame, current: DataFrame, table: Table, hint: _H
     """Inserted keys that exist, updated keys that do not, and keys that occur twice in the set."""
     key = list(table.primary_key)
     rule = "_".join(key)
-    keyed = changes.where(~keys.any_null(key))
-    wanted = hint(keyed.select(*key).distinct())
-    existing = current.select(*key).join(wanted, key, "left_semi")
+    # One row per key and operation, so that many copies of a key meet the table as one.
+    keyed = changes.where(~keys.any_null(key)).select(*key, "op").distinct()
+    existing = current.select(*key).join(hint(keyed.select(*key).distinct()), key, "left_semi")
     # An update of a row that is not there changes nothing; it is reported, not silently dropped.
     return [
         _label(keyed.where(F.col("op") == INSERT).join(existing, key, "left_semi"), table.primary_key, "unique", rule),
@@ -105,10 +106,10 @@ def _unique_breaches(changes: DataFrame, current: DataFrame, table: Table, hint:
         claims = changes.where(~keys.any_null(columns)).select(*key, *columns)
         wanted = hint(claims.select(*columns).distinct())
         held = current.select(*columns, F.struct(*key).alias("holder")).join(wanted, columns, "left_semi")
-        taken = claims.join(held, columns).where(F.struct(*key) != F.col("holder"))
+        taken = lookup(claims, held, columns, broadcast_rows=0).where(F.struct(*key) != F.col("holder"))
         found.append(_label(taken, table.primary_key, "unique", rule))
         shared = keys.duplicates(claims, columns)
-        found.append(_label(claims.join(shared, columns, "left_semi"), table.primary_key, "unique", rule))
+        found.append(_label(lookup(claims, shared, columns, broadcast_rows=0), table.primary_key, "unique", rule))
     return found
 
 
@@ -117,10 +118,11 @@ def _reference_breaches(
 ) -> list[DataFrame]:
     found = []
     for r in table.references:
-        claims = changes.where(F.col(r.column).isNotNull())
-        wanted = hint(claims.select(F.col(r.column).alias(r.key)).distinct())
-        present = parents[r.table].select(r.key).join(wanted, r.key, "left_semi").withColumnRenamed(r.key, r.column)
-        found.append(_label(claims.join(present, r.column, "left_anti"), table.primary_key, "foreign_key", r.column))
+        claims = changes.where(F.col(r.column).isNotNull()).select(*table.primary_key, r.column)
+        wanted = claims.select(r.column).distinct()
+        known = parents[r.table].select(F.col(r.key).alias(r.column)).join(hint(wanted), r.column, "left_semi")
+        missing = wanted.join(hint(known), r.column, "left_anti")
+        found.append(_label(lookup(claims, missing, r.column, broadcast_rows=0), table.primary_key, "foreign_key", r.column))
     return found
 
 
@@ -161,14 +163,13 @@ def delete(
     (key,) = table.primary_key
     doomed = current.where(condition).select(key)
     hint = _Hint(doomed)
-    rejected = union_all([
-        _label(
-            # Only references to doomed keys are grouped and shuffled.
-            doomed.join(keys.referenced(child.join(hint(doomed.withColumnRenamed(key, column)), column, "left_semi"), column, key).select(key), key, "left_semi"),
-            table.primary_key, "foreign_key", rule,
-        )
-        for rule, (child, column) in children.items()
-    ])
+    blocked = []
+    for rule, (child, column) in children.items():
+        # Few doomed keys filter the child table before it is grouped; many keys meet it after.
+        near = child.join(F.broadcast(doomed.withColumnRenamed(key, column)), column, "left_semi") if hint.small else child
+        used = keys.referenced(near, column, key).select(key)
+        blocked.append(_label(doomed.join(used, key, "left_semi"), table.primary_key, "foreign_key", rule))
+    rejected = union_all(blocked)
     rejected = cut_lineage(rejected)
     removable = doomed.join(hint(rejected.select(key).distinct()), key, "left_anti")
     return Outcome(current.join(hint(removable), key, "left_anti").select(*current.columns), rejected)

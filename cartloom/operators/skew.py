@@ -55,13 +55,13 @@ def lookup(
 ) -> DataFrame:
     """Join many rows to at most one row per ``key`` (inner or left), whatever the skew of ``many``.
 
-    A small ``one`` is broadcast after a count. Otherwise a hot key of ``many`` is split over several
-    tasks by a salt, and its single row of ``one`` is repeated once per salt.
+    A small ``one`` is broadcast after a count (not counted if ``broadcast_rows`` is 0). Otherwise a hot key
+    of ``many`` is split over several tasks by a salt, and its single row of ``one`` is repeated once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup keeps or drops unmatched rows of the many side only: inner or left")
     key = [key] if isinstance(key, str) else key
-    if one.count() <= broadcast_rows:
+    if broadcast_rows and one.count() <= broadcast_rows:
         return many.join(F.broadcast(one), key, how)
     hot = hot_keys(many, key, task_rows)
     if hot is None:

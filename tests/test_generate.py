@@ -24,6 +24,16 @@ def test_published_digests(spark, published_namespace, published_digests, profil
     assert actual == published_digests[profile]
 
 
+def test_digests_do_not_depend_on_the_session_time_zone(spark, published_namespace, published_digests):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        tables = Generator(profile_named("small", published_namespace)).build(spark)
+        actual = {name: tuple(fingerprint.exact(df).first()) for name, df in tables.items()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert actual == published_digests["small"]
+
+
 @pytest.mark.parametrize("orders", [1_000, 1_037])
 def test_expected_counts_match_rows(spark, orders):
     profile = Profile("odd", customers=200, products=60, orders=orders, movements=500)

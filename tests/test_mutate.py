@@ -90,3 +90,19 @@ def test_updates_and_deletes_follow_three_valued_logic(spark):
     source = spark.createDataFrame([(1, None), (3, 30)], "id int, v int")
     merged = mutate.update_from(df, source, "id", ["v"]).orderBy("id").collect()
     assert [tuple(r) for r in merged] == [(1, None), (2, None), (3, 30)]
+
+
+def test_large_change_sets_take_the_shuffle_path(spark, shop, monkeypatch):
+    changes = shop["products"].where("id <= 60").withColumns({
+        "price": F.expr("IF(id % 7 = 0, -1, price)"),
+        "category_id": F.expr("IF(id % 3 = 0, -5, category_id)"),
+        "op": F.lit("update"),
+    })
+    doomed, children = F.col("id") >= 1700, {"orders.customer_id": (shop["orders"], "customer_id")}
+    results = []
+    for limit in (mutate.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(mutate, "BROADCAST_ROWS", limit)
+        upserted = mutate.upsert(changes, COMMERCE["products"], shop["products"], shop)
+        deleted = mutate.delete(shop["customers"], doomed, COMMERCE["customers"], children)
+        results.append([sorted(map(tuple, df.collect())) for df in (upserted.table, upserted.rejected, deleted.table, deleted.rejected)])
+    assert results[0] == results[1] and len(results[0][1]) == 20 + 8
