@@ -139,6 +139,38 @@ def schema_report(spark: SparkSession, contract: Contract, tables: dict[str, Dat
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def column_report(contract: Contract, tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, position, declared_type, actual_type, nulls, passed) of every declared column.
+
+    Files report every column as nullable, so NOT NULL is measured on the rows; one scan per table.
+    """
+    frames = []
+    for table in contract.tables:
+        df = tables[table.name]
+        actual = {f.name: (i, f.dataType) for i, f in enumerate(df.schema.fields, start=1)}
+        required = {*table.primary_key, *(c.name for c in table.columns if not c.nullable)}
+        row = df.agg(
+            F.count(F.lit(1)).alias("rows__"),
+            *[F.count_if(F.col(c.name).isNull()).alias(c.name) for c in table.columns if c.name in actual],
+        )
+        entries = []
+        for i, (declared, field) in enumerate(zip(table.columns, table.schema.fields), start=1):
+            position, kind = actual.get(declared.name, (0, None))
+            nulls = F.col(declared.name) if kind else F.col("rows__")
+            matches = F.lit(position == i and kind == field.dataType)
+            entries.append({
+                "table_name": F.lit(table.name),
+                "column_name": F.lit(declared.name),
+                "position": F.lit(i),
+                "declared_type": F.lit(field.dataType.simpleString()),
+                "actual_type": F.lit(kind.simpleString() if kind else None).cast("string"),
+                "nulls": nulls,
+                "passed": matches & (nulls == 0) if declared.name in required else matches,
+            })
+        frames.append(unpivot(row, entries))
+    return union_all(frames)
+
+
 def catalog_report(contract: Contract, stored: DataFrame) -> DataFrame:
     """The rule inventory must equal a stored copy, in both directions."""
     from cartloom.operators.diff import relation_diff

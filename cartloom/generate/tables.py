@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cartloom.functions.draws import instant, keyed_hash, later, padded, pick, quotient, weighted
 from cartloom.generate import rules
 from cartloom.generate.profile import CATEGORIES, LEDGER_STEPS, Profile
+from cartloom.operators.skew import lookup
 
 
 def _epoch(*parts: int) -> int:
@@ -210,7 +211,7 @@ class Generator:
         """One to five lines per order.
 
         Without ``products`` the list price is recomputed from the drawn product id and nothing is
-        shuffled. With it, the price comes from an equi-join on the drawn id.
+        shuffled. With it, the price comes from a lookup join on the drawn id.
         """
         slot = F.col("slot")
         order = F.col("order_id")
@@ -225,7 +226,7 @@ class Generator:
         else:
             cents = (F.col("price") * 100).cast("bigint")
             catalog = products.select(F.col("id").alias("product_id"), cents.alias("list_cents"))
-            priced = lines.join(catalog, "product_id")
+            priced = lookup(lines, catalog, "product_id")
         before = n + quotient(n, 5) * 10 + quotient(residue * (residue + 1), 2)
         return priced.select(
             (before + slot).alias("id"),

@@ -31,12 +31,16 @@ def referenced(child: DataFrame, foreign_key: str, name: str = "key", count: str
     )
 
 
-def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, primary_key: str) -> DataFrame:
+def orphans(
+    child: DataFrame, foreign_key: str, parent: DataFrame, primary_key: str, unique_parent: bool = True
+) -> DataFrame:
     """(key, child_rows) of references without a parent row.
 
-    The child side is reduced to distinct keys before the join, so a hot key joins as one row.
+    The child side is reduced to distinct keys before the join, so a hot key joins as one row. A parent
+    column that is not a key needs the same: ``unique_parent=False``.
     """
     keys = parent.select(F.col(primary_key).alias("key"))
+    keys = keys if unique_parent else keys.distinct()
     return referenced(child, foreign_key).join(keys, "key", "left_anti")
 
 

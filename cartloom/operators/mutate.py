@@ -16,20 +16,20 @@ from pyspark.sql import functions as F
 from cartloom.contract.model import Table, conform
 from cartloom.operators import keys
 from cartloom.operators.profiling import union_all
-from cartloom.operators.skew import BROADCAST_ROWS, lookup
+from cartloom.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup
 from cartloom.session import cut_lineage
 
 INSERT, UPDATE = "insert", "update"
 
 
 class _Hint:
-    """Broadcasts keys of a change set, but only if the whole set was counted and is small.
+    """Broadcasts keys of a change set, but only if the whole set was measured and is small.
 
-    Every hinted relation is a subset of the change set, so its count bounds them all.
+    Every hinted relation is a projection of the change set, so its size bounds them all.
     """
 
     def __init__(self, changes: DataFrame):
-        self.small = changes.count() <= BROADCAST_ROWS
+        self.small = fits_broadcast(changes, BROADCAST_ROWS)
 
     def __call__(self, subset: DataFrame) -> DataFrame:
         return F.broadcast(subset) if self.small else subset

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TASK_ROWS = 1_000_000
-MAX_CHUNKS = 20_000
-SAMPLES_PER_CHUNK = 32
+MAX_CHUNKS = 100_000
+SAMPLES_PER_CHUNK = 16
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 SAMPLE_SEED = 7
 
 
@@ -40,9 +42,22 @@ def hot_keys(df: DataFrame, keys: list[str], task_rows: int = TASK_ROWS) -> Data
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger table keeps the shuffle join chosen by Spark."""
-    return F.broadcast(df) if df.count() <= limit else df
+def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROWS) -> bool:
+    """Whether a relation was counted, and its texts measured, within the broadcast limits."""
+    if df.count() > row_limit:
+        return False
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    sizes = [F.octet_length(c) for c in texts] + [F.octet_length(F.to_json(F.struct(c))) for c in nested]
+    if not sizes:
+        return True
+    measured = df.agg(*[F.coalesce(F.sum(size), F.lit(0)).alias(f"b{i}") for i, size in enumerate(sizes)]).first()
+    return sum(measured) <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only after measuring; a larger table keeps the shuffle join chosen by Spark."""
+    return F.broadcast(df) if fits_broadcast(df) else df
 
 
 def lookup(
@@ -55,13 +70,13 @@ def lookup(
 ) -> DataFrame:
     """Join many rows to at most one row per ``key`` (inner or left), whatever the skew of ``many``.
 
-    A small ``one`` is broadcast after a count (not counted if ``broadcast_rows`` is 0). Otherwise a hot key
+    A small ``one`` is broadcast after measuring it (not measured if ``broadcast_rows`` is 0). Otherwise a hot key
     of ``many`` is split over several tasks by a salt, and its single row of ``one`` is repeated once per salt.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup keeps or drops unmatched rows of the many side only: inner or left")
     key = [key] if isinstance(key, str) else key
-    if broadcast_rows and one.count() <= broadcast_rows:
+    if broadcast_rows and fits_broadcast(one, broadcast_rows):
         return many.join(F.broadcast(one), key, how)
     hot = hot_keys(many, key, task_rows)
     if hot is None:

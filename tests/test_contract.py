@@ -110,6 +110,17 @@ def test_schema_and_table_set(spark, shop):
         require(report)
 
 
+def test_columns_are_checked_on_metadata_and_rows(spark, shop):
+    tables = dict(shop)
+    tables["products"] = shop["products"].withColumn("price", F.col("price").cast("double")).drop("active")
+    tables["customers"] = with_update(shop, "customers", "id < 4", {"name": "NULL"})["customers"]
+    report = {(r.table_name, r.column_name): r for r in verify.column_report(COMMERCE, tables).collect()}
+    assert len(report) == sum(len(t.columns) for t in COMMERCE.tables)
+    bad = {k for k, r in report.items() if not r.passed}
+    assert bad == {("products", "price"), ("products", "active"), ("products", "created_at"), ("customers", "name")}
+    assert report["customers", "name"].nulls == 3 and report["shipments", "delivered_at"].nulls == 2250
+
+
 def test_null_condition_fails_a_check_but_passes_a_row_rule(spark):
     df = spark.createDataFrame([(1, None)], "id bigint, v int")
     rows = verify.measured(df, [
