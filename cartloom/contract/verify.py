@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cartloom.contract.model import Contract, Table
 from cartloom.operators import keys
-from cartloom.operators.profiling import union_all, unpivot
+from cartloom.operators.profiling import text, union_all, unpivot
 
 REPORT_SCHEMA = "check string, subject string, expected string, observed bigint, passed boolean"
 NONE, SOME = "= 0", ">= 1"
@@ -26,42 +26,24 @@ class VerificationError(AssertionError):
 
 @dataclass(frozen=True)
 class Measure:
-    """One aggregate over a relation, and the condition its value must meet."""
+    """One aggregate over a relation, and the condition its value must meet, such as ``= 0`` or ``>= 1``."""
 
     check: str
     subject: str
     aggregate: Expr
     expected: str = NONE
 
-    def holds(self, value: Expr) -> Expr:
-        return F.coalesce(_compare(value, self.expected), F.lit(False))
-
-
-def _compare(value: Expr, expected: str) -> Expr:
-    """``expected`` is '<operator> <integer>' or 'BETWEEN a AND b'."""
-    words = expected.split()
-    if words[0] == "BETWEEN":
-        return value.between(int(words[1]), int(words[3]))
-    bound = F.lit(int(words[1]))
-    return {
-        "=": value == bound,
-        ">=": value >= bound,
-        ">": value > bound,
-        "<": value < bound,
-        "<=": value <= bound,
-    }[words[0]]
-
 
 def measured(df: DataFrame, measures: list[Measure]) -> DataFrame:
     """Evaluate all measures in one aggregate and return one report row each."""
     row = df.agg(*[m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)])
     return unpivot(row, [
         {
-            "check": F.lit(m.check),
-            "subject": F.lit(m.subject),
-            "expected": F.lit(m.expected),
-            "observed": F.col(f"m{i}"),
-            "passed": m.holds(F.col(f"m{i}")),
+            "check": text(m.check),
+            "subject": text(m.subject),
+            "expected": text(m.expected),
+            "observed": f"m{i}",
+            "passed": f"coalesce(m{i} {m.expected}, false)",
         }
         for i, m in enumerate(measures)
     ])
@@ -69,7 +51,7 @@ def measured(df: DataFrame, measures: list[Measure]) -> DataFrame:
 
 def violations(rule: str) -> Expr:
     """Rows for which an SQL condition is FALSE; NULL passes."""
-    return F.count_if(~F.expr(rule))
+    return F.expr(f"count_if(NOT ({rule}))")
 
 
 def row_measures(table: Table, rule_classes: tuple[str, ...] = ("not_null", "length", "check")) -> list[Measure]:
@@ -100,25 +82,33 @@ def scan_rules(
 
 
 def key_rules(contract: Contract, tables: dict[str, DataFrame]) -> DataFrame:
-    """Surplus rows per primary and unique key."""
+    """Surplus rows per primary and unique key, and child rows per reference whose key has no parent.
+
+    References are checked per parent: one grouping of the parent's key and all columns that refer to it
+    answers them together, and the parent's own primary key with them.
+    """
     frames = []
-    for table in contract.tables:
-        for kind, columns in [("primary_key", table.primary_key), *(("unique", u) for u in table.uniques)]:
-            surplus = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
-            measure = Measure(kind, f"{table.name}.{'_'.join(columns)}", surplus)
-            frames.append(measured(keys.duplicates(tables[table.name], list(columns)), [measure]))
+    for parent in contract.tables:
+        pending = [("primary_key", parent.primary_key), *(("unique", u) for u in parent.uniques)]
+        for key in sorted({r.key for _, r in contract.referencing(parent.name)}):
+            references = [(t, r) for t, r in contract.referencing(parent.name) if r.key == key]
+            profile = keys.reference_profile(tables[parent.name], key, [(tables[t.name], r.column) for t, r in references])
+            measures = [
+                Measure("foreign_key", f"{t.name}.{r.column}", _total(F.when(F.col("in_parent") == 0, F.col(f"in_child_{i}"))))
+                for i, (t, r) in enumerate(references)
+            ]
+            if parent.primary_key == (key,):
+                measures.append(Measure("primary_key", f"{parent.name}.{key}", _total(F.greatest(F.col("in_parent") - 1, F.lit(0)))))
+                pending = pending[1:]
+            frames.append(measured(profile, measures))
+        for kind, columns in pending:
+            surplus = Measure(kind, f"{parent.name}.{'_'.join(columns)}", _total(F.col("copies") - 1))
+            frames.append(measured(keys.duplicates(tables[parent.name], list(columns)), [surplus]))
     return union_all(frames)
 
 
-def reference_rules(contract: Contract, tables: dict[str, DataFrame]) -> DataFrame:
-    """Child rows per reference whose non-NULL key has no parent."""
-    frames = []
-    for table in contract.tables:
-        for r in table.references:
-            lost = keys.orphans(tables[table.name], r.column, tables[r.table], r.key)
-            rows = F.coalesce(F.sum("child_rows"), F.lit(0))
-            frames.append(measured(lost, [Measure("foreign_key", f"{table.name}.{r.column}", rows)]))
-    return union_all(frames)
+def _total(value: Expr) -> Expr:
+    return F.coalesce(F.sum(value), F.lit(0))
 
 
 def schema_report(spark: SparkSession, contract: Contract, tables: dict[str, DataFrame]) -> DataFrame:
@@ -149,23 +139,21 @@ def column_report(contract: Contract, tables: dict[str, DataFrame]) -> DataFrame
         df = tables[table.name]
         actual = {f.name: (i, f.dataType) for i, f in enumerate(df.schema.fields, start=1)}
         required = {*table.primary_key, *(c.name for c in table.columns if not c.nullable)}
-        row = df.agg(
-            F.count(F.lit(1)).alias("rows__"),
-            *[F.count_if(F.col(c.name).isNull()).alias(c.name) for c in table.columns if c.name in actual],
-        )
+        present = [c.name for c in table.columns if c.name in actual]
+        row = df.agg(F.count(F.lit(1)).alias("rows__"), *[F.expr(f"count_if({c} IS NULL)").alias(c) for c in present])
         entries = []
         for i, (declared, field) in enumerate(zip(table.columns, table.schema.fields), start=1):
             position, kind = actual.get(declared.name, (0, None))
-            nulls = F.col(declared.name) if kind else F.col("rows__")
-            matches = F.lit(position == i and kind == field.dataType)
+            nulls = declared.name if kind else "rows__"
+            matches = position == i and kind == field.dataType
             entries.append({
-                "table_name": F.lit(table.name),
-                "column_name": F.lit(declared.name),
-                "position": F.lit(i),
-                "declared_type": F.lit(field.dataType.simpleString()),
-                "actual_type": F.lit(kind.simpleString() if kind else None).cast("string"),
+                "table_name": text(table.name),
+                "column_name": text(declared.name),
+                "position": str(i),
+                "declared_type": text(field.dataType.simpleString()),
+                "actual_type": text(kind.simpleString()) if kind else "CAST(NULL AS STRING)",
                 "nulls": nulls,
-                "passed": matches & (nulls == 0) if declared.name in required else matches,
+                "passed": f"{nulls} = 0" if matches and declared.name in required else str(matches).lower(),
             })
         frames.append(unpivot(row, entries))
     return union_all(frames)
@@ -199,8 +187,6 @@ def structural(
         scan_rules(present, tables, expected_counts=expected_counts, extra=extra),
         key_rules(present, tables),
     ]
-    if any(t.references for t in present.tables):
-        parts.append(reference_rules(present, tables))
     if stored_catalog is not None:
         parts.append(catalog_report(contract, stored_catalog))
     return union_all(parts)

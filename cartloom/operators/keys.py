@@ -44,6 +44,24 @@ def orphans(
     return referenced(child, foreign_key).join(keys, "key", "left_anti")
 
 
+def reference_profile(parent: DataFrame, primary_key: str, children: list[tuple[DataFrame, str]]) -> DataFrame:
+    """(key, in_parent, in_child_0, in_child_1, ...): how often each key occurs in the parent and in each child.
+
+    All references to one parent are answered by this single grouping: an orphan is a key with no parent
+    row, a childless key has no child row, a duplicate occurs twice in the parent. Nothing is joined, every
+    table sends its merged keys through one shuffle, and the parent does so only once.
+    """
+    sides = [(parent, primary_key), *children]
+    marks = ["in_parent", *[f"in_child_{i}" for i in range(len(children))]]
+    tagged = [
+        df.where(F.col(column).isNotNull()).select(
+            F.col(column).alias("key"), *[F.lit(int(j == i)).cast("bigint").alias(m) for j, m in enumerate(marks)]
+        )
+        for i, (df, column) in enumerate(sides)
+    ]
+    return reduce(DataFrame.unionByName, tagged).groupBy("key").agg(*[F.sum(m).alias(m) for m in marks])
+
+
 def without_children(parent: DataFrame, primary_key: str, child: DataFrame, foreign_key: str) -> DataFrame:
     """Parent rows that no child row refers to."""
     used = referenced(child, foreign_key, primary_key).select(primary_key)

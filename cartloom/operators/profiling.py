@@ -13,10 +13,18 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def unpivot(row: DataFrame, entries: list[dict[str, Column]]) -> DataFrame:
-    """Turn a one-row aggregate into one row per entry."""
-    structs = [F.struct(*[value.alias(name) for name, value in e.items()]) for e in entries]
-    return row.select(F.explode(F.array(*structs)).alias("e")).select("e.*")
+def unpivot(row: DataFrame, entries: list[dict[str, str]]) -> DataFrame:
+    """Turn a one-row aggregate into one row per entry; entries map column names to SQL expressions."""
+    structs = [
+        "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in entry.items()) + ")" for entry in entries
+    ]
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def text(value: str) -> str:
+    """SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def timestamp_columns(df: DataFrame) -> list[str]:
@@ -32,8 +40,7 @@ def date_ranges(tables: dict[str, DataFrame]) -> DataFrame:
             continue
         row = df.agg(*[a for c in columns for a in (F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))])
         frames.append(unpivot(row, [
-            {"column_name": F.lit(f"{name}.{c}"), "first_at": F.col(f"lo_{c}"), "last_at": F.col(f"hi_{c}")}
-            for c in columns
+            {"column_name": text(f"{name}.{c}"), "first_at": f"lo_{c}", "last_at": f"hi_{c}"} for c in columns
         ]))
     return union_all(frames)
 
@@ -46,7 +53,7 @@ def outside_envelope(tables: dict[str, DataFrame], first: Column, end: Column) -
         if not columns:
             continue
         row = df.agg(*[F.count_if((F.col(c) < first) | (F.col(c) >= end)).alias(c) for c in columns])
-        frames.append(unpivot(row, [{"column_name": F.lit(f"{name}.{c}"), "violations": F.col(c)} for c in columns]))
+        frames.append(unpivot(row, [{"column_name": text(f"{name}.{c}"), "violations": c} for c in columns]))
     return union_all(frames)
 
 
@@ -61,8 +68,8 @@ def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(column_name, nulls) of every column of every table."""
     frames = []
     for name, df in sorted(tables.items()):
-        row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
-        frames.append(unpivot(row, [{"column_name": F.lit(f"{name}.{c}"), "nulls": F.col(c)} for c in df.columns]))
+        row = df.agg(*[F.expr(f"count_if({c} IS NULL)").alias(c) for c in df.columns])
+        frames.append(unpivot(row, [{"column_name": text(f"{name}.{c}"), "nulls": c} for c in df.columns]))
     return union_all(frames)
 
 

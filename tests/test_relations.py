@@ -84,6 +84,8 @@ def test_keys_ignore_nulls(spark):
     child = spark.createDataFrame([(1,), (1,), (None,), (9,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
     assert [tuple(r) for r in keys.orphans(child, "fk", parent, "pk").collect()] == [(9, 1)]
+    profile = keys.reference_profile(parent, "pk", [(child, "fk"), (parent, "pk")])
+    assert {tuple(r) for r in profile.collect()} == {(1, 1, 2, 1), (2, 1, 0, 1), (9, 0, 1, 0)}
     assert [tuple(r) for r in keys.duplicates(child, ["fk"]).collect()] == [(1, 2)]
     assert [tuple(r) for r in keys.without_children(parent, "pk", child, "fk").collect()] == [(2,)]
 
