@@ -26,24 +26,31 @@ class VerificationError(AssertionError):
 
 @dataclass(frozen=True)
 class Measure:
-    """One aggregate over a relation, and the condition its value must meet, such as ``= 0`` or ``>= 1``."""
+    """One aggregate over a relation, and the condition its value must meet, such as ``= 0`` or ``>= 1``.
+
+    ``holds`` replaces the condition by an aggregate of its own, where the reported value is rounded.
+    """
 
     check: str
     subject: str
     aggregate: Expr
     expected: str = NONE
+    holds: Expr | None = None
 
 
 def measured(df: DataFrame, measures: list[Measure]) -> DataFrame:
     """Evaluate all measures in one aggregate and return one report row each."""
-    row = df.agg(*[m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)])
+    row = df.agg(
+        *[m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(measures)],
+        *[m.holds.alias(f"h{i}") for i, m in enumerate(measures) if m.holds is not None],
+    )
     return unpivot(row, [
         {
             "check": text(m.check),
             "subject": text(m.subject),
             "expected": text(m.expected),
             "observed": f"m{i}",
-            "passed": f"coalesce(m{i} {m.expected}, false)",
+            "passed": f"coalesce({f'h{i}' if m.holds is not None else f'm{i} {m.expected}'}, false)",
         }
         for i, m in enumerate(measures)
     ])

@@ -77,11 +77,6 @@ def frequencies(df: DataFrame, column: str, count: str = "row_count") -> DataFra
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(count))
 
 
-def share(condition: Column) -> Column:
-    """Fraction of rows that satisfy a condition, as an exact decimal with six places."""
-    return (F.count_if(condition).cast("decimal(20,0)") / F.count(F.lit(1)).cast("decimal(20,0)")).cast("decimal(20,6)")
-
-
 def facts(named: dict[str, DataFrame]) -> DataFrame:
     """(fact, value): one named count per relation."""
     return union_all([

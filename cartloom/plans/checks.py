@@ -207,7 +207,7 @@ def top_key_share(spark, folder):
         tenth = table(spark, folder, parent).agg(F.expr("count(1) div 10")).scalar()
         # The bound is attached before the aggregate; it is one literal value for the whole scan.
         rows = table(spark, folder, name).select((F.col(column) < tenth).alias("low"))
-        frames.append(rows.agg(F.expr("count_if(low) * 1000000 div count(1)").alias("share_ppm")).select(
+        frames.append(rows.agg(F.expr("count_if(low) * 1000000 div nullif(count(1), 0)").alias("share_ppm")).select(
             F.lit(f"{name}.{column}").alias("key_column"), "share_ppm"))
     return union_all(frames)
 
@@ -221,7 +221,7 @@ SELECT '{t}.{c}' AS column_name, (count(*) FILTER (WHERE {c} >= TIMESTAMP '{d}')
 def season_share(spark, folder):
     return union_all([
         table(spark, folder, t).agg(
-            F.expr(f"count_if({c} >= timestamp_ntz'{d}') * 1000000 div count(1)").alias("share_ppm")
+            F.expr(f"count_if({c} >= timestamp_ntz'{d}') * 1000000 div nullif(count(1), 0)").alias("share_ppm")
         ).select(F.lit(f"{t}.{c}").alias("column_name"), "share_ppm")
         for t, c, d in SEASONS
     ])

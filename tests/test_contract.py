@@ -110,6 +110,23 @@ def test_schema_and_table_set(spark, shop):
         require(report)
 
 
+def test_empty_tables_fail_without_an_error(spark, shop):
+    found = failures(spark, {name: df.limit(0) for name, df in shop.items()})
+    assert {("row_count", "orders"), ("edge_case", "zero inventory net"), ("hierarchy", "category depth")} <= found
+    assert {("distribution", "season order share ppm"), ("distribution", "customer skew ppm")} <= found
+
+
+def test_shares_are_compared_exactly(spark, shop):
+    """A share just above its bound passes although the reported value is rounded down to it."""
+    df = spark.range(1_000_001 * 10).select((F.col("id") < 6_000_007).alias("hit"))
+    part, whole = F.count_if("hit"), F.count(F.lit(1))
+    ppm = (part.cast("decimal(20,0)") * 1_000_000 / whole).cast("bigint")
+    rows = verify.measured(df, [verify.Measure("share", "s", ppm, "> 600000", part * 10 > whole * 6)]).first()
+    assert rows.observed == 600_000 and rows.passed
+    december = with_update(shop, "orders", "id <= 300", {"created_at": "timestamp'2024-01-02 00:00:00Z'"})
+    assert ("distribution", "season order share ppm") in failures(spark, december)
+
+
 def test_columns_are_checked_on_metadata_and_rows(spark, shop):
     tables = dict(shop)
     tables["products"] = shop["products"].withColumn("price", F.col("price").cast("double")).drop("active")
