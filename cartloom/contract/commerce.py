@@ -135,7 +135,7 @@ def single_table_measures(tables: dict[str, DataFrame]) -> dict[str, list[Measur
     count = F.count_if
     season = F.col("created_at") >= instant(SEASON_START)
     rows = F.count(F.lit(1))
-    in_season = (count(season) * 100).between(rows * 74, rows * 76)
+    in_season = (rows > 0) & (count(season) * 100).between(rows * 74, rows * 76)
     extra = {
         "products": [Measure("edge_case", "inactive product", count(~F.col("active")), SOME)],
         "orders": [
