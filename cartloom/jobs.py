@@ -2,7 +2,7 @@
 
     spark-submit cartloom/jobs.py build   --root <folder> --profile small [--times 10] [--namespace <text>]
     spark-submit cartloom/jobs.py build   --root <folder> --profile all      each profile in its own subfolder
-    spark-submit cartloom/jobs.py verify  --root <folder> --profile small
+    spark-submit cartloom/jobs.py verify  --root <folder> --profile small [--golden <digests.csv>]
     spark-submit cartloom/jobs.py restore --root <folder> --profile small --version <version>
     spark-submit cartloom/jobs.py versions|fingerprint|facts --root <folder> [--csv <folder>] [--exact]
 """
@@ -31,6 +31,7 @@ from cartloom.sources import files, snapshot  # noqa: E402
 
 STORED_CATALOG = Path(__file__).resolve().parent / "contract" / "commerce_catalog.csv"
 CATALOG_SCHEMA = "kind string, name string, definition string"
+GOLDEN_SCHEMA = "table_name string, row_count bigint, content_md5 string"
 
 
 def stored_catalog(spark: SparkSession) -> DataFrame:
@@ -56,6 +57,13 @@ def build(spark: SparkSession, root: str, profile: Profile) -> str:
     )
 
 
+def require_golden(tables: dict[str, DataFrame], golden: DataFrame) -> None:
+    """Raise with the names of the tables whose exact digest is not the published one."""
+    changed = sorted(r.table_name for r in snapshot.golden_mismatches(tables, golden).collect())
+    if changed:
+        raise VerificationError(f"content differs from the published digests: {', '.join(changed)}")
+
+
 def fact_report(tables: dict[str, DataFrame]) -> DataFrame:
     """The named counts of the commerce tables."""
     attempts = tables["payments"].groupBy("order_id").agg(
@@ -93,6 +101,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--times", type=int, default=1)
     parser.add_argument("--namespace", default=DEFAULT_NAMESPACE)
     parser.add_argument("--version")
+    parser.add_argument("--golden", help="CSV of table_name,row_count,content_md5 that verify compares with")
     parser.add_argument("--csv")
     parser.add_argument("--exact", action="store_true")
     return parser.parse_args(argv)
@@ -110,7 +119,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "build":
         print(f"published {profile.name} as {build(spark, args.root, profile)}")
     elif args.command == "verify":
-        snapshot.load(spark, args.root, verifier(spark, profile))
+        tables = snapshot.load(spark, args.root, verifier(spark, profile))
+        if args.golden:
+            require_golden(tables, files.read_csv(spark, args.golden, GOLDEN_SCHEMA))
         print(f"{profile.name} passes all checks")
     elif args.command == "restore":
         snapshot.restore(spark, args.root, args.version, verifier(spark, profile))

@@ -16,10 +16,17 @@ def read_report(folder, name):
         return list(csv.DictReader(lines))
 
 
-def test_build_verify_and_report(spark, tmp_path, capsys):
+def test_build_verify_and_report(spark, tmp_path, capsys, published_namespace, published_digests):
     root, out = str(tmp_path / "data"), str(tmp_path / "out")
-    assert jobs.main(["build", "--root", root]) == 0
+    assert jobs.main(["build", "--root", root, "--namespace", published_namespace]) == 0
     assert jobs.main(["verify", "--root", root]) == 0
+    # The published digests are met, and a changed one is named.
+    golden = [f"{t},{n},{d}" for t, (n, d) in published_digests["small"].items()]
+    for name, lines, status in (("same", golden, 0), ("other", [golden[0][:-1] + "x", *golden[1:]], 1)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("\n".join(["table_name,row_count,content_md5", *lines]) + "\n")
+        assert jobs.main(["verify", "--root", root, "--golden", str(path)]) == status
+    assert f"published digests: {golden[0].split(',')[0]}" in capsys.readouterr().err
     # The rows of one profile are not those of the other.
     assert jobs.main(["verify", "--root", root, "--profile", "full"]) == 1
     assert "row_count" in capsys.readouterr().err
