@@ -205,7 +205,9 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str, shard_bytes
     from tokenizers import Tokenizer
 
     bits = bits_for(Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True))
-    shards = max(1, -(-plan_bytes(docs.select("doc_id", "text")) // shard_bytes))
+    rows, size = docs.count(), plan_bytes(docs.select("doc_id", "text"))
+    size = size if size < 1 << 60 else rows * 4096  # a source that doesn't know its size
+    shards = max(1, min(rows, -(-size // shard_bytes)))
     cuts = docs.select(F.percentile_approx("doc_id", [i / shards for i in range(1, shards)] or [0.5], 10_000)).first()[0]
     bounds = np.array(sorted(set(cuts or [])), np.int64) if shards > 1 else np.zeros(0, np.int64)
 
