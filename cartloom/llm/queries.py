@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartloom.llm import langid, quality, sentencepiece_fst, token_files
+from cartloom.llm import chat, langid, quality, sentencepiece_fst, token_files
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, tuple[Run, str | None]]:
     merged: dict[str, tuple[Run, str | None]] = {}
-    for module in (sentencepiece_fst, langid, token_files, quality):
+    for module in (sentencepiece_fst, chat, langid, token_files, quality):
         merged.update(module.QUERIES)
     return merged
