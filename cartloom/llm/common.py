@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartloom.session import cut_lineage
 
@@ -39,6 +40,11 @@ def materialized(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def beside(df: DataFrame, most_rows: int = 1 << 20) -> DataFrame:
+    """A checkpointed ``df`` of short rows, marked for broadcast if it is counted to be small."""
+    return F.broadcast(df) if df.count() <= most_rows else df
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose ``column`` holds about ``most`` bytes; a longer value is a piece of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

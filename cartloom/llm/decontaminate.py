@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import ASCII_LOWER, ASCII_UPPER, table
+from cartloom.llm.common import ASCII_LOWER, ASCII_UPPER, beside, table
 from cartloom.session import cut_lineage
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -123,7 +123,7 @@ def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     windows = cut_lineage(windows_of(items, size))
     hits = cut_lineage(_hits(docs.select("doc_id", "text"), cut_lineage(_prefixes(docs, windows))).select(
         F.col("doc_id").alias("hit_id__"), F.col("digest").alias("hit_digest__")))
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id__"]) & (F.xxhash64(docs["text"]) == hits["hit_digest__"]), "left_anti")
+    return docs.join(beside(hits), docs["doc_id"].eqNullSafe(hits["hit_id__"]) & (F.xxhash64(docs["text"]) == hits["hit_digest__"]), "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

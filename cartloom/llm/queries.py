@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartloom.llm import chat, decontaminate, langid, licenses, line_dedup, quality, sentencepiece_fst, token_files
+from cartloom.llm import chat, decontaminate, jaccard, langid, licenses, line_dedup, quality, sentencepiece_fst, token_files
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, tuple[Run, str | None]]:
     merged: dict[str, tuple[Run, str | None]] = {}
-    for module in (sentencepiece_fst, chat, langid, token_files, line_dedup, decontaminate, quality, licenses):
+    for module in (sentencepiece_fst, chat, langid, token_files, line_dedup, decontaminate, quality, jaccard, licenses):
         merged.update(module.QUERIES)
     return merged
