@@ -12,12 +12,11 @@ from cartloom.plans.star import as_double, dec, table
 QUERIES = Registry()
 
 LEDGER_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey"]
-DAY = F.date_format("ts", "yyyy-MM-dd").alias("day")
 
 
 def _attempts(spark, folder) -> DataFrame:
     """Events as attempts of a (user, day)."""
-    return table(spark, folder, "events").select("event_id", "user_id", DAY, "ts", "event_type")
+    return table(spark, folder, "events").select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", "event_type")
 
 
 def _attempt_profile(spark, folder) -> DataFrame:
