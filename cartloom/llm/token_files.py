@@ -34,7 +34,8 @@ MAGIC = b"idblock1"
 BLOCK = 1 << 16
 TAIL = 48
 SHARD_BYTES = 12 << 20
-CACHED_UNITS = 300_000
+CACHED_UNITS = 1_000_000
+JOINED_UNITS = 2000
 NO_ID = -(1 << 63)  # a null doc id in a file
 
 
@@ -154,7 +155,8 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, which is asked once for each distinct unit.
 
     The byte-level pre-tokenizer always starts a new token at a single space that stands between two non-space
-    characters, and tokens never reach over that place, so texts are cut there and the units are cached.
+    characters, and tokens never reach over that place, so texts are cut there and the units are cached. New units
+    without other spaces are encoded many at a time, and each token that begins with a space starts the next unit.
     """
 
     def __init__(self, path: str) -> None:
@@ -167,7 +169,9 @@ class Encoder:
         self.irregular = re.compile(r"\s |\s$| \s|^ ")
         self.cut = re.compile(r"(?<=\S) (?=\S)").split
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, np.ndarray] = {}
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        self.known: dict[str, bytes] = {}
 
     def units(self, text: str) -> list[str]:
         found = text.split(" ") if not self.irregular.search(text) else self.cut(text)
@@ -179,8 +183,20 @@ class Encoder:
         if len(self.known) > CACHED_UNITS:
             self.known = {}
         known = self.known
-        new = list({unit for units in cut for unit in units}.difference(known))
-        for unit, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        new = {unit for units in cut for unit in units}.difference(known)
+        plain = [unit for unit in new if unit[0] == " " and unit.count(" ") == 1 and unit.isprintable()]
+        joined = ["".join(plain[i : i + JOINED_UNITS]) for i in range(0, len(plain), JOINED_UNITS)]
+        for i, encoded in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(encoded.ids, np.uint32)
+            ends = np.append(np.flatnonzero(self.opens[ids])[1:], len(ids)).tolist()
+            own, data, at = plain[i * JOINED_UNITS : (i + 1) * JOINED_UNITS], ids.tobytes(), 0
+            if len(own) != len(ends):
+                raise ValueError("a unit doesn't start with exactly one token that holds a space")
+            for unit, end in zip(own, ends):
+                known[unit] = data[4 * at : 4 * end]
+                at = end
+        rest = list(new.difference(plain))
+        for unit, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
             known[unit] = np.array(encoded.ids, np.uint32).tobytes()
         get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, units)), np.uint32) for units in cut]
