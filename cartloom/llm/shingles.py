@@ -27,22 +27,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs without ASCII white space), and the number of words of each text."""
-    joined = np.frombuffer(b" ".join(texts), np.uint8)
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    solid = np.flatnonzero(~_BLANK[joined])
+def run_hashes(data: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First place, length and hash of each run of bytes that are not ``blank`` (a table of 256)."""
+    solid = np.flatnonzero(~blank[data])
     if not len(solid):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
-    first = np.append(True, solid[1:] != solid[:-1] + 1)
-    starts = np.flatnonzero(first)
+        return solid, solid, np.zeros(0, np.uint64)
+    starts = np.flatnonzero(np.append(True, solid[1:] != solid[:-1] + 1))
     sizes = np.diff(np.append(starts, len(solid)))
     place = np.arange(len(solid)) - np.repeat(starts, sizes)
-    values = (_BYTES[joined[solid]] ^ (place.astype(np.uint64) * _A)) * _B
+    values = (_BYTES[data[solid]] ^ (place.astype(np.uint64) * _A)) * _B
     values ^= values >> np.uint64(29)
-    hashes = _mix(np.add.reduceat(values * _A, starts) + sizes.astype(np.uint64))
-    counts = np.diff(np.append(0, np.searchsorted(solid[starts], ends)))
-    return hashes, counts
+    return solid[starts], sizes, _mix(np.add.reduceat(values * _A, starts) + sizes.astype(np.uint64))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words (runs without ASCII white space), and the number of words of each text."""
+    starts, _, hashes = run_hashes(np.frombuffer(b" ".join(texts), np.uint8), _BLANK)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return hashes, np.diff(np.append(0, np.searchsorted(starts, ends)))
 
 
 def shingle_hashes(texts: list[str | None], size: int) -> list[np.ndarray]:

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import plan_bytes, shared_folder, slices, table
+from cartloom.llm.shingles import run_hashes
 from cartloom.session import cut_lineage
 
 MAGIC = b"idblock1"
@@ -155,51 +156,99 @@ class Encoder:
     """Ids of whole texts by the tokenizers library, which is asked once for each distinct unit.
 
     The byte-level pre-tokenizer always starts a new token at a single space that stands between two non-space
-    characters, and tokens never reach over that place, so texts are cut there and the units are cached. New units
-    without other spaces are encoded many at a time, and each token that begins with a space starts the next unit.
+    characters, and tokens never reach over that place, so texts are cut there. Units are hashed in numpy (64 bits, and
+    the length is compared), looked up together, and their ids copied together. New units without other spaces are
+    encoded many at a time: each token that begins with a space starts the next unit. Once ``CACHED_UNITS`` are
+    known, further ones are encoded again in each slice; the units met first are the frequent ones.
+    Texts with other white space next to a space, or with special tokens, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
-        import re
-
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.irregular = re.compile(r"\s |\s$| \s|^ ")
-        self.cut = re.compile(r"(?<=\S) (?=\S)").split
+        self.blanks = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.known: dict[str, bytes] = {}
-
-    def units(self, text: str) -> list[str]:
-        found = text.split(" ") if not self.irregular.search(text) else self.cut(text)
-        return [found[0], *[" " + x for x in found[1:]]]
+        self.space = np.arange(256) == 32
+        self.known: dict[int, int] = {}
+        self.places = np.zeros((3, 1 << 16), np.int64)  # first id in the store, number of ids, bytes of the unit
+        self.store = np.zeros(1 << 20, np.uint32)
+        self.held = 0
+
+    def _plain(self, text: str) -> bool:
+        if not text or text[0].isspace() or text[-1].isspace() or "  " in text or " \n" in text or "\n " in text:
+            return False
+        return not any(c in text for c in self.blanks) and not any(s in text for s in self.special)
+
+    def _encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Ids of units, how many each has, and the order in which they come: first those that are encoded jointly."""
+        joint, rest = [], []
+        for k, unit in enumerate(units):
+            (joint if unit[0] == " " and unit.count(" ") == 1 else rest).append(k)
+        texts = ["".join([units[k] for k in joint[i : i + JOINED_UNITS]]) for i in range(0, len(joint), JOINED_UNITS)]
+        texts += [units[k] for k in rest]
+        parts = [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = []
+        for i, ids in enumerate(parts):
+            if i * JOINED_UNITS < len(joint):
+                starts = np.flatnonzero(self.opens[ids])
+                if len(starts) != len(joint[i * JOINED_UNITS : (i + 1) * JOINED_UNITS]) or starts[0]:
+                    raise ValueError("a unit doesn't start with exactly one token that holds a space")
+                counts.append(np.diff(np.append(starts, len(ids))))
+            else:
+                counts.append(np.array([len(ids)]))
+        return np.concatenate(parts), np.concatenate(counts), joint + rest
+
+    def _learn(self, names: np.ndarray, units: list[str], sizes: np.ndarray) -> None:
+        flat, counts, order = self._encode(units)
+        while self.held + len(flat) > len(self.store):
+            self.store = np.append(self.store, np.zeros_like(self.store))
+        while len(self.known) + len(units) > self.places.shape[1]:
+            self.places = np.append(self.places, np.zeros_like(self.places), axis=1)
+        first = len(self.known)
+        self.places[:, first : first + len(units)] = self.held + np.cumsum(counts) - counts, counts, sizes[order]
+        self.store[self.held : self.held + len(flat)] = flat
+        self.held += len(flat)
+        self.known.update(zip(names[order].tolist(), range(first, first + len(units))))
+
+    def _joint_ids(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [t.encode("utf-8") for t in texts]
+        data = b" ".join(raw)
+        starts, sizes, hashes = run_hashes(np.frombuffer(data, np.uint8), self.space)
+        words = np.array([t.count(b" ") + 1 for t in raw])
+        heads = np.cumsum(words) - words
+        hashes[heads] = hashes[heads] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)  # no space in front
+        own, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        names = own.tolist()
+        index = [*map(self.known.get, names)]
+        new = [k for k, i in enumerate(index) if i is None]
+        before, held = len(self.known), self.held
+        if new:
+            at_head = np.isin(first[new], heads).tolist()
+            places = [(int(starts[first[k]]), int(starts[first[k]] + sizes[first[k]])) for k in new]
+            units = [("" if head else " ") + data[a:b].decode("utf-8") for head, (a, b) in zip(at_head, places)]
+            self._learn(own[new], units, sizes[first[new]])
+            for k in new:
+                index[k] = self.known[names[k]]
+        begin, count, length = (x[inverse] for x in self.places[:, np.array(index)])
+        if (length != sizes).any():
+            raise ValueError("two units have the same hash")
+        ends = np.cumsum(count)
+        ids = self.store[np.arange(ends[-1]) + np.repeat(begin - (ends - count), count)]
+        if before > CACHED_UNITS:
+            for k in new:
+                del self.known[names[k]]
+            self.held = held
+        return np.split(ids, ends[np.cumsum(words) - 1][:-1])
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        whole = [any(s in text for s in self.special) for text in texts]
-        cut = [[text] if held else self.units(text) if text else [] for text, held in zip(texts, whole)]
-        if len(self.known) > CACHED_UNITS:
-            self.known = {}
-        known = self.known
-        new = {unit for units in cut for unit in units}.difference(known)
-        plain = [unit for unit in new if unit[0] == " " and unit.count(" ") == 1 and unit.isprintable()]
-        joined = ["".join(plain[i : i + JOINED_UNITS]) for i in range(0, len(plain), JOINED_UNITS)]
-        for i, encoded in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(encoded.ids, np.uint32)
-            ends = np.append(np.flatnonzero(self.opens[ids])[1:], len(ids)).tolist()
-            own, data, at = plain[i * JOINED_UNITS : (i + 1) * JOINED_UNITS], ids.tobytes(), 0
-            if len(own) != len(ends):
-                raise ValueError("a unit doesn't start with exactly one token that holds a space")
-            for unit, end in zip(own, ends):
-                known[unit] = data[4 * at : 4 * end]
-                at = end
-        rest = list(new.difference(plain))
-        for unit, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            known[unit] = np.array(encoded.ids, np.uint32).tobytes()
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, units)), np.uint32) for units in cut]
+        plain = [self._plain(t) for t in texts]
+        joint = iter(self._joint_ids([t for t, p in zip(texts, plain) if p]) if any(plain) else [])
+        rest = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        return [next(joint) if p else np.array(next(rest).ids, np.uint32) for p in plain]
 
 
 _ENCODERS: dict[str, Encoder] = {}
