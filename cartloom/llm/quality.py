@@ -35,6 +35,7 @@ FILTERS = 16
 SAMPLE_PER_CLASS = 1500
 SAMPLE_BYTES = 24 << 20
 EPOCHS = 12
+LEAST_STEPS = 400
 BATCH = 32
 RATE = 0.02
 THRESHOLD = 0.3
@@ -101,18 +102,18 @@ class Network:
         if len(good) == 0 or good.min() == good.max():
             self.constant = float(good.mean()) if len(good) else 1.0
             return
-        weight = np.where(good == 1, 0.5 / good.mean(), 0.5 / (1 - good.mean()))
         draw = np.random.default_rng(seed)
         moments = [np.zeros_like(x) for x in (self.filters, self.filters, self.out, self.out)]
         step = 0
-        for epoch in range(EPOCHS):
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))  # a small sample is passed more often
+        for epoch in range(epochs):
             order = draw.permutation(len(texts))
-            rate = RATE * (1 - epoch / EPOCHS)
+            rate = RATE * (1 - epoch / epochs)
             for i in range(0, len(order), BATCH):
                 d_filters, d_out = np.zeros_like(self.filters), np.zeros_like(self.out)
                 chosen = order[i : i + BATCH]
                 for k in chosen:
-                    self._gradient(texts[k], good[k], weight[k] / len(chosen), d_filters, d_out)
+                    self._gradient(texts[k], good[k], 1 / len(chosen), d_filters, d_out)
                 step += 1
                 for x, g, m, v in ((self.filters, d_filters, *moments[:2]), (self.out, d_out, *moments[2:])):
                     m += 0.1 * (g - m)
