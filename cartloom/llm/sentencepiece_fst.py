@@ -417,8 +417,8 @@ def encode(docs: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(ids, ArrayType(IntegerType()))]))
 
 
-def encoded(docs: DataFrame, model: str) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_tokens, ids, their crc32, and length and sha256 of what decoding gives back."""
+def encoded(docs: DataFrame, model: str, with_ids: bool = True) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): n_tokens, crc32 of the ids, length and sha256 of what decoding gives back, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = transducer(model)
@@ -426,28 +426,26 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
             for part in slices(batch):
                 found = own.encode([t or "" for t in part.column("text").to_pylist()])
                 texts = [own.decode(x) for x in found]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
+                columns = [
                     part.column("doc_id"), pa.array([len(x) for x in found], pa.int64()),
                     pa.array([zlib.crc32(x.tobytes()) for x in found], pa.int64()),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([hashlib.sha256(t.encode("utf-8")).hexdigest() for t in texts]),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32))),
-                ], names=["doc_id", "n_tokens", "ids_crc32", "decoded_chars", "decoded_sha256", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_crc32 long, decoded_chars long, decoded_sha256 string, ids array<int>")
-
+                ]
+                if with_ids:
+                    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-def digests(docs: DataFrame, model: str) -> DataFrame:
-    """``encoded`` without the ids."""
-    return encoded(docs, model).drop("ids")
+    kind = "doc_id long, n_tokens long, ids_crc32 long, decoded_chars long, decoded_sha256 string" + ", ids array<int>" * with_ids
+    names = [field.split(" ")[0] for field in kind.split(", ")]
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kind)
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
-    return digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
 QUERIES = {"op1_sentencepiece": (op1_sentencepiece, None)}

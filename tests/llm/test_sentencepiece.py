@@ -60,13 +60,13 @@ def test_query_over_rows(spark, both):
     own, library, path = both
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(None, None, "y"), (3, "a  b", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
-    got = fst.digests(docs, path).collect()
+    got = fst.encoded(docs, path, with_ids=False).collect()
     assert sorted((r.n_tokens, r.decoded_chars) for r in got) == sorted(
         (len(library.encode(t or "")), len(library.decode(library.encode(t or "")))) for _, t, _ in rows)
     arrays = fst.encode(docs, path)
     assert arrays.columns == ["doc_id", "text", "ids", "ids_"]
     assert all(r["ids_"] == library.encode(r["text"] or "") for r in arrays.collect())
-    assert fst.digests(spark.createDataFrame([], "doc_id long, text string"), path).collect() == []
+    assert fst.encoded(spark.createDataFrame([], "doc_id long, text string"), path, with_ids=False).collect() == []
 
 
 def test_unsupported_models_are_refused():
