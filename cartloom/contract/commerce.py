@@ -137,20 +137,20 @@ def single_table_measures(tables: dict[str, DataFrame]) -> dict[str, list[Measur
     rows = F.count(F.lit(1))
     in_season = (rows > 0) & (count(season) * 100).between(rows * 74, rows * 76)
     extra = {
-        "products": [Measure("edge_case", "inactive product", count(~F.col("active")), SOME)],
+        "products": [Measure("edge_case", "products.inactive", count(~F.col("active")), SOME)],
         "orders": [
-            Measure("edge_case", "cancelled order", count(F.col("status") == "CANCELLED"), SOME),
-            Measure("distribution", "season order share ppm", _ppm(count(season), rows), "BETWEEN 740000 AND 760000", in_season),
+            Measure("edge_case", "orders.cancelled", count(F.col("status") == "CANCELLED"), SOME),
+            Measure("distribution", "orders.season_ppm", _ppm(count(season), rows), "BETWEEN 740000 AND 760000", in_season),
         ],
         "shipments": [
             Measure(
-                "edge_case", "delivered shipment",
+                "edge_case", "shipments.delivered",
                 count((F.col("status") == "DELIVERED") & F.col("delivered_at").isNotNull()), SOME,
             )
         ],
         "inventory_movements": [
-            Measure("edge_case", "positive movement", count(F.col("quantity_delta") > 0), SOME),
-            Measure("edge_case", "negative movement", count(F.col("quantity_delta") < 0), SOME),
+            Measure("edge_case", "inventory_movements.positive", count(F.col("quantity_delta") > 0), SOME),
+            Measure("edge_case", "inventory_movements.negative", count(F.col("quantity_delta") < 0), SOME),
         ],
     }
     envelope = {
@@ -180,10 +180,10 @@ def customer_checks(tables: dict[str, DataFrame], counts: dict[str, int]) -> Dat
     high_volume = counts["orders"] // 20
     busiest = F.max(F.when(F.col("id") == HOT_CUSTOMER, orders))
     return measured(customer_facts(tables), [
-        Measure("edge_case", "zero-order customer", F.count_if(F.col("orders").isNull()), SOME),
-        Measure("edge_case", "high-volume customer", busiest, f">= {high_volume}"),
-        Measure("chronology", "order before customer registration", F.count_if(F.col("first_order_at") < F.col("created_at"))),
-        Measure("distribution", "customer skew ppm", _ppm(favoured, F.sum(orders)), "> 600000", favoured * 10 > F.sum(orders) * 6),
+        Measure("edge_case", "customers.without_orders", F.count_if(F.col("orders").isNull()), SOME),
+        Measure("edge_case", "customers.busiest_orders", busiest, f">= {high_volume}"),
+        Measure("chronology", "customers.ordered_before_created", F.count_if(F.col("first_order_at") < F.col("created_at"))),
+        Measure("distribution", "orders.first_tenth_of_customers_ppm", _ppm(favoured, F.sum(orders)), "> 600000", favoured * 10 > F.sum(orders) * 6),
     ])
 
 
@@ -206,14 +206,14 @@ def product_checks(tables: dict[str, DataFrame], counts: dict[str, int]) -> Data
         return F.max(F.when(F.col("id") == product, F.col("net")))
 
     return measured(product_facts(tables), [
-        Measure("edge_case", "unsold product", F.count_if(F.col("lines").isNull()), SOME),
-        Measure("edge_case", "historical price differs", F.count_if((F.col("lowest") != F.col("price")) | (F.col("highest") != F.col("price"))), SOME),
-        Measure("distribution", "product skew ppm", _ppm(favoured, F.sum(lines)), "> 700000", favoured * 10 > F.sum(lines) * 7),
-        Measure("edge_case", "many movements", F.count_if(F.col("movements") >= BUSY_LEDGER), SOME),
-        Measure("edge_case", "single movement", F.count_if(F.col("movements") == 1), SOME),
-        Measure("edge_case", "zero inventory net", net(1), "= 0"),
-        Measure("edge_case", "positive inventory net", net(2), "= 1"),
-        Measure("edge_case", "negative inventory net", net(3), "= -1"),
+        Measure("edge_case", "products.without_items", F.count_if(F.col("lines").isNull()), SOME),
+        Measure("edge_case", "products.sold_at_other_price", F.count_if((F.col("lowest") != F.col("price")) | (F.col("highest") != F.col("price"))), SOME),
+        Measure("distribution", "order_items.first_tenth_of_products_ppm", _ppm(favoured, F.sum(lines)), "> 700000", favoured * 10 > F.sum(lines) * 7),
+        Measure("edge_case", "products.many_movements", F.count_if(F.col("movements") >= BUSY_LEDGER), SOME),
+        Measure("edge_case", "products.one_movement", F.count_if(F.col("movements") == 1), SOME),
+        Measure("edge_case", "products.net_of_1", net(1), "= 0"),
+        Measure("edge_case", "products.net_of_2", net(2), "= 1"),
+        Measure("edge_case", "products.net_of_3", net(3), "= -1"),
     ])
 
 
@@ -237,8 +237,11 @@ def order_facts(tables: dict[str, DataFrame]) -> DataFrame:
         F.min(F.when(failed, F.col("created_at"))).alias("first_failure_at"),
         F.max(F.when(succeeded, F.col("created_at"))).alias("last_success_at"),
     )
-    shipped = tables["shipments"].select(
-        F.col("order_id").alias("id"), F.col("id").alias("shipment_id"), F.col("status").alias("shipment_status"), "shipped_at"
+    sent = tables["shipments"].groupBy(F.col("order_id").alias("id")).agg(
+        F.count(F.lit(1)).alias("shipments"),
+        F.bool_and(F.col("status") == "DELIVERED").alias("all_delivered"),
+        F.bool_or(F.col("status") != "SHIPPED").alias("any_not_shipped"),
+        F.min("shipped_at").alias("shipped_at"),
     )
     moment = F.struct("changed_at", "id")
     event = F.struct("status", "changed_at")
@@ -260,13 +263,13 @@ def order_facts(tables: dict[str, DataFrame]) -> DataFrame:
         )
     )
     return (
-        tables["orders"].join(items, "id", "left").join(paid, "id", "left").join(shipped, "id", "left").join(history, "id", "left")
+        tables["orders"].join(items, "id", "left").join(paid, "id", "left").join(sent, "id", "left").join(history, "id", "left")
     )
 
 
 def order_checks(tables: dict[str, DataFrame]) -> DataFrame:
     fulfilled = F.col("status").isin("SHIPPED", "COMPLETED")
-    has_shipment = F.col("shipment_id").isNotNull()
+    has_shipment = F.col("shipments").isNotNull()
     count = F.count_if
 
     def bad(condition):
@@ -275,38 +278,38 @@ def order_checks(tables: dict[str, DataFrame]) -> DataFrame:
     inconsistent = (
         ~fulfilled.eqNullSafe(has_shipment)
         | F.coalesce(F.col("shipped_at") < F.col("created_at"), F.lit(False))
-        | F.coalesce((F.col("status") == "COMPLETED") & (F.col("shipment_status") != "DELIVERED"), F.lit(False))
+        | F.coalesce((F.col("status") == "COMPLETED") & ~F.col("all_delivered"), F.lit(False))
     )
     total = F.coalesce("total", F.lit(-1))
     return measured(order_facts(tables), [
-        Measure("cross_table", "order without items", count(F.col("total").isNull())),
-        Measure("cross_table", "order without payment", count(F.col("attempts").isNull())),
-        Measure("edge_case", "single payment order", count(F.col("attempts") == 1), SOME),
-        Measure("edge_case", "multiple payment attempts", count(F.col("attempts") > 1), SOME),
-        Measure("edge_case", "failed-only order", count(F.col("all_failed")), SOME),
-        Measure("edge_case", "success after failure", count(F.col("first_failure_at") < F.col("last_success_at")), SOME),
-        Measure("edge_case", "order without shipment", count(~has_shipment), SOME),
-        Measure("cross_table", "payment amount differs from order total", bad((F.col("lowest_amount") != total) | (F.col("highest_amount") != total))),
-        Measure("chronology", "payment before order", bad(F.col("first_payment_at") < F.col("created_at"))),
-        Measure("cross_table", "shipment inconsistent with order", count(inconsistent)),
-        Measure("cross_table", "shipped order with another shipment status", bad((F.col("status") == "SHIPPED") & (F.col("shipment_status") != "SHIPPED"))),
-        Measure("cross_table", "latest history status differs", count(~F.col("last.status").eqNullSafe(F.col("status")))),
-        Measure("chronology", "history not strictly increasing", F.coalesce(F.sum("tied_events"), F.lit(0))),
-        Measure("chronology", "history before order", bad(F.col("first.changed_at") < F.col("created_at"))),
-        Measure("cross_table", "history does not begin with PENDING at creation", bad((F.col("first.status") != "PENDING") | (F.col("first.changed_at") != F.col("created_at")))),
-        Measure("cross_table", "refunded order never paid", bad(F.col("refunded") & ~F.col("was_paid"))),
+        Measure("cross_table", "orders.without_items", count(F.col("total").isNull())),
+        Measure("cross_table", "orders.without_payments", count(F.col("attempts").isNull())),
+        Measure("edge_case", "orders.one_payment", count(F.col("attempts") == 1), SOME),
+        Measure("edge_case", "orders.several_payments", count(F.col("attempts") > 1), SOME),
+        Measure("edge_case", "orders.all_payments_failed", count(F.col("all_failed")), SOME),
+        Measure("edge_case", "orders.success_after_failure", count(F.col("first_failure_at") < F.col("last_success_at")), SOME),
+        Measure("edge_case", "orders.without_shipments", count(~has_shipment), SOME),
+        Measure("cross_table", "payments.amount_and_order_total", bad((F.col("lowest_amount") != total) | (F.col("highest_amount") != total))),
+        Measure("chronology", "payments.created_at_and_order", bad(F.col("first_payment_at") < F.col("created_at"))),
+        Measure("cross_table", "shipments.row_and_order_status", count(inconsistent)),
+        Measure("cross_table", "shipments.status_of_shipped_order", bad((F.col("status") == "SHIPPED") & F.col("any_not_shipped"))),
+        Measure("cross_table", "order_status_history.last_status", count(~F.col("last.status").eqNullSafe(F.col("status")))),
+        Measure("chronology", "order_status_history.equal_times", F.coalesce(F.sum("tied_events"), F.lit(0))),
+        Measure("chronology", "order_status_history.before_order", bad(F.col("first.changed_at") < F.col("created_at"))),
+        Measure("cross_table", "order_status_history.first_status", bad((F.col("first.status") != "PENDING") | (F.col("first.changed_at") != F.col("created_at")))),
+        Measure("cross_table", "payments.refunded_and_paid", bad(F.col("refunded") & ~F.col("was_paid"))),
     ])
 
 
 def tie_checks(tables: dict[str, DataFrame]) -> DataFrame:
     ties = tables["orders"].groupBy("customer_id", "created_at").agg(F.count(F.lit(1)).alias("orders")).where("orders > 1")
-    return measured(ties, [Measure("edge_case", "timestamp tie of one customer", F.count(F.lit(1)), SOME)])
+    return measured(ties, [Measure("edge_case", "orders.same_customer_and_time", F.count(F.lit(1)), SOME)])
 
 
 def hierarchy_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return measured(hierarchy.depths(tables["categories"]), [
-        Measure("hierarchy", "category cycle", F.count_if("cyclic")),
-        Measure("hierarchy", "category depth", F.max("depth"), f"= {TREE_DEPTH}"),
+        Measure("hierarchy", "categories.cycle", F.count_if("cyclic")),
+        Measure("hierarchy", "categories.depth", F.max("depth"), f"= {TREE_DEPTH}"),
     ])
 
 

@@ -40,8 +40,9 @@ def pick(values: list[str], zero_based: Column) -> Column:
 
 
 def padded(number: Column, width: int) -> Column:
-    """Zero-padded decimal label."""
-    return F.lpad(number.cast("string"), width, "0")
+    """Decimal label with zeros in front up to ``width``; longer numbers are written whole."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
 def instant(epoch_seconds: int, offset_seconds: Column | int = 0) -> Column:

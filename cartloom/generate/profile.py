@@ -6,7 +6,7 @@ from dataclasses import dataclass, replace
 
 DEFAULT_NAMESPACE = "cartloom-v1:42:"
 
-# Fixed widths: labels are cut, not widened, by lpad, so a larger profile needs wider ones.
+# Fixed values of the published profiles.
 EMAIL_DIGITS = 6
 PRODUCT_DIGITS = 5
 LEDGER_STEPS = 10_000
@@ -15,53 +15,47 @@ CATEGORIES = 40
 
 @dataclass(frozen=True)
 class Profile:
+    """Sizes, and the widths of draws and labels. ``times`` changes sizes only, so a row of an id that doesn't depend on
+    the number of rows stays as it was; ``wide`` asks for draws that reach every key of a very large profile."""
+
     name: str
     customers: int
     products: int
     orders: int
     movements: int
     namespace: str = DEFAULT_NAMESPACE
-    hash_digits: int = 8
+    hash_digits: int = 8  # draws lie below 16 ** hash_digits
+    email_digits: int = EMAIL_DIGITS  # least width; a longer id is written whole
+    product_digits: int = PRODUCT_DIGITS
+    ledger_steps: int = LEDGER_STEPS  # distinct inputs of the quadratic ledger draw
 
     def __post_init__(self):
+        if self.customers < 0 or self.products < 0 or self.orders < 0 or self.movements < 0:
+            raise ValueError(f"profile {self.name!r} has a negative size")
+
+    def require_size(self) -> None:
+        """The documented least sizes with which the skew and fixture rules can hold."""
         if self.customers < 20 or self.products < 20 or self.orders < 2 or self.movements < 7:
             raise ValueError(f"profile {self.name!r} is too small for the skew and fixture rules")
-        if self.hash_digits < 8 and max(self.customers, self.products) >= 16**self.hash_digits:
-            raise ValueError("hash range is smaller than the key range")
-
-    @property
-    def email_digits(self) -> int:
-        return max(EMAIL_DIGITS, len(str(self.customers)))
-
-    @property
-    def product_digits(self) -> int:
-        return max(PRODUCT_DIGITS, len(str(self.products)))
-
-    @property
-    def ledger_steps(self) -> int:
-        """Distinct inputs of the quadratic ledger draw; grows so that every product can move."""
-        steps = LEDGER_STEPS
-        while steps < self.products:
-            steps *= 10
-        return steps
 
     def with_namespace(self, namespace: str) -> Profile:
         return replace(self, namespace=namespace)
 
     def times(self, factor: int) -> Profile:
-        """The same shape at ``factor`` times the rows; draws widen to 60 bits for huge key ranges."""
-        customers, products = self.customers * factor, self.products * factor
-        wide = max(customers, products) > 2**28
+        """The same shape and widths at ``factor`` times the rows."""
         return replace(
             self,
             name=f"{self.name}x{factor}",
-            customers=customers,
-            products=products,
+            customers=self.customers * factor,
+            products=self.products * factor,
             orders=self.orders * factor,
             movements=self.movements * factor,
-            hash_digits=15 if wide else self.hash_digits,
         )
 
+    def wide(self) -> Profile:
+        """Draws of 60 bits and a ledger that can move every product; other rows than without."""
+        return replace(self, hash_digits=15, ledger_steps=10**12)
+
     def expected_counts(self) -> dict[str, int]:
         """Exact row counts, derived from the fan-out rules of one 100-order period."""
         from cartloom.generate import rules

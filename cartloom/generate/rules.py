@@ -23,6 +23,20 @@ SHIPPED_MINUTE = 1440
 COMPLETED_MINUTE = 4320
 ATTEMPT_MINUTES = 5
 
+# Choices by a draw below ten, as (exclusive upper bound, ...).
+PROVIDER_BANDS = [(7, "stripe"), (9, "adyen"), (10, "paypal")]
+CATEGORY_BANDS = [(6, 33, 4), (10, 17, 24)]  # first category, number of categories
+CUSTOMER_BANDS = [(6, 1), (10, 9)]  # tenths of the customers
+PRODUCT_BANDS = [(7, 10), (10, 95)]  # hundredths of the products
+
+# Prices in cents, discounts in percent, and every how many orders the hot customer orders.
+PRICE_STEPS = 10_000
+PRICE_DIVISOR = 1_000
+LOWEST_CENTS = 500
+LOWEST_PERCENT = 80
+PERCENTS = 31
+HOT_ORDER_EVERY = 20
+
 
 def status_of(order: int) -> str:
     residue = order % PERIOD
@@ -40,6 +54,13 @@ def attempts_of(order: int) -> int:
     return 2 if order % RETRY_EVERY == 0 else 1
 
 
+def outcomes_of(order: int) -> list[str]:
+    """Payment statuses of an order, attempt by attempt."""
+    cancelled = "REFUNDED" if order % PERIOD in REFUNDED_RESIDUES else "FAILED"
+    last = {"PENDING": "PENDING", "CANCELLED": cancelled}.get(status_of(order), "SUCCEEDED")
+    return ["FAILED"] * (attempts_of(order) - 1) + [last]
+
+
 def shipments_of(order: int) -> int:
     return int(status_of(order) in ("SHIPPED", "COMPLETED"))
 

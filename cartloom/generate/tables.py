@@ -8,13 +8,14 @@ window; a task can produce any slice alone.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.functions.draws import instant, keyed_hash, later, padded, pick, quotient, weighted
 from cartloom.generate import rules
-from cartloom.generate.profile import CATEGORIES, LEDGER_STEPS, Profile
+from cartloom.generate.profile import CATEGORIES, Profile
 from cartloom.operators.skew import lookup
 
 
@@ -103,12 +104,13 @@ class Generator:
 
     def product_category(self, product: Column) -> Column:
         spread = self.draw(product, "category")
-        crowded = self.draw(product, "category-skew") % 10 < 6
-        return F.when(crowded, spread % 4 + 33).otherwise(spread % 24 + 17)
+        bands = [(bound, spread % count + first) for bound, first, count in rules.CATEGORY_BANDS]
+        return weighted(self.draw(product, "category-skew") % 10, bands[:-1], bands[-1][1])
 
     def product_cents(self, product: Column) -> Column:
         """List price in cents: quadratic skew towards low prices, 5.00 to 1004.80."""
-        return quotient(_square(self.draw(product, "price") % 10_000), 1000) + 500
+        drawn = _square(self.draw(product, "price") % rules.PRICE_STEPS)
+        return quotient(drawn, rules.PRICE_DIVISOR) + rules.LOWEST_CENTS
 
     def products(self, ids: DataFrame) -> DataFrame:
         i = F.col("id")
@@ -128,12 +130,10 @@ class Generator:
         """A fixed hot customer, then a hot tenth, then a range that leaves the last tenth empty."""
         p = self.profile
         spread = self.draw(order, "customer")
-        hot_tenth = self.draw(order, "customer-skew") % 10 < 6
-        return (
-            F.when(order.isin(*TIED_ORDERS) | (order % 20 == 0), F.lit(HOT_CUSTOMER).cast("bigint"))
-            .when(hot_tenth, spread % (p.customers // 10 - 1) + 2)
-            .otherwise(spread % (p.customers * 9 // 10 - 1) + 2)
-        )
+        bands = [(bound, spread % max(1, p.customers * tenths // 10 - 1) + 2) for bound, tenths in rules.CUSTOMER_BANDS]
+        drawn = weighted(self.draw(order, "customer-skew") % 10, bands[:-1], bands[-1][1])
+        hot = order.isin(*TIED_ORDERS) | (order % rules.HOT_ORDER_EVERY == 0)
+        return F.when(hot, F.lit(HOT_CUSTOMER).cast("bigint")).otherwise(drawn)
 
     def order_moment(self, order: Column) -> Column:
         """A quarter of the orders before the season, the rest inside it; two orders tie on purpose."""
@@ -155,12 +155,14 @@ class Generator:
 
     def ledger_product(self, movement: Column) -> Column:
         p = self.profile
-        steps, spread = p.ledger_steps, p.products - 4
+        steps, spread = p.ledger_steps, max(0, p.products - 4)
         q = self.draw(movement, "inventory-product") % steps
-        if steps == LEDGER_STEPS:
+        if steps * steps * max(1, spread) < 2**63:
             drawn = quotient(_square(q) * spread, steps * steps)
-        else:  # two divisions keep the product inside a bigint
-            drawn = quotient(quotient(q * q, steps) * spread, steps)
+        else:  # the same quotient, in numbers that hold the product
+            wide = q.cast("decimal(13,0)")
+            product = wide * wide * F.lit(spread).cast("decimal(12,0)")
+            drawn = F.call_function("div", product, F.lit(Decimal(steps * steps)))
         return F.when(movement % 5 == 0, F.lit(HOT_PRODUCT).cast("bigint")).otherwise(drawn + HOT_PRODUCT)
 
     def inventory_movements(self, ids: DataFrame) -> DataFrame:
@@ -194,8 +196,8 @@ class Generator:
         p = self.profile
         line = order * 10 + slot
         spread = self.draw(line, "product")
-        hot_tenth = self.draw(line, "product-skew") % 10 < 7
-        return F.when(hot_tenth, spread % (p.products // 10) + 1).otherwise(spread % (p.products * 95 // 100) + 1)
+        bands = [(bound, spread % max(1, p.products * hundredths // 100) + 1) for bound, hundredths in rules.PRODUCT_BANDS]
+        return weighted(self.draw(line, "product-skew") % 10, bands[:-1], bands[-1][1])
 
     def item_quantity(self, order: Column, slot: Column) -> Column:
         line = order * 10 + slot
@@ -204,7 +206,7 @@ class Generator:
 
     def item_cents(self, order: Column, slot: Column, list_cents: Column) -> Column:
         """Sale price in cents: 80 to 110 percent of the list price, half a cent rounded up."""
-        percent = self.draw(order * 10 + slot, "discount") % 31 + 80
+        percent = self.draw(order * 10 + slot, "discount") % rules.PERCENTS + rules.LOWEST_PERCENT
         return quotient(list_cents * percent + 50, 100)
 
     def order_items(self, orders: DataFrame, products: DataFrame | None = None) -> DataFrame:
@@ -262,7 +264,7 @@ class Generator:
             "status",
             "created_at",
             amount.alias("amount"),
-            weighted(self.draw(o, "provider") % 10, [(7, "stripe"), (9, "adyen")], "paypal").alias("provider"),
+            weighted(self.draw(o, "provider") % 10, rules.PROVIDER_BANDS[:-1], rules.PROVIDER_BANDS[-1][1]).alias("provider"),
         ).select("*", F.explode(F.sequence(F.lit(1), attempts)).alias("attempt"))
         cancelled = F.col("status") == "CANCELLED"
         outcome = (
@@ -333,6 +335,7 @@ class Generator:
     def build(self, spark: SparkSession) -> dict[str, DataFrame]:
         """All nine tables from ``spark.range``."""
         p = self.profile
+        p.require_size()
         orders = self.orders(sequence(spark, p.orders))
         return {
             "customers": self.customers(sequence(spark, p.customers)),

@@ -4,7 +4,7 @@
     spark-submit cartloom/jobs.py build   --root <folder> --profile all      each profile in its own subfolder
     spark-submit cartloom/jobs.py verify  --root <folder> --profile small [--golden <digests.csv>]
     spark-submit cartloom/jobs.py restore --root <folder> --profile small --version <version>
-    spark-submit cartloom/jobs.py versions|fingerprint|facts --root <folder> [--csv <folder>] [--exact]
+    spark-submit cartloom/jobs.py versions|fingerprint|facts --root <folder> [--csv <folder>]
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from cartloom.sources import files, snapshot  # noqa: E402
 
 STORED_CATALOG = Path(__file__).resolve().parent / "contract" / "commerce_catalog.csv"
 CATALOG_SCHEMA = "kind string, name string, definition string"
-GOLDEN_SCHEMA = "table_name string, row_count bigint, content_md5 string"
+GOLDEN_SCHEMA = "table_name string, row_count bigint, lane_a decimal(38,0), lane_b decimal(38,0)"
 
 
 def stored_catalog(spark: SparkSession) -> DataFrame:
@@ -58,10 +58,10 @@ def build(spark: SparkSession, root: str, profile: Profile) -> str:
 
 
 def require_golden(tables: dict[str, DataFrame], golden: DataFrame) -> None:
-    """Raise with the names of the tables whose exact digest is not the published one."""
+    """Raise with the names of the tables whose fingerprint is not the published one."""
     changed = sorted(r.table_name for r in snapshot.golden_mismatches(tables, golden).collect())
     if changed:
-        raise VerificationError(f"content differs from the published digests: {', '.join(changed)}")
+        raise VerificationError(f"content differs from the published fingerprints: {', '.join(changed)}")
 
 
 def fact_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -90,7 +90,9 @@ def _show(df: DataFrame, order: list[str], folder: str | None, name: str) -> Non
     if folder:
         files.write_csv_report(df, f"{folder}/{name}", order)
     else:
-        df.orderBy(*order).show(1000, truncate=False)
+        print("\t".join(df.columns))
+        for row in df.orderBy(*order).toLocalIterator():
+            print("\t".join("" if v is None else str(v) for v in row))
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -101,9 +103,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--times", type=int, default=1)
     parser.add_argument("--namespace", default=DEFAULT_NAMESPACE)
     parser.add_argument("--version")
-    parser.add_argument("--golden", help="CSV of table_name,row_count,content_md5 that verify compares with")
+    parser.add_argument("--golden", help="CSV of table_name,row_count,lane_a,lane_b (as the fingerprint command writes it) that verify compares with")
     parser.add_argument("--csv")
-    parser.add_argument("--exact", action="store_true")
     return parser.parse_args(argv)
 
 
@@ -129,8 +130,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.command == "versions":
         _show(snapshot.publications(spark, args.root), ["sequence"], args.csv, "versions")
     elif args.command == "fingerprint":
-        method = fingerprint.exact if args.exact else fingerprint.summed
-        prints = fingerprint.of_tables(snapshot.load(spark, args.root), method)
+        prints = fingerprint.of_tables(snapshot.load(spark, args.root), fingerprint.summed)
         _show(prints, ["table_name"], args.csv, "fingerprints")
     else:
         tables = snapshot.load(spark, args.root)

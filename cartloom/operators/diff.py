@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.rendering import row_json
+from cartloom.functions.rendering import hex_number, row_json
+from cartloom.operators.fingerprint import SUMMAND
 
 
 def relation_diff(left: DataFrame, right: DataFrame, left_name: str = "left", right_name: str = "right") -> DataFrame:
@@ -27,14 +28,28 @@ def relation_diff(left: DataFrame, right: DataFrame, left_name: str = "left", ri
 
 
 def row_diff(before: DataFrame, after: DataFrame, key: list[str], text: Column | None = None) -> DataFrame:
-    """(key, change) with change in added, removed, changed. Only keys and digests are shuffled."""
+    """(key, change): added, removed, changed, or repeated for a changed key that has several rows on a side.
+
+    Both sides are reduced to one row per key, a count and an order-free sum of row digests, in one grouping that
+    merges before the shuffle. So copies of a key never meet in pairs, and NULL keys are keys like others.
+    """
     columns = before.columns
 
-    def digested(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*key, F.md5(row_json(df, columns) if text is None else text).alias(name))
+    def digested(df: DataFrame, side: int) -> DataFrame:
+        digest = F.md5(row_json(df, columns) if text is None else text)
+        return df.select(*key, F.lit(side).alias("side__"), digest.alias("digest"))
 
-    joined = digested(before, "was").join(digested(after, "now"), key, "full_outer")
+    def total(side: int, first: int) -> Column:
+        part = F.when(F.col("side__") == side, hex_number(F.col("digest"), first, 15).cast(SUMMAND))
+        return F.coalesce(F.sum(part), F.lit(0))
+
+    counted = digested(before, 1).union(digested(after, 2)).groupBy(*key).agg(
+        F.count_if(F.col("side__") == 1).alias("n1__"), F.count_if(F.col("side__") == 2).alias("n2__"),
+        F.struct(total(1, 1), total(1, 16)).alias("d1__"), F.struct(total(2, 1), total(2, 16)).alias("d2__"),
+    )
+    differs = (F.col("n1__") != F.col("n2__")) | (F.col("d1__") != F.col("d2__"))
     change = (
-        F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "removed").otherwise("changed")
+        F.when(F.col("n1__") == 0, "added").when(F.col("n2__") == 0, "removed")
+        .when(F.greatest("n1__", "n2__") > 1, "repeated").otherwise("changed")
     )
-    return joined.where(~F.col("was").eqNullSafe(F.col("now"))).select(*key, change.alias("change"))
+    return counted.where(differs).select(*key, change.alias("change"))

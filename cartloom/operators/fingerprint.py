@@ -1,9 +1,8 @@
 """Content fingerprints of tables.
 
 ``hashed`` and ``summed`` cost one scan and no shuffle: the first hashes typed columns and is the cheapest,
-the second sums digests of the canonical row text, which any engine can reproduce. ``bucketed`` is a
-hex-prefix tree that also tells where two tables differ. ``exact`` is the published ordered digest, for
-comparisons of bounded size only.
+the second sums digests of the canonical row text, which any engine can reproduce. ``bucketed`` keeps
+the same sums per digest prefix and also tells where two tables differ. All of them merge from parts in any order.
 """
 
 from __future__ import annotations
@@ -13,8 +12,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.rendering import hex_number, row_json
 
-EXACT_ROW_LIMIT = 2_000_000
-DIGITS_PER_LEVEL = 3
+BUCKET_DIGITS = 3
 DECIMAL = "decimal(38,0)"
 SUMMAND = "decimal(28,0)"  # a sum of these is a decimal(38,0)
 
@@ -24,22 +22,23 @@ def row_digests(df: DataFrame, text: Column | None = None, keep: list[str] = ())
     return df.select(*keep, F.md5(row_json(df) if text is None else text).alias("digest"))
 
 
+def _lane(first: int) -> Column:
+    """Sum of a 60-bit slice of the row digests."""
+    total = F.sum(hex_number(F.col("digest"), first, 15).cast(SUMMAND))
+    return F.coalesce(total, F.lit(0)).cast(DECIMAL)
+
+
+def _sums() -> list[Column]:
+    return [F.count(F.lit(1)).alias("row_count"), _lane(1).alias("lane_a"), _lane(16).alias("lane_b")]
+
+
 def summed(df: DataFrame, text: Column | None = None) -> DataFrame:
     """One row (row_count, lane_a, lane_b): order-free sums of two 60-bit slices of the row digests.
 
     Partial sums merge on the map side, so a third of equal rows costs nothing extra. Sums stay below
     10^38 up to 8 * 10^19 rows.
     """
-
-    def lane(first: int) -> Column:
-        total = F.sum(hex_number(F.col("digest"), first, 15).cast(SUMMAND))
-        return F.coalesce(total, F.lit(0)).cast(DECIMAL)
-
-    return row_digests(df, text).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        lane(1).alias("lane_a"),
-        lane(16).alias("lane_b"),
-    )
+    return row_digests(df, text).agg(*_sums())
 
 
 def hashed(df: DataFrame) -> DataFrame:
@@ -57,62 +56,20 @@ def hashed(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"), lane(1).alias("lane_a"), lane(2).alias("lane_b"))
 
 
-def leaf_digits(row_count: int) -> int:
-    """Hex digits of a leaf bucket so that a leaf holds a few thousand rows."""
-    digits = 0
-    while row_count > 4096 * 16**digits:
-        digits += 1
-    return digits
+def bucketed(df: DataFrame, digits: int = BUCKET_DIGITS, text: Column | None = None) -> DataFrame:
+    """(bucket, row_count, lane_a, lane_b) of every prefix of ``digits`` hex digits of the row digest.
 
+    The depth is a parameter and never follows the table, so fingerprints of all sizes can be compared. Buckets are
+    sums, merged before the shuffle; a task sends at most ``16 ** digits`` rows.
+    """
+    return row_digests(df, text).groupBy(F.substring("digest", 1, digits).alias("bucket")).agg(*_sums())
 
-def bucketed(df: DataFrame, digits: int | None = None, text: Column | None = None) -> DataFrame:
-    """(bucket, row_count, digest) of every leaf: md5 over the sorted row digests of the bucket.
 
-    ``digits`` must be the same for two tables that are to be compared; by default it follows the row count.
-    The bucket is a prefix of the row digest, so buckets are even. Equal rows are merged into one
-    entry with its multiplicity before they meet, so no bucket can be filled by copies.
-    """
-    digits = leaf_digits(df.count()) if digits is None else digits
-    entries = (
-        row_digests(df, text)
-        .groupBy("digest")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .select(F.substring("digest", 1, digits).alias("bucket"), "digest", "copies")
-    )
-    entry = F.concat(F.col("digest"), F.lit(":"), F.col("copies").cast("string"))
-    return entries.groupBy("bucket").agg(
-        F.sum("copies").alias("row_count"),
-        F.md5(F.array_join(F.sort_array(F.collect_list(entry)), "")).alias("digest"),
-    )
-
-
-def root_digest(leaves: DataFrame, digits: int) -> DataFrame:
-    """Fold leaf buckets into one root; no group ever holds more than 16^3 children."""
-    level, width = leaves, digits
-    while width > 0:
-        width = max(0, width - DIGITS_PER_LEVEL)
-        child = F.concat(F.col("bucket"), F.lit("="), F.col("digest"))
-        level = level.groupBy(F.substring("bucket", 1, width).alias("bucket")).agg(
-            F.sum("row_count").alias("row_count"),
-            F.md5(F.array_join(F.sort_array(F.collect_list(child)), "")).alias("digest"),
-        )
-    return level.select("row_count", "digest")
-
-
-def exact(df: DataFrame, key: str = "id", limit: int = EXACT_ROW_LIMIT) -> DataFrame:
-    """(row_count, content_md5): md5 over the row digests in key order.
-
-    An ordered digest cannot be merged, so the table must be small; larger ones are refused and should
-    use ``summed`` or ``bucketed``.
-    """
-    rows = df.count()
-    if rows > limit:
-        raise ValueError(f"{rows} rows exceed the exact-digest limit of {limit}; use summed or bucketed")
-    ordered = F.sort_array(F.collect_list(F.struct(F.col(key), F.col("digest"))))
-    joined = F.array_join(F.transform(ordered, lambda e: e["digest"]), "")
-    return row_digests(df, keep=[key]).agg(
-        F.count(F.lit(1)).alias("row_count"), F.md5(joined).alias("content_md5")
-    )
+def folded(buckets: DataFrame, digits: int = 0) -> DataFrame:
+    """Buckets of a shorter prefix; with no digits one row, equal to ``summed``."""
+    total = [F.coalesce(F.sum(F.col(c).cast(SUMMAND)), F.lit(0)).cast(DECIMAL).alias(c) for c in ("lane_a", "lane_b")]
+    count = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return buckets.groupBy(*[F.substring("bucket", 1, digits).alias("bucket")] * bool(digits)).agg(count, *total)
 
 
 def of_tables(tables: dict[str, DataFrame], method=summed) -> DataFrame:

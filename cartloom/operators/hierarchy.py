@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.operators.profiling import union_all
 from cartloom.operators.skew import TASK_ROWS, lookup
 from cartloom.session import cut_lineage
 
@@ -87,19 +86,25 @@ def rollup(edges: DataFrame, measures: DataFrame, aggregates: dict[str, str], ta
     """Sum measures of every node into itself and all its ancestors.
 
     ``measures`` holds (id, <columns>), any number of rows per id; ``aggregates`` maps output to source
-    column. Each round adds the sums that have arrived at a node to its parent, so a level moves up as one
-    row per node, and a parent with very many children is merged before the shuffle. After the first round
-    only inner nodes are left. A cycle is an error.
+    column. Leaves add to their parent once; then sums double their reach: after k rounds an inner node holds the
+    sums of all inner nodes less than 2^k edges below it, and its pointer leads 2^k edges up. So a tree of depth d
+    takes about log2(d) rounds, and a parent with very many children is merged before the shuffle. A cycle is an error.
     """
     inner = cut_lineage(_inner_nodes(edges).select("id", "parent_id"))
     shape = summary(inner, task_rows).first()
     if shape.cyclic_nodes:
         raise ValueError(f"{shape.cyclic_nodes} inner nodes of the tree lie on or below a cycle")
     sums = [F.sum(name).alias(name) for name in aggregates]
-    level = cut_lineage(measures.groupBy("id").agg(*[F.sum(source).alias(name) for name, source in aggregates.items()]))
-    levels, upwards = [level], edges.select("id", "parent_id")
-    for _ in range(shape.max_depth or 0):
-        moved = level.join(upwards.where("parent_id IS NOT NULL"), "id").groupBy(F.col("parent_id").alias("id"))
-        level, upwards = cut_lineage(moved.agg(*sums)), inner
-        levels.append(level)
-    return union_all(levels).groupBy("id").agg(*sums)
+    own = cut_lineage(measures.groupBy("id").agg(*[F.sum(source).alias(name) for name, source in aggregates.items()]))
+    leaves = own.join(inner.select("id"), "id", "left_anti")
+    first = edges.where("parent_id IS NOT NULL").select("id", "parent_id").join(leaves, "id")
+    lifted = first.groupBy(F.col("parent_id").alias("id")).agg(*sums)
+    held = own.join(inner.select("id"), "id", "left_semi")
+    reach = cut_lineage(held.unionByName(lifted).groupBy("id").agg(*sums))
+    pointers = inner.where("parent_id IS NOT NULL").select("id", F.col("parent_id").alias("up"))
+    while not pointers.isEmpty():
+        moved = reach.join(pointers, "id").groupBy(F.col("up").alias("id")).agg(*sums)
+        reach = cut_lineage(reach.unionByName(moved).groupBy("id").agg(*sums))
+        further = pointers.select(F.col("id").alias("up"), F.col("up").alias("next"))
+        pointers = cut_lineage(pointers.join(further, "up").select("id", F.col("next").alias("up")))
+    return leaves.unionByName(reach)

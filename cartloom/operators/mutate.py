@@ -13,7 +13,7 @@ from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.contract.model import Table, conform
+from cartloom.contract.model import Contract, Table, conform
 from cartloom.operators import keys
 from cartloom.operators.profiling import union_all
 from cartloom.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup
@@ -114,29 +114,71 @@ def _unique_breaches(changes: DataFrame, current: DataFrame, table: Table, hint:
 
 
 def _reference_breaches(
-    changes: DataFrame, table: Table, parents: dict[str, DataFrame], hint: _Hint
+    changes: DataFrame, table: Table, parents: dict[str, DataFrame], hint: _Hint, fresh: dict[str, DataFrame] | None = None
 ) -> list[DataFrame]:
+    """Claims on keys that neither the current parents nor the ``fresh`` rows of the same set hold."""
     found = []
     for r in table.references:
         claims = changes.where(F.col(r.column).isNotNull()).select(*table.primary_key, r.column)
         wanted = claims.select(r.column).distinct()
         known = parents[r.table].select(F.col(r.key).alias(r.column)).join(hint(wanted), r.column, "left_semi")
+        if r.table in (fresh or {}):
+            known = known.union(fresh[r.table].select(F.col(r.key).cast(known.schema[r.column].dataType))).distinct()
         missing = wanted.join(hint(known), r.column, "left_anti")
         found.append(_label(lookup(claims, missing, r.column, broadcast_rows=0), table.primary_key, "foreign_key", r.column))
     return found
 
 
+def _own_breaches(changes: DataFrame, table: Table, current: DataFrame, hint: _Hint) -> list[DataFrame]:
+    return [
+        _row_breaches(changes, table),
+        *_key_breaches(changes, current, table, hint),
+        *_unique_breaches(changes, current, table, hint),
+    ]
+
+
 def screen(
     changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame], hint: _Hint | None = None
 ) -> DataFrame:
     """(key, violation, rule): one row per broken rule. ``changes`` holds whole new rows plus ``op``."""
     hint = hint or _Hint(changes)
-    return union_all([
-        _row_breaches(changes, table),
-        *_key_breaches(changes, current, table, hint),
-        *_unique_breaches(changes, current, table, hint),
-        *_reference_breaches(changes, table, parents, hint),
-    ]).distinct()
+    found = [*_own_breaches(changes, table, current, hint), *_reference_breaches(changes, table, parents, hint)]
+    return union_all(found).distinct()
+
+
+def batch(changes: dict[str, DataFrame], contract: Contract, tables: dict[str, DataFrame]) -> dict[str, Outcome]:
+    """Apply change sets of several tables together, as one statement would: a row may refer to a row of the same batch.
+
+    All changes are taken to be good but for their own rules; then changes whose parent is neither a current row nor
+    a good change are rejected, and that is repeated until nothing more falls, so the child of a rejected parent is
+    rejected too. Rounds follow the longest chain of such references; rejected keys are checkpointed per round.
+    """
+    hints = {name: _Hint(df) for name, df in changes.items()}
+    rejected = {
+        name: cut_lineage(union_all(_own_breaches(df, contract[name], tables[name], hints[name])).distinct()) for name, df in changes.items()
+    }
+    while True:
+        good = {}
+        for name, df in changes.items():
+            key = list(contract[name].primary_key)
+            good[name] = df.where(~keys.any_null(key)).join(hints[name](rejected[name].select(*key).distinct()), key, "left_anti")
+        more = False
+        for name, df in changes.items():
+            if not contract[name].references:
+                continue
+            found = union_all(_reference_breaches(df, contract[name], tables, hints[name], good))
+            now = cut_lineage(rejected[name].union(found).distinct())
+            more |= now.count() > rejected[name].count()
+            rejected[name] = now
+        if not more:
+            break
+    outcomes = {}
+    for name, accepted in good.items():
+        key = list(contract[name].primary_key)
+        fresh = conform(accepted, contract[name])
+        kept = tables[name].join(hints[name](fresh.select(*key)), key, "left_anti").select(*tables[name].columns)
+        outcomes[name] = Outcome(kept.unionByName(fresh), rejected[name])
+    return outcomes
 
 
 def upsert(changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame]) -> Outcome:
@@ -162,14 +204,49 @@ def delete(
     """Delete rows unless a child still refers to them. ``children`` maps rule name to (child, column)."""
     (key,) = table.primary_key
     doomed = current.where(condition).select(key)
-    hint = _Hint(doomed)
+    rejected = cut_lineage(_blocked(doomed, table, children, _Hint(doomed)))
+    removable = doomed.join(_Hint(doomed)(rejected.select(key).distinct()), key, "left_anti")
+    return Outcome(current.join(_Hint(doomed)(removable), key, "left_anti").select(*current.columns), rejected)
+
+
+def _blocked(doomed: DataFrame, table: Table, children: dict[str, tuple[DataFrame, str]], hint: _Hint) -> DataFrame:
+    (key,) = table.primary_key
     blocked = []
     for rule, (child, column) in children.items():
         # Few doomed keys filter the child table before it is grouped; many keys meet it after.
         near = child.join(F.broadcast(doomed.withColumnRenamed(key, column)), column, "left_semi") if hint.small else child
         used = keys.referenced(near, column, key).select(key)
         blocked.append(_label(doomed.join(used, key, "left_semi"), table.primary_key, "foreign_key", rule))
-    rejected = union_all(blocked)
-    rejected = cut_lineage(rejected)
-    removable = doomed.join(hint(rejected.select(key).distinct()), key, "left_anti")
-    return Outcome(current.join(hint(removable), key, "left_anti").select(*current.columns), rejected)
+    return union_all(blocked)
+
+
+def delete_batch(doomed: dict[str, DataFrame], contract: Contract, tables: dict[str, DataFrame]) -> dict[str, Outcome]:
+    """Delete rows of several tables together: only children that stay keep their parents.
+
+    ``doomed`` holds key rows per table. A row that a staying child refers to stays and is reported; as it may keep its
+    own parents, that is repeated until nothing more is blocked. References of a table to itself count like others.
+    """
+    doomed = {name: cut_lineage(tables[name].select(*contract[name].primary_key).join(df, list(contract[name].primary_key), "left_semi").distinct())
+              for name, df in doomed.items()}
+    hints = {name: _Hint(df) for name, df in doomed.items()}
+    leaving, rejected = dict(doomed), {}
+    while True:
+        staying = {}
+        for t in contract.tables:
+            key = list(t.primary_key)
+            staying[t.name] = tables[t.name].join(hints[t.name](leaving[t.name]), key, "left_anti") if t.name in leaving else tables[t.name]
+        more = False
+        for name in doomed:
+            children = {f"{t.name}.{r.column}": (staying[t.name], r.column) for t in contract.tables for r in t.references if r.table == name}
+            if not children:
+                rejected.setdefault(name, None)
+                continue
+            found = cut_lineage(_blocked(doomed[name], contract[name], children, hints[name]).distinct())
+            more |= rejected.get(name) is None and not found.isEmpty() or rejected.get(name) is not None and found.count() > rejected[name].count()
+            rejected[name] = found
+            (key,) = contract[name].primary_key
+            leaving[name] = cut_lineage(doomed[name].join(hints[name](found.select(key).distinct()), key, "left_anti"))
+        if not more:
+            break
+    none = {name: _label(doomed[name].limit(0), contract[name].primary_key, "", "") for name in doomed}
+    return {name: Outcome(staying[name].select(*tables[name].columns), none[name] if rejected[name] is None else rejected[name]) for name in doomed}

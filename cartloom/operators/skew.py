@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 TASK_ROWS = 1_000_000
 MAX_CHUNKS = 100_000
+NULL_SALTS = 4096
 SAMPLES_PER_CHUNK = 16
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -72,20 +73,28 @@ def lookup(
 
     A small ``one`` is broadcast after measuring it (not measured if ``broadcast_rows`` is 0). Otherwise a hot key
     of ``many`` is split over several tasks by a salt, and its single row of ``one`` is repeated once per salt.
+    Rows with a NULL key match nothing; a left join spreads them by salts that ``one`` doesn't have.
     """
     if how not in ("inner", "left"):
         raise ValueError("lookup keeps or drops unmatched rows of the many side only: inner or left")
     key = [key] if isinstance(key, str) else key
     if broadcast_rows and fits_broadcast(one, broadcast_rows):
         return many.join(F.broadcast(one), key, how)
+    # The salt depends on the row and its input split, so a repeated task gives the same one.
+    spread = F.xxhash64(F.spark_partition_id(), *many.columns)
+    null_key = F.lit(False)
+    for k in key:
+        null_key = null_key | F.col(k).isNull()
+    salted_null = F.when(null_key, F.pmod(spread, F.lit(NULL_SALTS)) + MAX_CHUNKS)
     hot = hot_keys(many, key, task_rows)
     if hot is None:
-        return many.join(one, key, how)
+        if how == "inner":
+            return many.join(one, key, how)
+        salted_many = many.withColumn("salt", F.coalesce(salted_null, F.lit(0)).cast("int"))
+        return salted_many.join(one.withColumn("salt", F.lit(0)), [*key, "salt"], how).drop("salt")
     hot = F.broadcast(hot)
     parts = F.coalesce("parts", F.lit(1))
-    # The salt depends on the row and its input split, so a repeated task gives the same one.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *many.columns), parts)
-    salted_many = many.join(hot, key, "left").withColumn("salt", spread.cast("int")).drop("parts")
+    salted_many = many.join(hot, key, "left").withColumn("salt", F.coalesce(salted_null, F.pmod(spread, parts)).cast("int")).drop("parts")
     salted_one = (
         one.join(hot, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
     )

@@ -109,6 +109,18 @@ def previous_event(spark, folder):
     ).drop("event_type")
 
 
+# The same answers with keys cut at few rows, as large tables have them cut.
+CUT_ROWS = 2_000
+
+
+@QUERIES.add("previous_event_cut", QUERIES["previous_event"].sql)
+def previous_event_cut(spark, folder):
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type")
+    return ordered.scan(
+        events, ["user_id"], ["ts", "event_id"], previous={"previous_at": "ts", "previous_type": "event_type"}, task_rows=CUT_ROWS
+    ).drop("event_type")
+
+
 @QUERIES.add("first_event", """
 SELECT user_id, event_id, ts, event_type FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1""")
@@ -164,6 +176,17 @@ def running_balance(spark, folder):
     return commerce.running_balance(_ledger(spark, folder), "l_partkey", LEDGER_ORDER, "delta")
 
 
+@QUERIES.add("running_balance_cut", f"""
+SELECT 0 AS part, {', '.join(LEDGER_ORDER)}, delta,
+       sum(delta) OVER (ORDER BY {', '.join(LEDGER_ORDER)}, l_partkey ROWS UNBOUNDED PRECEDING)::BIGINT AS balance
+FROM (SELECT *, if(l_returnflag = 'R', l_quantity, -l_quantity)::BIGINT AS delta FROM lineitem)""")
+def running_balance_cut(spark, folder):
+    """One ledger of all parts together: a single key that is cut many times."""
+    ledger = _ledger(spark, folder).withColumn("part", F.lit(0))
+    balance = commerce.running_balance(ledger, "part", [*LEDGER_ORDER, "l_partkey"], "delta", task_rows=CUT_ROWS)
+    return balance.select("part", *LEDGER_ORDER, "delta", "balance")
+
+
 # -- pages, lookups and filters ----------------------------------------------------------------------------
 
 

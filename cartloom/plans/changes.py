@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.contract.model import Check, Column, Reference, Table
+from cartloom.contract.model import Check, Column, Contract, Reference, Table
 from cartloom.operators import mutate
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import STAR, table
@@ -118,3 +120,65 @@ SELECT c_custkey, 'foreign_key' AS violation, 'events.user_id' AS rule FROM cust
 WHERE {_DOOMED} AND c_custkey IN (SELECT user_id FROM events)""")
 def delete_rejected(spark, folder):
     return _delete(spark, folder).rejected
+
+
+# -- sets over two tables whose rows depend on each other ----------------------------------------------------------
+
+PAIR = Contract((
+    replace(CUSTOMERS, checks=(Check.finite_amount("c_acctbal"),)),
+    ORDERS,
+))
+
+# Every third customer brings a new one, every second of these with a bad balance; every order brings a new order of the
+# customer that its own customer would have brought, so many of them have no parent, or a rejected one.
+NEW_CUSTOMERS_SQL = """
+  SELECT c_custkey + (SELECT max(c_custkey) + 1 FROM customer) AS c_custkey, c_name || '+' AS c_name, c_nationkey,
+         if(c_custkey % 2 = 1, -1, c_acctbal) AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 3 = 0"""
+NEW_ORDERS_SQL = """
+  SELECT o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders) AS o_orderkey, o_custkey + (SELECT max(c_custkey) + 1 FROM customer) AS o_custkey,
+         o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+_GOOD_SQL = f"SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM ({NEW_CUSTOMERS_SQL}) WHERE c_acctbal >= 0"
+
+
+def _batch(spark, folder) -> dict[str, mutate.Outcome]:
+    customers = table(spark, folder, "customer").select(*PAIR["customer"].schema.names)
+    orders = table(spark, folder, "orders")
+    above = customers.agg(F.max("c_custkey") + 1).scalar()
+    new_customers = customers.where("c_custkey % 3 = 0").select(
+        (F.col("c_custkey") + above).alias("c_custkey"), F.concat("c_name", F.lit("+")).alias("c_name"), "c_nationkey",
+        F.when(F.col("c_custkey") % 2 == 1, F.lit(-1.0)).otherwise(F.col("c_acctbal")).alias("c_acctbal"), "c_mktsegment",
+        F.lit(mutate.INSERT).alias("op"))
+    new_orders = orders.select(
+        (F.col("o_orderkey") + orders.agg(F.max("o_orderkey") + 1).scalar()).alias("o_orderkey"),
+        (F.col("o_custkey") + above).alias("o_custkey"), "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
+        F.lit(mutate.INSERT).alias("op"))
+    return mutate.batch({"customer": new_customers, "orders": new_orders}, PAIR, {"customer": customers, "orders": orders})
+
+
+@QUERIES.add("batch_apply", f"""
+SELECT * FROM orders UNION ALL SELECT * FROM ({NEW_ORDERS_SQL}) WHERE o_custkey IN ({_GOOD_SQL})""")
+def batch_apply(spark, folder):
+    """Orders after a batch that inserts customers and their orders together."""
+    return _batch(spark, folder)["orders"].table
+
+
+@QUERIES.add("batch_rejected", f"""
+SELECT 'orders' AS table_name, o_orderkey AS id, 'foreign_key' AS violation, 'o_custkey' AS rule FROM ({NEW_ORDERS_SQL}) WHERE o_custkey NOT IN ({_GOOD_SQL})
+UNION ALL SELECT 'customer', c_custkey, 'check', 'c_acctbal.finite_amount' FROM ({NEW_CUSTOMERS_SQL}) WHERE c_acctbal < 0""")
+def batch_rejected(spark, folder):
+    """Rejected rows of the batch; the orders of a rejected customer are rejected with it."""
+    found = _batch(spark, folder)
+    return found["orders"].rejected.select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("id"), "violation", "rule").union(
+        found["customer"].rejected.select(F.lit("customer"), F.col("c_custkey"), "violation", "rule"))
+
+
+@QUERIES.add("delete_tree", """
+SELECT c_custkey, c_custkey % 5 = 0 AS kept_by_an_order FROM customer
+WHERE c_custkey % 5 <> 0 OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_custkey % 10 <> 0)""")
+def delete_tree(spark, folder):
+    """Customers left after deleting every fifth of them together with the orders of every tenth."""
+    customers, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
+    doomed = {"customer": customers.where("c_custkey % 5 = 0"), "orders": orders.where("o_custkey % 10 = 0")}
+    left = mutate.delete_batch({name: df.select(*PAIR[name].primary_key) for name, df in doomed.items()}, PAIR,
+                               {"customer": customers, "orders": orders})["customer"].table
+    return left.select("c_custkey", (F.col("c_custkey") % 5 == 0).alias("kept_by_an_order"))

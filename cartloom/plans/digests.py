@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.rendering import row_text
 from cartloom.operators import diff, fingerprint
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import STAR, as_double, table
 
 QUERIES = Registry()
 
-PRINTED = ["customer", "orders", "lineitem", "events"]
+PRINTED = STAR.names
 TREE_DIGITS = 2
 
 
@@ -43,28 +42,26 @@ def row_digest(spark, folder):
     return fingerprint.row_digests(_exact(table(spark, folder, "events")), keep=["event_id"])
 
 
-@QUERIES.add("table_fingerprint", "\nUNION ALL ".join(f"""
-SELECT '{t}' AS table_name, count(*) AS row_count, sum(('0x' || substr(d, 1, 15))::BIGINT)::VARCHAR AS lane_a,
-       sum(('0x' || substr(d, 16, 15))::BIGINT)::VARCHAR AS lane_b FROM (SELECT md5({_json_sql(t)}) AS d FROM {t})"""
-    for t in PRINTED))
-def table_fingerprint(spark, folder):
-    prints = fingerprint.of_tables({t: _exact(table(spark, folder, t)) for t in PRINTED})
+def _lanes_sql(digests: str, labels: str = "") -> str:
+    lanes = ", ".join(f"sum(('0x' || substr(d, {first}, 15))::BIGINT)::VARCHAR AS {lane}" for first, lane in ((1, "lane_a"), (16, "lane_b")))
+    return f"SELECT {labels}count(*) AS row_count, {lanes} FROM ({digests})"
+
+
+def _lanes_as_text(prints: DataFrame) -> DataFrame:
     return prints.withColumns({lane: F.col(lane).cast("string") for lane in ("lane_a", "lane_b")})
 
 
-_TEXT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
+@QUERIES.add("table_fingerprint", "\nUNION ALL ".join(
+    _lanes_sql(f"SELECT md5({_json_sql(t)}) AS d FROM {t}", f"'{t}' AS table_name, ") for t in PRINTED))
+def table_fingerprint(spark, folder):
+    return _lanes_as_text(fingerprint.of_tables({t: _exact(table(spark, folder, t)) for t in PRINTED}))
 
 
-@QUERIES.add("table_fingerprint_bucketed", f"""
-SELECT bucket, sum(n)::BIGINT AS row_count, md5(string_agg(d || ':' || n, '' ORDER BY d || ':' || n)) AS digest
-FROM (SELECT d, substr(d, 1, {TREE_DIGITS}) AS bucket, count(*) AS n
-      FROM (SELECT md5(concat_ws('|', {', '.join(f"coalesce({c}::VARCHAR, '\\N')" for c in _TEXT)})) AS d FROM orders) GROUP BY d)
-GROUP BY bucket""")
+@QUERIES.add("table_fingerprint_bucketed",
+             _lanes_sql(f"SELECT md5({_json_sql('orders')}) AS d FROM orders", f"substr(d, 1, {TREE_DIGITS}) AS bucket, ") + " GROUP BY bucket")
 def table_fingerprint_bucketed(spark, folder):
-    """Leaf digests of the orders; deeper than two hex digits once leaves would pass a few thousand rows."""
-    orders = table(spark, folder, "orders").select(*_TEXT)
-    digits = max(TREE_DIGITS, fingerprint.leaf_digits(orders.count()))
-    return fingerprint.bucketed(orders, digits, row_text(_TEXT))
+    """Sums of the orders' digests per digest prefix, over all columns."""
+    return _lanes_as_text(fingerprint.bucketed(_exact(table(spark, folder, "orders")), TREE_DIGITS))
 
 
 # -- two versions of the orders ----------------------------------------------------------------------------
@@ -110,3 +107,48 @@ WHERE (b.o_orderkey, b.o_custkey, b.o_orderstatus, b.o_totalprice, b.o_orderdate
 def row_diff(spark, folder):
     orders = _exact(table(spark, folder, "orders"))
     return diff.row_diff(orders, next_orders(orders), ["o_orderkey"])
+
+
+def _mismatch_sql() -> str:
+    old = "\nUNION ALL ".join(_lanes_sql(f"SELECT md5({_json_sql(t)}) AS d FROM {t}", f"'{t}' AS table_name, ") for t in ("customer", "orders", "events"))
+    new = "\nUNION ALL ".join(
+        _lanes_sql(f"SELECT md5({_json_sql(t)}) AS d FROM {source}", f"'{t}' AS table_name, ")
+        for t, source in (("customer", "customer"), ("orders", f"({NEXT_SQL}) orders"), ("events", "(SELECT * FROM events WHERE event_id % 1000 <> 7) events")))
+    return f"""
+SELECT e.table_name, e.row_count AS expected_rows, a.row_count AS actual_rows, e.lane_a AS expected_lane, a.lane_a AS actual_lane
+FROM ({old}) e JOIN ({new}) a USING (table_name)
+WHERE (e.row_count, e.lane_a, e.lane_b) IS DISTINCT FROM (a.row_count, a.lane_a, a.lane_b)"""
+
+
+@QUERIES.add("fingerprint_mismatch", _mismatch_sql())
+def fingerprint_mismatch(spark, folder):
+    """Tables whose content changed between two versions, by comparison of stored fingerprints."""
+    before = {t: _exact(table(spark, folder, t)) for t in ("customer", "orders", "events")}
+    after = {**before, "orders": next_orders(before["orders"]), "events": before["events"].where("event_id % 1000 <> 7")}
+    found = fingerprint.mismatches(fingerprint.of_tables(before), fingerprint.of_tables(after))
+    return found.select(
+        "table_name", F.col("expected.row_count").alias("expected_rows"), F.col("actual.row_count").alias("actual_rows"),
+        F.col("expected.lane_a").cast("string").alias("expected_lane"), F.col("actual.lane_a").cast("string").alias("actual_lane"))
+
+
+_LINES = "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_shipdate FROM lineitem"
+_LINES_AFTER = """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity + if(l_partkey % 11 = 3, 1, 0) AS l_quantity, l_shipdate
+  FROM lineitem WHERE l_partkey % 13 <> 5"""
+
+
+def _bags(source: str) -> str:
+    listed = "list_sort(list((l_partkey, l_quantity, l_shipdate)))"
+    return f"SELECT l_orderkey, l_linenumber, count(*) AS n, {listed} AS bag FROM ({source}) GROUP BY ALL"
+
+
+@QUERIES.add("row_diff_repeated", f"""
+SELECT coalesce(b.l_orderkey, a.l_orderkey) AS l_orderkey, coalesce(b.l_linenumber, a.l_linenumber) AS l_linenumber,
+       CASE WHEN b.n IS NULL THEN 'added' WHEN a.n IS NULL THEN 'removed' WHEN greatest(a.n, b.n) > 1 THEN 'repeated' ELSE 'changed' END AS change
+FROM ({_bags(_LINES)}) b FULL JOIN ({_bags(_LINES_AFTER)}) a ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber
+WHERE a.bag IS DISTINCT FROM b.bag""")
+def row_diff_repeated(spark, folder):
+    """Differences by a key that many lines share."""
+    lines = _exact(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate"))
+    more = F.when(F.col("l_partkey") % 11 == 3, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    after = lines.where("l_partkey % 13 <> 5").withColumn("l_quantity", more.cast(lines.schema["l_quantity"].dataType))
+    return diff.row_diff(lines, after, ["l_orderkey", "l_linenumber"])

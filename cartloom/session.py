@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # files go when the frames that need them go
 }
 
 
@@ -39,8 +42,10 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="cartloom-checkpoint-"))
+    elif context.master == "local" or context.master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="cartloom-checkpoint-")  # one process: driver and tasks share its disk
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 

@@ -2,7 +2,7 @@
 
     <root>/versions/<version>/<table>/    data, clustered for the usual queries
     <root>/versions/<version>/manifest/   row counts, schemas and fingerprints
-    <root>/publications/                  one appended row per published version
+    <root>/publications/<sequence>.json   one file per announcement; whoever creates it has the number
 
 Readers follow the last publication. A failed build leaves the publications, and so all readers, untouched.
 """
@@ -12,7 +12,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +22,9 @@ from pyspark.sql import types as T
 
 from cartloom.contract.verify import require
 from cartloom.operators import fingerprint
-from cartloom.operators.profiling import union_all
 
 ROWS_PER_FILE = 5_000_000
+BYTES_PER_FILE = 256 << 20
 PUBLICATION_SCHEMA = "sequence bigint, version string, label string, published_at timestamp"
 
 # Access paths of the commerce tables: rows are range-clustered on these columns, so that file and row-group
@@ -54,16 +56,31 @@ def _version_path(root: str, version: str) -> str:
     return f"{root}/versions/{version}"
 
 
+def _file_count(df: DataFrame, rows: int | None) -> int:
+    """Files of at most ``ROWS_PER_FILE`` rows and about ``BYTES_PER_FILE`` bytes.
+
+    Rows are counted where they are not known. The width is that of the typed columns plus the mean of the texts.
+    """
+    texts = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))]
+    fixed = 8 * (len(df.columns) - len(texts))
+    if rows is None or texts:
+        lengths = [F.avg(F.octet_length(F.col(f"`{c}`").cast("string"))) for c in texts]
+        measured = df if rows is None else df.limit(10_000)  # texts of a known number of rows are only sampled
+        counted, *means = measured.agg(F.count(F.lit(1)), *lengths).first()
+        rows = counted if rows is None else rows
+        fixed += sum(float(m or 0) for m in means)
+    return max(1, -(-rows // ROWS_PER_FILE), -(-int(rows * fixed) // BYTES_PER_FILE))
+
+
 def write_table(df: DataFrame, path: str, cluster: list[str] | None, rows: int | None = None) -> None:
     """Range-cluster on the access path and sort inside files.
 
-    The access path ends in a unique id, so a hot prefix is cut into several files. With a known row count
-    the number of files follows it; otherwise it is the session's shuffle parallelism.
+    The access path ends in a unique id, so a hot prefix is cut into several files. The number of files follows
+    rows and bytes, never the session's parallelism.
     """
     if cluster:
-        files = [max(1, -(-rows // ROWS_PER_FILE))] if rows is not None else []
-        df = df.repartitionByRange(*files, *cluster).sortWithinPartitions(*cluster)
-    df.write.parquet(path, mode="error")
+        df = df.repartitionByRange(_file_count(df, rows), *cluster).sortWithinPartitions(*cluster)
+    df.write.option("maxRecordsPerFile", 2 * ROWS_PER_FILE).parquet(path, mode="error")
 
 
 def _manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -77,10 +94,11 @@ def stage(
     root: str,
     clustering: dict[str, list[str]] | None = None,
     rows: dict[str, int] | None = None,
+    version: str | None = None,
 ) -> str:
     """Write all tables and their manifest under a new version that no reader sees yet."""
     clustering = CLUSTERING if clustering is None else clustering
-    version = uuid.uuid4().hex
+    version = version or uuid.uuid4().hex
     path = _version_path(root, version)
     for name, df in tables.items():
         write_table(df, f"{path}/{name}", clustering.get(name), (rows or {}).get(name))
@@ -113,26 +131,54 @@ def check_integrity(spark: SparkSession, root: str, version: str) -> dict[str, D
 
 
 def publications(spark: SparkSession, root: str) -> DataFrame:
+    """(sequence, version, label, published_at) of all announcements; a row that is still being written is left out."""
     try:
-        return spark.read.schema(PUBLICATION_SCHEMA).parquet(f"{root}/publications")
+        return spark.read.schema(PUBLICATION_SCHEMA).json(f"{root}/publications").where("version IS NOT NULL")
     except AnalysisException:
         return spark.createDataFrame([], PUBLICATION_SCHEMA)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    row = publications(spark, root).agg(F.max_by("version", F.struct("sequence", "version")).alias("v")).first()
-    return row.v
-
-
-def _announce(spark: SparkSession, root: str, version: str, label: str) -> None:
-    last = publications(spark, root).agg(F.max("sequence")).first()[0] or 0
-    entry = spark.range(1).select(
-        F.lit(last + 1).cast("bigint").alias("sequence"),
-        F.lit(version).alias("version"),
-        F.lit(label).alias("label"),
-        F.current_timestamp().alias("published_at"),
-    )
-    entry.coalesce(1).write.parquet(f"{root}/publications", mode="append")
+    return publications(spark, root).agg(F.max_by("version", "sequence").alias("v")).first().v
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its form."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _announce(spark: SparkSession, root: str, version: str, label: str) -> int:
+    """Take the next free sequence number by creating its file, which fails if another publisher has it."""
+    sequence = (publications(spark, root).agg(F.max("sequence")).first()[0] or 0) + 1
+    while True:
+        store, place = _store(spark, f"{root}/publications/{sequence:010d}.json")
+        if store.exists(place):
+            sequence += 1
+            continue
+        try:
+            out = store.create(place, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            sequence += 1
+            continue
+        entry = {"sequence": sequence, "version": version, "label": label,
+                 "published_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds")}
+        try:
+            out.write(bytearray(json.dumps(entry).encode()))
+        finally:
+            out.close()
+        return sequence
+
+
+def discard(spark: SparkSession, root: str, version: str) -> None:
+    """Remove the files of a version that was never published."""
+    if not publications(spark, root).where(F.col("version") == version).isEmpty():
+        raise SnapshotError(f"version {version} is published")
+    store, place = _store(spark, _version_path(root, version))
+    store.delete(place, True)
 
 
 def publish(
@@ -144,9 +190,14 @@ def publish(
     clustering: dict[str, list[str]] | None = None,
     rows: dict[str, int] | None = None,
 ) -> str:
-    """Stage, verify what was written, and only then append the publication. One writer at a time."""
-    version = stage(spark, tables, root, clustering, rows)
-    require(verifier(open_version(spark, root, version)))
+    """Stage, verify what was written, and only then announce it; a version that fails leaves no files."""
+    version = uuid.uuid4().hex
+    try:
+        stage(spark, tables, root, clustering, rows, version)
+        require(verifier(open_version(spark, root, version)))
+    except Exception:
+        discard(spark, root, version)
+        raise
     _announce(spark, root, version, label)
     return version
 
@@ -172,9 +223,6 @@ def restore(spark: SparkSession, root: str, version: str, verifier: Verifier, la
 
 
 def golden_mismatches(tables: dict[str, DataFrame], golden: DataFrame) -> DataFrame:
-    """Tables whose exact ordered digest differs from (table_name, row_count, content_md5)."""
-    actual = union_all([
-        fingerprint.exact(df).select(F.lit(name).alias("table_name"), "row_count", "content_md5")
-        for name, df in tables.items()
-    ])
-    return fingerprint.mismatches(golden, actual)
+    """Tables whose summed fingerprint differs from (table_name, row_count, lane_a, lane_b)."""
+    known = golden.withColumns({lane: F.col(lane).cast(fingerprint.DECIMAL) for lane in ("lane_a", "lane_b")})
+    return fingerprint.mismatches(known, fingerprint.of_tables(tables, fingerprint.summed))

@@ -3,11 +3,13 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 from cartloom.generate import Generator, profile_named  # noqa: E402
+from cartloom.operators import fingerprint  # noqa: E402
 from cartloom.session import local_session  # noqa: E402
 
 
@@ -18,6 +20,13 @@ def spark():
     session.stop()
 
 
+def ordered_digest(df, key="id"):
+    """(rows, md5 over the row digests in key order), the published form; it can't be merged, so it stays in the tests."""
+    ordered = F.sort_array(F.collect_list(F.struct(F.col(key), F.col("digest"))))
+    joined = F.array_join(F.transform(ordered, lambda e: e["digest"]), "")
+    return tuple(fingerprint.row_digests(df, keep=[key]).agg(F.count(F.lit(1)), F.md5(joined)).first())
+
+
 @pytest.fixture(scope="session")
 def published_namespace():
     """The hash namespace of the published digests is a parameter; the survey names it."""

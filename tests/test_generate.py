@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.draws import keyed_hash
 from cartloom.generate import Generator, Profile, profile_named
-from cartloom.operators import fingerprint
 from cartloom.operators.ordered import dense_row_number
+from tests.conftest import ordered_digest
 
 
 def test_hash_vectors(spark, published_namespace):
@@ -20,7 +20,7 @@ def test_hash_vectors(spark, published_namespace):
 @pytest.mark.parametrize("profile", ["small", "full"])
 def test_published_digests(spark, published_namespace, published_digests, profile):
     tables = Generator(profile_named(profile, published_namespace)).build(spark)
-    actual = {name: tuple(fingerprint.exact(df).first()) for name, df in tables.items()}
+    actual = {name: ordered_digest(df) for name, df in tables.items()}
     assert actual == published_digests[profile]
 
 
@@ -28,7 +28,7 @@ def test_digests_do_not_depend_on_the_session_time_zone(spark, published_namespa
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         tables = Generator(profile_named("small", published_namespace)).build(spark)
-        actual = {name: tuple(fingerprint.exact(df).first()) for name, df in tables.items()}
+        actual = {name: ordered_digest(df) for name, df in tables.items()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert actual == published_digests["small"]
@@ -66,15 +66,44 @@ def test_generation_is_shuffle_free(spark, shop, published_namespace):
         assert "Exchange" not in plan and "Join" not in plan, name
 
 
-def test_larger_profiles_keep_labels_unique_and_all_products_moving(spark):
-    big = profile_named("full").times(20)
-    assert big.email_digits == 7 and big.product_digits == 6 and big.ledger_steps == 1_000_000
+def test_rows_do_not_change_with_the_factor(spark):
+    base = profile_named("full")
+    plain = Generator(base)
+    ids = spark.range(1, 200)
+    for factor in (20, 6_000, 234_000):
+        g = Generator(base.times(factor))
+        assert (g.profile.hash_digits, g.profile.email_digits, g.profile.ledger_steps) == (8, 6, 10_000)
+        for method in ("customers", "products"):
+            assert getattr(g, method)(ids).collect() == getattr(plain, method)(ids).collect()
+        last = spark.range(g.profile.customers - 5, g.profile.customers + 1)
+        assert {r.email for r in g.customers(last).collect()} == {f"customer{i:06d}@example.test" for i in range(g.profile.customers - 5, g.profile.customers + 1)}
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_the_largest_profile_generates(spark, wide):
+    big = profile_named("full").times(234_000)
+    big = big.wide() if wide else big
     g = Generator(big)
-    ids = spark.range(big.customers - 5, big.customers + 1)
-    emails = {r.email for r in g.customers(ids).collect()}
-    assert len(emails) == 6 and all(len(e) == len("customer1000000@example.test") for e in emails)
-    span = g.inventory_movements(spark.range(8, 20_000)).agg(F.countDistinct("product_id"), F.max("product_id")).first()
-    assert span[0] > 8_000 and span[1] < big.products
+    ids = spark.range(big.movements - 50_000, big.movements)
+    span = g.inventory_movements(ids).agg(F.countDistinct("product_id"), F.max("product_id"), F.min("product_id")).first()
+    assert span[0] > (30_000 if wide else 8_000) and 0.9 * big.products < span[1] <= big.products and span[2] >= 4
+    orders = g.orders(spark.range(big.orders - 100, big.orders))
+    assert g.payments(orders).count() == 120 and g.order_items(orders).where("product_id > %d" % big.products).isEmpty()
+
+
+def test_wide_ledger_draw_is_exact(spark):
+    profile = profile_named("full").times(1_000).wide()
+    g = Generator(profile)
+    rows = spark.range(1, 400).select("id", g.draw(F.col("id"), "inventory-product").alias("q"), g.ledger_product(F.col("id")).alias("p")).collect()
+    steps = profile.ledger_steps
+    assert all(r.p == (4 if r.id % 5 == 0 else (r.q % steps) ** 2 * (profile.products - 4) // steps**2 + 4) for r in rows)
+
+
+def test_small_profiles_are_refused_as_a_whole(spark):
+    with pytest.raises(ValueError, match="too small"):
+        Generator(Profile("tiny", customers=3, products=2, orders=1, movements=1)).build(spark)
+    few = Generator(Profile("tiny", customers=3, products=2, orders=1, movements=1))
+    assert few.orders(spark.range(1, 2)).count() == 1
 
 
 def test_golden_facts(shop):

@@ -50,6 +50,29 @@ def test_rollup_sums_every_descendant(spark):
     assert rolled == {1: 123, 2: 116, 3: 7, 4: 11, 5: 5}
 
 
+def test_rollup_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    n, cuts = 1000, []
+    real = hierarchy.cut_lineage
+    monkeypatch.setattr(hierarchy, "cut_lineage", lambda df: cuts.append(1) or real(df))
+    chain = edge_frame(spark, {i: i - 1 if i else None for i in range(n)})
+    measures = spark.range(n).select("id", F.lit(1).alias("v"))
+    rolled = {r.id: r.total for r in hierarchy.rollup(chain, measures, {"total": "v"}).collect()}
+    assert rolled == {i: n - i for i in range(n)} and len(cuts) < 45
+
+
+def test_rollup_of_a_random_forest(spark):
+    rng = random.Random(8)
+    edges = {i: rng.choice([None, i - 1, rng.randrange(i), 5000 + i % 3]) if i else None for i in range(200)}
+    values = [(rng.choice([*range(200), 7777]), rng.randrange(9)) for _ in range(300)]
+    want = {}
+    for node, v in values:
+        while node is not None:
+            want[node] = want.get(node, 0) + v
+            node = edges.get(node)
+    measures = spark.createDataFrame(values, "id bigint, v int")
+    assert {r.id: r.total for r in hierarchy.rollup(edge_frame(spark, edges), measures, {"total": "v"}).collect()} == want
+
+
 def test_rollup_refuses_a_cycle(spark):
     edges = spark.createDataFrame([(1, 2), (2, 1), (3, 1)], "id bigint, parent_id bigint")
     measures = spark.createDataFrame([(3, 5)], "id bigint, v int")
@@ -80,6 +103,23 @@ def test_relation_and_row_diff(spark):
     }
 
 
+def test_row_diff_of_repeated_and_null_keys(spark):
+    schema = "k int, v string"
+    a = spark.createDataFrame([(1, "x")] * 300 + [(2, "x"), (2, "y"), (None, "n"), (3, "z"), (5, "q")], schema)
+    b = spark.createDataFrame([(1, "x")] * 300 + [(2, "y"), (2, "x"), (2, "x"), (None, "m"), (4, "z"), (4, "z"), (5, None)], schema)
+    assert {tuple(r) for r in diff.row_diff(a, b, ["k"]).collect()} == {(2, "repeated"), (None, "changed"), (3, "removed"), (4, "added"), (5, "changed")}
+    assert diff.row_diff(a, a, ["k"]).isEmpty()
+
+
+def test_lookup_spreads_null_keys(spark):
+    many = spark.range(20_000).select(F.expr("if(id % 2 = 0, null, id % 50)").alias("k"), "id")
+    one = spark.range(40).select(F.col("id").alias("k"), (F.col("id") + 1).alias("v"))
+    plain = many.join(one, "k", "left")
+    for task_rows in (1_000, 10**9):
+        found = skew.lookup(many, one, "k", "left", task_rows=task_rows, broadcast_rows=0)
+        assert found.columns == plain.columns and found.exceptAll(plain).isEmpty() and found.count() == plain.count()
+
+
 def test_keys_ignore_nulls(spark):
     child = spark.createDataFrame([(1,), (1,), (None,), (9,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "pk int")

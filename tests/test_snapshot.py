@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +8,7 @@ from cartloom.contract.commerce import verify as verify_commerce
 from cartloom.generate import profile_named
 from cartloom.operators import fingerprint, mutate
 from cartloom.sources import files, snapshot
+from tests.conftest import ordered_digest
 
 COUNTS = profile_named("small").expected_counts()
 
@@ -24,9 +27,9 @@ def test_publish_load_reject_and_restore(spark, shop, tmp_path, published_digest
     assert spark.sql("SELECT count(*) FROM orders WHERE customer_id = 1").first()[0] == 752
 
     # Data is the same after the round trip, in the published sense too.
+    assert {name: ordered_digest(df) for name, df in loaded.items()} == published_digests["small"]
     golden = spark.createDataFrame(
-        [(t, n, d) for t, (n, d) in published_digests["small"].items()], "table_name string, row_count bigint, content_md5 string"
-    )
+        fingerprint.of_tables(shop).collect(), "table_name string, row_count bigint, lane_a decimal(38,0), lane_b decimal(38,0)")
     assert snapshot.golden_mismatches(loaded, golden).isEmpty()
 
     # A build that breaks the contract leaves readers where they were.
@@ -34,6 +37,7 @@ def test_publish_load_reject_and_restore(spark, shop, tmp_path, published_digest
     with pytest.raises(VerificationError):
         snapshot.publish(spark, broken, root, verifier(spark), "broken")
     assert snapshot.current_version(spark, root) == first
+    assert os.listdir(f"{root}/versions") == [first]
 
     # A second good version becomes current, and the first can be restored.
     renamed = mutate.update_where(shop["customers"], F.col("id") == 1, {"name": F.lit("Changed value")})
@@ -43,7 +47,29 @@ def test_publish_load_reject_and_restore(spark, shop, tmp_path, published_digest
     assert [r.table_name for r in changed] == ["customers"]
     snapshot.restore(spark, root, first, verifier(spark))
     assert snapshot.current_version(spark, root) == first
-    assert snapshot.publications(spark, root).count() == 3
+    assert [r.sequence for r in snapshot.publications(spark, root).orderBy("sequence").collect()] == [1, 2, 3]
+    with pytest.raises(snapshot.SnapshotError, match="is published"):
+        snapshot.discard(spark, root, second)
+
+
+def test_two_publishers_never_share_a_number(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    nothing = snapshot.publications(spark, root)
+    assert snapshot._announce(spark, root, "a", "") == 1
+    read = snapshot.publications
+    monkeypatch.setattr(snapshot, "publications", lambda *_: nothing)  # a publisher that looked before the other announced
+    assert snapshot._announce(spark, root, "b", "") == 2
+    monkeypatch.setattr(snapshot, "publications", read)
+    assert {(r.sequence, r.version) for r in snapshot.publications(spark, root).collect()} == {(1, "a"), (2, "b")}
+    assert snapshot.current_version(spark, root) == "b"
+
+
+def test_files_follow_rows_and_bytes(spark):
+    few = spark.range(1000)
+    assert snapshot._file_count(few, None) == snapshot._file_count(few, 1000) == 1
+    assert snapshot._file_count(few, 3 * snapshot.ROWS_PER_FILE) == 3
+    wide = spark.range(100).select("id", F.expr("repeat('x', 10000)").alias("t"))
+    assert snapshot._file_count(wide, 1_000_000) == -(-1_000_000 * 10_008 // snapshot.BYTES_PER_FILE)
 
 
 def test_damaged_files_are_found(spark, shop, tmp_path):
@@ -85,20 +111,15 @@ def test_fingerprints_agree_on_equality(spark, shop):
     orders = shop["orders"]
     shuffled = orders.repartition(13, "status")
     changed = mutate.update_where(orders, F.col("id") == 77, {"status": F.lit("PAID")})
-    for method in (fingerprint.summed, fingerprint.hashed, fingerprint.exact, lambda d: fingerprint.root_digest(fingerprint.bucketed(d, 4), 4)):
+    for method in (fingerprint.summed, fingerprint.hashed, lambda d: fingerprint.folded(fingerprint.bucketed(d, 4))):
         assert method(orders).first() == method(shuffled).first()
         assert method(orders).first() != method(changed).first()
     before, after = fingerprint.bucketed(orders, 2), fingerprint.bucketed(changed, 2)
-    differing = before.join(after.select("bucket", F.col("digest").alias("d")), "bucket").where("digest <> d").count()
-    assert 1 <= differing <= 2
+    assert 1 <= before.exceptAll(after).count() <= 2
+    assert tuple(fingerprint.folded(before).select("row_count", "lane_a", "lane_b").first()) == tuple(fingerprint.summed(orders).first())
+    assert sorted(fingerprint.folded(fingerprint.bucketed(orders, 4), 2).select(*before.columns).collect()) == sorted(before.collect())
     doubled = orders.unionAll(orders)
     assert fingerprint.summed(doubled).first().lane_a == 2 * fingerprint.summed(orders).first().lane_a
     assert fingerprint.summed(orders.limit(0)).first().row_count == 0
     moved = spark.createDataFrame([(None, 1), (1, None)], "a int, b int")
     assert fingerprint.hashed(moved.limit(1)).first() != fingerprint.hashed(moved.where("a = 1")).first()
-    with pytest.raises(ValueError, match="limit"):
-        fingerprint.exact(orders, limit=10)
-
-
-def test_leaf_digits_keep_leaves_small():
-    assert [fingerprint.leaf_digits(n) for n in (0, 4096, 4097, 70_000, 10**12)] == [0, 0, 1, 2, 7]
