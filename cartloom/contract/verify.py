@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cartloom.contract.model import Contract, Table
 from cartloom.operators import keys
-from cartloom.operators.profiling import text, union_all, unpivot
+from cartloom.operators.profiling import quoted, text, union_all, unpivot
 
 REPORT_SCHEMA = "check string, subject string, expected string, observed bigint, passed boolean"
 NONE, SOME = "= 0", ">= 1"
@@ -147,11 +147,11 @@ def column_report(contract: Contract, tables: dict[str, DataFrame]) -> DataFrame
         actual = {f.name: (i, f.dataType) for i, f in enumerate(df.schema.fields, start=1)}
         required = {*table.primary_key, *(c.name for c in table.columns if not c.nullable)}
         present = [c.name for c in table.columns if c.name in actual]
-        row = df.agg(F.count(F.lit(1)).alias("rows__"), *[F.expr(f"count_if({c} IS NULL)").alias(c) for c in present])
+        row = df.agg(F.count(F.lit(1)).alias("rows__"), *[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in present])
         entries = []
         for i, (declared, field) in enumerate(zip(table.columns, table.schema.fields), start=1):
             position, kind = actual.get(declared.name, (0, None))
-            nulls = declared.name if kind else "rows__"
+            nulls = quoted(declared.name) if kind else "rows__"
             matches = position == i and kind == field.dataType
             entries.append({
                 "table_name": text(table.name),

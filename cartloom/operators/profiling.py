@@ -52,11 +52,16 @@ def outside_envelope(tables: dict[str, DataFrame], first: Column, end: Column) -
         columns = timestamp_columns(df)
         if not columns:
             continue
-        row = df.agg(*[F.count_if((F.col(c) < first) | (F.col(c) >= end)).alias(c) for c in columns])
-        frames.append(unpivot(row, [{"column_name": text(f"{name}.{c}"), "violations": c} for c in columns]))
+        row = df.agg(*[F.count_if((F.col(quoted(c)) < first) | (F.col(quoted(c)) >= end)).alias(c) for c in columns])
+        frames.append(unpivot(row, [{"column_name": text(f"{name}.{c}"), "violations": quoted(c)} for c in columns]))
     return union_all(frames)
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL reads it, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all([
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
@@ -68,8 +73,8 @@ def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(column_name, nulls) of every column of every table."""
     frames = []
     for name, df in sorted(tables.items()):
-        row = df.agg(*[F.expr(f"count_if({c} IS NULL)").alias(c) for c in df.columns])
-        frames.append(unpivot(row, [{"column_name": text(f"{name}.{c}"), "nulls": c} for c in df.columns]))
+        row = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(c) for c in df.columns])
+        frames.append(unpivot(row, [{"column_name": text(f"{name}.{c}"), "nulls": quoted(c)} for c in df.columns]))
     return union_all(frames)
 
 

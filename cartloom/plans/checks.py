@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartloom.contract import verify
 from cartloom.operators import commerce, keys, ordered
 from cartloom.operators.profiling import date_ranges as date_ranges_of
-from cartloom.operators.profiling import facts, frequencies, outside_envelope, union_all
+from cartloom.operators.profiling import facts, frequencies, outside_envelope, text, union_all, unpivot
 from cartloom.operators.profiling import null_counts as null_counts_of
 from cartloom.operators.profiling import row_counts as row_counts_of
 from cartloom.operators.skew import lookup
@@ -167,12 +167,18 @@ SELECT '{c}.{f} -> {p}.{k}' AS relation, count(*) AS orphan_keys, coalesce(sum(n
 FROM (SELECT {f}, count(*) AS n FROM {c} WHERE {f} IS NOT NULL AND {f} NOT IN (SELECT {k} FROM {p} WHERE {k} IS NOT NULL) GROUP BY {f})"""
     for c, f, p, k in RELATIONS))
 def fk_orphans(spark, folder):
-    return union_all([
-        keys.orphans(table(spark, folder, c), f, table(spark, folder, p), k, unique_parent=p != "lineitem").agg(
-            F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphan_rows")
-        ).select(F.lit(f"{c}.{f} -> {p}.{k}").alias("relation"), "orphan_keys", "orphan_rows")
-        for c, f, p, k in RELATIONS
-    ])
+    """All references to a parent are answered by one grouping of its keys and those of its children; nothing is joined."""
+    parents = dict.fromkeys((p, k) for _, _, p, k in RELATIONS)
+    found = []
+    for p, k in parents:
+        children = [(c, f) for c, f, parent, key in RELATIONS if (parent, key) == (p, k)]
+        profile = keys.reference_profile(table(spark, folder, p), k, [(table(spark, folder, c), f) for c, f in children])
+        sums = [expression for i in range(len(children)) for expression in (
+            F.count_if((F.col("in_parent") == 0) & (F.col(f"in_child_{i}") > 0)).alias(f"keys_{i}"),
+            F.coalesce(F.sum(F.when(F.col("in_parent") == 0, F.col(f"in_child_{i}"))), F.lit(0)).alias(f"rows_{i}"))]
+        found.append(unpivot(profile.agg(*sums), [
+            {"relation": text(f"{c}.{f} -> {p}.{k}"), "orphan_keys": f"keys_{i}", "orphan_rows": f"rows_{i}"} for i, (c, f) in enumerate(children)]))
+    return union_all(found)
 
 
 # parent table, primary key, child table, foreign key

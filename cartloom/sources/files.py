@@ -3,18 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def money(df: DataFrame, *columns: str) -> DataFrame:
-    """Cast amounts stored as double to decimal(12,2), so that sums are exact."""
-    return df.withColumns({c: F.col(c).cast("decimal(12,2)") for c in columns})
-
-
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """CSV with a header into declared types; a malformed line is an error, nothing is inferred."""
     return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False)

@@ -163,3 +163,8 @@ def test_date_ranges_of_published_data(shop):
     assert ranges["orders.created_at"] == ("2024-01-01 04:00:00", "2024-12-31 23:30:00")
     assert ranges["shipments.delivered_at"] == ("2024-01-04 04:00:00", "2025-01-03 23:30:00")
     assert len(ranges) == 8
+
+
+def test_odd_column_names_are_quoted(spark):
+    odd = spark.createDataFrame([(1, None), (None, None)], "`select` int, `a.b ``c` string")
+    assert {tuple(r) for r in profiling.null_counts({"t": odd}).collect()} == {("t.select", 1), ("t.a.b `c", 2)}
