@@ -3,13 +3,16 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. Two documents link when
 ``100 * intersection >= percent * union``, by whole numbers. The stages:
 
-1. How often each shingle occurs is counted over all documents in a table of ``COUNTERS`` hashed counters, summed
-   by slices: 8 MB whatever the input, so it can be broadcast. The order of all shingles is (counter, hash).
-   Counters may hold several shingles; that costs candidates, never results, as any total order is right.
-2. Documents with equal sets are one class, named by the smallest doc_id.
-3. Of each class the rarest shingles are indexed: a linked pair shares at least one of the first
-   ``n - ceil(percent * n / 100) + 1`` of both sets. Classes that share one are tied to the smallest class with it, so a
-   shingle of any number of classes gives as many rows; tied classes are a neighbourhood (``components``).
+1. Documents with equal sequences of words are one class, named by the smallest doc_id; the rest is about classes.
+2. Rarity is exact where it matters most: whether any other class holds a shingle. Tasks ask in chunks of about
+   ``CHUNK_TOKENS`` distinct shingles, each cut by ranges of the hash; a task per range counts what all chunks hold and
+   answers one bit for each shingle asked for. A shingle is asked for once per chunk, however many documents hold it.
+   (Hashes of 40 bits serve here; where two coincide, a shingle may pass for shared, which costs candidates only.)
+   Shared shingles are ordered by a table of ``COUNTERS`` hashed counters over all classes, 8 MB whatever the input.
+   The order of all shingles is (shared, counter, hash). Results don't depend on it, as any total order is right.
+3. A linked pair shares at least one of the first ``n - ceil(percent * n / 100) + 1`` of both sets. Of this
+   prefix the shared shingles are indexed; others can't match. Classes that hold the same are tied to the smallest of
+   them, so a shingle of any number of classes gives as many rows; tied classes are a neighbourhood (``components``).
 4. Neighbourhoods are dealt over cells. One of more than ``CELL_CLASSES`` classes or ``CELL_SHINGLES`` shingles is
    split into parts, and each pair of parts is a cell, so no task gets more than two parts.
 5. Within a cell, prefix shingles are joined, and a pair passes the length filter, the positional filter at its first
@@ -18,6 +21,8 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Two docu
    need no count. A cell returns a tree for each component, never pairs.
 6. Components of the trees are the result.
 
+Stages 2 and 3 pass over the same rows in the same order, which holds for files; other inputs are written first.
+
 Defined cases: texts that are null or without words have an empty set and link with nothing; rows that share a doc_id
 count as one document, whose component is that of all its rows; a row with a null doc_id takes no part, and its
 component is null. Of equal rows all are returned. An empty table gives no rows.
@@ -25,22 +30,28 @@ component is null. Of equal rows all are returned. An empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import beside, materialized, table
+from cartloom.llm.common import beside, materialized, plan_bytes, shared_folder, slices, table
 from cartloom.llm.components import components
 from cartloom.llm.shingles import parts_of
 from cartloom.session import cut_lineage
 
 COUNTERS = 1 << 21
 SLICES = 64
+CHUNK_TOKENS = 3 << 20
+RANGE_TOKENS = 1 << 20
+TOKEN_BITS = 40
 CELL_CLASSES = 1024
 CELL_SHINGLES = 1 << 20
 PARTS = 16
@@ -55,43 +66,120 @@ def least_overlap(a: np.ndarray, b: int, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def occurrence_counts(docs: DataFrame, size: int) -> np.ndarray:
-    """The table of counters over all of ``docs`` (text)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.uint32)
-        seen = False
-        for _, found in parts_of(batches, size):
-            seen = True
-            flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
+def _digest(text: str | None) -> bytes | None:
+    """Of the sequence of words; None without words."""
+    words = b" ".join((text or "").encode("utf-8").lower().split())
+    return xxhash.xxh3_128_digest(words) if words else None
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int, name: bool = False) -> Iterator[tuple[list, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Runs of documents with about ``CHUNK_TOKENS`` shingles: (doc id, digest if asked for), their distinct shingles,
+    and the distinct tokens of all with the number of documents of the run that hold each."""
+    ids, sets, held = [], [], 0
+
+    def done() -> tuple:
+        flat = np.concatenate(sets) >> np.uint64(64 - TOKEN_BITS)
+        return ids, sets, *np.unique(flat, return_counts=True)
+
+    for part, found in parts_of(batches, size):
+        texts = part.column("text").to_pylist() if name else [None] * len(part)
+        ids += [(i, _digest(t)) for i, t in zip(part.column("doc_id").to_pylist(), texts)]
+        sets += [np.unique(x) for x in found]
+        held += sum(map(len, found))
+        if held >= CHUNK_TOKENS:
+            yield done()
+            ids, sets, held = [], [], 0
+    if ids:
+        yield done()
+
+
+def _answer_path(folder: str, task: int, chunk: int) -> tuple[pyarrow.fs.FileSystem, str]:
+    store, root = pyarrow.fs.FileSystem.from_uri(folder)
+    return store, f"{root}/task-{task:08d}-{chunk:06d}"
+
+
+def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
+    """The folder of the answers for every chunk of ``docs`` (doc_id, text), and the table of counters."""
+    bits = max(8, (plan_bytes(docs) // 4 // RANGE_TOKENS).bit_length()) if plan_bytes(docs) < 1 << 60 else 8
+    bits = min(bits, 20)
+    folder = shared_folder(docs.sparkSession, "shared-shingles")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, total = TaskContext.get().partitionId(), np.zeros(COUNTERS, np.uint32)
+        names = ["task", "chunk", "range", "data"]
+        for chunk, (_, sets, tokens, _) in enumerate(_chunks(batches, size)):
+            low = (tokens & np.uint64((1 << (TOKEN_BITS - bits)) - 1)).astype(np.uint32)
+            cuts = np.searchsorted(tokens, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(TOKEN_BITS - bits))
+            data = [x.tobytes() for x in np.split(low, cuts)]
+            n = len(data)
+            yield pa.RecordBatch.from_arrays([pa.array([task] * n, pa.int32()), pa.array([chunk] * n, pa.int32()),
+                                              pa.array(range(n), pa.int32()), pa.array(data, pa.binary())], names=names)
+            flat = np.concatenate(sets)
             total += np.bincount((flat & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.split(total, SLICES)], pa.binary())],
-                names=["slice", "counts"])
+        if total.any():  # counters go with the questions, under ranges of their own
+            data = [zlib.compress(x.tobytes(), 1) for x in np.split(total, SLICES)]
+            yield pa.RecordBatch.from_arrays([pa.array([task] * SLICES, pa.int32()), pa.array([-1] * SLICES, pa.int32()),
+                                              pa.array([-1 - k for k in range(SLICES)], pa.int32()), pa.array(data, pa.binary())], names=names)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, rows, total = None, [], None
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if place is None:
+                return
+            if place < 0:
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (-1, -1, place)] + [pa.array([total.astype(np.uint32).tobytes()], pa.binary())],
+                                                 names=["task", "chunk", "range", "data"])
+                return
+            parts = [np.frombuffer(data, np.uint32) for _, _, data in rows]
+            _, where, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+            shared = np.split(counts[where] > 1, np.cumsum([len(x) for x in parts])[:-1])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([t for t, _, _ in rows], pa.int32()), pa.array([c for _, c, _ in rows], pa.int32()), pa.array([place] * len(rows), pa.int32()),
+                pa.array([len(x).to_bytes(4, "little") + np.packbits(x).tobytes() for x in shared], pa.binary())], names=["task", "chunk", "range", "data"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k, data in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-                own = np.frombuffer(data, np.uint32).astype(np.uint64)
-                sums[k] = np.minimum(sums.get(k, np.zeros(len(own), np.uint64)) + own, np.uint64(2**32 - 1))
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([x.astype(np.uint32).tobytes() for x in sums.values()], pa.binary())],
-                names=["slice", "counts"])
-
-    kind = "slice int, counts binary"
-    counted = docs.select("text").mapInArrow(count, kind)
-    ways = max(1, round(docs.rdd.getNumPartitions() ** 0.5 / 4))  # a first round of sums where many tasks count
-    if ways > 1:
-        task = (F.col("slice") * ways + F.pmod(F.spark_partition_id(), F.lit(ways))).cast("int")
-        counted = counted.repartitionById(SLICES * ways, task).mapInArrow(add, kind)
-    summed = counted.repartitionById(SLICES, F.col("slice")).mapInArrow(add, kind).collect()
+            for task, chunk, range_, data in zip(*(batch.column(c).to_pylist() for c in ("task", "chunk", "range", "data"))):
+                if range_ != place:
+                    yield from close()
+                    place, rows, total = range_, [], np.zeros(COUNTERS // SLICES, np.uint64)
+                if range_ < 0:
+                    total = np.minimum(total + np.frombuffer(zlib.decompress(data), np.uint32), np.uint64(2**32 - 1))
+                else:
+                    rows.append((task, chunk, data))
+        yield from close()
+
+    def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, parts = None, []
+
+        def close() -> None:
+            if place is not None:
+                store, path = _answer_path(folder, *place)
+                store.create_dir(path.rpartition("/")[0], recursive=True)
+                draft = f"{path}.{uuid.uuid4().hex}"
+                with store.open_output_stream(draft) as file:
+                    file.write(np.packbits(np.concatenate(parts)).tobytes())
+                store.move(draft, path)
+
+        for batch in batches:
+            for task, chunk, data in zip(*(batch.column(c).to_pylist() for c in ("task", "chunk", "data"))):
+                if (task, chunk) != place:
+                    close()
+                    place, parts = (task, chunk), []
+                parts.append(np.unpackbits(np.frombuffer(data, np.uint8, offset=4))[: int.from_bytes(data[:4], "little")])
+        close()
+        yield from ()
+
+    kind = "task int, chunk int, range int, data binary"
+    reducers = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (1 << bits) // 64)
+    asked = docs.mapInArrow(ask, kind).repartition(reducers, "range").sortWithinPartitions("range", "task", "chunk")
+    answered = materialized(asked.mapInArrow(answer, kind), "shared-bits")
+    sent = answered.where("task >= 0").repartition(reducers, "task").sortWithinPartitions("task", "chunk", "range")
+    sent.mapInArrow(deliver, "task int").write.format("noop").mode("overwrite").save()
     table_ = np.zeros((SLICES, COUNTERS // SLICES), np.uint32)
-    for row in summed:
-        table_[row["slice"]] = np.frombuffer(row["counts"], np.uint32)
-    return table_.ravel()
+    for row in answered.where("task < 0").select("range", "data").collect():
+        table_[-1 - row["range"]] = np.frombuffer(row["data"], np.uint32)
+    return folder, table_.ravel()
 
 
 def _ordered(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -100,32 +188,56 @@ def _ordered(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return own[np.argsort(counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")]
 
 
-def profiles(docs: DataFrame, counts: Broadcast, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, prefix) of ``docs`` (doc_id, text)."""
+def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percent: int) -> DataFrame:
+    """(doc_id, digest, n, prefix) of ``docs`` (doc_id, text): size of the set, and the shared shingles of its prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in parts_of(batches, size):
-            sets = [_ordered(x, counts.value) for x in found]
-            digests = [xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None for x in sets]
-            prefixes = [x[: prefix_length(len(x), percent)] if len(x) else x for x in sets]
+        task = TaskContext.get().partitionId()
+        for chunk, (ids, sets, tokens, held) in enumerate(_chunks(batches, size, name=True)):
+            store, path = _answer_path(answers, task, chunk)
+            with store.open_input_file(path) as file:
+                bits = np.unpackbits(np.frombuffer(file.read(), np.uint8))
+            if len(bits) - len(tokens) not in range(8):
+                raise RuntimeError("the rows of a task changed between two passes over the input")
+            shared = (bits[: len(tokens)] > 0) | (held > 1)
+            flags = shared[np.searchsorted(tokens, np.concatenate(sets) >> np.uint64(64 - TOKEN_BITS))] if len(tokens) else shared
+            prefixes, at = [], 0
+            for own in sets:
+                mine = flags[at : at + len(own)]
+                at += len(own)
+                left = (prefix_length(len(own), percent) if len(own) else 0) - int((~mine).sum())
+                common = own[mine]
+                by = np.argsort(counts.value[(common & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")
+                prefixes.append(common[by[: max(0, left)]])
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            flat = np.concatenate(prefixes).view(np.int64) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(digests, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-            ], names=["doc_id", "n", "digest", "prefix"])
+                pa.array([i for i, _ in ids], pa.int64()), pa.array([d for _, d in ids], pa.binary()),
+                pa.array([len(x) for x in sets], pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes).view(np.int64))),
+            ], names=["doc_id", "digest", "n", "prefix"])
+
+    return docs.mapInArrow(run, "doc_id long, digest binary, n long, prefix array<long>")
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest) of the sequence of words, null without words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found = [_digest(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "digest"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, digest binary, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, digest binary")
 
 
-def neighbourhoods(profiled: DataFrame, classes: DataFrame) -> DataFrame:
+def neighbourhoods(profiled: DataFrame) -> DataFrame:
     """(class, hood, n) of classes that share a prefix shingle with another."""
-    named = profiled.join(classes.select(F.col("digest").alias("of"), F.col("class")), (F.col("digest") == F.col("of")) & (F.col("doc_id") == F.col("class")))
-    held = named.select("class", F.explode("prefix").alias("shingle"))
+    held = profiled.select(F.col("doc_id").alias("class"), F.explode("prefix").alias("shingle"))
     shared = held.groupBy(F.col("shingle").alias("own")).agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most")
     ties = held.join(shared, F.col("shingle") == F.col("own")).where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b"))
     hoods = components(ties).select(F.col("node").alias("class"), F.col("root").alias("hood"))
-    sizes = classes.groupBy(F.col("class").alias("of")).agg(F.sum("n").alias("n"))
+    sizes = profiled.groupBy(F.col("doc_id").alias("of")).agg(F.sum("n").alias("n"))
     return cut_lineage(hoods.join(sizes, F.col("class") == F.col("of")).select("class", "hood", "n"))
 
 
@@ -230,23 +342,37 @@ def _trees(docs: DataFrame, members: DataFrame, counts: Broadcast, size: int, pe
 
 def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counts = docs.sparkSession.sparkContext.broadcast(occurrence_counts(docs, size))
-    profiled = materialized(profiles(docs, counts, size, percent), "shingle-prefixes")
-    rows = profiled.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = cut_lineage(rows.groupBy("digest").agg(F.min("doc_id").alias("class"), F.max("n").alias("n")))
-    members = neighbourhoods(rows, classes)
-    edges = _trees(docs.where("doc_id IS NOT NULL"), members, counts, size, percent)
+    if not docs.inputFiles():
+        docs = materialized(docs, "documents")
+    rows = materialized(digests(docs), "word-digests")
+    known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
+    classes = cut_lineage(known.groupBy("digest").agg(F.min("doc_id").alias("class")))
+    # a doc_id whose every row has the words of a smaller doc_id needs no set of its own
+    named = known.join(classes.select(F.col("digest").alias("of"), "class"), F.col("digest") == F.col("of"))
+    places = named.groupBy("doc_id").agg(F.min("class").alias("a"), F.max("class").alias("b"), F.count("*").alias("rows"))
+    places = cut_lineage(places)
+    copies = cut_lineage(places.where("b < doc_id").select(F.col("doc_id").alias("copy_id")))
+    first = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    small = copies.count() <= 1 << 20
+    first = first.join(F.broadcast(copies) if small else copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
+    if not small:
+        first = materialized(first, "first-documents")
+    answers, table_ = rarity(first, size)
+    counts = spark.sparkContext.broadcast(table_)
+    profiled = materialized(profiles(first, answers, counts, size, percent), "shingle-prefixes")
+    edges = _trees(first, neighbourhoods(profiled), counts, size, percent)
     # rows that share a doc_id tie the classes of their texts
-    repeated = rows.join(classes.select(F.col("digest").alias("of"), "class"), F.col("digest") == F.col("of")).where("doc_id <> class")
-    several = repeated.groupBy("doc_id").agg(F.min("class").alias("b"), F.max("class").alias("a")).where("a <> b")
-    tied = repeated.join(several, "doc_id").select(F.col("class").alias("a"), "b").where("a <> b")
-    own = rows.join(classes.select(F.col("digest").alias("of"), "class"), F.col("digest") == F.col("of")).where("doc_id <> class").join(
-        classes.select(F.col("class").alias("a")).distinct(), F.col("doc_id") == F.col("a")).select("a", F.col("class").alias("b"))
-    roots = components(edges.union(tied).union(own))
-    named = classes.join(roots, F.col("class") == F.col("node"), "left").select(F.col("digest").alias("of"), F.coalesce("root", "class").alias("component"))
-    found = profiled.join(named, F.col("digest") == F.col("of"), "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    several = places.where("a < b OR (a < doc_id AND rows > 1)").select("doc_id")
+    tied = named.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b")).where("a <> b")
+    roots = components(edges.union(tied))
+    sizes = profiled.where("digest IS NOT NULL").groupBy(F.col("digest").alias("sized")).agg(F.max("n").alias("n"))
+    final = classes.join(roots, F.col("class") == F.col("node"), "left").join(sizes, F.col("digest") == F.col("sized"), "left").select(
+        F.col("digest").alias("of"), F.coalesce("root", "class").alias("component"), "n")
+    found = rows.join(final, F.col("digest") == F.col("of"), "left")
+    return found.select("doc_id", F.coalesce("n", F.lit(0)).alias("n_shingles"),
+                        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def representatives(docs: DataFrame, size: int, percent: int) -> DataFrame:
