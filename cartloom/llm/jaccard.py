@@ -49,7 +49,7 @@ from cartloom.session import cut_lineage
 
 COUNTERS = 1 << 21
 SLICES = 64
-CHUNK_TOKENS = 3 << 20
+CHUNK_TOKENS = 1 << 20
 RANGE_TOKENS = 1 << 20
 TOKEN_BITS = 40
 CELL_CLASSES = 1024

@@ -72,7 +72,7 @@ def shingle_hashes(texts: list[str | None], size: int) -> list[np.ndarray]:
 
 
 def parts_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Bounded pieces of batches with the shingles of their texts."""
+    """Bounded pieces of batches with the shingles of their texts; hashing takes about forty bytes a byte of text."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, most=1 << 20):
             yield part, shingle_hashes(part.column("text").to_pylist(), size)
