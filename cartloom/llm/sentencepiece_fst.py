@@ -32,6 +32,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece
 UNIGRAM, BPE = 1, 2  # model types of the file format
 NEVER = np.int64(1 << 40)
 START = -1
-CACHED_UNITS = 1_000_000
+CACHED_UNITS = 500_000
 BLOCK_CHARS = 1 << 18
 
 
@@ -376,13 +377,15 @@ class Transducer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.units(t) for t in texts]
-        if len(self.known) > CACHED_UNITS:
-            self.known = {}
-        new = list({u for units in cut for u in units}.difference(self.known))
+        new = list(set(filterfalse(self.known.__contains__, chain.from_iterable(cut))))
         if new:
             self._learn(new)
         get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, units)), "<u4") for units in cut]
+        found = [np.frombuffer(b"".join(map(get, units)), "<u4") for units in cut]
+        if len(self.known) > CACHED_UNITS:  # the units met first are the frequent ones, and stay
+            for unit in new:
+                del self.known[unit]
+        return found
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.texts.__getitem__, ids.tolist())).decode("utf-8", "replace")
