@@ -6,7 +6,7 @@ chunk and are max-pooled in it. The document takes the mean and the maximum of i
 logistic unit combines them into a probability. For speed the weights of neighbouring places are added up in
 advance, so a filter costs one lookup for every two bytes of its width.
 
-Training is plain stochastic gradient descent with Adam. Gradients of the filters only touch the places where
+Training is plain stochastic gradient descent with Adam, on whole texts and on short pieces of some good ones. Gradients of the filters only touch the places where
 a maximum was found. It runs on a bounded sample: at most ``SAMPLE_PER_CLASS`` documents of each class,
 chosen by a hash of their ids, and at most ``SAMPLE_BYTES`` of text.
 
@@ -31,11 +31,12 @@ from cartloom.llm.common import slices, table
 CHUNK = 256
 STEP = CHUNK // 2
 WIDTH = 6
-FILTERS = 16
+FILTERS = 32
 SAMPLE_PER_CLASS = 1500
 SAMPLE_BYTES = 24 << 20
 EPOCHS = 12
 LEAST_STEPS = 400
+SNIPPETS_EVERY = 4
 BATCH = 32
 RATE = 0.02
 THRESHOLD = 0.3
@@ -103,6 +104,13 @@ class Network:
             self.constant = float(good.mean()) if len(good) else 1.0
             return
         draw = np.random.default_rng(seed)
+        # every few good texts also give a short piece, as short good documents are rare in a sample
+        pieces = []
+        for text in [t for t, g in zip(texts, labels) if g][::SNIPPETS_EVERY]:
+            size, words = int(draw.integers(15, 120)), text.split(b" ")
+            first = int(draw.integers(0, len(words)))
+            pieces.append(b" ".join(words[first : first + 1 + size // 6]))
+        texts, good = [*texts, *pieces], np.append(good, np.ones(len(pieces)))
         moments = [np.zeros_like(x) for x in (self.filters, self.filters, self.out, self.out)]
         step = 0
         epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // len(texts)))  # a small sample is passed more often
