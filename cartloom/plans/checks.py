@@ -421,3 +421,9 @@ def edge_case_report(spark, folder):
 SELECT {', '.join(LINE_KEY)}, row_number() OVER (ORDER BY {', '.join(LINE_KEY)}) AS row_number FROM lineitem""")
 def dense_row_number(spark, folder):
     return ordered.dense_row_number(table(spark, folder, "lineitem").select(*LINE_KEY), LINE_KEY)
+
+
+@QUERIES.add("dense_row_number_cut", QUERIES["dense_row_number"].sql)
+def dense_row_number_cut(spark, folder):
+    """The same numbering with the one group of all lines cut every few thousand rows, as in large tables."""
+    return ordered.dense_row_number(table(spark, folder, "lineitem").select(*LINE_KEY), LINE_KEY, task_rows=5_000)
