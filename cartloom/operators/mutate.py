@@ -184,11 +184,12 @@ def batch(changes: dict[str, DataFrame], contract: Contract, tables: dict[str, D
 def upsert(changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame]) -> Outcome:
     """Apply inserts and updates that break no rule.
 
-    The verdict is written once to the checkpoint folder, because both results need it. The current table
+    The change set and the verdict are written once to the checkpoint folder, as both results need them. The current table
     is only filtered by the accepted keys, with a broadcast when the change set is small, so a small change
     set does not shuffle a large table.
     """
     key = list(table.primary_key)
+    changes = cut_lineage(changes)  # every rule reads the set; it is computed once
     hint = _Hint(changes)
     rejected = cut_lineage(screen(changes, table, current, parents, hint))
     # A row whose key is NULL cannot be matched by an equi-join; it always breaks not_null.
