@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,7 +18,19 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
 
+def reach(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if they don't have it on their path anyway.
+
+    On a cluster whose machines don't share that place, the submitter ships the package (``--py-files``).
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -27,6 +41,7 @@ def plan_bytes(df: DataFrame) -> int:
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the shared checkpoint folder, as a URI that every executor can open."""
+    reach(spark)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         cut_lineage(spark.range(1))
