@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.llm import decontaminate, jaccard, line_dedup, quality, sentencepiece_fst
-from cartloom.llm.common import materialized, table
+from cartloom.llm.common import materialized, reach, table
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -52,6 +52,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     import public_tokenizers
 
+    reach(spark)
     return sentencepiece_fst.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
