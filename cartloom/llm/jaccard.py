@@ -52,7 +52,7 @@ SLICES = 64
 CHUNK_TOKENS = 1 << 20
 RANGE_TOKENS = 1 << 20
 TOKEN_BITS = 40
-CELL_CLASSES = 1024
+CELL_CLASSES = 256
 CELL_SHINGLES = 1 << 20
 PARTS = 16
 
