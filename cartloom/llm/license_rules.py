@@ -1,12 +1,15 @@
 """Signatures of licences, over texts reduced to lower-case words with single spaces.
 
-Each family has a label, a keyword that every text with one of its signatures holds, the pattern of its name, and
-the pattern of its short identifier. ``RULES`` derives from each family, in falling priority: the tagged identifier,
-a grant under the name, the name itself, and a link to the text. Hand-written rules of single licences follow.
+Each family has a label, a keyword that every match of its name holds, the pattern of its name, and the pattern of
+its short identifier. ``RULES`` derives from each family, in falling priority: the tagged identifier,
+a grant under the name, the name itself, and a link to the text. Hand-written rules of single licences follow; every
+match of one holds its keyword too. ``GATES`` derives from all: every match of every rule holds one of them.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 # label | keyword | name | identifier
@@ -20,7 +23,7 @@ agpl | affero general public license | (gnu )?affero general public license( (ve
 gfdl | free documentation license | (gnu )?free documentation license( (version |v)\\d( \\d)?)? | gfdl ?\\d( \\d)?
 apache | apache | apache (software )?licen[sc]e( (version |v)?\\d( \\d)?)? | apache ?\\d( \\d)?
 apache-2 | apache | apache (software )?licen[sc]e (version |v)?2( 0)? | apache ?2( 0)?
-mit | mit | (the )?(mit|expat) licen[sc]e | mit( 0)?
+mit | licen | (the )?(mit|expat) licen[sc]e | mit( 0)?
 x11 | x11 | x11 licen[sc]e | x11
 bsd | bsd | (\\w+ clause )?bsd( style)? licen[sc]e | bsd ?\\d clause
 bsd-2 | bsd | (bsd (2|two) clause|(2|two) clause bsd|simplified bsd|freebsd) licen[sc]e | bsd ?2 clause
@@ -111,9 +114,9 @@ bsd | redistribution and use | redistribution and use in source and binary forms
 bsd-3 | endorse or promote | neither the names? of .{1,80}? (be used|may be used) to endorse or promote products | 0.9
 isc | permission to use copy modify | permission to use copy modify and( or)? distribute this software for any purpose with or without fee | 0.95
 zlib | provided as is without any express | this software is provided as is without any express or implied warranty in no event will the authors | 0.9
-gpl | free software foundation | you can redistribute it and or modify it under the terms of the gnu (lesser |affero )?general public license | 0.95
+gpl | you can redistribute it and or modify | you can redistribute it and or modify it under the terms of the gnu (lesser |affero )?general public license | 0.95
 apache-2 | limitations under the license | see the license for the specific language governing permissions and limitations under the license | 0.95
-apache-2 | http www apache org | (https? )?www apache org licenses license 2 0 | 0.9
+apache-2 | www apache org | (https? )?www apache org licenses license 2 0 | 0.9
 mpl | mozilla org mpl | (https? )?(www )?mozilla org mpl( \\d \\d)? | 0.9
 gpl | gnu org licenses | (https? )?(www )?gnu org licenses( old licenses)? (a?l?gpl|fdl)( \\d \\d)? | 0.9
 cc-by | creativecommons org licenses by | (https? )?(www )?creativecommons org licenses by( \\d \\d)? | 0.9
@@ -129,11 +132,48 @@ public-domain | public domain | (dedicated|released|placed|donated) (in|in ?to)
 wtfpl | you just do what | you just do what the \\w+ you want to | 0.9
 proprietary | all rights reserved | (copyright .{1,60}? )?all rights reserved | 0.4
 proprietary | proprietary and confidential | proprietary and confidential | 0.7
-proprietary | may not be reproduced | (may|must) not be (copied|reproduced)( or)? .{1,60}? without (the )?(prior |express )?(written )?permission | 0.6
+proprietary | permission | (may|must) not be (copied|reproduced)( or)? .{1,60}? without (the )?(prior |express )?(written )?permission | 0.6
 """
 
-GATES = ("licen", "spdx", "public domain", "rights reserved", "confidential", "permission", "redistribut", "creative commons",
-         "creativecommons", "cc by", "cc0", "open source", "terms of", "copyright", "endorse or", "org mpl", "free software", "you just do", "attribution", "commons clause", "notice and disclaimer")
+# words that many rules share; GATES adds the keywords of the other rules
+COMMON = ("licen", "spdx", "public domain", "rights reserved", "confidential", "permission", "redistribut", "creative commons",
+          "creativecommons", "cc by", "cc0", "open source", "terms of", "copyright", "endorse or", "org mpl", "free software", "you just do", "attribution", "commons clause", "notice and disclaimer")
+UNKNOWN = "\0"  # stands for what a match may hold at a place, and is part of no literal
+TOKEN = re.compile(r"\[[^]]*\]|\\.|[().|]|[^\\\[().|?*+{]")
+TIMES = re.compile(r"[?*+]\??|\{\d+(,\d*)?\}\??")
+
+
+def forms(pattern: str) -> list[str]:
+    """Strings that stand for all matches of ``pattern``: literal where a match is, UNKNOWN elsewhere."""
+
+    def either(at: int) -> tuple[list[str], int]:
+        done, now = [], [""]
+        while at < len(pattern) and pattern[at] != ")":
+            if pattern[at] == "|":
+                done, now, at = done + now, [""], at + 1
+                continue
+            token = TOKEN.match(pattern, at)[0]
+            if token == "(":
+                own, at = either(at + 1)
+                at += 1
+            else:
+                own, at = [UNKNOWN if token[0] in "[\\." else token], at + len(token)
+            times = TIMES.match(pattern, at)
+            if times:
+                at = times.end()
+                own = ["", *own] if times[0] == "?" else [UNKNOWN] if times[0][0] == "+" else ["", UNKNOWN]
+            now = list(dict.fromkeys(a + b for a in now for b in own))
+        return done + now, at
+
+    found, end = either(0)
+    if end < len(pattern):
+        raise ValueError(f"unbalanced pattern: {pattern}")
+    return found
+
+
+def implied(pattern: str, words: Iterable[str]) -> bool:
+    """Whether every match of ``pattern`` holds one of ``words``."""
+    return all(any(w in form for w in words) for form in forms(pattern))
 
 
 @dataclass(frozen=True)
@@ -143,6 +183,7 @@ class Rule:
     keyword: str
     pattern: str
     weight: float
+    core: str  # a part of the pattern that every match holds
 
 
 def _derived() -> list[Rule]:
@@ -150,10 +191,10 @@ def _derived() -> list[Rule]:
     for line in FAMILIES.strip().splitlines():
         label, keyword, name, short = (x.strip() for x in line.split(" | "))
         rules += [
-            Rule(1, label, "spdx license identifier", f"spdx license identifier {short}", 1.0),
-            Rule(2, label, keyword, f"(licensed|released|distributed|available|published|provided|made available|shared) (under|according to|subject to)( the)?( terms( and conditions)? of)?( the)? {name}", 0.95),
-            Rule(3, label, keyword, name, 0.8),
-            Rule(4, label, "licen", f"licen[sc]e[ds]?( (is|under|type|name|id|the))* {short}", 0.6),
+            Rule(1, label, "spdx license identifier", f"spdx license identifier {short}", 1.0, "spdx license identifier"),
+            Rule(2, label, keyword, f"(licensed|released|distributed|available|published|provided|made available|shared) (under|according to|subject to)( the)?( terms( and conditions)? of)?( the)? {name}", 0.95, name),
+            Rule(3, label, keyword, name, 0.8, name),
+            Rule(4, label, "licen", f"licen[sc]e[ds]?( (is|under|type|name|id|the))* {short}", 0.6, "licen[sc]e"),
         ]
     return rules
 
@@ -162,8 +203,9 @@ def _single() -> list[Rule]:
     rules = []
     for line in SINGLE.strip().splitlines():
         label, keyword, pattern, weight = (x.strip() for x in line.split(" | "))
-        rules.append(Rule(2, label, keyword, pattern, float(weight)))
+        rules.append(Rule(2, label, keyword, pattern, float(weight), pattern))
     return rules
 
 
 RULES = tuple(_derived() + _single())
+GATES = (*COMMON, *dict.fromkeys(r.keyword for r in RULES if not implied(r.core, COMMON)))
