@@ -7,8 +7,10 @@ logistic unit combines them into a probability. For speed the weights of neighbo
 advance, so a filter costs one lookup for every two bytes of its width.
 
 Training is plain stochastic gradient descent with Adam, on whole texts and on short pieces of some good ones. Gradients of the filters only touch the places where
-a maximum was found. It runs on a bounded sample: at most ``SAMPLE_PER_CLASS`` documents of each class,
-chosen by a hash of their ids, and at most ``SAMPLE_BYTES`` of text.
+a maximum was found. It runs on a bounded sample: at most ``SAMPLE_PER_CLASS`` rows of each class,
+chosen by a hash of their ids, and at most ``SAMPLE_BYTES`` of text, of which each class has half and what the other
+leaves. Of a longer text the sample holds the first ``LONGEST`` bytes, so that no text fills it alone and
+every class with a labelled row is learned. Scores are of whole texts always.
 
 Defined cases: a null text is an empty one, and an empty text is one chunk of zero bytes, which has a score like any other.
 With no labelled row, or rows of one class only, every score is the share of good rows (1 if there are none), so
@@ -34,6 +36,7 @@ WIDTH = 6
 FILTERS = 32
 SAMPLE_PER_CLASS = 1500
 SAMPLE_BYTES = 24 << 20
+LONGEST = 1 << 16
 EPOCHS = 12
 LEAST_STEPS = 400
 SNIPPETS_EVERY = 4
@@ -156,11 +159,18 @@ def train(docs: DataFrame, labels: DataFrame, is_training: Column) -> Network:
     for quality in (0, 1):
         part = known.where(F.col("quality") == quality).orderBy("draw", "doc_id").limit(SAMPLE_PER_CLASS)
         sample = part if sample is None else sample.union(part)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
-    so_far = F.sum(F.octet_length("text")).over(Window.orderBy("draw", "doc_id", "text"))
-    rows = texts.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_BYTES).select("text", "quality", "draw").toArrow()
+    part = F.substring(F.coalesce("text", F.lit("")).cast("binary"), 1, LONGEST)
+    texts = docs.select("doc_id", part.alias("text")).join(F.broadcast(sample), "doc_id")
+    own = Window.partitionBy("quality").orderBy("draw", "doc_id", "text")
+    first = texts.withColumn("place", F.row_number().over(own)).where(F.col("place") <= SAMPLE_PER_CLASS)
+    so_far = F.sum(F.octet_length("text")).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = first.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_BYTES).select("text", "quality", "draw", "doc_id", "so_far").toArrow()
+    rows = found.sort_by([(c, "ascending") for c in ("draw", "doc_id", "text")]).to_pydict()
+    held = {q: max((n for n, k in zip(rows["so_far"], rows["quality"]) if k == q), default=0) for q in (0, 1)}
+    most = {q: max(SAMPLE_BYTES // 2, SAMPLE_BYTES - held[1 - q]) for q in (0, 1)}
+    kept = [(t, q) for t, q, n in zip(rows["text"], rows["quality"], rows["so_far"]) if n <= most[q]]
     network = Network()
-    network.fit([t.encode("utf-8") for t in rows.column("text").to_pylist()], rows.column("quality").to_pylist())
+    network.fit([t for t, _ in kept], [q for _, q in kept])
     return network
 
 
