@@ -89,7 +89,13 @@ class Layer:
 
 
 class CuckooFilter:
-    """Layers of rising size, so that a filter can grow without its keys at hand."""
+    """Layers of rising size, so that a filter can grow without its keys at hand.
+
+    A key whose fingerprint an older layer has at its place goes there too. So no held key is found in two layers, as
+    equal places in a larger layer are equal in a smaller one, and its fingerprint is taken out where it was put in.
+    Only if such an older layer is full, a key goes on to the next. Keys found in two layers then stay when they are
+    deleted: a filter may hold more than its keys, never less.
+    """
 
     def __init__(self, layers: list[Layer] | None = None) -> None:
         self.layers = layers or []
@@ -101,10 +107,15 @@ class CuckooFilter:
         return found
 
     def insert(self, words: np.ndarray) -> None:
+        """Add distinct keys that are not held."""
+        for layer in self.layers:
+            if layer is self.layers[-1] and layer.room >= len(words) and layer.insert(words):
+                return
+            there = layer.contains(words)
+            if there.any() and layer.insert(words[there]):
+                words = words[~there]
         if not len(words):
             return
-        if self.layers and self.layers[-1].room >= len(words) and self.layers[-1].insert(words):
-            return
         size = max(len(words), 2 * sum(x.table.size for x in self.layers))
         bits = max(4, int(np.ceil(np.log2(size / (0.8 * SLOTS)))))
         while True:
@@ -116,9 +127,11 @@ class CuckooFilter:
 
     def delete(self, words: np.ndarray) -> None:
         """Take out keys that were inserted."""
-        for layer in self.layers:
-            if len(words):
-                words = words[~layer.delete(words)]
+        found = np.array([layer.contains(words) for layer in self.layers])
+        if not found.size:
+            return
+        for layer, own in zip(self.layers, found & (found.sum(axis=0) == 1)):
+            layer.delete(words[own])
 
     def to_bytes(self) -> bytes:
         parts = [HEAD.pack(b"cuck", len(self.layers))]
