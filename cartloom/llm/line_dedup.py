@@ -15,6 +15,10 @@ A line's key is the line without ASCII white space at both ends, A-Z lower-cased
 filters, so lines dropped before come back when their first holder goes. ``drops`` asks the filters of repeated keys
 before the exact counts, so only references that are likely to lose lines are joined.
 
+When the keys held pass ``KEYS_PER_SHARD`` a shard, their number is raised and new filters are written from the exact
+counts, so that a shard stays a task's work. The shard that a stored row names is that of its time; reads give the
+one of now.
+
 References of a shard are spread over as many tasks as their number asks for, each with the shard's filter, so a line
 that a third of all documents hold does not meet in one task. The joins by key may be split by AQE.
 
@@ -100,6 +104,7 @@ class LineIndex:
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self.spark, self.folder = spark, folder or shared_folder(spark, "line-index")
         self.version, self.shards = 0, 0
+        self.most_keys = 0  # keys held are no more than this
         self.refs_paths: list[str] = []
         self.gone_paths: list[str] = []
         self.counts_paths: list[str] = []
@@ -116,7 +121,7 @@ class LineIndex:
 
     def refs(self) -> DataFrame:
         """References of documents that are held now."""
-        refs = self._read(self.refs_paths, "shard int, key binary, doc_id long, version int")
+        refs = self._read(self.refs_paths, "shard int, key binary, doc_id long, version int").withColumn("shard", self._shard())
         if not self.gone_paths:
             return refs
         gone = self._read(self.gone_paths, "gone_id long, gone_version int")
@@ -124,7 +129,7 @@ class LineIndex:
 
     def counts(self) -> DataFrame:
         """(shard, key, refs, first) of every key, also of those that no document holds any more (refs 0)."""
-        rows = self._read(self.counts_paths, "shard int, key binary, refs long, first long, version int")
+        rows = self._read(self.counts_paths, "shard int, key binary, refs long, first long, version int").withColumn("shard", self._shard())
         if len(self.counts_paths) < 2:
             return rows.drop("version")
         last = F.max_by(F.struct("shard", "refs", "first"), "version").alias("last")
@@ -164,10 +169,24 @@ class LineIndex:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
         return placed.mapInArrow(run, f"{schema}, maybe boolean")
 
-    def _refilter(self, changes: DataFrame) -> None:
-        """Write new filters of all shards; ``changes``: (shard, key, was, refs), a row for each changed key."""
-        fresh = {kind: f"{self.folder}/filters/{kind}-{self.version:08d}" for kind in self.filters}
-        stale, shards = dict(self.filters), self.shards
+    def _grow(self, n: int) -> None:
+        """Make room for up to ``n`` more keys: set the number of shards, and deal out the keys held if it rises."""
+        self.most_keys += n
+        if self.shards and self.most_keys > KEYS_PER_SHARD * self.shards:
+            self.most_keys = n + self.counts().where("refs > 0").count()
+        if self.shards and self.most_keys <= KEYS_PER_SHARD * self.shards:
+            return
+        self.shards = max(1, 2 * self.shards, -(-self.most_keys // KEYS_PER_SHARD))
+        if self.filters[SEEN] is not None:
+            self._refilter(self.counts().withColumn("was", F.lit(0).cast("long")), anew=True)
+
+    def _refilter(self, changes: DataFrame, anew: bool = False) -> None:
+        """Write new filters of all shards; ``changes``: (shard, key, was, refs), a row for each changed key.
+
+        With ``anew`` they hold nothing else.
+        """
+        fresh = {kind: f"{self.folder}/filters/{kind}-{self.version:08d}{'-anew' if anew else ''}" for kind in self.filters}
+        stale, shards = dict.fromkeys(self.filters) if anew else dict(self.filters), self.shards
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shard, held = None, {}
@@ -198,8 +217,7 @@ class LineIndex:
         """Add documents that the index doesn't hold."""
         self.version += 1
         found = self._write(references(docs).distinct(), "batch", [])
-        if not self.shards:
-            self.shards = max(1, -(-found.count() // KEYS_PER_SHARD))
+        self._grow(found.count())
         batch = found.select(self._shard().alias("shard"), "key", "doc_id", F.lit(self.version).alias("version"))
         batch = self._write(batch, "refs", self.refs_paths)
         counted = batch.groupBy("shard", "key").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
