@@ -21,7 +21,7 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Two docu
    need no count. A cell returns a tree for each component, never pairs.
 6. Components of the trees are the result.
 
-Stages 2 and 3 pass over the same rows in the same order, which holds for files; other inputs are written first.
+Stages 2 and 3 pass over the same rows in the same order, which holds for plain scans of files; other inputs are written first.
 
 Defined cases: texts that are null or without words have an empty set and link with nothing; rows that share a doc_id
 count as one document, whose component is that of all its rows; a row with a null doc_id takes no part, and its
@@ -93,9 +93,14 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int, name: bool = False) ->
         yield done()
 
 
-def _answer_path(folder: str, task: int, chunk: int) -> tuple[pyarrow.fs.FileSystem, str]:
+def _chunk_name(chunk: int, tokens: np.ndarray) -> str:
+    """Of the chunk's number and its tokens, so that an answer only serves the tokens that were asked for."""
+    return f"{chunk:06d}-{xxhash.xxh3_128_hexdigest(tokens.tobytes())}"
+
+
+def _answer_path(folder: str, task: int, chunk: str) -> tuple[pyarrow.fs.FileSystem, str]:
     store, root = pyarrow.fs.FileSystem.from_uri(folder)
-    return store, f"{root}/task-{task:08d}-{chunk:06d}"
+    return store, f"{root}/task-{task:08d}-{chunk}"
 
 
 def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
@@ -112,13 +117,13 @@ def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
             cuts = np.searchsorted(tokens, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(TOKEN_BITS - bits))
             data = [x.tobytes() for x in np.split(low, cuts)]
             n = len(data)
-            yield pa.RecordBatch.from_arrays([pa.array([task] * n, pa.int32()), pa.array([chunk] * n, pa.int32()),
+            yield pa.RecordBatch.from_arrays([pa.array([task] * n, pa.int32()), pa.array([_chunk_name(chunk, tokens)] * n, pa.string()),
                                               pa.array(range(n), pa.int32()), pa.array(data, pa.binary())], names=names)
             flat = np.concatenate(sets)
             total += np.bincount((flat & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
         if total.any():  # counters go with the questions, under ranges of their own
             data = [zlib.compress(x.tobytes(), 1) for x in np.split(total, SLICES)]
-            yield pa.RecordBatch.from_arrays([pa.array([task] * SLICES, pa.int32()), pa.array([-1] * SLICES, pa.int32()),
+            yield pa.RecordBatch.from_arrays([pa.array([task] * SLICES, pa.int32()), pa.array([""] * SLICES, pa.string()),
                                               pa.array([-1 - k for k in range(SLICES)], pa.int32()), pa.array(data, pa.binary())], names=names)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,14 +133,14 @@ def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
             if place is None:
                 return
             if place < 0:
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int32()) for x in (-1, -1, place)] + [pa.array([total.astype(np.uint32).tobytes()], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([""]), pa.array([place], pa.int32()), pa.array([total.astype(np.uint32).tobytes()], pa.binary())],
                                                  names=["task", "chunk", "range", "data"])
                 return
             parts = [np.frombuffer(data, np.uint32) for _, _, data in rows]
             _, where, counts = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
             shared = np.split(counts[where] > 1, np.cumsum([len(x) for x in parts])[:-1])
             yield pa.RecordBatch.from_arrays([
-                pa.array([t for t, _, _ in rows], pa.int32()), pa.array([c for _, c, _ in rows], pa.int32()), pa.array([place] * len(rows), pa.int32()),
+                pa.array([t for t, _, _ in rows], pa.int32()), pa.array([c for _, c, _ in rows], pa.string()), pa.array([place] * len(rows), pa.int32()),
                 pa.array([len(x).to_bytes(4, "little") + np.packbits(x).tobytes() for x in shared], pa.binary())], names=["task", "chunk", "range", "data"])
 
         for batch in batches:
@@ -170,7 +175,7 @@ def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
         close()
         yield from ()
 
-    kind = "task int, chunk int, range int, data binary"
+    kind = "task int, chunk string, range int, data binary"
     reducers = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (1 << bits) // 64)
     asked = docs.mapInArrow(ask, kind).repartition(reducers, "range").sortWithinPartitions("range", "task", "chunk")
     answered = materialized(asked.mapInArrow(answer, kind), "shared-bits")
@@ -194,11 +199,11 @@ def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percen
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for chunk, (ids, sets, tokens, held) in enumerate(_chunks(batches, size, name=True)):
-            store, path = _answer_path(answers, task, chunk)
+            store, path = _answer_path(answers, task, _chunk_name(chunk, tokens))
+            if store.get_file_info(path).type != pyarrow.fs.FileType.File:
+                raise RuntimeError("the rows of a task changed between two passes over the input")
             with store.open_input_file(path) as file:
                 bits = np.unpackbits(np.frombuffer(file.read(), np.uint8))
-            if len(bits) - len(tokens) not in range(8):
-                raise RuntimeError("the rows of a task changed between two passes over the input")
             shared = (bits[: len(tokens)] > 0) | (held > 1)
             flags = shared[np.searchsorted(tokens, np.concatenate(sets) >> np.uint64(64 - TOKEN_BITS))] if len(tokens) else shared
             prefixes, at = [], 0
@@ -340,11 +345,19 @@ def _trees(docs: DataFrame, members: DataFrame, counts: Broadcast, size: int, pe
     return dealt.select("hood", "low", "high", "class", "part", "shingles").mapInArrow(cells, "a long, b long")
 
 
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` reads files row by row, so that every pass gives the same rows in the same order."""
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter") and plan.deterministic():
+        plan = plan.children().head()
+    return plan.nodeName().startswith("LogicalRelation") and bool(docs.inputFiles())
+
+
 def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if not docs.inputFiles():
+    if not _plain_scan(docs):
         docs = materialized(docs, "documents")
     rows = materialized(digests(docs), "word-digests")
     known = rows.where("digest IS NOT NULL AND doc_id IS NOT NULL")
