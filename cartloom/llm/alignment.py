@@ -8,7 +8,8 @@ every A token of a group is linked to every B token of it. The decoded bytes of
 texts that either side doesn't give back have no tokens.
 
 Neither side has a token over a single space between two other characters, so plain texts are cut there into units.
-A unit's ids, groups and links don't depend on where it stands: each distinct unit is encoded and aligned once
+A mark between an ASCII letter and a space is a unit of its own, if no piece of B holds a letter and a mark after it. A
+unit's ids, groups and links don't depend on where it stands: each distinct unit is encoded and aligned once
 per worker and kept within ``KEPT_BYTES``. Texts with other white space at a space are one unit of their own.
 
 Counts over the corpus take three steps. Documents are gathered into chunks of about ``CHUNK_BYTES``; a chunk's unit
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +35,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import shared_folder, slices, table
-from cartloom.llm.units import Memory, Rows, cut, grouped, load, per_text, ranges, save
+from cartloom.llm.units import MARKS, Memory, Rows, cut, grouped, load, marked, per_text, ranges, save
 from cartloom.session import cut_lineage
 
 CHUNK_BYTES = 8 << 20
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 128 << 20
 JOINED_BYTES = 1 << 16
 MANY_LINKS = 4096  # groups of more links are kept as distinct pairs with their numbers
 SPACE = "▁"
+HOST = "a"
+CODED_MARK = 0xF8  # bytes that no text holds stand for marks that are units
+CODED = np.zeros(256, np.uint8)
+CODED[list(MARKS)] = CODED_MARK + np.arange(len(MARKS))
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -71,10 +77,21 @@ class Pair:
         inner = any(SPACE in n.lstrip(SPACE) and not self.b.is_control(i) for i, n in enumerate(names))
         self.cuttable = not inner
         self.blanks = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"] + [SPACE]
+        self.markable = not any(re.search(f"[A-Za-z][{MARKS.decode()}]", n) for n in names)
+        self.shift = len(names).bit_length()
         self.memory = Memory(KEPT_BYTES)
-        self.facts, self.links = Rows(np.int64), Rows(np.int64)  # n_a, n_b, n_groups, n_links; (pair, times) alternating
+        self.facts, self.links = Rows(np.int64), Rows(np.int64)  # n_a, n_b, n_groups, n_links; links as in `_coded`
         self.groups: list[bytes] = []
 
+    def _coded(self, a: np.ndarray, b: np.ndarray, times: np.ndarray | int) -> np.ndarray:
+        """A link and how often it occurs as one number; ids of A take at most 24 bits."""
+        return (times << (self.shift + 24)) | (a << self.shift) | b
+
+    def decoded(self, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair as id of A * 2^32 + id of B, times)."""
+        a = (links >> self.shift) & 0xFFFFFF
+        return (a << 32) | (links & ((1 << self.shift) - 1)), links >> (self.shift + 24)
+
     # One text
 
     def plain(self, text: str) -> bool:
@@ -134,18 +151,16 @@ class Pair:
         plain_ones = np.where(products <= MANY_LINKS, products, 0)
         owner = np.repeat(np.arange(n), plain_ones)
         at = ranges(np.zeros(n, np.int64), plain_ones)
-        keys = (a[a_from[owner] + at // nb[owner]] << 32) | b[b_from[owner] + at % nb[owner]]
-        times = np.ones(len(keys), np.int64)
+        links = self._coded(a[a_from[owner] + at // nb[owner]], b[b_from[owner] + at % nb[owner]], 1)
         kept = plain_ones.copy()
         for g in np.flatnonzero(products > MANY_LINKS).tolist():
             (x, cx), (y, cy) = (np.unique(s, return_counts=True) for s in (a[a_from[g] : a_from[g + 1]], b[b_from[g] : b_from[g + 1]]))
             place = int(kept[:g].sum())
-            keys = np.insert(keys, place, ((x << 32)[:, None] | y).ravel())
-            times = np.insert(times, place, (cx[:, None] * cy).ravel())
+            links = np.insert(links, place, self._coded(x[:, None], y, cx[:, None] * cy).ravel())
             kept[g] = len(x) * len(y)
         groups = np.append(0, np.cumsum(kept))
         unit_links = groups[last + 1] - groups[first_group]
-        self.links.add(np.stack([keys, times], 1).ravel(), 2 * unit_links)
+        self.links.add(links, unit_links)
         totals = [np.add.reduceat(x, first_group) for x in (na, nb, np.ones(n, np.int64), products)]
         self.facts.add(np.stack(totals, 1).ravel(), np.full(len(unit_ends), 4))
         self.groups += [";".join(shown[i : j + 1]).encode() for i, j in zip(first_group.tolist(), last.tolist())]
@@ -158,10 +173,17 @@ class Pair:
         self.groups.append(b"")
 
     def _learn(self, units: list[bytes]) -> None:
+        """Add new units in their order; neighbours are encoded together, coded marks after a letter."""
         i = 0
         while i < len(units):
+            if units[i][0] >= CODED_MARK:
+                before = self.facts.n
+                self._describe(HOST + chr(MARKS[units[i][0] - CODED_MARK]), np.array([2, 3]))
+                self._drop(before)
+                i += 1
+                continue
             j, held = i, 0
-            while j < len(units) and (j == i or held + len(units[j]) < JOINED_BYTES):
+            while j < len(units) and units[j][0] < CODED_MARK and (j == i or held + len(units[j]) < JOINED_BYTES):
                 held += len(units[j]) + 1
                 j += 1
             ends = np.cumsum([len(u) + 1 for u in units[i:j]])
@@ -171,12 +193,25 @@ class Pair:
                         self._nothing()
             i = j
 
-    def place(self, texts: list[str]) -> tuple[list[np.ndarray], tuple[int, int, int]]:
-        """(units of every text, state of the stores before); call :meth:`settle` with it once the units were used."""
-        before = self.facts.n, self.facts.used, self.links.used
+    def _drop(self, number: int) -> None:
+        """Leave out the first of the two units that were added last."""
+        for rows in (self.facts, self.links):
+            last, _ = rows.get(np.array([number + 1]))
+            rows.cut_back(number)
+            rows.add(last, np.array([len(last)]))
+        del self.groups[number]
+
+    def place(self, texts: list[str]) -> tuple[list[np.ndarray], int]:
+        """(units of every text, number of units before); call :meth:`settle` with it once the units were used."""
+        before = self.facts.n
         plain = [self.plain(t) for t in texts]
         raw = [t.encode("utf-8") for t, p in zip(texts, plain) if p]
-        units, distinct, starts = cut(np.frombuffer(b" ".join(raw), np.uint8))
+        data = np.frombuffer(b" ".join(raw), np.uint8)
+        marks = marked(data) if self.markable else None
+        if marks is not None:
+            data = data.copy()
+            data[marks] = CODED[data[marks]]
+        units, distinct, starts = cut(data, breaks=marks)
         numbers, new = self.memory.place(distinct)
         self._learn(new)
         joint = iter(np.split(numbers[units], np.cumsum(per_text(raw, starts))[:-1]) if raw else [])
@@ -190,15 +225,13 @@ class Pair:
             found.append(own)
         return found, before
 
-    def settle(self, before: tuple[int, int, int]) -> None:
-        """Keep what was learned about units since ``before``, or forget it; whole texts are always forgotten."""
-        n, facts, links = before
-        kept = n + len(self.memory.fresh)
-        new_bytes = sum(map(len, self.groups[n:kept])) + 80 * (kept - n) + 8 * int(self.links.counts[n:kept].sum())
-        if not self.memory.settle(new_bytes):
-            kept = n
-        self.facts.cut_back(kept, 4 * kept)
-        self.links.cut_back(kept, int(self.links.starts[kept - 1] + self.links.counts[kept - 1]) if kept else 0)
+    def settle(self, before: int) -> None:
+        """Keep what was learned about units since ``before``, as far as the bound goes; whole texts are always forgotten."""
+        fresh = slice(before, before + len(self.memory.fresh))
+        sizes = np.array([*map(len, self.groups[fresh])], np.int64) + 120 + 8 * self.links.counts[fresh]
+        kept = before + self.memory.settle(sizes)
+        self.facts.cut_back(kept)
+        self.links.cut_back(kept)
         del self.groups[kept:]
 
 
@@ -233,9 +266,9 @@ class _Chunk:
             self.doc_ids.append(doc_id)
             self.facts.append(np.maximum(facts, 0))
             self.digests.append(hashlib.sha256(b";".join(map(pair.groups.__getitem__, units.tolist()))).digest() if facts[0] > 0 else b"\0" * 32)
-            links = pair.links.get(units)[0].reshape(-1, 2)
-            order = np.argsort(links[:, 0], kind="stable")
-            keys, times = links[order, 0], links[order, 1]
+            keys, times = pair.decoded(pair.links.get(units)[0])
+            order = np.argsort(keys)
+            keys, times = keys[order], times[order]
             first = np.flatnonzero(np.diff(keys, prepend=-1))
             self.keys.append(keys[first])
             self.times.append(np.add.reduceat(times, first) if len(first) else times)

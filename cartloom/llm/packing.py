@@ -101,13 +101,12 @@ class Encoder:
         breaks = MARK[raw] & BLANK[after]
         breaks[1:] &= LETTER[raw[:-1]]
         units, distinct, starts = cut(raw, BLANK, breaks)
-        mark = self.rows.n, self.rows.used
+        before = self.rows.n
         numbers, new = self.memory.place(distinct)
         if new:
             self.rows.add(*self._encode([u.decode("utf-8") for u in new]))
         flat, counts = self.rows.get(numbers[units])
-        if not self.memory.settle(4 * (self.rows.used - mark[1])):
-            self.rows.cut_back(*mark)
+        self.rows.cut_back(before + self.memory.settle(4 * self.rows.counts[before : self.rows.n]))
         ends = np.append(0, np.cumsum(counts))
         return flat, np.diff(ends[np.cumsum(per_text(texts, starts))], prepend=0)
 

@@ -10,6 +10,17 @@ import pyarrow as pa
 import pyarrow.fs
 
 SPACE_ONLY = np.arange(256) == 32
+MARKS = b".,;:!?"
+_MARK = np.isin(np.arange(256), list(MARKS))
+_LETTER = np.isin(np.arange(256) & 0xDF, np.arange(65, 91)) & (np.arange(256) < 128)
+
+
+def marked(raw: np.ndarray) -> np.ndarray:
+    """Where a mark of ``MARKS`` stands between an ASCII letter and a space or the end."""
+    found = _MARK[raw] & np.append(raw[1:] == 32, True) if len(raw) else np.zeros(0, bool)
+    found[1:] &= _LETTER[raw[:-1]]
+    found[:1] = False
+    return found
 
 
 def cut(raw: np.ndarray, blank: np.ndarray = SPACE_ONLY, breaks: np.ndarray | None = None) -> tuple[np.ndarray, list[bytes], np.ndarray]:
@@ -65,8 +76,8 @@ def within(text: bytes, most: int) -> list[bytes]:
 class Memory:
     """Numbers of units, up to a bound in bytes; units met first are the frequent ones and stay.
 
-    ``place`` gives a number to every unit of a slice. Those above the bound hold for this slice: the owner calls
-    ``forget`` when it is done with it, and cuts its own store back to what ``mark`` returned before.
+    ``place`` gives a number to every unit of a slice. Those above the bound hold for this slice only: once it is done
+    with it, the owner calls ``settle`` and cuts its own store back to the units that stay.
     """
 
     ENTRY_BYTES = 160
@@ -86,15 +97,15 @@ class Memory:
             found[k] = number
         return np.array(found, np.int64), self.fresh
 
-    def settle(self, new_bytes: int) -> bool:
-        """Keep the fresh units, whose data take ``new_bytes``, or forget them; says whether they were kept."""
-        size = new_bytes + sum(map(len, self.fresh)) + self.ENTRY_BYTES * len(self.fresh)
-        kept = self.held + size <= self.most
-        if kept:
-            self.held += size
-        else:
-            for unit in self.fresh:
-                del self.numbers[unit]
+    def settle(self, sizes: np.ndarray) -> int:
+        """Keep the first of the fresh units, whose data take ``sizes`` bytes each, as far as the bound goes; says how many."""
+        if not self.fresh:
+            return 0
+        held = self.held + np.cumsum(sizes + self.ENTRY_BYTES + np.array([*map(len, self.fresh)]))
+        kept = int(np.searchsorted(held, self.most, "right"))
+        for unit in self.fresh[kept:]:
+            del self.numbers[unit]
+        self.held = int(held[kept - 1]) if kept else self.held
         self.fresh = []
         return kept
 
@@ -122,8 +133,9 @@ class Rows:
         counts = self.counts[numbers]
         return self.flat[ranges(self.starts[numbers], counts)], counts
 
-    def cut_back(self, n: int, used: int) -> None:
-        self.n, self.used = n, used
+    def cut_back(self, n: int) -> None:
+        """Keep the first ``n`` arrays."""
+        self.n, self.used = n, int(self.starts[n - 1] + self.counts[n - 1]) if n else 0
 
 
 def save(folder: str, **arrays: np.ndarray | bytes) -> str:

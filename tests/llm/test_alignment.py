@@ -8,7 +8,8 @@ from cartloom.llm import alignment
 
 TEXTS = ["", None, " ", "a  b", "x \n y", "Plain words, here", " lead", "trail ", "tab\t x", "it's 12 o'clock 's", "né à la  ça\n\nfin ",
          "<|endoftext|> a b</s><s>", "日本 語 𠀀𠀁", "e ́x", "a▁b plain words", "emoji 🧿x 🏴󠁧 ͸ y", "\r\nx", "nul \x00 x", "<0x41> <unk>",
-         "Plain words, here", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 5, "🧿🧿🧿" * 40, "Ĝh ġ é", "line\nline two\nwords, here"]
+         "Plain words, here", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 5, "🧿🧿🧿" * 40, "Ĝh ġ é", "line\nline two\nwords, here",
+         "here, there. Where? é, , x. ., so! a;", "here , there"]
 
 
 @pytest.fixture(scope="module")
@@ -105,7 +106,7 @@ def test_small_chunks_little_memory_and_large_groups(spark, paths, brute, monkey
         units, before = pair.place(texts[k : k + 5])
         for own, want in zip(units, whole[k : k + 5]):
             assert np.maximum(pair.facts.get(own)[0].reshape(-1, 4).sum(axis=0), 0).tolist() == list(want[:4])
-            assert pair.links.get(own)[0].reshape(-1, 2)[:, 1].sum() == want[3]
+            assert pair.decoded(pair.links.get(own)[0])[1].sum() == want[3]
         pair.settle(before)
     assert len(pair.memory.numbers) == pair.facts.n == len(pair.groups) < 6
     assert sys.getsizeof(pair.groups) < 10_000
