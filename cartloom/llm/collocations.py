@@ -2,7 +2,7 @@
 
 Texts are lower-cased (A-Z) and split at marks into pieces, pieces into words. A phrase is a run of words inside one piece,
 everything is per language. The phrases that occur at least ``least`` times are found in levels: words, then runs of
-two, then runs of three to ``LONGEST`` words, of which only those count whose parts survived the level before (a phrase
+two, three, and four to ``LONGEST`` words, of which only those count whose parts survived the levels before (a phrase
 is at most as frequent as any part of it, so nothing frequent is left out).
 
 First pass of a level. Documents stand in chunk files of about ``CHUNK_BYTES``. A chunk counts the hashes of its
@@ -13,8 +13,9 @@ the capacity is taken from all entries, and those at zero or below go. All that
 mass / (capacity + 1), less than ``least``; so a run that occurs ``least`` times is still held, with a count not below
 ``least`` less what was taken. All runs held with such a count survive. Each chunk is told which of its own do.
 
-Second pass. Every chunk builds the words of its surviving runs and counts them; the counts are summed by language and
-words, not by hash, and are exact. Runs that share a hash with a frequent one end here.
+Second pass. Every chunk builds the words of its surviving runs and counts them; the counts travel in slices like the
+summaries and are summed by language and words, not by hash, and are exact. Runs that share a hash with a frequent
+one end here; hashes have 48 bits, and travel as the compressed differences of their order.
 
 A partition's mass follows the corpus (``PART_MASS`` sets the number of partitions), so neither summaries nor
 the slices that wait for their answer grow with it. A phrase that every document holds is one entry per chunk.
@@ -50,18 +51,41 @@ COVER_PERCENT = 100
 CHUNK_BYTES = 8 << 20
 PART_MASS = 2 << 20
 SPARE = 4
+SPREAD = 1024
+COUNTED = ["lang", "words", "phrase", "n"]
 MARKS = b".,;:!?\n\x0b\x0c\r"
 BLANK = np.isin(np.arange(256), list(b" \t" + MARKS))
 END = np.isin(np.arange(256), list(MARKS))
-LEVELS = ((1,), (2,), tuple(range(3, LONGEST + 1)))
+LEVELS = ((1,), (2,), (3,), tuple(range(4, LONGEST + 1)))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_HASH = np.uint64(0xFFFFFFFFFFFF0000)
 _FINE = 22
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    return (x ^ (x >> np.uint64(31))) & _HASH
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers by the places of their bytes, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 8 * count, asbytes=True), np.uint8).reshape(8, count)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Hashes in ascending order."""
+    return _packed(np.diff(keys >> np.uint64(16), prepend=np.uint64(0)))
+
+
+def _unpack_keys(data: bytes, count: int) -> np.ndarray:
+    return np.cumsum(_unpacked(data, count), dtype=np.uint64) << np.uint64(16)
 
 
 def _isin(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -189,7 +213,7 @@ class _Chunk:
         self.word, self.lang, self.sequence = own["word"], own["lang"], own["sequence"]
         hashes, _ = word_hashes([b"\n".join(self.distinct)]) if self.distinct else (np.zeros(0, np.uint64), None)
         langs, _ = word_hashes([b"\n".join(n.encode("utf-8").hex().encode() + b"." for n in self.names)])
-        hashes = _mix(hashes[self.word] + _mix(langs[self.lang] + _STEP))
+        hashes = self.word_hashes = _mix(hashes[self.word] + _mix(langs[self.lang] + _STEP))
         # hash and survival of the run of each length that starts at a place
         self.hashes = {1: np.where(self.sequence >= 0, hashes[self.sequence], np.uint64(0)) if len(hashes) else np.zeros(0, np.uint64)}
         self.alive = {1: self.sequence >= 0}
@@ -227,28 +251,50 @@ class _Chunk:
             return np.unique(rows, axis=0, return_counts=True)
         return rows[first], counts
 
-    def counted(self, longest: int) -> Iterator[pa.RecordBatch]:
+    def counted(self, longest: int) -> tuple[np.ndarray, pa.Table]:
+        """(hash of every surviving run, its language, number of words, words and count)."""
         words = pa.array([w.decode("utf-8") for w in self.distinct], pa.string())
+        hashes, tables = [], []
         for size in range(1, longest + 1):
-            if size not in self.alive:
-                continue
-            rows, counts = self.phrases(size)
-            for i in range(0, len(rows), 1 << 16):
-                part = rows[i : i + (1 << 16)]
-                columns = [words.take(pa.array(self.word[part[:, k]])) for k in range(size)]
+            if size in self.alive:
+                rows, counts = self.phrases(size)
+                columns = [words.take(pa.array(self.word[rows[:, k]])) for k in range(size)]
                 shown = pc.binary_join_element_wise(*columns, " ") if size > 1 else columns[0]
-                langs = pa.array([self.names[k] for k in self.lang[part[:, 0]].tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays(
-                    [langs, pa.array(np.full(len(part), size, np.int32)), shown, pa.array(counts[i : i + (1 << 16)])], names=["lang", "words", "phrase", "n"])
+                langs = pa.array([self.names[k] for k in self.lang[rows[:, 0]].tolist()], pa.string())
+                tables.append(pa.table([langs, pa.array(np.full(len(rows), size, np.int32)), shown, pa.array(counts)], names=COUNTED))
+                hashes.append(self.run_hashes(rows))
+        return np.concatenate(hashes), pa.concat_tables(tables)
+
+    def run_hashes(self, rows: np.ndarray) -> np.ndarray:
+        """Hashes of runs given by their word numbers."""
+        found = self.word_hashes[rows[:, 0]]
+        for k in range(1, rows.shape[1]):
+            found = _mix(found * _STEP + self.word_hashes[rows[:, k]] + np.uint64(k + 1))
+        return found
+
+
+def _slices(parts: int, hashes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(hash partition, first, end) of hashes in ascending order."""
+    borders = np.searchsorted(hashes >> np.uint64(32), [-(-(p << 32) // parts) for p in range(parts + 1)]).tolist()
+    return [(p, a, b) for p, (a, b) in enumerate(zip(borders, borders[1:])) if b > a]
+
+
+def _sums(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Exact counts of the phrases of hash partitions, from ``least`` on."""
+    for _, rows in grouped(batches, "part"):
+        tables = [pa.ipc.open_stream(data).read_all() for batch in rows for data in batch.column("counted").to_pylist()]
+        summed = pa.concat_tables(tables).group_by(COUNTED[:3]).aggregate([("n", "sum")])
+        kept = summed.filter(pc.greater_equal(summed.column("n_sum"), least)).select([*COUNTED[:3], "n_sum"])
+        yield from kept.rename_columns([*COUNTED[:3], "a"]).combine_chunks().to_batches()
 
 
 def _told(rows: list[pa.RecordBatch]) -> dict[int, np.ndarray]:
     """Survivors by run length level from a chunk's answers."""
     found: dict[int, list[np.ndarray]] = {}
     for batch in rows:
-        for level, hashes in zip(batch.column("level").to_pylist(), batch.column("hashes").to_pylist()):
+        for level, n, hashes in zip(*(batch.column(c).to_pylist() for c in ("level", "n", "hashes"))):
             if level is not None:
-                found.setdefault(level, []).append(np.frombuffer(hashes, "<u8"))
+                found.setdefault(level, []).append(_unpack_keys(hashes, n))
     return {level: np.sort(np.concatenate(x)) for level, x in found.items()}
 
 
@@ -260,21 +306,20 @@ def _survivors(rows: list[pa.RecordBatch], levels: int) -> dict[int, np.ndarray]
 
 
 def _merged(batches: Iterator[pa.RecordBatch], least: int, level: int) -> Iterator[pa.RecordBatch]:
-    """Answers of hash partitions: (chunk, level, hashes) of the chunk's runs that survive."""
+    """Answers of hash partitions: the chunk's runs that survive. Slices that wait for it stay packed."""
     for _, rows in grouped(batches, "part"):
-        asked = [(chunk, np.frombuffer(keys, "<u8"), np.frombuffer(counts, "<u4").astype(np.int64))
-                 for batch in rows for chunk, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("chunk", "hashes", "counts")))]
-        mass = sum(int(counts.sum()) for _, _, counts in asked)
-        summary = Misra(max(1, SPARE * mass // least))
-        for _, keys, counts in asked:
-            summary.merge(keys, counts)
+        asked = [row for batch in rows for row in zip(*(batch.column(c).to_pylist() for c in ("chunk", "n", "mass", "hashes", "counts")))]
+        summary = Misra(max(1, SPARE * sum(mass for _, _, mass, _, _ in asked) // least))
+        for _, n, _, keys, counts in asked:
+            summary.merge(_unpack_keys(keys, n), _unpacked(counts, n).astype(np.int64))
         kept = summary.survivors(least)
-        answers = [(chunk, keys[_isin(keys, kept)]) for chunk, keys, _ in asked]
-        answers = [(chunk, keys.tobytes()) for chunk, keys in answers if len(keys)]
-        if answers:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([c for c, _ in answers]), pa.array(np.full(len(answers), level, np.int32)), pa.array([k for _, k in answers], pa.binary()),
-            ], names=["chunk", "level", "hashes"])
+        for chunk, n, _, keys, _ in asked:
+            own = _unpack_keys(keys, n)
+            own = own[_isin(own, kept)]
+            if len(own):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([chunk]), pa.array([level], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([_pack_keys(own)], pa.binary()),
+                ], names=["chunk", "level", "n", "hashes"])
 
 
 def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -283,7 +328,8 @@ def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]
     folder = shared_folder(spark, "collocations")
     written = cut_lineage(chunks(docs, folder))
     totals = written.groupBy("lang").agg(F.sum("n").alias("n"))
-    heads = written.groupBy("chunk").agg(F.lit(None).cast("int").alias("level"), F.lit(None).cast("binary").alias("hashes"))
+    heads = written.groupBy("chunk").agg(F.lit(None).cast("int").alias("level"), F.lit(0).alias("no"), F.lit(None).cast("binary").alias("hashes"))
+    heads = heads.withColumnRenamed("no", "n")
     total = written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def told(answers: list[DataFrame]) -> DataFrame:
@@ -299,28 +345,40 @@ def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]
         def ask(batches: Iterator[pa.RecordBatch], level: int = level, sizes: tuple = sizes, parts: int = parts) -> Iterator[pa.RecordBatch]:
             for chunk, rows in grouped(batches, "chunk"):
                 keys, counts = _Chunk(folder, chunk, _survivors(rows, level)).summary(sizes)
-                borders = np.searchsorted(keys >> np.uint64(32), [-(-(p << 32) // parts) for p in range(parts + 1)])
-                own = [(p, a, b) for p, (a, b) in enumerate(zip(borders.tolist(), borders[1:].tolist())) if b > a]
+                own = _slices(parts, keys)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([p for p, _, _ in own], pa.int32()), pa.array([chunk] * len(own), pa.string()),
-                    pa.array([keys[a:b].tobytes() for _, a, b in own], pa.binary()),
-                    pa.array([counts[a:b].astype("<u4").tobytes() for _, a, b in own], pa.binary()),
-                ], names=["part", "chunk", "hashes", "counts"])
+                    pa.array([b - a for _, a, b in own], pa.int32()), pa.array([int(counts[a:b].sum()) for _, a, b in own], pa.int64()),
+                    pa.array([_pack_keys(keys[a:b]) for _, a, b in own], pa.binary()),
+                    pa.array([_packed(counts[a:b]) for _, a, b in own], pa.binary()),
+                ], names=["part", "chunk", "n", "mass", "hashes", "counts"])
 
         def answer(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
             yield from _merged(batches, least, level)
 
-        asked = told(answers).mapInArrow(ask, "part int, chunk string, hashes binary, counts binary")
+        asked = told(answers).mapInArrow(ask, "part int, chunk string, n int, mass long, hashes binary, counts binary")
         placed = asked.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
-        answers.append(cut_lineage(placed.mapInArrow(answer, "chunk string, level int, hashes binary")))
+        answers.append(cut_lineage(placed.mapInArrow(answer, "chunk string, level int, n int, hashes binary")))
+
+    parts = max(1, -(-total // PART_MASS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, rows in grouped(batches, "chunk"):
-            yield from _Chunk(folder, chunk, _survivors(rows, len(LEVELS))).counted(LONGEST)
+            hashes, phrases = _Chunk(folder, chunk, _survivors(rows, len(LEVELS))).counted(LONGEST)
+            order = np.argsort(hashes)
+            phrases = phrases.take(pa.array(order))
+            for part, a, b in _slices(parts, hashes[order]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, phrases.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_table(phrases.slice(a, b - a).combine_chunks())
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["part", "counted"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _sums(batches, least)
 
-    counted = told(answers).mapInArrow(count, "lang string, words int, phrase string, n long")
-    kept = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-    return totals, cut_lineage(kept)
+    counted = told(answers).mapInArrow(count, "part int, counted binary")
+    placed = counted.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
+    return totals, cut_lineage(placed.mapInArrow(add_up, "lang string, words int, phrase string, a long"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, cover_percent: int = COVER_PERCENT) -> DataFrame:
@@ -348,8 +406,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, cover_perc
     inside = at.groupBy("lang", F.array_join(F.slice("w", F.col("i"), F.col("size")), " ").alias("phrase")).agg(F.max("a").alias("cover"))
     left = scored.join(inside, ["lang", "phrase"], "left").where(
         F.col("cover").isNull() | (F.lit(100) * F.col("cover") < F.lit(cover_percent) * F.col("a")))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    first = left.withColumn("rank", rank).where(F.col("rank") <= top)
+    order = F.desc("score"), F.desc("a"), F.asc("phrase")
+    spread = left.withColumn("bucket", F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)))  # a language may hold nearly all phrases
+    spread = spread.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy(*order))).where(F.col("rank") <= top)
+    first = spread.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return first.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
