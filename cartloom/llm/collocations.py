@@ -11,10 +11,11 @@ adds up the mass it was sent, sets a capacity of ``SPARE`` times its mass divide
 slices into one Misra-Gries summary: whenever it holds more entries than that, the count of the first entry beyond
 the capacity is taken from all entries, and those at zero or below go. All that was ever taken from an entry is at most
 mass / (capacity + 1), less than ``least``; so a run that occurs ``least`` times is still held, with a count not below
-``least`` less what was taken. All runs held with such a count survive. Each chunk is told which of its own do.
+``least`` less what was taken. All runs held with such a count survive. Each chunk is told which of its own do, and writes
+the places at which they stand beside its file, under a name that a repeated task gives again.
 
 Second pass. Every chunk builds the words of its surviving runs and counts them; the counts travel in slices like the
-summaries and are summed by language and words, not by hash, and are exact. Runs that share a hash with a frequent
+summaries and are summed by language and words, not by hash, and are exact. A task adds up the counts of its chunks before. Runs that share a hash with a frequent
 one end here; hashes have 48 bits, and travel as the compressed differences of their order.
 
 A partition's mass follows the corpus (``PART_MASS`` sets the number of partitions), so neither summaries nor
@@ -52,7 +53,9 @@ CHUNK_BYTES = 8 << 20
 PART_MASS = 2 << 20
 SPARE = 4
 SPREAD = 1024
-COUNTED = ["lang", "words", "phrase", "n"]
+TASK_WORDS = 4 << 20
+HELD_ROWS = 1_000_000
+COUNTED = ["hash", "lang", "words", "phrase", "n"]
 MARKS = b".,;:!?\n\x0b\x0c\r"
 BLANK = np.isin(np.arange(256), list(b" \t" + MARKS))
 END = np.isin(np.arange(256), list(MARKS))
@@ -202,68 +205,87 @@ def chunks(docs: DataFrame, folder: str) -> DataFrame:
 
 
 class _Chunk:
-    """A chunk file with the runs of its words that survived so far."""
+    """A chunk file with the places at which the runs stand that survived ``levels`` levels.
 
-    def __init__(self, folder: str, name: str, survivors: dict[int, np.ndarray]) -> None:
+    The answers of the last of these levels are given; what the earlier ones left is read from the state beside the file.
+    """
+
+    def __init__(self, folder: str, name: str, levels: int = 0, survivors: np.ndarray | None = None) -> None:
+        self.folder, self.name, self.levels = folder, name, levels
         own = load(folder, name)
         self.names = json.loads(own["names"].tobytes())
-        ends = np.append(0, np.cumsum(own["lengths"])).astype(np.int32)
+        ends = np.append(0, np.cumsum(own["lengths"])).tolist()
         whole = own["words"].tobytes()
-        self.distinct = [whole[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
+        self.distinct = [whole[a:b] for a, b in zip(ends, ends[1:])]
         self.word, self.lang, self.sequence = own["word"], own["lang"], own["sequence"]
         hashes, _ = word_hashes([b"\n".join(self.distinct)]) if self.distinct else (np.zeros(0, np.uint64), None)
         langs, _ = word_hashes([b"\n".join(n.encode("utf-8").hex().encode() + b"." for n in self.names)])
-        hashes = self.word_hashes = _mix(hashes[self.word] + _mix(langs[self.lang] + _STEP))
-        # hash and survival of the run of each length that starts at a place
-        self.hashes = {1: np.where(self.sequence >= 0, hashes[self.sequence], np.uint64(0)) if len(hashes) else np.zeros(0, np.uint64)}
-        self.alive = {1: self.sequence >= 0}
-        for size in sorted(survivors):
+        self.word_hashes = _mix(hashes[self.word] + _mix(langs[self.lang] + _STEP))
+        # Places at which a run of each length stands, in ascending order, and the hashes of these runs.
+        self.alive = {1: np.flatnonzero(self.sequence >= 0)}
+        self.hashes = {1: self.word_hashes[self.sequence[self.alive[1]]]}
+        if levels > 1:
+            for key, bits in load(folder, f"{name}-{levels - 1}").items():
+                self._hold(int(key), np.flatnonzero(np.unpackbits(bits, count=len(self.sequence))))
+        for size in LEVELS[levels - 1] if levels else ():
             self._extend(size)
-            self.alive[size] &= _isin(self.hashes[size], survivors[size])
+            kept = _isin(self.hashes[size], survivors)
+            self.alive[size], self.hashes[size] = self.alive[size][kept], self.hashes[size][kept]
+
+    def _hold(self, size: int, at: np.ndarray) -> None:
+        """Set the places of the runs of ``size``; those of runs one word shorter are known, and hold them all."""
+        self.alive[size] = at
+        if size == 1:
+            self.hashes[1] = self.word_hashes[self.sequence[at]]
+        else:
+            left = self.hashes[size - 1][np.searchsorted(self.alive[size - 1], at)]
+            self.hashes[size] = _mix(left * _STEP + self.word_hashes[self.sequence[at + size - 1]] + np.uint64(size))
 
     def _extend(self, size: int) -> None:
-        """Hashes of the runs of ``size`` whose parts are alive."""
-        if size == 1 or size in self.alive:
-            return
-        self._extend(size - 1)
-        left, last = self.hashes[size - 1], self.hashes[1]
-        n = max(0, len(last) - size + 1)
-        alive = np.zeros(len(last), bool)
-        tail = self.alive[2][size - 2 : size - 2 + n] if size > 2 else self.alive[1][1 : 1 + n]
-        alive[:n] = self.alive[size - 1][:n] & tail
-        hashes = np.zeros(len(last), np.uint64)
-        at = np.flatnonzero(alive)
-        hashes[at] = _mix(left[at] * _STEP + last[at + size - 1] + np.uint64(size))
-        self.alive[size], self.hashes[size] = alive, hashes
+        """Runs of ``size`` whose two parts of one word less are alive."""
+        if size > 1 and size not in self.alive:
+            self._extend(size - 1)
+            there = np.zeros(len(self.sequence) + 1, bool)
+            there[self.alive[size - 1]] = True
+            at = self.alive[size - 1]
+            self._hold(size, at[there[at + 1]])
+
+    def keep(self) -> None:
+        """Write the places that survived as the state after ``levels``."""
+        bits = {}
+        for size in (s for level in LEVELS[: self.levels] for s in level):
+            there = np.zeros(len(self.sequence), bool)
+            there[self.alive[size]] = True
+            bits[str(size)] = np.packbits(there)
+        if bits:
+            save(self.folder, f"{self.name}-{self.levels}", **bits)
 
     def summary(self, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
         """(hashes in order, counts) of the runs of ``sizes``."""
         for size in sizes:
             self._extend(size)
-        return np.unique(np.concatenate([self.hashes[s][self.alive[s]] for s in sizes]), return_counts=True)
+        return np.unique(np.concatenate([self.hashes[s] for s in sizes]), return_counts=True)
 
     def phrases(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(one row of ``size`` word numbers per distinct surviving run, counts), by their words."""
-        at = np.flatnonzero(self.alive.get(size, np.zeros(0, bool)))
+        at = self.alive[size]
         rows = np.stack([self.sequence[at + k] for k in range(size)], 1)
-        _, first, which, counts = np.unique(self.hashes[size][at] if len(at) else np.zeros(0, np.uint64), return_index=True, return_inverse=True, return_counts=True)
+        _, first, which, counts = np.unique(self.hashes[size], return_index=True, return_inverse=True, return_counts=True)
         if (rows[first][which] != rows).any():  # two runs of one hash
             return np.unique(rows, axis=0, return_counts=True)
         return rows[first], counts
 
-    def counted(self, longest: int) -> tuple[np.ndarray, pa.Table]:
-        """(hash of every surviving run, its language, number of words, words and count)."""
+    def counted(self, longest: int) -> pa.Table:
+        """(hash, language, number of words, words, count) of every surviving run."""
         words = pa.array([w.decode("utf-8") for w in self.distinct], pa.string())
-        hashes, tables = [], []
+        tables = []
         for size in range(1, longest + 1):
-            if size in self.alive:
-                rows, counts = self.phrases(size)
-                columns = [words.take(pa.array(self.word[rows[:, k]])) for k in range(size)]
-                shown = pc.binary_join_element_wise(*columns, " ") if size > 1 else columns[0]
-                langs = pa.array([self.names[k] for k in self.lang[rows[:, 0]].tolist()], pa.string())
-                tables.append(pa.table([langs, pa.array(np.full(len(rows), size, np.int32)), shown, pa.array(counts)], names=COUNTED))
-                hashes.append(self.run_hashes(rows))
-        return np.concatenate(hashes), pa.concat_tables(tables)
+            rows, counts = self.phrases(size)
+            columns = [words.take(pa.array(self.word[rows[:, k]])) for k in range(size)]
+            shown = pc.binary_join_element_wise(*columns, " ") if size > 1 else columns[0]
+            langs = pa.array([self.names[k] for k in self.lang[rows[:, 0]].tolist()], pa.string())
+            tables.append(pa.table([pa.array(self.run_hashes(rows)), langs, pa.array(np.full(len(rows), size, np.int32)), shown, pa.array(counts)], names=COUNTED))
+        return pa.concat_tables(tables)
 
     def run_hashes(self, rows: np.ndarray) -> np.ndarray:
         """Hashes of runs given by their word numbers."""
@@ -279,47 +301,55 @@ def _slices(parts: int, hashes: np.ndarray) -> list[tuple[int, int, int]]:
     return [(p, a, b) for p, (a, b) in enumerate(zip(borders, borders[1:])) if b > a]
 
 
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Counts of equal phrases added up."""
+    summed = pa.concat_tables(tables).group_by(COUNTED[:4]).aggregate([("n", "sum")])
+    return summed.select([*COUNTED[:4], "n_sum"]).rename_columns(COUNTED)
+
+
+def _sent(tables: list[pa.Table], parts: int) -> Iterator[pa.RecordBatch]:
+    """Counts in packed slices by hash partition, in the order of the words."""
+    whole = _added(tables)
+    whole = whole.take(pc.sort_indices(whole, [("lang", "ascending"), ("phrase", "ascending")])).combine_chunks()
+    part = ((whole.column("hash").to_numpy() >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    for p, (a, b) in enumerate(zip(edges, edges[1:])):
+        if b > a:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(whole.take(pa.array(order[a:b])).combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["part", "counted"])
+
+
 def _sums(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Exact counts of the phrases of hash partitions, from ``least`` on."""
     for _, rows in grouped(batches, "part"):
-        tables = [pa.ipc.open_stream(data).read_all() for batch in rows for data in batch.column("counted").to_pylist()]
-        summed = pa.concat_tables(tables).group_by(COUNTED[:3]).aggregate([("n", "sum")])
-        kept = summed.filter(pc.greater_equal(summed.column("n_sum"), least)).select([*COUNTED[:3], "n_sum"])
-        yield from kept.rename_columns([*COUNTED[:3], "a"]).combine_chunks().to_batches()
-
+        summed = _added([pa.ipc.open_stream(data).read_all() for batch in rows for data in batch.column("counted").to_pylist()])
+        kept = summed.filter(pc.greater_equal(summed.column("n"), least)).drop_columns(["hash"])
+        yield from kept.rename_columns(["lang", "words", "phrase", "a"]).combine_chunks().to_batches()
 
-def _told(rows: list[pa.RecordBatch]) -> dict[int, np.ndarray]:
-    """Survivors by run length level from a chunk's answers."""
-    found: dict[int, list[np.ndarray]] = {}
-    for batch in rows:
-        for level, n, hashes in zip(*(batch.column(c).to_pylist() for c in ("level", "n", "hashes"))):
-            if level is not None:
-                found.setdefault(level, []).append(_unpack_keys(hashes, n))
-    return {level: np.sort(np.concatenate(x)) for level, x in found.items()}
 
+def _told(rows: list[pa.RecordBatch]) -> np.ndarray:
+    """The survivors of a chunk, in order."""
+    told = [_unpack_keys(keys, n) for batch in rows for n, keys in zip(batch.column("n").to_pylist(), batch.column("hashes").to_pylist())]
+    return np.sort(np.concatenate(told))
 
-def _survivors(rows: list[pa.RecordBatch], levels: int) -> dict[int, np.ndarray]:
-    """Survivors by size, for all sizes of the levels that were answered."""
-    told = _told(rows)
-    nothing = np.zeros(0, np.uint64)
-    return {size: told.get(level, nothing) for level in range(levels) for size in LEVELS[level]}
 
-
-def _merged(batches: Iterator[pa.RecordBatch], least: int, level: int) -> Iterator[pa.RecordBatch]:
+def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """Answers of hash partitions: the chunk's runs that survive. Slices that wait for it stay packed."""
     for _, rows in grouped(batches, "part"):
-        asked = [row for batch in rows for row in zip(*(batch.column(c).to_pylist() for c in ("chunk", "n", "mass", "hashes", "counts")))]
-        summary = Misra(max(1, SPARE * sum(mass for _, _, mass, _, _ in asked) // least))
-        for _, n, _, keys, counts in asked:
+        asked = [row for batch in rows for row in zip(*(batch.column(c).to_pylist() for c in ("chunk", "head", "n", "mass", "hashes", "counts")))]
+        summary = Misra(max(1, SPARE * sum(mass for _, _, _, mass, _, _ in asked) // least))
+        for _, _, n, _, keys, counts in asked:
             summary.merge(_unpack_keys(keys, n), _unpacked(counts, n).astype(np.int64))
         kept = summary.survivors(least)
-        for chunk, n, _, keys, _ in asked:
+        for chunk, head, n, _, keys, _ in asked:
             own = _unpack_keys(keys, n)
             own = own[_isin(own, kept)]
-            if len(own):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([chunk]), pa.array([level], pa.int32()), pa.array([len(own)], pa.int32()), pa.array([_pack_keys(own)], pa.binary()),
-                ], names=["chunk", "level", "n", "hashes"])
+            if head or len(own):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk]), pa.array([len(own)], pa.int32()), pa.array([_pack_keys(own)], pa.binary())], names=["chunk", "n", "hashes"])
 
 
 def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -328,55 +358,52 @@ def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]
     folder = shared_folder(spark, "collocations")
     written = cut_lineage(chunks(docs, folder))
     totals = written.groupBy("lang").agg(F.sum("n").alias("n"))
-    heads = written.groupBy("chunk").agg(F.lit(None).cast("int").alias("level"), F.lit(0).alias("no"), F.lit(None).cast("binary").alias("hashes"))
-    heads = heads.withColumnRenamed("no", "n")
     total = written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-    def told(answers: list[DataFrame]) -> DataFrame:
-        rows = heads
-        for more in answers:
-            rows = rows.union(more)
-        return rows.repartition("chunk").sortWithinPartitions("chunk")
-
-    answers: list[DataFrame] = []
+    tasks = max(1, -(-total // TASK_WORDS))  # rows that name chunks are short; their files are not
+    answers = written.select("chunk").distinct().select("chunk", F.lit(0).alias("n"), F.lit(_pack_keys(np.zeros(0, np.uint64))).alias("hashes"))
     for level, sizes in enumerate(LEVELS):
         parts = max(1, -(-total * len(sizes) // PART_MASS))
 
         def ask(batches: Iterator[pa.RecordBatch], level: int = level, sizes: tuple = sizes, parts: int = parts) -> Iterator[pa.RecordBatch]:
-            for chunk, rows in grouped(batches, "chunk"):
-                keys, counts = _Chunk(folder, chunk, _survivors(rows, level)).summary(sizes)
-                own = _slices(parts, keys)
+            for name, rows in grouped(batches, "chunk"):
+                chunk = _Chunk(folder, name, level, _told(rows))
+                chunk.keep()
+                keys, counts = chunk.summary(sizes)
+                own = _slices(parts, keys) or [(0, 0, 0)]  # a chunk's first slice is answered in any case
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([p for p, _, _ in own], pa.int32()), pa.array([chunk] * len(own), pa.string()),
+                    pa.array([p for p, _, _ in own], pa.int32()), pa.array([name] * len(own)), pa.array([True] + [False] * (len(own) - 1)),
                     pa.array([b - a for _, a, b in own], pa.int32()), pa.array([int(counts[a:b].sum()) for _, a, b in own], pa.int64()),
                     pa.array([_pack_keys(keys[a:b]) for _, a, b in own], pa.binary()),
                     pa.array([_packed(counts[a:b]) for _, a, b in own], pa.binary()),
-                ], names=["part", "chunk", "n", "mass", "hashes", "counts"])
+                ], names=["part", "chunk", "head", "n", "mass", "hashes", "counts"])
 
-        def answer(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
-            yield from _merged(batches, least, level)
+        def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _merged(batches, least)
 
-        asked = told(answers).mapInArrow(ask, "part int, chunk string, n int, mass long, hashes binary, counts binary")
+        asked = answers.repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(
+            ask, "part int, chunk string, head boolean, n int, mass long, hashes binary, counts binary")
         placed = asked.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
-        answers.append(cut_lineage(placed.mapInArrow(answer, "chunk string, level int, n int, hashes binary")))
-
+        answers = cut_lineage(placed.mapInArrow(answer, "chunk string, n int, hashes binary"))
     parts = max(1, -(-total // PART_MASS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, rows in grouped(batches, "chunk"):
-            hashes, phrases = _Chunk(folder, chunk, _survivors(rows, len(LEVELS))).counted(LONGEST)
-            order = np.argsort(hashes)
-            phrases = phrases.take(pa.array(order))
-            for part, a, b in _slices(parts, hashes[order]):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, phrases.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                    writer.write_table(phrases.slice(a, b - a).combine_chunks())
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["part", "counted"])
+        held, rows_held = [], 0
+        for name, rows in grouped(batches, "chunk"):
+            held.append(_Chunk(folder, name, len(LEVELS), _told(rows)).counted(LONGEST))
+            rows_held += len(held[-1])
+            if rows_held > HELD_ROWS:
+                held = [_added(held)]
+                rows_held = len(held[0])
+                if rows_held > HELD_ROWS // 2:
+                    yield from _sent(held, parts)
+                    held, rows_held = [], 0
+        if held:
+            yield from _sent(held, parts)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sums(batches, least)
 
-    counted = told(answers).mapInArrow(count, "part int, counted binary")
+    counted = answers.repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(count, "part int, counted binary")
     placed = counted.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
     return totals, cut_lineage(placed.mapInArrow(add_up, "lang string, words int, phrase string, a long"))
 

@@ -138,14 +138,15 @@ class Rows:
         self.n, self.used = n, int(self.starts[n - 1] + self.counts[n - 1]) if n else 0
 
 
-def save(folder: str, **arrays: np.ndarray | bytes) -> str:
+def save(folder: str, name: str | None = None, **arrays: np.ndarray | bytes) -> str:
     """Write arrays as one compressed Arrow file with a new name.
 
-    The name only reaches the job through the row of the attempt that succeeds, so a repeated task can't mix files.
+    A new name only reaches the job through the row of the attempt that succeeds, so a repeated task can't mix files. A
+    given ``name`` stands for fixed content: a file that is there already is that of an earlier attempt, and stays.
     """
     store, root = pyarrow.fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
-    name = uuid.uuid4().hex
+    draft = uuid.uuid4().hex
     fields, columns = [], []
     for key, value in arrays.items():
         value = np.frombuffer(value, np.uint8) if isinstance(value, bytes) else value
@@ -153,9 +154,15 @@ def save(folder: str, **arrays: np.ndarray | bytes) -> str:
         columns.append(pa.LargeListArray.from_arrays(pa.array([0, len(own)], pa.int64()), own))
         fields.append(key)
     batch = pa.RecordBatch.from_arrays(columns, names=fields)
-    with store.open_output_stream(f"{root}/{name}") as out:
+    with store.open_output_stream(f"{root}/{draft}") as out:
         with pa.ipc.new_file(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_batch(batch)
+    if name is None:
+        return draft
+    if store.get_file_info(f"{root}/{name}").type == pyarrow.fs.FileType.NotFound:
+        store.move(f"{root}/{draft}", f"{root}/{name}")
+    else:
+        store.delete_file(f"{root}/{draft}")
     return name
 
 
