@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -60,6 +62,27 @@ def beside(df: DataFrame, most_rows: int = 1 << 20) -> DataFrame:
     return F.broadcast(df) if df.count() <= most_rows else df
 
 
+def _give_back() -> None:
+    """Return free memory of Arrow's pool and of the C library to the system, where these can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` whose task leaves no free memory behind: Python workers are reused by later stages."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return whole
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch whose ``column`` holds about ``most`` bytes; a longer value is a piece of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

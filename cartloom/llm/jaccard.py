@@ -42,9 +42,10 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import beside, materialized, plan_bytes, shared_folder, slices, table
+from cartloom.llm.common import beside, materialized, plan_bytes, released, shared_folder, slices, table
 from cartloom.llm.components import components
 from cartloom.llm.shingles import parts_of
+from cartloom.operators.ordered import dense_row_number
 from cartloom.session import cut_lineage
 
 COUNTERS = 1 << 21
@@ -109,6 +110,7 @@ def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
     bits = min(bits, 20)
     folder = shared_folder(docs.sparkSession, "shared-shingles")
 
+    @released
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, total = TaskContext.get().partitionId(), np.zeros(COUNTERS, np.uint32)
         names = ["task", "chunk", "range", "data"]
@@ -126,6 +128,7 @@ def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([task] * SLICES, pa.int32()), pa.array([""] * SLICES, pa.string()),
                                               pa.array([-1 - k for k in range(SLICES)], pa.int32()), pa.array(data, pa.binary())], names=names)
 
+    @released
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, rows, total = None, [], None
 
@@ -154,6 +157,7 @@ def rarity(docs: DataFrame, size: int) -> tuple[str, np.ndarray]:
                     rows.append((task, chunk, data))
         yield from close()
 
+    @released
     def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, parts = None, []
 
@@ -196,6 +200,7 @@ def _ordered(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percent: int) -> DataFrame:
     """(doc_id, digest, n, prefix) of ``docs`` (doc_id, text): size of the set, and the shared shingles of its prefix."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for chunk, (ids, sets, tokens, held) in enumerate(_chunks(batches, size, name=True)):
@@ -227,6 +232,7 @@ def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percen
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest) of the sequence of words, null without words."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
@@ -311,12 +317,14 @@ def _trees(docs: DataFrame, members: DataFrame, counts: Broadcast, size: int, pe
     placed = cut_lineage(placed)
     texts = docs.join(beside(placed), docs["doc_id"] == placed["class"]).select("class", "hood", "parts", "part", "text")
 
+    @released
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in parts_of(batches, size):
             own = [_ordered(x, counts.value).tobytes() for x in found]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("class", "hood", "parts", "part")), pa.array(own, pa.binary())],
                                              names=["class", "hood", "parts", "part", "shingles"])
 
+    @released
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, rows = None, []
         for batch in batches:
@@ -389,17 +397,34 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
 
 def representatives(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The rows of ``docs``, all columns kept, without those that link to a smaller doc_id, and one row a doc_id.
+    """The rows of ``docs``, all columns kept, without those that link to a document with a smaller doc_id.
 
-    Rows with a null doc_id stay.
+    Rows with a null doc_id stay. Of rows that share a doc_id each text is judged by itself, in ascending order of
+    (doc_id, SHA-256 of the text); of rows that share both, the smallest by its columns in their order stays.
     """
-    found = linked(docs, size, percent)
-    copies = cut_lineage(found.where("component_id <> doc_id").select(F.col("doc_id").alias("copy_id")).distinct())
-    kept = docs.join(beside(copies), docs["doc_id"].cast("long") == copies["copy_id"], "left_anti")
-    rows = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count()
-    if rows.where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(kept.where("doc_id IS NULL"))
+    known = docs.where("doc_id IS NOT NULL")
+    if known.groupBy("doc_id").count().where("count > 1").isEmpty():
+        found = linked(docs, size, percent)
+        copies = cut_lineage(found.where("component_id <> doc_id").select(F.col("doc_id").alias("copy_id")).distinct())
+        return docs.join(beside(copies), docs["doc_id"].cast("long") == copies["copy_id"], "left_anti")
+    digest, row = _free("digest", docs), _free("row", docs)
+    named = known.withColumn(digest, F.coalesce(F.sha2("text", 256), F.lit("")))
+    # equal (doc_id, text) merge before the shuffle, however many there are
+    single = named.groupBy(F.col("doc_id").alias("own_id"), F.col(digest).alias("own_digest")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias(row))
+    single = materialized(single, "distinct-texts")
+    numbered = materialized(dense_row_number(single.select("own_id", "own_digest"), ["own_id", "own_digest"], "number"), "numbered-texts")
+    texts = single.join(numbered, ["own_id", "own_digest"]).select(F.col("number").alias("doc_id"), F.col(f"{row}.text").alias("text"))
+    found = linked(texts, size, percent)
+    stay = found.where("component_id = doc_id").select(F.col("doc_id").alias("number"))
+    kept = single.join(numbered.join(stay, "number"), ["own_id", "own_digest"]).select(f"{row}.*")
+    return kept.union(docs.where("doc_id IS NULL"))
+
+
+def _free(name: str, df: DataFrame) -> str:
+    """``name``, with as many underscores as it takes to clash with no column."""
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,9 +15,10 @@ falling rank and asking at each step whether a merge over the border would have
 argument doesn't cover (several pieces of one score, such as runs of spaces, or pieces that merging doesn't build
 from earlier ones) are marked when the model is compiled, and inputs whose lattice holds one are merged step by step.
 
-Since no piece reaches over the place before a run of U+2581 that follows another character (checked when the model is
-compiled), an input is cut there into units, and each distinct unit is composed and searched once per worker.
-All new units of a batch advance together, one character a step, in numpy.
+Since no piece reaches over the place before a run of U+2581 that follows another character, nor, in many models, over
+the place between an ASCII letter and a mark (both checked when the model is compiled), an input is cut there into
+units: at each such run, and before a mark that ends a word. Each distinct unit is composed and searched once per worker
+and kept, up to ``KEPT_BYTES``. All new units of a batch advance together, one character a step, in numpy.
 
 Defined cases: a null text is an empty one and has no ids. Decoding gives back the text, except that U+2581 in
 it comes back as a space. Rows of one doc_id are encoded one by one. Models with a character map or with
@@ -32,7 +33,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +40,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from cartloom.llm.common import slices, table
+from cartloom.llm.common import released, slices, table
+from cartloom.llm.units import MARKS, Memory, Rows, cut, marked
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the file format
 UNIGRAM, BPE = 1, 2  # model types of the file format
 NEVER = np.int64(1 << 40)
 START = -1
-CACHED_UNITS = 500_000
+SPACE_BYTES = SPACE.encode("utf-8")
+KEPT_BYTES = 48 << 20
+BETWEEN = 0xFF  # a byte that no text holds stands between texts
+_BETWEEN_ONLY = np.arange(256) == BETWEEN
 BLOCK_CHARS = 1 << 18
 
 
@@ -158,10 +162,11 @@ class Transducer:
                       if t == UNKNOWN else p.replace(SPACE, " ").encode() for p, _, t in pieces]
         self.longest = max(map(len, self.ids), default=1)
         self.cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        self.markable = self.cuttable and not any(re.search(f"[A-Za-z][{MARKS.decode()}]", p) for p in self.ids)
         self._trie()
         if self.model_type == BPE:
             self._grammar()
-        self.known: dict[str, bytes] = {}
+        self.memory, self.rows = Memory(KEPT_BYTES), Rows(np.uint32)
 
     def _trie(self) -> None:
         alphabet = sorted({c for p in self.ids for c in p})
@@ -339,7 +344,7 @@ class Transducer:
         return [self.unknown]
 
     def _learn(self, units: list[str]) -> None:
-        """Compose new units with the lexicon and the grammar, search, and keep their ids."""
+        """Compose new units with the lexicon and the grammar, search, and add their ids."""
         if not hasattr(self, "segment"):
             inside = "".join(re.escape(chr(c)) for c in self.alphabet)
             self.segment = re.compile(f"([{inside}]+)")
@@ -355,37 +360,32 @@ class Transducer:
             for s, path in zip(segments[i:j], self._search(segments[i:j])):
                 paths[s] = path
             i = j
-        for unit, part in zip(units, parts):
-            ids: list[int] = []
-            for k, s in enumerate(part):
-                if s:
-                    ids += paths[s] if k % 2 else self._fallback(s)
-            self.known[unit] = np.array(ids, "<u4").tobytes()
-
-    def units(self, text: str) -> list[str]:
-        """Parts of the normalised text that no piece reaches over."""
-        if self.trim:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return []
-        if not self.prefix or not self.cuttable:
-            text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-            return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", text) if self.cuttable else [text]
-        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
-            return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", SPACE + text.replace(" ", SPACE))
-        return [SPACE + word for word in text.split(" ")]
+        found = [[i for k, s in enumerate(part) if s for i in (paths[s] if k % 2 else self._fallback(s))] for part in parts]
+        counts = np.array([*map(len, found)], np.int64)
+        self.rows.add(np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.units(t) for t in texts]
-        new = list(set(filterfalse(self.known.__contains__, chain.from_iterable(cut))))
+        """Ids of every text, from the ids of its units."""
+        if self.trim:
+            texts = [re.sub(" +", " ", t).strip(" ") for t in texts]
+        front = b" " if self.prefix else b""
+        raw = [front + t.encode("utf-8").replace(SPACE_BYTES, b" ") if t else b"" for t in texts]
+        data = np.frombuffer(bytes([BETWEEN]).join(raw), np.uint8)
+        breaks = None
+        if self.cuttable and len(data):
+            breaks = (data == 32) & np.append(False, data[:-1] != 32)
+            if self.markable:
+                breaks |= marked(np.where(data == BETWEEN, np.uint8(32), data))
+        index, units, starts = cut(data, _BETWEEN_ONLY, breaks)
+        before = self.rows.n
+        numbers, new = self.memory.place(units)
         if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        found = [np.frombuffer(b"".join(map(get, units)), "<u4") for units in cut]
-        if len(self.known) > CACHED_UNITS:  # the units met first are the frequent ones, and stay
-            for unit in new:
-                del self.known[unit]
-        return found
+            self._learn([u.decode("utf-8").replace(" ", SPACE) for u in new])
+        flat, counts = self.rows.get(numbers[index])
+        self.rows.cut_back(before + self.memory.settle(4 * self.rows.counts[before : self.rows.n]))
+        places = np.cumsum([len(t) + 1 for t in raw])  # bytes, with the one between
+        ends = np.append(0, np.cumsum(counts))[np.searchsorted(starts, places)]
+        return np.split(flat, ends[:-1])
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.texts.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -407,6 +407,7 @@ def encode(docs: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     while ids in docs.columns:
         ids += "_"
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = transducer(model)
         for batch in batches:
@@ -423,6 +424,7 @@ def encode(docs: DataFrame, model: str, ids: str = "ids") -> DataFrame:
 def encoded(docs: DataFrame, model: str, with_ids: bool = True) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_tokens, crc32 of the ids, length and sha256 of what decoding gives back, ids."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = transducer(model)
         for batch in batches:
