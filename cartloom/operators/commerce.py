@@ -51,13 +51,13 @@ def attempt_profile(attempts: DataFrame, by: list[str], failed: Column, succeede
     )
 
 
-def attempt_sequence(attempts: DataFrame, by: list[str], order: list[str], task_rows: int = ordered.TASK_ROWS) -> DataFrame:
+def attempt_sequence(attempts: DataFrame, by: list[str], order: list[str], task_rows: int = ordered.SCAN_ROWS) -> DataFrame:
     """Attempts numbered in time order inside their group."""
     return ordered.scan(attempts, by, order, number="attempt", task_rows=task_rows)
 
 
 def running_balance(
-    ledger: DataFrame, product: str, order: list[str], delta: str, task_rows: int = ordered.TASK_ROWS
+    ledger: DataFrame, product: str, order: list[str], delta: str, task_rows: int = ordered.SCAN_ROWS
 ) -> DataFrame:
     """Ledger rows with the balance after each movement; no opening balance, may be negative."""
     return ordered.scan(ledger, [product], order, sums={"balance": delta}, task_rows=task_rows)
@@ -95,7 +95,7 @@ def status_mismatches(parents: DataFrame, key: str, status: str, latest: DataFra
 
 
 def unordered_events(
-    events: DataFrame, by: list[str], moment: str, ident: str, task_rows: int = ordered.TASK_ROWS
+    events: DataFrame, by: list[str], moment: str, ident: str, task_rows: int = ordered.SCAN_ROWS
 ) -> DataFrame:
     """Events whose predecessor in (moment, id) order is not strictly earlier."""
     scanned = ordered.scan(

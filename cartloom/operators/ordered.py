@@ -1,64 +1,69 @@
 """Row numbers, running sums and previous values in an order, per key or over a whole table.
 
-A plain window puts all rows of a key into one task. Here a key that is too large for a task is cut into
-chunks by position: a bounded sample gives the cut points, each chunk is scanned by its own task, and one
-small carry row per chunk (count, sums, last values of everything before it) is added afterwards. Cold
-keys run as one ordinary window over the same single shuffle.
+A prefix scan with one shuffle, on one path for every size and every skew. Rows are dealt to parts by ranges of (key,
+order), so a key of any size spreads over consecutive parts; the borders come from a bounded sample. Each part is
+scanned by itself and written once. What a part owes to the ones before it concerns its first key only, and is found from one
+small row per part: the totals of its last key, scanned over the parts. The input is counted, sampled and then read
+once in full; everything after that reads what was written.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from cartloom.operators.skew import SAMPLES_PER_CHUNK, TASK_ROWS, bounded_sample, rows_per_chunk
+from cartloom.operators.skew import SAMPLE_SEED, broadcast_if_small
+from cartloom.session import cut_lineage
 
-_CHUNK, _POSITION, _CUTS, _ALL = "chunk__", "position__", "cuts__", "all__"
+SCAN_ROWS = 100_000
+MAX_PARTS = 20_000
+SAMPLES_PER_PART = 64
+BORDER_BYTES = 8 << 20
+_PART, _POSITION, _FOUND, _ALL, _FIRST = "part__", "position__", "found__", "all__", "first__"
 
 
-def _position(order: list[str]) -> Column:
-    return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(order)])
+def _position(columns: list[str]) -> Column:
+    return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(columns)])
 
 
-def cut_points(df: DataFrame, keys: list[str], order: list[str], task_rows: int) -> DataFrame | None:
-    """(keys, cuts): ascending cut positions of every key larger than a task; None if there is none.
+def _borders(rows: DataFrame, columns: list[str], part_rows: int) -> tuple[DataFrame, int] | None:
+    """(one row with the ascending first positions of all parts but the first, how many); None if one part will do.
 
-    There are at most ``MAX_CHUNKS`` chunks in all, so the cut points fit the driver and a broadcast.
+    There are at most ``MAX_PARTS`` parts, and fewer where the positions are wide: all of them take ``BORDER_BYTES`` at most.
     """
-    total = df.count()
-    if total <= task_rows:
+    total = rows.count()
+    parts = min(MAX_PARTS, -(-total // part_rows))
+    if parts <= 1:
         return None
-    chunk = rows_per_chunk(total, task_rows)
-    sample, fraction = bounded_sample(df.select(*keys, _position(order).alias(_POSITION)), total, chunk)
-    per_chunk = max(1, round(fraction * chunk))
-    cuts = (
-        sample.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(_POSITION)).alias("s"))
-        .where(F.size("s") > per_chunk)
-        .select(*keys, F.array_distinct(F.filter("s", lambda _, i: (i > 0) & (i % per_chunk == 0))).alias(_CUTS))
-    )
-    rows = cuts.collect()
-    return df.sparkSession.createDataFrame(rows, cuts.schema) if rows else None
-
-
-def _chunk_number(order: list[str], longest: int) -> Column:
-    """Number of cut points at or before the row, by binary search; 0 for keys that are not cut."""
-    position = _position(order)
-    steps = F.array(*[F.lit(2**i) for i in range(longest.bit_length() - 1, -1, -1)])
-
-    def halve(found: Column, step: Column) -> Column:
-        probe = found + step
-        return F.when((probe <= F.size(_CUTS)) & (F.element_at(_CUTS, probe) <= position), probe).otherwise(found)
-
-    return F.when(F.col(_CUTS).isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), halve))
-
-
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
+    fraction = min(1.0, SAMPLES_PER_PART * parts / total)
+    sample = rows.select(*columns)
+    sample = sample if fraction >= 1.0 else sample.sample(fraction=fraction, seed=SAMPLE_SEED)
+    ranged = sample.repartitionByRange(parts, *columns).select(_position(columns).alias("start"), F.spark_partition_id().alias("p"))
+    starts = cut_lineage(ranged.groupBy("p").agg(F.min("start").alias("start")))
+    size = starts.agg(F.sum(F.octet_length(F.to_json(F.struct("start"))))).first()[0] or 0
+    step = max(1, -(-size // BORDER_BYTES))
+    ordered = F.sort_array(F.collect_list("start"))
+    borders = cut_lineage(starts.agg(F.filter(ordered, lambda _, i: (i > 0) & (i % step == 0)).alias("borders")))
+    n = borders.select(F.size("borders")).first()[0]
+    return (borders, n) if n else None
+
+
+def in_ranges(rows: DataFrame, columns: list[str], part_rows: int = SCAN_ROWS) -> tuple[DataFrame, int]:
+    """(``rows`` with their part in ``part__``, number of parts): parts hold about ``part_rows`` rows and ascend in ``columns``.
+
+    A row's part is the number of borders at or before it, by binary search in steps that compile to plain code.
+    """
+    found = _borders(rows, columns, part_rows)
+    if found is None:
+        return rows.withColumn(_PART, F.lit(0)), 1
+    borders, n = found
+    names = rows.columns
+    placed = rows.select("*", _position(columns).alias(_POSITION), F.lit(0).alias(_FOUND))
+    for step in [2**i for i in range(n.bit_length() - 1, -1, -1)]:
+        probe = F.col(_FOUND) + step
+        there = (probe <= n) & (F.get(borders.scalar(), probe - 1) <= F.col(_POSITION))
+        placed = placed.select(*names, _POSITION, F.when(there, probe).otherwise(F.col(_FOUND)).alias(_FOUND))
+    return placed.select(*names, F.col(_FOUND).alias(_PART)), n + 1
 
 
 def scan(
@@ -68,83 +73,75 @@ def scan(
     number: str | None = None,
     sums: dict[str, str] | None = None,
     previous: dict[str, str] | None = None,
-    task_rows: int = TASK_ROWS,
+    task_rows: int = SCAN_ROWS,
 ) -> DataFrame:
     """``df`` plus a row number, running sums and previous values per key, in ascending ``order``.
 
     ``sums`` and ``previous`` map new column names to source columns. ``order`` must be free of NULLs
-    and unique inside a key; end it with a unique id. No ``keys`` means one order over the whole table.
+    and unique inside a key; end it with a unique id. No ``keys`` means one order over the whole table. A NULL key is a
+    key. A running sum is NULL until the first value that is not; a sum and its carry keep the type of the sum.
     """
     sums, previous = dict(sums or {}), dict(previous or {})
     rows = df if keys else df.withColumn(_ALL, F.lit(0))
     keys = keys or [_ALL]
-    cuts = cut_points(rows, keys, order, task_rows)
-    if cuts is None:
-        scanned = _scan_chunks(rows, keys, order, number, sums, previous)
-        return scanned.drop(_ALL)
-
-    longest = cuts.agg(F.max(F.size(_CUTS))).first()[0]
-    cuts = F.broadcast(cuts)
-    chunk = _chunk_number(order, longest).alias(_CHUNK)
-    chunked = rows.join(cuts, _same(rows, cuts, keys), "left").select(*[rows[c] for c in rows.columns], chunk)
-    hot = rows.join(cuts, _same(rows, cuts, keys), "inner").select(*[rows[c] for c in rows.columns], chunk)
-    carries = _carries(hot, keys, order, number, sums, previous)
-    local = _scan_chunks(chunked, [*keys, _CHUNK], order, number, sums, previous)
-    same = F.lit(True)
-    for c in [*keys, _CHUNK]:
-        same = same & local[c].eqNullSafe(carries[f"{c}__key"])
-    joined = local.join(F.broadcast(carries), same, "left")
+    placed, parts = in_ranges(rows, [*keys, *order], task_rows)
+    if parts == 1:
+        return _scanned(placed, keys, order, number, sums, previous).drop(_ALL, _PART, _FIRST)
+    local = cut_lineage(_scanned(placed.repartitionById(parts, F.col(_PART)), keys, order, number, sums, previous))
+    carries = broadcast_if_small(_carries(local, keys, order, number, sums, previous))
+
+    owed = F.col("from__").isNotNull()
+    for c in keys:
+        owed = owed & local[c].eqNullSafe(carries[f"{c}__key"])
     wanted = []
     for c in local.columns:
-        if c in (_CHUNK, _ALL):
-            continue
+        kind = local.schema[c].dataType
         if c in sums or c == number:
-            kind = local.schema[c].dataType
-            carry = F.coalesce(carries[f"{c}__before"], F.lit(0)).cast(kind)
-            # A running sum is NULL until the first non-NULL value.
-            value = F.coalesce(local[c] + carry, carries[f"{c}__before"].cast(kind)).cast(kind)
+            carry = F.when(owed, carries[f"{c}__before"])
+            value = F.coalesce(local[c] + F.coalesce(carry, F.lit(0)).cast(kind), carry.cast(kind)).cast(kind)
             wanted.append(value.alias(c))
         elif c in previous:
-            wanted.append(F.when(F.col(f"{_CHUNK}first"), carries[f"{c}__before"]).otherwise(local[c]).alias(c))
-        elif c != f"{_CHUNK}first":
+            wanted.append(F.when(owed & local[_FIRST], carries[f"{c}__before"]).otherwise(local[c]).alias(c))
+        elif c not in (_PART, _ALL, _FIRST):
             wanted.append(local[c])
-    return joined.select(*wanted)
+    return local.join(carries, local[_PART] == carries["from__"], "left").select(*wanted)
 
 
-def _scan_chunks(df, keys, order, number, sums, previous) -> DataFrame:
-    """Windows inside one task each; with chunks, also marks the first row of a chunk."""
-    window = Window.partitionBy(*keys).orderBy(*order)
+def _scanned(placed: DataFrame, keys: list[str], order: list[str], number: str | None, sums: dict[str, str], previous: dict[str, str]) -> DataFrame:
+    """Windows inside the parts, which need no shuffle of their own; marks the first row of a key in a part."""
+    window = Window.partitionBy(_PART, *keys).orderBy(*order)
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added = {}
+    added = {_FIRST: F.row_number().over(window) == 1} if previous else {}
     if number:
         added[number] = F.row_number().over(window).cast("bigint")
     for name, source in sums.items():
         added[name] = F.sum(source).over(running)
     for name, source in previous.items():
         added[name] = F.lag(source).over(window)
-    if previous and _CHUNK in keys:
-        added[f"{_CHUNK}first"] = F.row_number().over(window) == 1
-    return df.withColumns(added)
-
+    return placed.withColumns(added)
 
-def _carries(hot, keys, order, number, sums, previous) -> DataFrame:
-    """(<key>__key, <name>__before): what precedes each chunk of a hot key; one row per chunk."""
-    aggregates = []
-    if number:
-        aggregates.append(F.count(F.lit(1)).alias(number))
-    for name, source in sums.items():
-        aggregates.append(F.sum(source).alias(name))
-    for name, source in previous.items():
-        aggregates.append(F.max_by(F.struct(F.col(source).alias("v")), _position(order)).alias(name))
-    totals = hot.groupBy(*keys, _CHUNK).agg(*aggregates)
-    by_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)
-    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    before = [F.sum(c).over(earlier).alias(f"{c}__before") for c in [*([number] if number else []), *sums]]
-    before += [F.lag(c).over(by_chunk).getField("v").alias(f"{c}__before") for c in previous]
-    return totals.select(*[F.col(c).alias(f"{c}__key") for c in [*keys, _CHUNK]], *before)
 
+def _carries(local: DataFrame, keys: list[str], order: list[str], number: str | None, sums: dict[str, str], previous: dict[str, str]) -> DataFrame:
+    """(from__, <key>__key, <name>__before): what the parts before part ``from__`` hold of its first key; at most one row a part.
 
-def dense_row_number(df: DataFrame, order: list[str], name: str = "row_number", task_rows: int = TASK_ROWS) -> DataFrame:
+    A key that reaches into a part from before is the last key of every part from the one in which it starts, so the last row of
+    each part is enough: its number and sums are the key's totals there.
+    """
+    values = [F.col(c) for c in [*([number] if number else []), *sums]] + [F.struct(F.col(s).alias("v")).alias(c) for c, s in previous.items()]
+    key = F.struct(*[F.col(c) for c in keys])
+    ends = local.groupBy(_PART).agg(
+        F.min(key).alias("first"), F.max_by(F.struct(key.alias("key"), *values, F.lit(True).alias("held__")), _position([*keys, *order])).alias("last"))
+    given = ends.select("last.key.*", F.col(_PART).alias("from__"), F.lit(1).alias("kind__"), *[f"last.{c}" for c in [*([number] if number else []), *sums, *previous, "held__"]])
+    asked = ends.select("first.*", F.col(_PART).alias("from__"), F.lit(0).alias("kind__"))
+    before = Window.partitionBy(*keys).orderBy("from__", "kind__").rowsBetween(Window.unboundedPreceding, -1)
+    owed = [F.sum(c).over(before).alias(f"{c}__before") for c in [*([number] if number else []), *sums]]
+    owed += [F.last(c, ignorenulls=True).over(before).getField("v").alias(f"{c}__before") for c in previous]
+    both = given.unionByName(asked, allowMissingColumns=True)
+    summed = both.select("from__", "kind__", *[F.col(c).alias(f"{c}__key") for c in keys], F.count("held__").over(before).alias("parts__"), *owed)
+    return cut_lineage(summed.where("kind__ = 0 AND parts__ > 0").drop("kind__", "parts__"))
+
+
+def dense_row_number(df: DataFrame, order: list[str], name: str = "row_number", task_rows: int = SCAN_ROWS) -> DataFrame:
     """Number all rows 1..n in a unique order, without sending the table through one task."""
     return scan(df, [], order, number=name, task_rows=task_rows)
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartloom.operators import ordered
 
@@ -49,12 +50,61 @@ def test_whole_table_numbering(spark, task_rows):
     assert {r.id: r.n for r in numbered.collect()} == expected
 
 
-def test_hot_key_is_spread_over_chunks(spark):
+def test_hot_key_is_spread_over_parts(spark):
+    """A third of all rows under one key, and every part near the size asked for."""
     df = spark.range(20_000).selectExpr("if(id % 3 = 0, 0, id) AS key", "id")
-    cuts = ordered.cut_points(df, ["key"], ["id"], task_rows=500).collect()
-    assert [r.key for r in cuts] == [0]
-    pieces = len(cuts[0].cuts__) + 1
-    assert 10 <= pieces <= 17
+    placed, parts = ordered.in_ranges(df, ["key", "id"], 500)
+    sizes = {r[ordered._PART]: (r.n, r.low, r.high) for r in placed.groupBy(ordered._PART).agg(
+        F.count("*").alias("n"), F.min(F.struct("key", "id")).alias("low"), F.max(F.struct("key", "id")).alias("high")).collect()}
+    assert 30 <= parts <= 40 and max(n for n, _, _ in sizes.values()) <= 1000
+    assert sum(n for n, _, _ in sizes.values()) == 20_000
+    ranges = [sizes[p][1:] for p in sorted(sizes)]
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert sum(low.key == high.key == 0 for low, high in ranges) >= 8
+
+
+def test_wide_positions_make_fewer_parts(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "BORDER_BYTES", 2_000)
+    df = spark.range(4_000).selectExpr("repeat(cast(id % 7 AS string), 300) AS key", "id")
+    _, parts = ordered.in_ranges(df, ["key", "id"], 100)
+    assert 1 < parts <= 7
+    numbered = ordered.scan(df, ["key"], ["id"], number="n", sums={"s": "id"}, task_rows=100)
+    wrong = numbered.where((F.col("n") != F.floor(F.col("id") / 7) + 1) | (F.col("s") != 7 * F.col("n") * (F.col("n") - 1) / 2 + F.col("n") * (F.col("id") % 7)))
+    assert wrong.isEmpty() and numbered.count() == 4_000
+
+
+def test_one_shuffle_of_the_rows(spark, tmp_path):
+    """The rows are shuffled once, written once, and neither shuffled nor sorted again for the carries."""
+    spark.range(30_000).selectExpr("id % 11 AS key", "id", "id % 17 AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    result = ordered.scan(df, ["key"], ["id"], number="n", sums={"s": "v"}, previous={"p": "v"}, task_rows=1_000)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and "FileScan" not in plan and "Sort" not in plan
+    placed, parts = ordered.in_ranges(df, ["key", "id"], 1_000)
+    local = ordered._scanned(placed.repartitionById(parts, F.col(ordered._PART)), ["key"], ["id"], "n", {"s": "v"}, {"p": "v"})
+    plan = local._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Subqueries")[0].count("shufflepartitionidpassthrough") == 1 and plan.count("hashpartitioning") == 0
+    want = {}
+    rows = sorted((r.key, r.id, r.v) for r in df.collect())
+    for key, ident, v in rows:
+        n, total, last = want.get(key, {}).get("at", (0, 0, None))
+        want.setdefault(key, {})[ident] = (n + 1, total + v, last)
+        want[key]["at"] = (n + 1, total + v, v)
+    assert all(want[r.key][r.id] == (r.n, r.s, r.p) for r in result.collect())
+
+
+def test_types_and_names(spark):
+    """Decimal sums keep their type over parts; columns named like inner ones of the join stay."""
+    df = spark.range(900).selectExpr("cast(id % 2 AS string) AS first", "id AS last", "cast(id AS decimal(9,2)) AS key", "if(id % 5 = 0, null, id) AS v", "id AS n")
+    result = ordered.scan(df, ["first"], ["last"], sums={"total": "key"}, previous={"before": "v"}, task_rows=50)
+    plain = ordered.scan(df, ["first"], ["last"], sums={"total": "key"}, previous={"before": "v"})
+    assert result.schema == plain.schema
+    assert sorted(map(str, result.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "k int, id int, v int")
+    assert ordered.scan(df, ["k"], ["id"], number="n", sums={"s": "v"}, previous={"p": "v"}).collect() == []
 
 
 def test_ends(spark):
