@@ -2,7 +2,8 @@
 
 Depth and cycles come from pointer doubling: every round doubles the distance walked, so a tree of depth
 d needs about log2(d) rounds and no path is ever carried. Only nodes that are somebody's parent take part
-in the rounds; leaves read their parent's result at the end.
+in the rounds; leaves read their parent's result at the end. Where paths are the result (``paths``), every round
+appends the path of the node that the pointer leads to, so they too are whole after about log2(d) rounds.
 """
 
 from __future__ import annotations
@@ -66,6 +67,85 @@ def depths(edges: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     return placed.select("id", "parent_id", depth.alias("depth"), depth.isNull().alias("cyclic"))
 
 
+def _joined_up(steps: DataFrame, task_rows: int) -> DataFrame:
+    """(id, path): ids from the root down to the node, for acyclic ``steps`` (id, parent_id) that hold every parent they name."""
+    state = cut_lineage(steps.select("id", F.array("id").alias("path"), F.col("parent_id").alias("jump")))
+    while not state.where("jump IS NOT NULL").isEmpty():
+        target = state.select(F.col("id").alias("jump"), F.col("path").alias("upper"), F.col("jump").alias("next"))
+        # The pointer of a node leads to the one above its path, so both halves meet without a gap.
+        moved = lookup(state.where("jump IS NOT NULL"), target, "jump", "inner", task_rows, broadcast_rows=0).select(
+            "id", F.concat("upper", "path").alias("path"), F.col("next").alias("jump"))
+        state = cut_lineage(state.where("jump IS NULL").unionByName(moved))
+    return state.select("id", "path")
+
+
+def _on_cycles(steps: DataFrame, task_rows: int) -> tuple[DataFrame, DataFrame]:
+    """((id, reached): a node on a cycle that each node of ``steps`` runs into; (id, parent_id, leader) of the nodes on cycles).
+
+    All nodes of ``steps`` (id, parent_id) lead to a cycle, and all parents are among them. Walking 2^k steps from every node
+    ends on cycles only once the number of ends stays the same; the leader is the least id of a cycle, from minima over 2^k steps.
+    """
+    walk = cut_lineage(steps.select("id", F.col("parent_id").alias("jump")))
+    ends, before = walk.select("jump").distinct().count(), None
+    while ends != before:
+        further = walk.select(F.col("id").alias("jump"), F.col("jump").alias("next"))
+        walk = cut_lineage(lookup(walk, further, "jump", "inner", task_rows).select("id", F.col("next").alias("jump")))
+        before, ends = ends, walk.select("jump").distinct().count()
+    reached = walk.select("id", F.col("jump").alias("reached"))
+    ring = cut_lineage(steps.join(reached.select(F.col("reached").alias("id")).distinct(), "id", "left_semi"))
+    state = cut_lineage(ring.select("id", F.col("parent_id").alias("jump"), F.col("id").alias("least")))
+    changed = True
+    while changed:
+        further = state.select(F.col("id").alias("jump"), F.col("jump").alias("next"), F.col("least").alias("other"))
+        state = cut_lineage(lookup(state, further, "jump", "inner", task_rows).select(
+            "id", F.col("next").alias("jump"), F.least("least", "other").alias("least"), (F.col("other") < F.col("least")).alias("moved")))
+        changed = not state.where("moved").isEmpty()
+        state = state.drop("moved")
+    return reached, ring.join(state.select("id", F.col("least").alias("leader")), "id")
+
+
+def paths(edges: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """(id, parent_id, path, position, cycle) of every node of ``edges`` (id, parent_id).
+
+    * ``path``: ids from the root down to the node. On a cycle it starts at the least id of the cycle, its leader, and goes
+      down from parent to child; below a cycle there is none.
+    * ``position``: the node's place in its path, from 1.
+    * ``cycle``: the members of the cycle that the walk upwards meets, as the path of its last member; NULL if it meets none.
+
+    A parent that does not exist ends the walk; the path starts below it. Rounds follow log2 of the longest path, the longest way
+    into a cycle, and the longest cycle; path lengths add up to the result's own size. Ids are unique and not NULL.
+    """
+    edges = edges.select("id", "parent_id")
+    inner = cut_lineage(_inner_nodes(edges))
+    shaped = depths(inner, task_rows)
+    sound = cut_lineage(shaped.where("NOT cyclic").select("id", "parent_id"))
+    # A parent outside the inner nodes does not exist.
+    there = sound.select(F.col("id").alias("parent_id"), F.lit(True).alias("there"))
+    rooted = lookup(sound, there, "parent_id", "left", task_rows).select("id", F.when(F.col("there"), F.col("parent_id")).alias("parent_id"))
+    upper = _joined_up(rooted, task_rows).select("id", "path", F.lit(None).cast(inner.schema["id"].dataType).alias("leader"), F.lit(False).alias("looped"))
+    looped = cut_lineage(shaped.where("cyclic").select("id", "parent_id"))
+    if looped.isEmpty():
+        members = upper.select("leader", F.col("path").alias("cycle")).limit(0)
+    else:
+        reached, ring = _on_cycles(looped, task_rows)
+        ring = cut_lineage(ring)
+        opened = ring.select("id", F.when(F.col("id") != F.col("leader"), F.col("parent_id")).alias("parent_id"))
+        around = cut_lineage(_joined_up(opened, task_rows).join(ring.select("id", "leader"), "id"))
+        members = around.groupBy("leader").agg(F.max_by("path", F.size("path")).alias("cycle"))
+        led = reached.join(ring.select(F.col("id").alias("reached"), "leader"), "reached").select("id", "leader")
+        own = led.join(around.select("id", "path"), "id", "left").select("id", "path", "leader", F.lit(True).alias("looped"))
+        upper = upper.unionByName(own)
+    upper = cut_lineage(upper)
+    leaves = edges.join(inner.select("id"), "id", "left_anti")
+    above = upper.select(F.col("id").alias("parent_id"), F.col("path").alias("upper"), "leader", "looped")
+    # A leaf below a sound parent has that parent's path and itself; one below a loop has none.
+    hung = lookup(leaves, above, "parent_id", "left", task_rows, broadcast_rows=0).select(
+        "id", "parent_id", F.when(~F.coalesce("looped", F.lit(False)), F.concat(F.coalesce("upper", F.array().cast(upper.schema["path"].dataType)), F.array("id"))).alias("path"), "leader")
+    whole = inner.select("id", "parent_id").join(upper.select("id", "path", "leader"), "id").unionByName(hung)
+    placed = lookup(whole, members, "leader", "left", task_rows, broadcast_rows=0)
+    return placed.select("id", "parent_id", "path", F.when(F.col("path").isNotNull(), F.size("path")).alias("position"), "cycle")
+
+
 def summary(edges: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """One row: nodes, max_depth, cyclic_nodes."""
     return depths(edges, task_rows).agg(

@@ -74,6 +74,24 @@ def hierarchy_cycle(spark, folder):
     return hierarchy.depths(cyclic_edges(spark, folder)).select("id", "cyclic")
 
 
+@QUERIES.add("hierarchy_paths", f"""
+WITH RECURSIVE edges AS (
+  SELECT id, if(parent_id IS NULL AND name LIKE 'A%',
+                (SELECT 'N' || min(n_nationkey) FROM nation WHERE 'R' || n_regionkey = t.id), parent_id) AS parent_id
+  FROM ({NODES_SQL}) t), {_WALK},
+whole AS (SELECT start AS id, arg_max(path, len(path)) AS path, bool_or(looped) AS looped FROM walk GROUP BY start),
+loops AS (SELECT id, path, path[list_position(path, path[-1]) : len(path) - 1] AS members FROM whole WHERE looped),
+rings AS (SELECT id AS leader, [id] || list_reverse(path[2 : len(path) - 1]) AS cycle FROM loops WHERE id = list_min(members)),
+placed AS (
+  SELECT w.id, CASE WHEN NOT looped THEN list_reverse(w.path) WHEN list_contains(cycle, w.id) THEN cycle[1 : list_position(cycle, w.id)] END AS path, cycle
+  FROM whole w LEFT JOIN loops l ON l.id = w.id LEFT JOIN rings r ON r.leader = list_min(l.members))
+SELECT id, array_to_string(path, '>') AS path, coalesce(len(path), 0)::INTEGER AS position, array_to_string(cycle, '>') AS cycle FROM placed""")
+def hierarchy_paths(spark, folder):
+    """The path of every node of the tree with loops, its place, and the members of the loop that it meets."""
+    found = hierarchy.paths(cyclic_edges(spark, folder))
+    return found.select("id", F.array_join("path", ">").alias("path"), F.coalesce("position", F.lit(0)).alias("position"), F.array_join("cycle", ">").alias("cycle"))
+
+
 @QUERIES.add("hierarchy_children", f"""
 WITH t AS ({NODES_SQL})
 SELECT p.id AS parent_id, p.name AS parent_name, c.id, c.name FROM t c JOIN t p ON p.id = c.parent_id""")
