@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.contract.model import Contract, Table, conform
-from cartloom.operators import keys
+from cartloom.operators import closure, keys
 from cartloom.operators.profiling import union_all
 from cartloom.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup
 from cartloom.session import cut_lineage
@@ -146,38 +146,65 @@ def screen(
     return union_all(found).distinct()
 
 
+def _node(name: str, columns: list[str]) -> Expr:
+    """A row's name in the graph of references: its table and key."""
+    return F.concat(F.lit(f"{name}:"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
+def _claims(changes: DataFrame, table: Table, tables: dict[str, DataFrame], hint: _Hint, good: dict[str, DataFrame]) -> list[DataFrame]:
+    """(key, rule, a, b): claims of changes on keys that no current parent holds; ``b`` is the change that brings it, or NULL.
+
+    ``good`` holds the changes of each table that break no rule of their own, so a key is brought by one of them at most.
+    """
+    found = []
+    for r in table.references:
+        claims = changes.where(F.col(r.column).isNotNull()).select(*table.primary_key, r.column, _node(table.name, list(table.primary_key)).alias("a"))
+        wanted = claims.select(r.column).distinct()
+        known = tables[r.table].select(F.col(r.key).alias(r.column)).join(hint(wanted), r.column, "left_semi")
+        open_ = wanted.join(hint(known), r.column, "left_anti")
+        if r.table in good:
+            bringing = good[r.table].select(F.col(r.key).cast(changes.schema[r.column].dataType).alias(r.column), F.col("node__").alias("b"))
+            open_ = open_.join(bringing, r.column, "left")
+        else:
+            open_ = open_.withColumn("b", F.lit(None).cast("string"))
+        found.append(lookup(claims, open_, r.column, broadcast_rows=0).select(*table.primary_key, F.lit(r.column).alias("rule"), "a", "b"))
+    return found
+
+
 def batch(changes: dict[str, DataFrame], contract: Contract, tables: dict[str, DataFrame]) -> dict[str, Outcome]:
     """Apply change sets of several tables together, as one statement would: a row may refer to a row of the same batch.
 
-    All changes are taken to be good but for their own rules; then changes whose parent is neither a current row nor
-    a good change are rejected, and that is repeated until nothing more falls, so the child of a rejected parent is
-    rejected too. Rounds follow the longest chain of such references; rejected keys are checkpointed per round.
+    Changes that break a rule of their own, or whose parent is neither a current row nor brought by the batch, are
+    rejected, and with them every change that depends on one of them, at any distance. The current tables are read once, for
+    the keys that the changes claim; the rest is a walk over the references inside the batch (``closure.spread``),
+    whose rounds follow the logarithm of the longest chain. Changes that only depend on each other are good.
     """
+    changes = {name: cut_lineage(df) for name, df in changes.items()}
     hints = {name: _Hint(df) for name, df in changes.items()}
-    rejected = {
-        name: cut_lineage(union_all(_own_breaches(df, contract[name], tables[name], hints[name])).distinct()) for name, df in changes.items()
-    }
-    while True:
-        good = {}
-        for name, df in changes.items():
-            key = list(contract[name].primary_key)
-            good[name] = df.where(~keys.any_null(key)).join(hints[name](rejected[name].select(*key).distinct()), key, "left_anti")
-        more = False
-        for name, df in changes.items():
-            if not contract[name].references:
-                continue
-            found = union_all(_reference_breaches(df, contract[name], tables, hints[name], good))
-            now = cut_lineage(rejected[name].union(found).distinct())
-            more |= now.count() > rejected[name].count()
-            rejected[name] = now
-        if not more:
-            break
+    own = {name: cut_lineage(union_all(_own_breaches(df, contract[name], tables[name], hints[name])).distinct()) for name, df in changes.items()}
+    named, good = {}, {}
+    for name, df in changes.items():
+        key = list(contract[name].primary_key)
+        named[name] = df.withColumn("node__", _node(name, key))
+        good[name] = named[name].where(~keys.any_null(key)).join(hints[name](own[name].select(*key).distinct()), key, "left_anti")
+    claims = {name: [cut_lineage(c) for c in _claims(df, contract[name], tables, hints[name], good)] for name, df in changes.items()}
+    every = [c.select("a", "b") for found in claims.values() for c in found]
+    bad = union_all([own[name].select(_node(name, list(contract[name].primary_key)).alias("node")) for name in changes])
+    if every:
+        graph = union_all(every)
+        bad = closure.spread(graph.where("b IS NOT NULL"), bad.union(graph.where("b IS NULL").select("a")), closure.BACKWARDS)
+    bad = cut_lineage(bad.distinct())
     outcomes = {}
-    for name, accepted in good.items():
+    for name, df in named.items():
         key = list(contract[name].primary_key)
-        fresh = conform(accepted, contract[name])
+        broken = bad.select(F.col("node").alias("b"), F.lit(True).alias("bad"))
+        found = [_label(lookup(c, broken, "b", "left", broadcast_rows=0).where("b IS NULL OR bad").withColumnRenamed("rule", "rule__"), tuple([*key, "rule__"]), "foreign_key", "")
+                 .select(*key, "violation", F.col("rule__").alias("rule")) for c in claims[name]]
+        rejected = cut_lineage(union_all([own[name], *found]).distinct())
+        accepted = df.where(~keys.any_null(key)).join(bad.select(F.col("node").alias("node__")), "node__", "left_anti")
+        fresh = conform(accepted.drop("node__"), contract[name])
         kept = tables[name].join(hints[name](fresh.select(*key)), key, "left_anti").select(*tables[name].columns)
-        outcomes[name] = Outcome(kept.unionByName(fresh), rejected[name])
+        outcomes[name] = Outcome(kept.unionByName(fresh), rejected)
     return outcomes
 
 
@@ -224,30 +251,45 @@ def _blocked(doomed: DataFrame, table: Table, children: dict[str, tuple[DataFram
 def delete_batch(doomed: dict[str, DataFrame], contract: Contract, tables: dict[str, DataFrame]) -> dict[str, Outcome]:
     """Delete rows of several tables together: only children that stay keep their parents.
 
-    ``doomed`` holds key rows per table. A row that a staying child refers to stays and is reported; as it may keep its
-    own parents, that is repeated until nothing more is blocked. References of a table to itself count like others.
+    ``doomed`` holds key rows per table. A row that a staying child refers to stays and is reported; it may keep its own
+    parents, and so on. Every child table is read once for its staying rows and once for its doomed ones; what follows is a walk
+    over the references between doomed rows (``closure.spread``), whose rounds follow the logarithm of the longest chain.
+    References of a table to itself count like others.
     """
     doomed = {name: cut_lineage(tables[name].select(*contract[name].primary_key).join(df, list(contract[name].primary_key), "left_semi").distinct())
               for name, df in doomed.items()}
     hints = {name: _Hint(df) for name, df in doomed.items()}
-    leaving, rejected = dict(doomed), {}
-    while True:
-        staying = {}
-        for t in contract.tables:
-            key = list(t.primary_key)
-            staying[t.name] = tables[t.name].join(hints[t.name](leaving[t.name]), key, "left_anti") if t.name in leaving else tables[t.name]
-        more = False
-        for name in doomed:
-            children = {f"{t.name}.{r.column}": (staying[t.name], r.column) for t in contract.tables for r in t.references if r.table == name}
-            if not children:
-                rejected.setdefault(name, None)
+    blocked: dict[str, list[DataFrame]] = {name: [] for name in doomed}  # (key, violation, rule) by rows that stay in any case
+    held: dict[str, list[DataFrame]] = {name: [] for name in doomed}  # (key, rule, a, b): a doomed child and its doomed parent
+    for t in contract.tables:
+        own_key = list(t.primary_key)
+        staying = tables[t.name].join(hints[t.name](doomed[t.name]), own_key, "left_anti") if t.name in doomed else tables[t.name]
+        for r in t.references:
+            if r.table not in doomed:
                 continue
-            found = cut_lineage(_blocked(doomed[name], contract[name], children, hints[name]).distinct())
-            more |= rejected.get(name) is None and not found.isEmpty() or rejected.get(name) is not None and found.count() > rejected[name].count()
-            rejected[name] = found
-            (key,) = contract[name].primary_key
-            leaving[name] = cut_lineage(doomed[name].join(hints[name](found.select(key).distinct()), key, "left_anti"))
-        if not more:
-            break
-    none = {name: _label(doomed[name].limit(0), contract[name].primary_key, "", "") for name in doomed}
-    return {name: Outcome(staying[name].select(*tables[name].columns), none[name] if rejected[name] is None else rejected[name]) for name in doomed}
+            (key,) = contract[r.table].primary_key
+            rule = f"{t.name}.{r.column}"
+            blocked[r.table].append(cut_lineage(_blocked(doomed[r.table], contract[r.table], {rule: (staying, r.column)}, hints[r.table]).distinct()))
+            if t.name in doomed:
+                leaving = tables[t.name].join(hints[t.name](doomed[t.name]), own_key, "left_semi").where(F.col(r.column).isNotNull())
+                claims = leaving.select(F.col(r.column).cast(doomed[r.table].schema[key].dataType).alias(key), _node(t.name, own_key).alias("a"))
+                parents = doomed[r.table].select(key, _node(r.table, [key]).alias("b"))
+                held[r.table].append(cut_lineage(lookup(claims, parents, key, broadcast_rows=0).select(key, F.lit(rule).alias("rule"), "a", "b")))
+    direct = [b.select(_node(name, list(contract[name].primary_key)).alias("node")) for name, found in blocked.items() for b in found]
+    inside = [e.select("a", "b") for found in held.values() for e in found]
+    stays = union_all(direct) if direct else None
+    if direct and inside:
+        stays = closure.spread(union_all(inside), stays, closure.FORWARDS)
+    stays = cut_lineage(stays.distinct()) if stays is not None else None
+    outcomes = {}
+    for name, df in doomed.items():
+        key = list(contract[name].primary_key)
+        if stays is None or not blocked[name]:
+            leaving, rejected = df, _label(df.limit(0), contract[name].primary_key, "", "")
+        else:
+            kept = stays.select(F.col("node").alias("a"), F.lit(True).alias("stays"))
+            passed = [lookup(e, kept, "a", broadcast_rows=0).select(*key, F.lit("foreign_key").alias("violation"), "rule") for e in held[name]]
+            rejected = cut_lineage(union_all([*blocked[name], *passed]).distinct())
+            leaving = df.join(rejected.select(*key).distinct(), key, "left_anti")
+        outcomes[name] = Outcome(tables[name].join(hints[name](leaving), key, "left_anti").select(*tables[name].columns), rejected)
+    return outcomes
