@@ -49,7 +49,7 @@ UNIGRAM, BPE = 1, 2  # model types of the file format
 NEVER = np.int64(1 << 40)
 START = -1
 SPACE_BYTES = SPACE.encode("utf-8")
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 40 << 20
 BETWEEN = 0xFF  # a byte that no text holds stands between texts
 _BETWEEN_ONLY = np.arange(256) == BETWEEN
 BLOCK_CHARS = 1 << 18
@@ -411,7 +411,7 @@ def encode(docs: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = transducer(model)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=2 << 20):
                 found = own.encode([t or "" for t in part.column("text").to_pylist()])
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 flat = np.concatenate(found).astype(np.int32) if len(found) else np.zeros(0, np.int32)
@@ -428,7 +428,7 @@ def encoded(docs: DataFrame, model: str, with_ids: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = transducer(model)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=2 << 20):
                 found = own.encode([t or "" for t in part.column("text").to_pylist()])
                 texts = [own.decode(x) for x in found]
                 columns = [

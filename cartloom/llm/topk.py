@@ -12,13 +12,13 @@ one cutoff per query serves all of them.
    scores exactly with integers and passes on its k best by (score, smaller id), of which the k best of all are taken.
 
 Queries are dealt over rounds of at most ``ROUND_BYTES``, by a count of rows and components, so the broadcast is
-bounded; each round reads the candidates twice. If all products are whole numbers below 2^24, float32 is exact
+bounded, and a block of candidates is met by at most ``BLOCK_CELLS`` products at a time; each round reads the candidates twice. If all products are whole numbers below 2^24, float32 is exact
 and the error is zero.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part. Vectors only meet those
 of the same number of components. Rows that share an id are candidates of their own, but not of a query with that id;
-equal queries that share an id are answered once, different ones share one answer, of all their scores. Components
-whose integer leaves 31 bits raise an error.
+equal queries that share an id are answered once, different ones share one answer, of all their scores. Scores whose
+parts may pass 63 bits are summed in integers of any length; components and scores that leave 63 bits raise an error.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from cartloom.session import cut_lineage
 
 ROUND_BYTES = 16 << 20
 BLOCK_ROWS = 4096
+BLOCK_CELLS = 1 << 21
 SCALE = 1024
 
 
@@ -43,7 +44,8 @@ def integers(rows: DataFrame, vector: str, scale: int) -> DataFrame:
     """``rows`` with the vector as ``array<int>`` in ``parts``, without rows whose vector takes no part."""
     x = F.col(vector)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
-    whole = F.transform(x, lambda v: F.floor(v.cast("double") * float(scale)).cast("int"))
+    whole = F.transform(x, lambda v: F.when(F.abs(v.cast("double") * float(scale)) < 2.0**62, F.floor(v.cast("double") * float(scale)))
+                        .otherwise(F.raise_error(F.lit("a component leaves 63 bits"))).cast("long"))
     return rows.where((F.size(x) > 0) & ~F.coalesce(bad, F.lit(True))).withColumn("parts", whole)
 
 
@@ -63,11 +65,13 @@ class Queries:
             self.groups[int(d)] = (ids[own], np.stack([vectors[i] for i in own]).astype(np.int64))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, matrix) of rows with the same number of components, at most ``BLOCK_ROWS`` at a time."""
+def _blocks(batches: Iterator[pa.RecordBatch], queries: Queries) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, matrix) of rows with the same number of components, so few at a time that their products are bounded."""
+    most = max((len(ids) for ids, _ in queries.groups.values()), default=1)
+    size = max(1, min(BLOCK_ROWS, BLOCK_CELLS // most))
     for batch in batches:
-        for i in range(0, len(batch), BLOCK_ROWS):
-            part = batch.slice(i, BLOCK_ROWS)
+        for i in range(0, len(batch), size):
+            part = batch.slice(i, size)
             ids = part.column("vec_id").to_numpy(zero_copy_only=False)
             flat, ends = _matrix(part.column("parts"))
             sizes = np.diff(np.append(0, ends))
@@ -87,6 +91,17 @@ def _approximate(queries: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.
     return q @ r.T, error
 
 
+def _exact(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of two integer matrices."""
+    most = np.sqrt((left.astype(np.float64) ** 2).sum(1).max(initial=0) * (right.astype(np.float64) ** 2).sum(1).max(initial=0))
+    if most < 2.0**62:  # no product and, added in any order modulo 2^64, no sum can be wrong
+        return np.einsum("ij,ij->i", left, right)
+    sums = (left.astype(object) * right.astype(object)).sum(axis=1)
+    if any(abs(s) >= 1 << 63 for s in sums):
+        raise OverflowError("a score leaves 63 bits")
+    return sums.astype(np.int64)
+
+
 def top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of ``rows`` for each of ``queries`` (both vec_id, parts)."""
     spark = rows.sparkSession
@@ -116,7 +131,7 @@ def _round(spark: SparkSession, rows: DataFrame, queries: DataFrame, k: int) ->
 
     def local_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, np.ndarray] = {}
-        for row_ids, block in _blocks(batches):
+        for row_ids, block in _blocks(batches, spread.value):
             if block.shape[1] not in spread.value.groups:
                 continue
             query_ids, vectors = spread.value.groups[block.shape[1]]
@@ -138,7 +153,7 @@ def _round(spark: SparkSession, rows: DataFrame, queries: DataFrame, k: int) ->
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         least = {d: np.array([cutoff.value.get(q, -np.inf) for q in ids.tolist()]) for d, (ids, _) in spread.value.groups.items()}
-        for row_ids, block in _blocks(batches):
+        for row_ids, block in _blocks(batches, spread.value):
             d = block.shape[1]
             if d not in spread.value.groups:
                 continue
@@ -149,7 +164,7 @@ def _round(spark: SparkSession, rows: DataFrame, queries: DataFrame, k: int) ->
             q, r = np.nonzero(reach)
             for i in range(0, len(q), BLOCK_ROWS * 16):
                 a, b = q[i : i + BLOCK_ROWS * 16], r[i : i + BLOCK_ROWS * 16]
-                new = a, row_ids[b].astype(np.int64), np.einsum("ij,ij->i", vectors[a], block[b])
+                new = a, row_ids[b].astype(np.int64), _exact(vectors[a], block[b])
                 a, ids, exact = (np.concatenate(x) for x in zip(best[d], new)) if d in best else new
                 by = np.lexsort((ids, -exact, a))  # of what reaches the cutoff only the k best of this task can win
                 a, ids, exact = a[by], ids[by], exact[by]

@@ -48,3 +48,17 @@ def test_fewer_candidates_than_k_and_empty_tables(spark):
     compare(spark, vectors(3, 4, 5), 10)
     compare(spark, [(5, [1.0])], 10)
     compare(spark, [], 10)
+
+
+def test_large_components(spark, monkeypatch):
+    """Finite components whose integers pass 31 bits, sums whose parts pass 63 bits, few products at a time."""
+    monkeypatch.setattr(topk, "BLOCK_CELLS", 40)
+    draw = np.random.default_rng(9)
+    compare(spark, [(i, np.float32([2.2e6 + i % 7, *draw.normal(0, 9e4, 5)]).tolist()) for i in range(120)], 7)
+    compare(spark, [(i, np.float32([(-1) ** i * 2.5e6, 2.0**-10 * (i % 5), draw.normal()]).tolist()) for i in range(60)], 5)
+
+
+def test_parts_that_pass_63_bits_are_summed_whole():
+    left = np.array([[2**40, 2**40, 5], [1, 2, 3]])
+    right = np.array([[2**40, -(2**40), 7], [3, 2, 1]])
+    assert topk._exact(left, right).tolist() == [35, 10]
