@@ -73,22 +73,26 @@ def scan(
     number: str | None = None,
     sums: dict[str, str] | None = None,
     previous: dict[str, str] | None = None,
+    carried: dict[str, str] | None = None,
+    backwards: bool = False,
     task_rows: int = SCAN_ROWS,
 ) -> DataFrame:
-    """``df`` plus a row number, running sums and previous values per key, in ascending ``order``.
+    """``df`` plus a row number, running sums, previous and carried values per key, in ascending ``order``.
 
-    ``sums`` and ``previous`` map new column names to source columns. ``order`` must be free of NULLs
-    and unique inside a key; end it with a unique id. No ``keys`` means one order over the whole table. A NULL key is a
-    key. A running sum is NULL until the first value that is not; a sum and its carry keep the type of the sum.
+    ``sums``, ``previous`` and ``carried`` map new column names to source columns: sums up to the row, the value of the row
+    before, the last value that is not NULL up to the row. ``backwards`` walks every key from its last row to its first.
+    ``order`` must be free of NULLs and unique inside a key; end it with a unique id. No ``keys`` means one order over the whole
+    table. A NULL key is a key. A running sum is NULL until the first value that is not; it keeps its type over parts.
     """
-    sums, previous = dict(sums or {}), dict(previous or {})
+    sums, previous, carried = dict(sums or {}), dict(previous or {}), dict(carried or {})
+    walk = keys or [_ALL], order, number, sums, previous, carried, backwards
     rows = df if keys else df.withColumn(_ALL, F.lit(0))
     keys = keys or [_ALL]
     placed, parts = in_ranges(rows, [*keys, *order], task_rows)
     if parts == 1:
-        return _scanned(placed, keys, order, number, sums, previous).drop(_ALL, _PART, _FIRST)
-    local = cut_lineage(_scanned(placed.repartitionById(parts, F.col(_PART)), keys, order, number, sums, previous))
-    carries = broadcast_if_small(_carries(local, keys, order, number, sums, previous))
+        return _scanned(placed, *walk).drop(_ALL, _PART, _FIRST)
+    local = cut_lineage(_scanned(placed.repartitionById(parts, F.col(_PART)), *walk))
+    carries = broadcast_if_small(_carries(local, *walk))
 
     owed = F.col("from__").isNotNull()
     for c in keys:
@@ -102,14 +106,19 @@ def scan(
             wanted.append(value.alias(c))
         elif c in previous:
             wanted.append(F.when(owed & local[_FIRST], carries[f"{c}__before"]).otherwise(local[c]).alias(c))
+        elif c in carried:
+            wanted.append(F.coalesce(local[c], F.when(owed, carries[f"{c}__before"])).alias(c))
         elif c not in (_PART, _ALL, _FIRST):
             wanted.append(local[c])
     return local.join(carries, local[_PART] == carries["from__"], "left").select(*wanted)
 
 
-def _scanned(placed: DataFrame, keys: list[str], order: list[str], number: str | None, sums: dict[str, str], previous: dict[str, str]) -> DataFrame:
+def _scanned(
+    placed: DataFrame, keys: list[str], order: list[str], number: str | None,
+    sums: dict[str, str], previous: dict[str, str], carried: dict[str, str], backwards: bool,
+) -> DataFrame:
     """Windows inside the parts, which need no shuffle of their own; marks the first row of a key in a part."""
-    window = Window.partitionBy(_PART, *keys).orderBy(*order)
+    window = Window.partitionBy(_PART, *keys).orderBy(*[F.desc(c) if backwards else F.asc(c) for c in order])
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = {_FIRST: F.row_number().over(window) == 1} if previous else {}
     if number:
@@ -118,23 +127,32 @@ def _scanned(placed: DataFrame, keys: list[str], order: list[str], number: str |
         added[name] = F.sum(source).over(running)
     for name, source in previous.items():
         added[name] = F.lag(source).over(window)
+    for name, source in carried.items():
+        added[name] = F.last(source, ignorenulls=True).over(running)
     return placed.withColumns(added)
 
 
-def _carries(local: DataFrame, keys: list[str], order: list[str], number: str | None, sums: dict[str, str], previous: dict[str, str]) -> DataFrame:
+def _carries(
+    local: DataFrame, keys: list[str], order: list[str], number: str | None,
+    sums: dict[str, str], previous: dict[str, str], carried: dict[str, str], backwards: bool,
+) -> DataFrame:
     """(from__, <key>__key, <name>__before): what the parts before part ``from__`` hold of its first key; at most one row a part.
 
     A key that reaches into a part from before is the last key of every part from the one in which it starts, so the last row of
-    each part is enough: its number and sums are the key's totals there.
+    each part is enough: its number and sums are the key's totals there. Walking backwards, first and last change places.
     """
-    values = [F.col(c) for c in [*([number] if number else []), *sums]] + [F.struct(F.col(s).alias("v")).alias(c) for c, s in previous.items()]
+    totals = [*([number] if number else []), *sums]
+    values = [F.col(c) for c in [*totals, *carried]] + [F.struct(F.col(s).alias("v")).alias(c) for c, s in previous.items()]
     key = F.struct(*[F.col(c) for c in keys])
+    first, last = (F.max, F.min_by) if backwards else (F.min, F.max_by)
     ends = local.groupBy(_PART).agg(
-        F.min(key).alias("first"), F.max_by(F.struct(key.alias("key"), *values, F.lit(True).alias("held__")), _position([*keys, *order])).alias("last"))
-    given = ends.select("last.key.*", F.col(_PART).alias("from__"), F.lit(1).alias("kind__"), *[f"last.{c}" for c in [*([number] if number else []), *sums, *previous, "held__"]])
+        first(key).alias("first"), last(F.struct(key.alias("key"), *values, F.lit(True).alias("held__")), _position([*keys, *order])).alias("last"))
+    given = ends.select("last.key.*", F.col(_PART).alias("from__"), F.lit(1).alias("kind__"), *[f"last.{c}" for c in [*totals, *carried, *previous, "held__"]])
     asked = ends.select("first.*", F.col(_PART).alias("from__"), F.lit(0).alias("kind__"))
-    before = Window.partitionBy(*keys).orderBy("from__", "kind__").rowsBetween(Window.unboundedPreceding, -1)
-    owed = [F.sum(c).over(before).alias(f"{c}__before") for c in [*([number] if number else []), *sums]]
+    parts = F.desc("from__") if backwards else F.asc("from__")
+    before = Window.partitionBy(*keys).orderBy(parts, "kind__").rowsBetween(Window.unboundedPreceding, -1)
+    owed = [F.sum(c).over(before).alias(f"{c}__before") for c in totals]
+    owed += [F.last(c, ignorenulls=True).over(before).alias(f"{c}__before") for c in carried]
     owed += [F.last(c, ignorenulls=True).over(before).getField("v").alias(f"{c}__before") for c in previous]
     both = given.unionByName(asked, allowMissingColumns=True)
     summed = both.select("from__", "kind__", *[F.col(c).alias(f"{c}__key") for c in keys], F.count("held__").over(before).alias("parts__"), *owed)
@@ -146,6 +164,28 @@ def dense_row_number(df: DataFrame, order: list[str], name: str = "row_number",
     return scan(df, [], order, number=name, task_rows=task_rows)
 
 
+def next_match(
+    left: DataFrame, right: DataFrame, keys: list[str], moment: str, ident: str, prefix: str = "next_", task_rows: int = SCAN_ROWS
+) -> DataFrame:
+    """Every row of ``left`` with the first row of ``right`` of its key that is strictly later, by (``moment``, ``ident``).
+
+    Both sides have the columns ``keys``, ``moment`` and a unique ``ident``. One union, one walk backwards in time that carries the
+    last row of ``right`` it met: no pairs are formed, and a key of any size spreads over parts. The columns of
+    ``right`` but for the keys come with ``prefix``, NULL where nothing follows. A NULL key matches a NULL key; rows without
+    a moment match nothing.
+    """
+    shape = right.schema
+    timed = left.where(F.col(moment).isNotNull())
+    place = [*[F.col(c) for c in keys], F.col(moment).alias("moment__"), F.col(ident).alias("ident__")]
+    # Of equal moments the right rows come first, so the walk backwards meets the left ones before.
+    one = timed.select(*place, F.lit(1).alias("side__"), F.struct(*timed.columns).alias("left__"), F.lit(None).cast(shape).alias("right__"))
+    other = right.where(F.col(moment).isNotNull()).select(
+        *place, F.lit(0).alias("side__"), F.lit(None).cast(left.schema).alias("left__"), F.struct(*right.columns).alias("right__"))
+    walked = scan(one.unionByName(other), keys, ["moment__", "side__", "ident__"], carried={"match__": "right__"}, backwards=True, task_rows=task_rows)
+    found = walked.where("side__ = 1").select("left__.*", *[F.col(f"match__.{c}").alias(f"{prefix}{c}") for c in right.columns if c not in keys])
+    return found.unionByName(left.where(F.col(moment).isNull()), allowMissingColumns=True)
+
+
 def ends(df: DataFrame, keys: list[str], order: list[str], first: dict[str, str] | None = None, last: dict[str, str] | None = None) -> DataFrame:
     """First and/or last row of every key as one aggregate; copies of a hot key merge before the shuffle.
 

@@ -92,6 +92,30 @@ def success_after_failure(spark, folder):
     return _attempt_profile(spark, folder).where("success_after_failure").select("user_id", "day")
 
 
+_NEXT_SQL = """
+WITH f AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'error'),
+s AS (SELECT user_id, ts AS next_ts, min(event_id) AS next_event_id, arg_min(value, event_id) AS next_value
+      FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts)
+SELECT f.event_id, f.user_id, f.ts, f.value, next_event_id, next_ts, next_value FROM f ASOF JOIN s ON f.user_id = s.user_id AND f.ts < s.next_ts"""
+
+
+def _recovered(spark, folder, **options) -> DataFrame:
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "value", "event_type")
+    failed, succeeded = (events.where(F.col("event_type") == kind).drop("event_type") for kind in ("error", "purchase"))
+    return ordered.next_match(failed, succeeded, ["user_id"], "ts", "event_id", **options).where("next_event_id IS NOT NULL")
+
+
+@QUERIES.add("first_success_after_failure", _NEXT_SQL)
+def first_success_after_failure(spark, folder):
+    """Every failure with the first success of its user that follows it, with the columns of both."""
+    return _recovered(spark, folder)
+
+
+@QUERIES.add("first_success_after_failure_cut", _NEXT_SQL)
+def first_success_after_failure_cut(spark, folder):
+    return _recovered(spark, folder, task_rows=CUT_ROWS)
+
+
 @QUERIES.add("attempt_sequence", f"""
 SELECT event_id, user_id, day, row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) AS attempt FROM ({_BY_DAY})""")
 def attempt_sequence(spark, folder):

@@ -81,7 +81,7 @@ def test_one_shuffle_of_the_rows(spark, tmp_path):
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.replace("BroadcastExchange", "") and "FileScan" not in plan and "Sort" not in plan
     placed, parts = ordered.in_ranges(df, ["key", "id"], 1_000)
-    local = ordered._scanned(placed.repartitionById(parts, F.col(ordered._PART)), ["key"], ["id"], "n", {"s": "v"}, {"p": "v"})
+    local = ordered._scanned(placed.repartitionById(parts, F.col(ordered._PART)), ["key"], ["id"], "n", {"s": "v"}, {"p": "v"}, {}, False)
     plan = local._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Subqueries")[0].count("shufflepartitionidpassthrough") == 1 and plan.count("hashpartitioning") == 0
     want = {}
@@ -102,6 +102,40 @@ def test_types_and_names(spark):
     assert sorted(map(str, result.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_carried_values_and_walks_backwards(spark):
+    rows = [r for r in skewed_rows(1_500, 8)]
+    df = spark.createDataFrame(rows, "key string, ts int, id bigint, value int").repartition(4)
+    for backwards in (False, True):
+        want, state = {}, {}
+        for key, _, ident, value in sorted(rows, key=lambda r: (r[1], r[2]), reverse=backwards):
+            n, total, last, held = state.get(key, (0, None, None, None))
+            total = value if total is None else total if value is None else total + value
+            held = held if value is None else value
+            want[ident] = (n + 1, total, last, held)
+            state[key] = (n + 1, total, value, held)
+        for task_rows in (60, 1_000_000):
+            result = ordered.scan(df, ["key"], ["ts", "id"], number="n", sums={"s": "value"}, previous={"p": "value"}, carried={"c": "value"},
+                                  backwards=backwards, task_rows=task_rows)
+            assert {r.id: (r.n, r.s, r.p, r.c) for r in result.collect()} == want
+
+
+@pytest.mark.parametrize("task_rows", [40, 1_000_000])
+def test_next_match(spark, task_rows):
+    """Hot keys, equal moments on both sides, keys and moments that are NULL, keys without a match."""
+    draw = random.Random(6)
+    side = lambda n, start: [(draw.choice(["hot", "hot", "a", "b", None]), None if draw.random() < 0.05 else draw.randrange(80), start + i, f"r{i}") for i in range(n)]
+    left, right = side(400, 0), [*side(300, 1000), ("only right", 5, 5000, "x")]
+    left.append(("only left", 5, 6000, "y"))
+    frames = [spark.createDataFrame(x, "k string, at int, id bigint, note string").repartition(3) for x in (left, right)]
+    got = ordered.next_match(*frames, ["k"], "at", "id", task_rows=task_rows)
+    assert got.columns == ["k", "at", "id", "note", "next_at", "next_id", "next_note"]
+    want = []
+    for k, at, ident, note in left:
+        later = sorted((t, i, n) for key, t, i, n in right if key == k and at is not None and t is not None and t > at)
+        want.append((k, at, ident, note, *(later[0] if later else (None, None, None))))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k int, id int, v int")
     assert ordered.scan(df, ["k"], ["id"], number="n", sums={"s": "v"}, previous={"p": "v"}).collect() == []
