@@ -54,6 +54,7 @@ PART_MASS = 2 << 20
 SPARE = 4
 SPREAD = 1024
 TASK_WORDS = 4 << 20
+COUNT_TASKS = 4
 HELD_ROWS = 1_000_000
 COUNTED = ["hash", "lang", "words", "phrase", "n"]
 MARKS = b".,;:!?\n\x0b\x0c\r"
@@ -403,7 +404,8 @@ def frequent(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _sums(batches, least)
 
-    counted = answers.repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(count, "part int, counted binary")
+    wide = max(1, -(-total // (COUNT_TASKS * TASK_WORDS)))  # the more chunks a task has, the fewer rows its counts are
+    counted = answers.repartition(wide, "chunk").sortWithinPartitions("chunk").mapInArrow(count, "part int, counted binary")
     placed = counted.repartitionById(parts, F.col("part")).sortWithinPartitions("part")
     return totals, cut_lineage(placed.mapInArrow(add_up, "lang string, words int, phrase string, a long"))
 
