@@ -11,6 +11,8 @@ from cartloom.contract.model import Check, Column, Contract, Reference, Table
 from cartloom.operators import mutate
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import STAR, table
+from cartloom.session import shared_folder
+from cartloom.sources import csv_lines
 
 QUERIES = Registry()
 
@@ -182,3 +184,46 @@ def delete_tree(spark, folder):
     left = mutate.delete_batch({name: df.select(*PAIR[name].primary_key) for name, df in doomed.items()}, PAIR,
                                {"customer": customers, "orders": orders})["customer"].table
     return left.select("c_custkey", (F.col("c_custkey") % 5 == 0).alias("kept_by_an_order"))
+
+
+# -- a file with damaged lines -------------------------------------------------------------------------------------
+
+# Some lines lose a field, some have one too many, some a nation or a balance that is no number.
+_LINES_SQL = """
+  SELECT c_custkey, concat_ws(',', c_custkey::VARCHAR, c_name,
+         if(c_custkey % 89 = 5, 'x' || c_nationkey, c_nationkey::VARCHAR),
+         if(c_custkey % 31 = 7, '-', round(c_acctbal * 100)::BIGINT::VARCHAR),
+         if(c_custkey % 97 = 3, NULL, c_mktsegment), if(c_custkey % 83 = 7, 'more', NULL)) AS text FROM customer"""
+CSV_CUSTOMERS = "c_custkey bigint, c_name string, c_nationkey int, cents bigint, c_mktsegment string"
+
+
+def _customer_file(spark, folder) -> csv_lines.Parsed:
+    """The customers as lines of text in the shared folder, some of them damaged, read again."""
+    key = F.col("c_custkey")
+    fields = [
+        key.cast("string"), F.col("c_name"), F.when(key % 89 == 5, F.concat(F.lit("x"), F.col("c_nationkey"))).otherwise(F.col("c_nationkey").cast("string")),
+        F.when(key % 31 == 7, "-").otherwise(F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")),
+        F.when(key % 97 != 3, F.col("c_mktsegment")), F.when(key % 83 == 7, "more"),
+    ]
+    path = shared_folder(spark, "customer-lines")
+    table(spark, folder, "customer").select(F.concat_ws(",", *fields).alias("value")).write.text(path)
+    schema = spark.createDataFrame([], CSV_CUSTOMERS).schema
+    return csv_lines.read(spark, path, schema, header=False)
+
+
+@QUERIES.add("csv_rejects", f"""
+SELECT text, CASE WHEN (c_custkey % 97 = 3) <> (c_custkey % 83 = 7) THEN 'fields'
+       ELSE 'type:' || concat_ws(',', if(c_custkey % 89 = 5, 'c_nationkey', NULL), if(c_custkey % 31 = 7, 'cents', NULL)) END AS reason
+FROM ({_LINES_SQL})
+WHERE (c_custkey % 97 = 3) <> (c_custkey % 83 = 7) OR c_custkey % 89 = 5 OR c_custkey % 31 = 7""")
+def csv_rejects(spark, folder):
+    """Lines that don't parse, with the reason."""
+    return _customer_file(spark, folder).rejected.select("text", "reason")
+
+
+@QUERIES.add("csv_rows", """
+SELECT c_custkey, c_name, c_nationkey, round(c_acctbal * 100)::BIGINT AS cents, if(c_custkey % 97 = 3, 'more', c_mktsegment) AS c_mktsegment FROM customer
+WHERE (c_custkey % 97 = 3) = (c_custkey % 83 = 7) AND c_custkey % 89 <> 5 AND c_custkey % 31 <> 7""")
+def csv_rows(spark, folder):
+    """The rows of the other lines."""
+    return _customer_file(spark, folder).rows
