@@ -6,10 +6,11 @@ NULL fails.
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column as Expr
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.contract.model import Contract, Table
@@ -56,6 +57,48 @@ def measured(df: DataFrame, measures: list[Measure]) -> DataFrame:
     ])
 
 
+_CONDITIONS = {"=": operator.eq, ">=": operator.ge, "<=": operator.le, ">": operator.gt, "<": operator.lt}
+
+
+class Observer:
+    """Measures of tables taken by the job that writes them, so that nothing is read again for them.
+
+    ``watch`` goes on the rows as they are written, behind every shuffle: the tasks of a job's last stage count once, however
+    often they run. Rows are counted beside the measures; where that count is not the one of the files, the table is measured
+    by a scan of these instead.
+    """
+
+    def __init__(self, measures: dict[str, list[Measure]]):
+        self.measures = {name: own for name, own in measures.items() if own}
+        self.taken: dict[str, Observation] = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        own = self.measures.get(name)
+        if not own:
+            return df
+        self.taken[name] = Observation()
+        return df.observe(
+            self.taken[name], F.count(F.lit(1)).alias("rows"),
+            *[m.aggregate.cast("bigint").alias(f"m{i}") for i, m in enumerate(own)],
+            *[m.holds.alias(f"h{i}") for i, m in enumerate(own) if m.holds is not None],
+        )
+
+    def report(self, spark: SparkSession, written: dict[str, DataFrame], row_counts: dict[str, int]) -> DataFrame:
+        """Report rows of all tables that were watched and ``written``; ``row_counts`` are those of the files."""
+        rows, frames = [], []
+        for name, own in self.measures.items():
+            values = self.taken[name].get
+            if values["rows"] != row_counts[name]:
+                frames.append(measured(written[name], own))
+                continue
+            for i, m in enumerate(own):
+                sign, number = m.expected.split(" ")
+                value = values[f"m{i}"]
+                holds = values[f"h{i}"] if m.holds is not None else value is not None and _CONDITIONS[sign](value, int(number))
+                rows.append((m.check, m.subject, m.expected, value, bool(holds)))
+        return union_all([spark.createDataFrame(rows, REPORT_SCHEMA), *frames])
+
+
 def violations(rule: str) -> Expr:
     """Rows for which an SQL condition is FALSE; NULL passes."""
     return F.expr(f"count_if(NOT ({rule}))")

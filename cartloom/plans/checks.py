@@ -14,6 +14,8 @@ from cartloom.operators.profiling import row_counts as row_counts_of
 from cartloom.operators.skew import lookup
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import LINE_KEY, STAR, as_double, dec, table, tables
+from cartloom.session import shared_folder
+from cartloom.sources import snapshot
 
 QUERIES = Registry()
 
@@ -131,6 +133,15 @@ def contract_report(spark, folder):
     return verify.structural(spark, STAR, tables(spark, folder))
 
 
+@QUERIES.add("contract_observed", "\nUNION ALL ".join(_rules_sql(("not_null", "length", "check"))))
+def contract_observed(spark, folder):
+    """The row rules of the report, measured by the jobs that stage a snapshot of the tables."""
+    root = shared_folder(spark, "observed-snapshot")
+    observer = verify.Observer({t.name: verify.row_measures(t) for t in STAR.tables})
+    version = snapshot.stage(spark, tables(spark, folder), root, clustering={}, observer=observer)
+    return snapshot.observed(spark, root, version, observer)
+
+
 @QUERIES.add("pk_violations", """
 SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""")

@@ -13,6 +13,7 @@ import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartloom.contract.verify import require
+from cartloom.contract.verify import Observer, require
 from cartloom.operators import fingerprint
 
 ROWS_PER_FILE = 5_000_000
@@ -72,14 +73,17 @@ def _file_count(df: DataFrame, rows: int | None) -> int:
     return max(1, -(-rows // ROWS_PER_FILE), -(-int(rows * fixed) // BYTES_PER_FILE))
 
 
-def write_table(df: DataFrame, path: str, cluster: list[str] | None, rows: int | None = None) -> None:
-    """Range-cluster on the access path and sort inside files.
+def write_table(
+    df: DataFrame, path: str, cluster: list[str] | None, rows: int | None = None, watch: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Range-cluster on the access path and sort inside files; ``watch`` sees the rows as they are written.
 
     The access path ends in a unique id, so a hot prefix is cut into several files. The number of files follows
     rows and bytes, never the session's parallelism.
     """
     if cluster:
         df = df.repartitionByRange(_file_count(df, rows), *cluster).sortWithinPartitions(*cluster)
+    df = watch(df) if watch else df
     df.write.option("maxRecordsPerFile", 2 * ROWS_PER_FILE).parquet(path, mode="error")
 
 
@@ -95,18 +99,26 @@ def stage(
     clustering: dict[str, list[str]] | None = None,
     rows: dict[str, int] | None = None,
     version: str | None = None,
+    observer: Observer | None = None,
 ) -> str:
-    """Write all tables and their manifest under a new version that no reader sees yet."""
+    """Write all tables and their manifest under a new version that no reader sees yet; an ``observer`` measures on the way."""
     clustering = CLUSTERING if clustering is None else clustering
     version = version or uuid.uuid4().hex
     path = _version_path(root, version)
     for name, df in tables.items():
-        write_table(df, f"{path}/{name}", clustering.get(name), (rows or {}).get(name))
+        watch = partial(observer.watch, name) if observer else None
+        write_table(df, f"{path}/{name}", clustering.get(name), (rows or {}).get(name), watch)
     staged = {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
     _manifest(spark, staged).coalesce(1).write.parquet(f"{path}/manifest", mode="error")
     return version
 
 
+def observed(spark: SparkSession, root: str, version: str, observer: Observer) -> DataFrame:
+    """Report of what ``observer`` measured while ``version`` was staged; row counts come from the manifest."""
+    counts = spark.read.parquet(f"{_version_path(root, version)}/manifest").select("table_name", "row_count").collect()
+    return observer.report(spark, open_version(spark, root, version), {r.table_name: r.row_count for r in counts})
+
+
 def open_version(spark: SparkSession, root: str, version: str) -> dict[str, DataFrame]:
     """Tables of one version, published or not, with the schemas of its manifest."""
     path = _version_path(root, version)
@@ -189,11 +201,17 @@ def publish(
     label: str = "",
     clustering: dict[str, list[str]] | None = None,
     rows: dict[str, int] | None = None,
+    observer: Observer | None = None,
 ) -> str:
-    """Stage, verify what was written, and only then announce it; a version that fails leaves no files."""
+    """Stage, verify what was written, and only then announce it; a version that fails leaves no files.
+
+    Measures of an ``observer`` are taken while the tables are written and must hold too; ``verifier`` need not repeat them.
+    """
     version = uuid.uuid4().hex
     try:
-        stage(spark, tables, root, clustering, rows, version)
+        stage(spark, tables, root, clustering, rows, version, observer)
+        if observer:
+            require(observed(spark, root, version, observer))
         require(verifier(open_version(spark, root, version)))
     except Exception:
         discard(spark, root, version)
