@@ -4,7 +4,8 @@ A prefix scan with one shuffle, on one path for every size and every skew. Rows
 order), so a key of any size spreads over consecutive parts; the borders come from a bounded sample. Each part is
 scanned by itself and written once. What a part owes to the ones before it concerns its first key only, and is found from one
 small row per part: the totals of its last key, scanned over the parts. The input is counted, sampled and then read
-once in full; everything after that reads what was written.
+once in full; everything after that reads what was written. Rows that fill one part only need no borders, and their keys
+spread them over tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from cartloom.operators.skew import SAMPLE_SEED, broadcast_if_small
 from cartloom.session import cut_lineage
 
-SCAN_ROWS = 100_000
+SCAN_ROWS = 1_000_000
+TABLE_ROWS = 100_000  # of a part where there are no keys that spread the rows of a single part
 MAX_PARTS = 20_000
 SAMPLES_PER_PART = 64
 BORDER_BYTES = 8 << 20
@@ -159,7 +161,7 @@ def _carries(
     return cut_lineage(summed.where("kind__ = 0 AND parts__ > 0").drop("kind__", "parts__"))
 
 
-def dense_row_number(df: DataFrame, order: list[str], name: str = "row_number", task_rows: int = SCAN_ROWS) -> DataFrame:
+def dense_row_number(df: DataFrame, order: list[str], name: str = "row_number", task_rows: int = TABLE_ROWS) -> DataFrame:
     """Number all rows 1..n in a unique order, without sending the table through one task."""
     return scan(df, [], order, number=name, task_rows=task_rows)
 
