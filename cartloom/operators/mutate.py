@@ -25,14 +25,18 @@ INSERT, UPDATE = "insert", "update"
 class _Hint:
     """Broadcasts keys of a change set, but only if the whole set was measured and is small.
 
-    Every hinted relation is a projection of the change set, so its size bounds them all.
+    Every hinted relation is a projection of the change set, so its size bounds them all. The keys of a large set are dealt like
+    the buckets of the table that they meet, where it is bucketed by them, so that only the keys move.
     """
 
-    def __init__(self, changes: DataFrame):
-        self.small = fits_broadcast(changes, BROADCAST_ROWS)
+    def __init__(self, changes: DataFrame, buckets: dict[str, int] | None = None, broadcast_rows: int = BROADCAST_ROWS):
+        self.small = fits_broadcast(changes, broadcast_rows)
+        self.buckets = buckets or {}
 
-    def __call__(self, subset: DataFrame) -> DataFrame:
-        return F.broadcast(subset) if self.small else subset
+    def __call__(self, subset: DataFrame, meets: str | None = None) -> DataFrame:
+        if self.small:
+            return F.broadcast(subset)
+        return subset.repartition(self.buckets[meets], *subset.columns) if meets in self.buckets else subset
 
 
 @dataclass(frozen=True)
@@ -89,7 +93,7 @@ def _key_breaches(changes: DataFrame, current: DataFrame, table: Table, hint: _H
     rule = "_".join(key)
     # One row per key and operation, so that many copies of a key meet the table as one.
     keyed = changes.where(~keys.any_null(key)).select(*key, "op").distinct()
-    existing = current.select(*key).join(hint(keyed.select(*key).distinct()), key, "left_semi")
+    existing = current.select(*key).join(hint(keyed.select(*key).distinct(), table.name), key, "left_semi")
     # An update of a row that is not there changes nothing; it is reported, not silently dropped.
     return [
         _label(keyed.where(F.col("op") == INSERT).join(existing, key, "left_semi"), table.primary_key, "unique", rule),
@@ -121,7 +125,7 @@ def _reference_breaches(
     for r in table.references:
         claims = changes.where(F.col(r.column).isNotNull()).select(*table.primary_key, r.column)
         wanted = claims.select(r.column).distinct()
-        known = parents[r.table].select(F.col(r.key).alias(r.column)).join(hint(wanted), r.column, "left_semi")
+        known = parents[r.table].select(F.col(r.key).alias(r.column)).join(hint(wanted, r.table), r.column, "left_semi")
         if r.table in (fresh or {}):
             known = known.union(fresh[r.table].select(F.col(r.key).cast(known.schema[r.column].dataType))).distinct()
         missing = wanted.join(hint(known), r.column, "left_anti")
@@ -208,21 +212,30 @@ def batch(changes: dict[str, DataFrame], contract: Contract, tables: dict[str, D
     return outcomes
 
 
-def upsert(changes: DataFrame, table: Table, current: DataFrame, parents: dict[str, DataFrame]) -> Outcome:
+def upsert(
+    changes: DataFrame,
+    table: Table,
+    current: DataFrame,
+    parents: dict[str, DataFrame],
+    buckets: dict[str, int] | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> Outcome:
     """Apply inserts and updates that break no rule.
 
     The change set and the verdict are written once to the checkpoint folder, as both results need them. The current table
     is only filtered by the accepted keys, with a broadcast when the change set is small, so a small change
-    set does not shuffle a large table.
+    set does not shuffle a large table. ``buckets`` names the tables, ``table`` or parents, that are bucketed by the key that the
+    set meets them by, with their numbers of buckets (``sources.bucketed``): a large set does not shuffle these either.
+    Only unique values, which no primary key's buckets serve, still bring their columns together by a shuffle.
     """
     key = list(table.primary_key)
     changes = cut_lineage(changes)  # every rule reads the set; it is computed once
-    hint = _Hint(changes)
+    hint = _Hint(changes, buckets, broadcast_rows)
     rejected = cut_lineage(screen(changes, table, current, parents, hint))
     # A row whose key is NULL cannot be matched by an equi-join; it always breaks not_null.
     accepted = changes.where(~keys.any_null(key)).join(hint(rejected.select(*key).distinct()), key, "left_anti")
     fresh = conform(accepted, table)
-    kept = current.join(hint(fresh.select(*key)), key, "left_anti").select(*current.columns)
+    kept = current.join(hint(fresh.select(*key), table.name), key, "left_anti").select(*current.columns)
     return Outcome(kept.unionByName(fresh), rejected)
 
 
