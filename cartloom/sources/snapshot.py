@@ -3,13 +3,18 @@
     <root>/versions/<version>/<table>/    data, clustered for the usual queries
     <root>/versions/<version>/manifest/   row counts, schemas and fingerprints
     <root>/publications/<sequence>.json   one file per announcement; whoever creates it has the number
+    <root>/leases/<version>.json          until when the builder of a version vouches for it
+    <root>/claims/<version>.json          who decided on a version, its publisher or a sweep; whoever creates it has decided
 
-Readers follow the last publication. A failed build leaves the publications, and so all readers, untouched.
+Readers follow the last publication. A failed build leaves the publications, and so all readers, untouched. A build that
+dies leaves files and a lease that runs out; ``sweep`` removes both.
 """
 
 from __future__ import annotations
 
 import json
+import threading
+import time
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
@@ -26,7 +31,10 @@ from cartloom.operators import fingerprint
 
 ROWS_PER_FILE = 5_000_000
 BYTES_PER_FILE = 256 << 20
+LEASE_SECONDS = 3600.0
 PUBLICATION_SCHEMA = "sequence bigint, version string, label string, published_at timestamp"
+LEASE_SCHEMA = "version string, expires_at double"
+PUBLISH, SWEEP = "publish", "sweep"
 
 # Access paths of the commerce tables: rows are range-clustered on these columns, so that file and row-group
 # statistics can skip data where a database would use an index.
@@ -46,6 +54,16 @@ CLUSTERING = {
 # need a shuffle to be clustered.
 CLUSTERING_OF_GENERATED = {name: CLUSTERING[name] for name in ("categories", "products", "orders", "inventory_movements")}
 
+# Columns of exact lookups that no clustering serves: their files carry Bloom filters.
+LOOKUPS = {
+    "customers": ["id"],
+    "products": ["id", "sku"],
+    "orders": ["id"],
+    "payments": ["id"],
+    "inventory_movements": ["id"],
+}
+BLOOM_BYTES = 8 << 20  # at most, for a column of a row group; the size that is written follows its distinct values
+
 Verifier = Callable[[dict[str, DataFrame]], DataFrame]
 
 
@@ -57,7 +75,7 @@ def _version_path(root: str, version: str) -> str:
     return f"{root}/versions/{version}"
 
 
-def _file_count(df: DataFrame, rows: int | None) -> int:
+def file_count(df: DataFrame, rows: int | None) -> int:
     """Files of at most ``ROWS_PER_FILE`` rows and about ``BYTES_PER_FILE`` bytes.
 
     Rows are counted where they are not known. The width is that of the typed columns plus the mean of the texts.
@@ -74,17 +92,29 @@ def _file_count(df: DataFrame, rows: int | None) -> int:
 
 
 def write_table(
-    df: DataFrame, path: str, cluster: list[str] | None, rows: int | None = None, watch: Callable[[DataFrame], DataFrame] | None = None
+    df: DataFrame,
+    path: str,
+    cluster: list[str] | None,
+    rows: int | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+    lookups: list[str] | None = None,
+    group_bytes: int | None = None,
 ) -> None:
     """Range-cluster on the access path and sort inside files; ``watch`` sees the rows as they are written.
 
     The access path ends in a unique id, so a hot prefix is cut into several files. The number of files follows
-    rows and bytes, never the session's parallelism.
+    rows and bytes, never the session's parallelism. Row groups carry Bloom filters of the ``lookups`` columns, by which an
+    equality or IN filter skips those without the value; ``group_bytes`` is their size, Parquet's own if it isn't given.
     """
     if cluster:
-        df = df.repartitionByRange(_file_count(df, rows), *cluster).sortWithinPartitions(*cluster)
+        df = df.repartitionByRange(file_count(df, rows), *cluster).sortWithinPartitions(*cluster)
     df = watch(df) if watch else df
-    df.write.option("maxRecordsPerFile", 2 * ROWS_PER_FILE).parquet(path, mode="error")
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookups or [] if c in df.columns}
+    if options:
+        options |= {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES)}
+    if group_bytes:
+        options["parquet.block.size"] = str(group_bytes)
+    df.write.option("maxRecordsPerFile", 2 * ROWS_PER_FILE).options(**options).parquet(path, mode="error")
 
 
 def _manifest(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
@@ -100,17 +130,29 @@ def stage(
     rows: dict[str, int] | None = None,
     version: str | None = None,
     observer: Observer | None = None,
+    lookups: dict[str, list[str]] | None = None,
+    group_bytes: int | None = None,
+    lease_seconds: float = LEASE_SECONDS,
 ) -> str:
-    """Write all tables and their manifest under a new version that no reader sees yet; an ``observer`` measures on the way."""
+    """Write all tables and their manifest under a new version that no reader sees yet; an ``observer`` measures on the way.
+
+    The version is leased while it is written and for ``lease_seconds`` after; then a sweep may remove it.
+    """
     clustering = CLUSTERING if clustering is None else clustering
+    lookups = LOOKUPS if lookups is None else lookups
     version = version or uuid.uuid4().hex
     path = _version_path(root, version)
-    for name, df in tables.items():
-        watch = partial(observer.watch, name) if observer else None
-        write_table(df, f"{path}/{name}", clustering.get(name), (rows or {}).get(name), watch)
+    with _Lease(spark, root, version, lease_seconds):
+        for name, df in tables.items():
+            watch = partial(observer.watch, name) if observer else None
+            write_table(df, f"{path}/{name}", clustering.get(name), (rows or {}).get(name), watch, lookups.get(name), group_bytes)
+        _write_manifest(spark, tables, path)
+    return version
+
+
+def _write_manifest(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
     staged = {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
     _manifest(spark, staged).coalesce(1).write.parquet(f"{path}/manifest", mode="error")
-    return version
 
 
 def observed(spark: SparkSession, root: str, version: str, observer: Observer) -> DataFrame:
@@ -161,36 +203,118 @@ def _store(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def _write(spark: SparkSession, path: str, entry: dict, overwrite: bool = False) -> bool:
+    """Write a small JSON file; False if it must be new and another writer has created it."""
+    store, place = _store(spark, path)
+    if not overwrite and store.exists(place):
+        return False
+    try:
+        out = store.create(place, overwrite)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    try:
+        out.write(bytearray(json.dumps(entry).encode()))
+    finally:
+        out.close()
+    return True
+
+
 def _announce(spark: SparkSession, root: str, version: str, label: str) -> int:
     """Take the next free sequence number by creating its file, which fails if another publisher has it."""
     sequence = (publications(spark, root).agg(F.max("sequence")).first()[0] or 0) + 1
     while True:
-        store, place = _store(spark, f"{root}/publications/{sequence:010d}.json")
-        if store.exists(place):
-            sequence += 1
-            continue
-        try:
-            out = store.create(place, False)
-        except Py4JJavaError as error:
-            if "FileAlreadyExists" not in str(error.java_exception):
-                raise
-            sequence += 1
-            continue
         entry = {"sequence": sequence, "version": version, "label": label,
                  "published_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds")}
-        try:
-            out.write(bytearray(json.dumps(entry).encode()))
-        finally:
-            out.close()
-        return sequence
+        if _write(spark, f"{root}/publications/{sequence:010d}.json", entry):
+            return sequence
+        sequence += 1
+
+
+def _claim(spark: SparkSession, root: str, version: str, by: str) -> bool:
+    """Decide on a version for good: True for the side that was first, and again whenever that side asks."""
+    path = f"{root}/claims/{version}.json"
+    if _write(spark, path, {"version": version, "by": by}):
+        return True
+    held = spark.read.schema("version string, by string").json(path).where("version IS NOT NULL").select("by").collect()
+    return [r.by for r in held] == [by]
+
+
+class _Lease:
+    """The builder's word that a version is in work, renewed by a thread every third of its term.
+
+    A renewal that fails is tried again at the next beat. A lease that runs out nevertheless costs the build, never the readers: a
+    version that a sweep has claimed can't be announced.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, version: str, seconds: float):
+        self.spark, self.root, self.version, self.seconds = spark, root, version, seconds
+        self.over = threading.Event()
+        self.beat = threading.Thread(target=self._keep, daemon=True)
+
+    def renew(self) -> None:
+        _write(self.spark, _lease_path(self.root, self.version), {"version": self.version, "expires_at": time.time() + self.seconds}, True)
+
+    def _keep(self) -> None:
+        while not self.over.wait(max(self.seconds / 3, 0.1)):
+            try:
+                self.renew()
+            except Py4JJavaError:
+                continue
+
+    def __enter__(self) -> _Lease:
+        self.renew()
+        self.beat.start()
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        self.over.set()
+        self.beat.join()
+        if kind is None:
+            self.renew()
+
+
+def _lease_path(root: str, version: str) -> str:
+    return f"{root}/leases/{version}.json"
+
+
+def leases(spark: SparkSession, root: str) -> DataFrame:
+    """(version, expires_at) of all builds that were neither published nor removed; one that is being rewritten is left out."""
+    try:
+        return spark.read.schema(LEASE_SCHEMA).option("ignoreMissingFiles", "true").json(f"{root}/leases").where("version IS NOT NULL")
+    except AnalysisException:
+        return spark.createDataFrame([], LEASE_SCHEMA)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    store, place = _store(spark, path)
+    store.delete(place, True)
 
 
 def discard(spark: SparkSession, root: str, version: str) -> None:
-    """Remove the files of a version that was never published."""
-    if not publications(spark, root).where(F.col("version") == version).isEmpty():
+    """Remove the files of a version that was never published, and its lease after them."""
+    published = not publications(spark, root).where(F.col("version") == version).isEmpty()
+    if published or not _claim(spark, root, version, SWEEP):
         raise SnapshotError(f"version {version} is published")
-    store, place = _store(spark, _version_path(root, version))
-    store.delete(place, True)
+    _remove(spark, _version_path(root, version))
+    _remove(spark, _lease_path(root, version))
+
+
+def sweep(spark: SparkSession, root: str, grace_seconds: float = 0.0) -> list[str]:
+    """Remove the versions of builders that died: their lease ran out over ``grace_seconds`` ago, and nobody announced them.
+
+    A sweep claims a version before it deletes anything, and a publisher before it announces, by creating the same file, so
+    only one of them can go on. A sweep that dies half way is finished by the next. Versions that a publisher claimed, but
+    has not announced, stay: they are verified, and ``restore`` can announce them. Returns the versions removed.
+    """
+    expired = leases(spark, root).where(F.col("expires_at") < time.time() - grace_seconds)
+    dead = [r.version for r in expired.join(publications(spark, root), "version", "left_anti").select("version").distinct().collect()]
+    swept = [version for version in dead if _claim(spark, root, version, SWEEP)]
+    for version in swept:
+        _remove(spark, _version_path(root, version))
+        _remove(spark, _lease_path(root, version))
+    return sorted(swept)
 
 
 def publish(
@@ -202,21 +326,28 @@ def publish(
     clustering: dict[str, list[str]] | None = None,
     rows: dict[str, int] | None = None,
     observer: Observer | None = None,
+    lookups: dict[str, list[str]] | None = None,
+    lease_seconds: float = LEASE_SECONDS,
 ) -> str:
     """Stage, verify what was written, and only then announce it; a version that fails leaves no files.
 
     Measures of an ``observer`` are taken while the tables are written and must hold too; ``verifier`` need not repeat them.
+    The version is leased until it is announced, so a sweep leaves it alone.
     """
     version = uuid.uuid4().hex
-    try:
-        stage(spark, tables, root, clustering, rows, version, observer)
-        if observer:
-            require(observed(spark, root, version, observer))
-        require(verifier(open_version(spark, root, version)))
-    except Exception:
-        discard(spark, root, version)
-        raise
-    _announce(spark, root, version, label)
+    with _Lease(spark, root, version, lease_seconds):
+        try:
+            stage(spark, tables, root, clustering, rows, version, observer, lookups, None, lease_seconds)
+            if observer:
+                require(observed(spark, root, version, observer))
+            require(verifier(open_version(spark, root, version)))
+        except Exception:
+            discard(spark, root, version)
+            raise
+        if not _claim(spark, root, version, PUBLISH):
+            raise SnapshotError(f"the lease of version {version} ran out, and a sweep removed it")
+        _announce(spark, root, version, label)
+    _remove(spark, _lease_path(root, version))
     return version
 
 
@@ -237,6 +368,8 @@ def load(spark: SparkSession, root: str, verifier: Verifier | None = None, views
 def restore(spark: SparkSession, root: str, version: str, verifier: Verifier, label: str = "restore") -> None:
     """Make an older version current again, after the same checks as a new one."""
     require(verifier(check_integrity(spark, root, version)))
+    if not _claim(spark, root, version, PUBLISH):
+        raise SnapshotError(f"a sweep removed version {version}")
     _announce(spark, root, version, label)
 
 

@@ -66,10 +66,10 @@ def test_two_publishers_never_share_a_number(spark, tmp_path, monkeypatch):
 
 def test_files_follow_rows_and_bytes(spark):
     few = spark.range(1000)
-    assert snapshot._file_count(few, None) == snapshot._file_count(few, 1000) == 1
-    assert snapshot._file_count(few, 3 * snapshot.ROWS_PER_FILE) == 3
+    assert snapshot.file_count(few, None) == snapshot.file_count(few, 1000) == 1
+    assert snapshot.file_count(few, 3 * snapshot.ROWS_PER_FILE) == 3
     wide = spark.range(100).select("id", F.expr("repeat('x', 10000)").alias("t"))
-    assert snapshot._file_count(wide, 1_000_000) == -(-1_000_000 * 10_008 // snapshot.BYTES_PER_FILE)
+    assert snapshot.file_count(wide, 1_000_000) == -(-1_000_000 * 10_008 // snapshot.BYTES_PER_FILE)
 
 
 def test_damaged_files_are_found(spark, shop, tmp_path):
