@@ -12,6 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartloom.contract.model import Contract, Table
 from cartloom.operators import keys
@@ -217,6 +218,33 @@ def catalog_report(contract: Contract, stored: DataFrame) -> DataFrame:
     return measured(drift, [Measure("rule_inventory", "contract", F.count(F.lit(1)))])
 
 
+def found_inventory(contract: Contract, tables: dict[str, DataFrame]) -> DataFrame:
+    """(kind, name, definition) of the rules that the tables bear out, in the form of the contract's inventory.
+
+    Columns are described as they are: place, type, longest text, and NOT NULL where no row is null, undeclared columns too.
+    Keys, references and checks of the contract are found if no row breaks them. One scan per table for the columns.
+    """
+    frames = []
+    for table in contract.tables:
+        df = tables[table.name]
+        measures, entries = [], []
+        for i, f in enumerate(df.schema.fields):
+            is_text = isinstance(f.dataType, T.StringType)
+            measures.append(F.count_if(F.col(quoted(f.name)).isNull()).alias(f"nulls_{i}"))
+            measures.append((F.max(F.char_length(quoted(f.name))) if is_text else F.lit(None).cast("int")).alias(f"longest_{i}"))
+            kind = text(f"{i + 1} {f.dataType.simpleString()}")
+            entries.append({
+                "kind": text("column"),
+                "name": text(f"{table.name}.{f.name}"),
+                "definition": f"concat({kind}, coalesce(concat('(', longest_{i}, ')'), ''), if(nulls_{i} = 0, ' NOT NULL', ''))",
+            })
+        frames.append(unpivot(df.agg(*measures), entries))
+    spark = next(iter(tables.values())).sparkSession
+    report = union_all([scan_rules(contract, tables, ("check",)), key_rules(contract, tables)])
+    passed = report.where("passed").select(F.col("check").alias("kind"), F.col("subject").alias("name"))
+    return union_all([*frames, contract.catalog(spark).join(F.broadcast(passed), ["kind", "name"], "left_semi")])
+
+
 def structural(
     spark: SparkSession,
     contract: Contract,

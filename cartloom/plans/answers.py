@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cartloom.operators import commerce, ordered
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import as_double, dec, table
+from cartloom.session import shared_folder
+from cartloom.sources import snapshot
 
 QUERIES = Registry()
 
@@ -241,6 +243,18 @@ def exact_lookup(spark, folder):
     return table(spark, folder, "customer").where("c_name = 'Customer#000000042'")
 
 
+@QUERIES.add("stored_lookup", """
+SELECT event_id, user_id, ts, event_type FROM events WHERE event_id IN (7, 42, (SELECT max(event_id) FROM events), -1)""")
+def stored_lookup(spark, folder):
+    """Events by id in a snapshot that is clustered by user: Bloom filters of the ids skip row groups."""
+    events, root = table(spark, folder, "events"), shared_folder(spark, "events-snapshot")
+    last = events.agg(F.max("event_id")).first()[0]
+    version = snapshot.stage(spark, {"events": events}, root, {"events": ["user_id", "ts", "event_id"]}, lookups={"events": ["event_id"]})
+    wanted = [key for key in (7, 42, last, -1) if key is not None]
+    stored = snapshot.open_version(spark, root, version)["events"]
+    return stored.where(F.col("event_id").isin(wanted)).select("event_id", "user_id", "ts", "event_type")
+
+
 @QUERIES.add("range_filter", """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders
 WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01' AND o_orderstatus = 'F'""")

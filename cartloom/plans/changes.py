@@ -7,12 +7,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.contract import verify
 from cartloom.contract.model import Check, Column, Contract, Reference, Table
 from cartloom.operators import mutate
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import STAR, table
 from cartloom.session import shared_folder
-from cartloom.sources import csv_lines
+from cartloom.sources import bucketed, csv_lines, snapshot
 
 QUERIES = Registry()
 
@@ -78,6 +79,16 @@ def reject_classes(spark, folder):
     return _outcome(spark, folder).rejected
 
 
+@QUERIES.add("upsert_bucketed", QUERIES["upsert_apply"].sql)
+def upsert_bucketed(spark, folder):
+    """The same change set against tables in buckets by their primary keys: however large the set, only its keys move."""
+    orders = bucketed.write(table(spark, folder, "orders"), shared_folder(spark, "orders"), ["o_orderkey"])
+    customers = bucketed.write(table(spark, folder, "customer"), shared_folder(spark, "customer"), ["c_custkey"])
+    sizes = {"orders": orders.buckets, "customer": customers.buckets}
+    changes = order_changes(table(spark, folder, "orders"))
+    return mutate.upsert(changes, ORDERS, orders.rows, {"customer": customers.rows}, sizes, broadcast_rows=0).table
+
+
 @QUERIES.add("update_where", """
 SELECT * REPLACE (if(o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1998-01-01', 'F', o_orderstatus) AS o_orderstatus,
                   if(o_orderstatus = 'P' AND o_orderdate < TIMESTAMP '1998-01-01', o_orderdate + INTERVAL 5 MINUTE, o_orderdate) AS o_orderdate)
@@ -227,3 +238,29 @@ WHERE (c_custkey % 97 = 3) = (c_custkey % 83 = 7) AND c_custkey % 89 <> 5 AND c_
 def csv_rows(spark, folder):
     """The rows of the other lines."""
     return _customer_file(spark, folder).rows
+
+
+# -- versions that are published, restored and swept ---------------------------------------------------------------
+
+_FINISHED = "o_orderstatus = 'F'"
+
+
+@QUERIES.add("publish_round_trip", f"""
+SELECT 'published' AS step, * FROM orders UNION ALL SELECT 'restored', * FROM orders WHERE {_FINISHED}""")
+def publish_round_trip(spark, folder):
+    """Rows as readers load them after a second publication, and after the first one is restored; a third build dies and is swept."""
+    orders, root = table(spark, folder, "orders"), shared_folder(spark, "publications")
+    contract = Contract((replace(ORDERS, references=(), checks=(Check.finite_amount("o_totalprice"),)),))
+
+    def verifier(tables):
+        return verify.structural(spark, contract, tables)
+
+    path = {"orders": ["o_custkey", "o_orderdate", "o_orderkey"]}
+    first = snapshot.publish(spark, {"orders": orders.where(_FINISHED)}, root, verifier, "finished", path)
+    snapshot.publish(spark, {"orders": orders}, root, verifier, "all", path)
+    snapshot.stage(spark, {"orders": orders}, root, path, lease_seconds=0.0)
+    snapshot.sweep(spark, root)
+    published = snapshot.load(spark, root)["orders"]
+    snapshot.restore(spark, root, first, verifier)
+    restored = snapshot.load(spark, root)["orders"]
+    return published.select(F.lit("published").alias("step"), "*").union(restored.select(F.lit("restored"), "*"))

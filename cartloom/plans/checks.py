@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.contract import verify
+from cartloom.contract import counts, verify
 from cartloom.operators import commerce, keys, ordered
+from cartloom.operators.diff import relation_diff
 from cartloom.operators.profiling import date_ranges as date_ranges_of
 from cartloom.operators.profiling import facts, frequencies, outside_envelope, text, union_all, unpivot
 from cartloom.operators.profiling import null_counts as null_counts_of
 from cartloom.operators.profiling import row_counts as row_counts_of
 from cartloom.operators.skew import lookup
+from cartloom.plans.digests import NEXT_SQL, next_orders
 from cartloom.plans.registry import Registry
 from cartloom.plans.star import LINE_KEY, STAR, as_double, dec, table, tables
 from cartloom.session import shared_folder
@@ -142,6 +144,47 @@ def contract_observed(spark, folder):
     return snapshot.observed(spark, root, version, observer)
 
 
+def _inventory_sql() -> str:
+    """The declared rules, the rules that the tables bear out, and what only one of both has."""
+    declared = ", ".join("(" + ", ".join("'" + part.replace("'", "''") + "'" for part in entry) + ")" for entry in STAR.entries())
+    columns = []
+    for t in STAR.tables:
+        for i, c in enumerate(t.columns, start=1):
+            longest = f"coalesce('(' || max(length({c.name})) || ')', '')" if c.type == "string" else "''"
+            columns.append(f"SELECT 'column', '{t.name}.{c.name}', '{i} {c.type}' || {longest}"
+                           f" || if(count(*) FILTER (WHERE {c.name} IS NULL) = 0, ' NOT NULL', '') FROM {t.name}")
+    report = "\nUNION ALL ".join([*_rules_sql(("check",)), *_keys_sql(), *_references_sql()])
+    found = "\nUNION ALL ".join(columns)
+    return f"""
+WITH declared(kind, name, definition) AS (VALUES {declared}), report AS ({report}), found(kind, name, definition) AS (
+{found}
+UNION ALL SELECT kind, name, definition FROM declared WHERE (kind, name) IN (SELECT ("check", subject) FROM report WHERE passed))
+SELECT 'declared' AS side, * FROM (SELECT * FROM declared EXCEPT SELECT * FROM found)
+UNION ALL SELECT 'found', * FROM (SELECT * FROM found EXCEPT SELECT * FROM declared)"""
+
+
+@QUERIES.add("rule_inventory", _inventory_sql())
+def rule_inventory(spark, folder):
+    """Where the contract's inventory and the rules that the tables bear out differ."""
+    return relation_diff(STAR.catalog(spark), verify.found_inventory(STAR, tables(spark, folder)), "declared", "found")
+
+
+_COUNTED = "SELECT 'orders' AS table_name, count(*) AS n FROM {} UNION ALL SELECT 'customer', count(*) FROM customer"
+
+
+@QUERIES.add("count_contracts", f"""
+SELECT table_name, l.n AS left_rows, r.n AS right_rows
+FROM ({_COUNTED.format('orders')} UNION ALL SELECT 'part', count(*) FROM part) l
+FULL JOIN ({_COUNTED.format(f'({NEXT_SQL})')} UNION ALL SELECT 'supplier', count(*) FROM supplier) r USING (table_name)
+WHERE l.n IS DISTINCT FROM r.n""")
+def count_contracts(spark, folder):
+    """Tables whose rows two versions count differently, or only one of them has."""
+    given = tables(spark, folder)
+    before = {name: given[name] for name in ("orders", "customer", "part")}
+    after = {"orders": next_orders(given["orders"]), "customer": given["customer"], "supplier": given["supplier"]}
+    return counts.compare(row_counts_of(before), row_counts_of(after))
+
+
 @QUERIES.add("pk_violations", """
 SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1""")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartloom.contract import verify
+from cartloom.contract.model import Check, Column, Contract, Table
 from cartloom.operators import hierarchy
 from cartloom.operators.profiling import union_all
 from cartloom.operators.skew import broadcast_if_small
@@ -113,3 +115,21 @@ def hierarchy_rollup(spark, folder):
         nodes(spark, folder).select("id", "parent_id"), measures, {"customers": "one", "balance": "amount"}
     )
     return as_double(rolled, "balance")
+
+
+# -- edges that a row rule forbids ---------------------------------------------------------------------------------
+
+EDGES = Contract((
+    Table("edges", (Column("id", "string"), Column("parent_id", "string", nullable=True)),
+          checks=(Check("not_own_parent", "parent_id <> id"),)),
+))
+
+
+@QUERIES.add("own_parents", f"""
+SELECT 'check' AS "check", 'edges.not_own_parent' AS subject, '= 0' AS expected, count(*) FILTER (WHERE p = id) AS observed,
+       count(*) FILTER (WHERE p = id) = 0 AS passed
+FROM (SELECT id, if(name LIKE 'A%', id, parent_id) AS p FROM ({NODES_SQL}))""")
+def own_parents(spark, folder):
+    """The row rule on a copy of the tree in which nodes whose name starts with A are their own parents; a root breaks nothing."""
+    looped = F.when(F.col("name").startswith("A"), F.col("id")).otherwise(F.col("parent_id")).alias("parent_id")
+    return verify.scan_rules(EDGES, {"edges": nodes(spark, folder).select("id", looped)}, ("check",))
