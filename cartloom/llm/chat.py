@@ -167,41 +167,70 @@ def render(turns: DataFrame, id_column: str) -> DataFrame:
     pieces = turns.select(F.col(id_column), F.transform("turns", lambda t: F.struct(
         F.concat(F.lit(TURN), _escape_role(t["role"]), F.lit("\n")).alias("head"),
         escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("learn"))).alias("pieces"))
-    span = "struct<start:bigint,length:bigint>"
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
-
-    def walk(state: Column, p: Column) -> Column:
-        body = state["at"] + F.length(p["head"])
-        own = F.array(F.struct(body.alias("start"), F.length(p["body"]).cast("long").alias("length")))
-        return F.struct((body + F.length(p["body"]) + len(END)).alias("at"),
-                        F.when(p["learn"], F.concat(state["spans"], own)).otherwise(state["spans"]).alias("spans"))
-
-    return pieces.select(
+    sized = pieces.select(F.col(id_column), "pieces", F.transform("pieces", _piece_length).alias("lengths"))
+    placed = sized.select(F.col(id_column), "pieces", _running(F.col("lengths")).alias("ends"))
+    spans = F.zip_with("pieces", "ends", lambda p, end: F.struct(
+        (end - len(END) - F.length(p["body"])).alias("start"),
+        F.length(p["body"]).cast("long").alias("length"), p["learn"].alias("learn")))
+    return placed.select(
         F.col(id_column),
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END))), "").alias("formatted"),
-        F.aggregate("pieces", start, walk, lambda s: s["spans"]).alias("loss_mask"))
+        F.transform(F.filter(spans, lambda s: s["learn"]), lambda s: F.struct(s["start"], s["length"])).alias("loss_mask"))
+
+
+def _piece_length(piece: Column) -> Column:
+    return (F.length(piece["head"]) + F.length(piece["body"]) + len(END)).cast("long")
+
+
+def _running(numbers: Column) -> Column:
+    """Running sums of an array, by sums that reach twice as far in each step.
+
+    An array that grows turn by turn would be copied at every turn; this makes log2(turns) copies. Lambdas here and below
+    name no column: the optimizer would put that column's whole expression in its place, to be computed for each element.
+    """
+    powers = F.array(*[F.lit(1 << k) for k in range(31)])
+    reaches = F.slice(powers, F.lit(1), F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(1)))).cast("int"))
+
+    def reach_on(sums: Column, reach: Column) -> Column:
+        return F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - reach), F.lit(0)))
+
+    return F.aggregate(reaches, numbers, reach_on)
 
 
 def parse(formatted: DataFrame, id_column: str) -> DataFrame:
-    """(id, turns, loss) read back from (id, formatted, loss_mask): the turns, and the masked texts one by one."""
-    pieces = F.array_remove(F.split("formatted", TURN.replace("|", "\\|"), -1), "")  # before the first mark is nothing
-    kind = "struct<at:bigint,pieces:array<struct<role:string,body:string,start:bigint>>>"
-    begin = F.from_json(F.lit('{"at": 0, "pieces": []}'), kind)
+    """(id, formatted, turns, loss) read back from (id, formatted, loss_mask): the turns, and the masked texts one by one.
 
-    def walk(state: Column, piece: Column) -> Column:
+    Spans and bodies are sorted together by their places, so each span stands behind the body that holds it.
+    """
+    cut = F.array_remove(F.split("formatted", TURN.replace("|", "\\|"), -1), "")  # before the first mark is nothing
+    pieces = formatted.select(F.col(id_column), "formatted", "loss_mask", cut.alias("pieces"))
+    lengths = F.transform("pieces", lambda p: (F.length(p) + len(TURN)).cast("long"))
+    placed = pieces.select("*", lengths.alias("lengths")).select("*", _running(F.col("lengths")).alias("ends"))
+
+    def read_piece(piece: Column, end: Column) -> Column:
         head = F.substring_index(piece, "\n", 1)
-        start = F.length(head) + 1
-        body = F.substring(piece, start + 1, F.length(piece) - start - len(END))
-        own = F.struct(head.alias("role"), body.alias("body"), (state["at"] + len(TURN) + start).alias("start"))
-        return F.struct((state["at"] + len(TURN) + F.length(piece)).alias("at"), F.concat(state["pieces"], F.array(own)).alias("pieces"))
-
-    read = formatted.select(F.col(id_column), "formatted", "loss_mask", F.aggregate(pieces, begin, walk, lambda s: s["pieces"]).alias("read"))
-    spans = F.map_from_arrays(F.transform("loss_mask", lambda s: s["start"]), F.transform("loss_mask", lambda s: s["length"]))
-    masked = F.filter("read", lambda p: F.map_contains_key(F.col("spans"), p["start"]))
-    return read.withColumn("spans", spans).select(
+        body = F.substring(piece, F.length(head) + 2, F.length(piece) - F.length(head) - 1 - len(END))
+        start = end - len(END) - F.length(body)
+        return F.struct(head.alias("role"), body.alias("body"), start.alias("start"))
+
+    read = placed.select(F.col(id_column), "formatted", "loss_mask", F.zip_with("pieces", "ends", read_piece).alias("read"))
+    none = F.lit(None)
+    bodies = F.transform("read", lambda p: F.struct(
+        p["start"].alias("start"), F.lit(False).alias("is_span"), none.cast("long").alias("length"), p["body"].alias("body")))
+    spans = F.transform("loss_mask", lambda s: F.struct(
+        s["start"].alias("start"), F.lit(True).alias("is_span"), s["length"].alias("length"), none.cast("string").alias("body")))
+    sorted_ = read.select(F.col(id_column), "formatted", "read", F.sort_array(F.concat(bodies, spans)).alias("places"))
+
+    before = F.slice(F.concat(F.array(none), F.col("places")), F.lit(1), F.size("places"))
+
+    def spoken(place: Column, holder: Column) -> Column:
+        first = (place["start"] - holder["start"] + 1).cast("int")
+        return F.when(place["is_span"], unescape(F.substring(holder["body"], first, place["length"].cast("int"))))
+
+    return sorted_.select(
         F.col(id_column), "formatted",
         F.transform("read", lambda p: F.struct(_unescape_role(p["role"]).alias("role"), unescape(p["body"]).alias("text"))).alias("turns"),
-        F.transform(masked, lambda p: unescape(F.substring(p["body"], F.lit(1), F.element_at(F.col("spans"), p["start"]).cast("int")))).alias("loss"))
+        F.array_compact(F.zip_with("places", before, spoken)).alias("loss"))
 
 
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:

@@ -64,3 +64,26 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, 1, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.parse(chat.render(chat.canonical(df, "conv_id"), "conv_id"), "conv_id").select(F.size("loss"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_conversation_of_many_turns(spark):
+    """Work in proportion to the turns, near enough: 20,000 of them, in one conversation, against plain Python."""
+    n = 20_000
+    df = spark.range(n).selectExpr(
+        "1L AS conv_id", "id AS turn", "if(id % 3 = 1, 'assistant', 'user') AS role",
+        "concat(repeat('<é', cast(id % 5 AS int)), if(id % 7 = 0, '', cast(id AS string)), if(id % 11 = 0, '\\n', '')) AS text")
+    turns = [(r.role, r.text) for r in df.orderBy("turn").collect()]
+    rendered = chat.render(chat.canonical(df, "conv_id"), "conv_id")
+    (row,) = rendered.collect()
+    want, spans = [], []
+    at = 0
+    for role, text in turns:
+        body = text.replace("\\", "\\b").replace("<", "\\l")
+        at += len(chat.TURN) + len(role) + 1
+        if role == "assistant":
+            spans.append((at, len(body)))
+        at += len(body) + len(chat.END)
+        want.append(f"{chat.TURN}{role}\n{body}{chat.END}")
+    assert row.formatted == "".join(want)
+    assert [(s.start, s.length) for s in row.loss_mask] == spans
+    assert read_back(chat.canonical(df, "conv_id"))[1] == (turns, [text for role, text in turns if role == "assistant"])
