@@ -15,6 +15,11 @@ A line's key is the line without ASCII white space at both ends, A-Z lower-cased
 filters, so lines dropped before come back when their first holder goes. ``drops`` asks the filters of repeated keys
 before the exact counts, so only references that are likely to lose lines are joined.
 
+A version counts from the moment its ``state`` file is there, which is written last and names all files of the index. So
+``LineIndex(spark, folder)`` opens an index of another session, and an insert or delete that fails half way leaves the
+version before as it was; what it wrote has names of its own and is never read. One writer at a time: the second of two that
+make the same version is refused.
+
 When the keys held pass ``KEYS_PER_SHARD`` a shard, their number is raised and new filters are written from the exact
 counts, so that a shard stays a task's work. The shard that a stored row names is that of its time; reads give the
 one of now.
@@ -29,7 +34,10 @@ inserted again must be deleted before. An empty batch changes nothing.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.fs
@@ -87,31 +95,82 @@ def _load(folder: str | None, shard: int) -> CuckooFilter:
         return CuckooFilter.from_bytes(file.read())
 
 
-def _save(folder: str, shard: int, held: CuckooFilter) -> None:
-    import uuid
-
-    store, path = _filter_path(folder, shard)
+def _put(store: pyarrow.fs.FileSystem, path: str, content: bytes) -> bool:
+    """Write a file whole or not at all; False if it was there before."""
     store.create_dir(path.rpartition("/")[0], recursive=True)
     draft = f"{path}.{uuid.uuid4().hex}"
     with store.open_output_stream(draft) as file:
-        file.write(held.to_bytes())
+        file.write(content)
+    if store.get_file_info(path).type == pyarrow.fs.FileType.File:
+        store.delete_file(draft)
+        return False
     store.move(draft, path)
+    return True
+
+
+def _save(folder: str, shard: int, held: CuckooFilter) -> None:
+    """The filter of a shard; one that a task wrote before it was repeated holds the same keys and stays."""
+    _put(*_filter_path(folder, shard), held.to_bytes())
 
 
 class LineIndex:
-    """The index in a shared folder."""
+    """The index in a shared folder (a URI); the last version is opened where the folder holds one."""
+
+    #: What a version is: its number, its sizes, and the files that make it up, relative to the folder.
+    STATE = ("version", "shards", "most_keys", "refs_paths", "gone_paths", "counts_paths", "filters")
 
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self.spark, self.folder = spark, folder or shared_folder(spark, "line-index")
         self.version, self.shards = 0, 0
+        self.attempt = ""
         self.most_keys = 0  # keys held are no more than this
         self.refs_paths: list[str] = []
         self.gone_paths: list[str] = []
         self.counts_paths: list[str] = []
         self.filters: dict[str, str | None] = {SEEN: None, REPEATED: None}
+        if folder:
+            self._open()
+
+    def _open(self) -> None:
+        store, root = pyarrow.fs.FileSystem.from_uri(self.folder)
+        listed = store.get_file_info(pyarrow.fs.FileSelector(f"{root}/state", allow_not_found=True))
+        states = sorted(x.path for x in listed if x.path.endswith(".json"))
+        if not states:
+            return
+        with store.open_input_file(states[-1]) as file:
+            state = json.loads(file.read())
+        here = f"{self.folder}/"
+        state["filters"] = {kind: path and here + path for kind, path in state["filters"].items()}
+        for name in ("refs_paths", "gone_paths", "counts_paths"):
+            state[name] = [here + path for path in state[name]]
+        self.__dict__.update(state)
+
+    def _commit(self) -> None:
+        """Write the state file of the version, which makes it one."""
+        within = len(self.folder) + 1
+        state = {name: getattr(self, name) for name in self.STATE}
+        state["filters"] = {kind: path and path[within:] for kind, path in self.filters.items()}
+        for name in ("refs_paths", "gone_paths", "counts_paths"):
+            state[name] = [path[within:] for path in state[name]]
+        store, root = pyarrow.fs.FileSystem.from_uri(self.folder)
+        if not _put(store, f"{root}/state/version-{self.version:08d}.json", json.dumps(state).encode()):
+            raise RuntimeError(f"another writer has made version {self.version} of {self.folder}")
+
+    @contextmanager
+    def _change(self) -> Iterator[None]:
+        """A new version; if anything fails on the way, the index is what it was."""
+        before = {name: getattr(self, name) for name in self.STATE}
+        self.refs_paths, self.gone_paths, self.counts_paths = [*self.refs_paths], [*self.gone_paths], [*self.counts_paths]
+        self.version, self.attempt = self.version + 1, uuid.uuid4().hex
+        try:
+            yield
+            self._commit()
+        except BaseException:
+            self.__dict__.update(before)
+            raise
 
     def _write(self, df: DataFrame, name: str, known: list[str]) -> DataFrame:
-        path = f"{self.folder}/{name}/version-{self.version:08d}"
+        path = f"{self.folder}/{name}/version-{self.version:08d}-{self.attempt}"
         df.write.parquet(path)
         known.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -185,7 +244,7 @@ class LineIndex:
 
         With ``anew`` they hold nothing else.
         """
-        fresh = {kind: f"{self.folder}/filters/{kind}-{self.version:08d}{'-anew' if anew else ''}" for kind in self.filters}
+        fresh = {kind: f"{self.folder}/filters/{kind}-{self.version:08d}-{self.attempt}{'-anew' if anew else ''}" for kind in self.filters}
         stale, shards = dict.fromkeys(self.filters) if anew else dict(self.filters), self.shards
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +274,10 @@ class LineIndex:
 
     def insert(self, docs: DataFrame) -> None:
         """Add documents that the index doesn't hold."""
-        self.version += 1
+        with self._change():
+            self._insert(docs)
+
+    def _insert(self, docs: DataFrame) -> None:
         found = self._write(references(docs).distinct(), "batch", [])
         self._grow(found.count())
         batch = found.select(self._shard().alias("shard"), "key", "doc_id", F.lit(self.version).alias("version"))
@@ -238,7 +300,10 @@ class LineIndex:
         """Take out the documents of ``doc_ids`` (doc_id)."""
         if not self.shards:
             return
-        self.version += 1
+        with self._change():
+            self._delete(doc_ids)
+
+    def _delete(self, doc_ids: DataFrame) -> None:
         leaving = doc_ids.select(F.col("doc_id").cast("long").alias("gone_id")).where("gone_id IS NOT NULL").distinct()
         before = self.refs()
         touched = before.join(leaving, F.col("doc_id") == F.col("gone_id"), "left_semi").groupBy("key").agg(F.count("*").alias("n"))
