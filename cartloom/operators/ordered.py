@@ -2,7 +2,8 @@
 
 A prefix scan with one shuffle, on one path for every size and every skew. Rows are dealt to parts by ranges of (key,
 order), so a key of any size spreads over consecutive parts; the borders come from a bounded sample. Each part is
-scanned by itself and written once. What a part owes to the ones before it concerns its first key only, and is found from one
+scanned by itself and written once; a task takes as many consecutive parts as hold ``SCAN_ROWS`` rows, so tasks and what they
+report to the driver follow the rows, however small the parts are. What a part owes to the ones before it concerns its first key only, and is found from one
 small row per part: the totals of its last key, scanned over the parts. The input is counted, sampled and then read
 once in full; everything after that reads what was written. Rows that fill one part only need no borders, and their keys
 spread them over tasks.
@@ -20,28 +21,33 @@ SCAN_ROWS = 1_000_000
 TABLE_ROWS = 100_000  # of a part where there are no keys that spread the rows of a single part
 MAX_PARTS = 20_000
 SAMPLES_PER_PART = 64
+SAMPLE_ROWS_PER_TASK = 50_000
 BORDER_BYTES = 8 << 20
-_PART, _POSITION, _FOUND, _ALL, _FIRST = "part__", "position__", "found__", "all__", "first__"
+_PART, _TASK, _POSITION, _FOUND, _ALL, _FIRST = "part__", "task__", "position__", "found__", "all__", "first__"
 
 
 def _position(columns: list[str]) -> Column:
     return F.struct(*[F.col(c).alias(f"p{i}") for i, c in enumerate(columns)])
 
 
-def _borders(rows: DataFrame, columns: list[str], part_rows: int) -> tuple[DataFrame, int] | None:
+def _borders(rows: DataFrame, columns: list[str], part_rows: int, total: int) -> tuple[DataFrame, int] | None:
     """(one row with the ascending first positions of all parts but the first, how many); None if one part will do.
 
     There are at most ``MAX_PARTS`` parts, and fewer where the positions are wide: all of them take ``BORDER_BYTES`` at most.
+    The sample is ordered in few ranges, each of which is cut into equally many parts, so the driver is sent no more than a few
+    rows per range.
     """
-    total = rows.count()
     parts = min(MAX_PARTS, -(-total // part_rows))
     if parts <= 1:
         return None
     fraction = min(1.0, SAMPLES_PER_PART * parts / total)
     sample = rows.select(*columns)
     sample = sample if fraction >= 1.0 else sample.sample(fraction=fraction, seed=SAMPLE_SEED)
-    ranged = sample.repartitionByRange(parts, *columns).select(_position(columns).alias("start"), F.spark_partition_id().alias("p"))
-    starts = cut_lineage(ranged.groupBy("p").agg(F.min("start").alias("start")))
+    ranges = min(parts, max(1, -(-int(total * fraction) // SAMPLE_ROWS_PER_TASK)))
+    ranged = sample.repartitionByRange(ranges, *columns).select(_position(columns).alias("start"), F.spark_partition_id().alias("p"))
+    place = F.row_number().over(Window.partitionBy("p").orderBy("start")) - 1
+    placed = ranged.select("start", (place * F.lit(parts // ranges).cast("bigint")).alias("i"), F.count("p").over(Window.partitionBy("p")).alias("n"))
+    starts = cut_lineage(placed.where(F.col("i") % F.col("n") < parts // ranges).select("start"))
     size = starts.agg(F.sum(F.octet_length(F.to_json(F.struct("start"))))).first()[0] or 0
     step = max(1, -(-size // BORDER_BYTES))
     ordered = F.sort_array(F.collect_list("start"))
@@ -55,7 +61,11 @@ def in_ranges(rows: DataFrame, columns: list[str], part_rows: int = SCAN_ROWS) -
 
     A row's part is the number of borders at or before it, by binary search in steps that compile to plain code.
     """
-    found = _borders(rows, columns, part_rows)
+    return _placed(rows, columns, part_rows, rows.count())
+
+
+def _placed(rows: DataFrame, columns: list[str], part_rows: int, total: int) -> tuple[DataFrame, int]:
+    found = _borders(rows, columns, part_rows, total)
     if found is None:
         return rows.withColumn(_PART, F.lit(0)), 1
     borders, n = found
@@ -90,10 +100,15 @@ def scan(
     walk = keys or [_ALL], order, number, sums, previous, carried, backwards
     rows = df if keys else df.withColumn(_ALL, F.lit(0))
     keys = keys or [_ALL]
-    placed, parts = in_ranges(rows, [*keys, *order], task_rows)
+    total = rows.count()
+    placed, parts = _placed(rows, [*keys, *order], task_rows, total)
     if parts == 1:
         return _scanned(placed, *walk).drop(_ALL, _PART, _FIRST)
-    local = cut_lineage(_scanned(placed.repartitionById(parts, F.col(_PART)), *walk))
+    # Parts of a task: as many as hold SCAN_ROWS rows, but no fewer tasks than cores.
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = max(1, min(SCAN_ROWS * parts // total, -(-parts // cores)))
+    dealt = placed.withColumn(_TASK, F.call_function("div", F.col(_PART), F.lit(held)).cast("int"))
+    local = cut_lineage(_scanned(dealt.repartitionById(-(-parts // held), F.col(_TASK)), *walk, task=[_TASK]).drop(_TASK))
     carries = broadcast_if_small(_carries(local, *walk))
 
     owed = F.col("from__").isNotNull()
@@ -117,10 +132,10 @@ def scan(
 
 def _scanned(
     placed: DataFrame, keys: list[str], order: list[str], number: str | None,
-    sums: dict[str, str], previous: dict[str, str], carried: dict[str, str], backwards: bool,
+    sums: dict[str, str], previous: dict[str, str], carried: dict[str, str], backwards: bool, task: list[str] = (),
 ) -> DataFrame:
     """Windows inside the parts, which need no shuffle of their own; marks the first row of a key in a part."""
-    window = Window.partitionBy(_PART, *keys).orderBy(*[F.desc(c) if backwards else F.asc(c) for c in order])
+    window = Window.partitionBy(*task, _PART, *keys).orderBy(*[F.desc(c) if backwards else F.asc(c) for c in order])
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = {_FIRST: F.row_number().over(window) == 1} if previous else {}
     if number:

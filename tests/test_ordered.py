@@ -145,3 +145,14 @@ def test_ends(spark):
     df = spark.createDataFrame([(1, 2, 5, "b"), (1, 2, 4, "a"), (1, 3, 1, None), (2, 1, 9, "z")], "k int, ts int, id int, s string")
     rows = ordered.ends(df, ["k"], ["ts", "id"], first={"f": "s", "fid": "id"}, last={"l": "s", "lid": "id"}).collect()
     assert {tuple(r) for r in rows} == {(1, "a", 4, None, 1), (2, "z", 9, "z", 9)}
+
+
+def test_small_parts_share_tasks(spark):
+    """2,000 parts in a few tasks: what tasks report to the driver follows the rows, not the parts."""
+    df = spark.range(20_000).selectExpr("id % 2 AS key", "id", "cast(id % 7 AS int) AS value")
+    _, parts = ordered.in_ranges(df, ["key", "id"], 10)
+    result = ordered.scan(df, ["key"], ["id"], number="n", sums={"total": "value"}, previous={"last": "id"}, task_rows=10)
+    assert parts >= 1_500 and result.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    wrong = result.where("n <> id div 2 + 1 OR NOT (last <=> if(id < 2, NULL, id - 2))").count()
+    totals = {r.key: r.t for r in result.groupBy("key").agg(F.max_by("total", "n").alias("t")).collect()}
+    assert (wrong, totals) == (0, {k: sum(i % 7 for i in range(k, 20_000, 2)) for k in (0, 1)})
