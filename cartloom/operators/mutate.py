@@ -16,28 +16,38 @@ from pyspark.sql import functions as F
 from cartloom.contract.model import Contract, Table, conform
 from cartloom.operators import closure, keys
 from cartloom.operators.profiling import union_all
-from cartloom.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup
+from cartloom.operators.skew import BROADCAST_ROWS, TASK_ROWS, fits_broadcast, lookup
 from cartloom.session import cut_lineage
 
 INSERT, UPDATE = "insert", "update"
+ROWS_PER_DEAL = 250_000
 
 
 class _Hint:
     """Broadcasts keys of a change set, but only if the whole set was measured and is small.
 
     Every hinted relation is a projection of the change set, so its size bounds them all. The keys of a large set are dealt like
-    the buckets of the table that they meet, where it is bucketed by them, so that only the keys move.
+    the buckets of the table that they meet, where it is bucketed by them, so that only the keys move. Where it is not, a set of
+    more than ``TASK_ROWS`` rows is dealt to tasks of ``ROWS_PER_DEAL`` rows, and the table that it meets alike.
     """
 
     def __init__(self, changes: DataFrame, buckets: dict[str, int] | None = None, broadcast_rows: int = BROADCAST_ROWS):
         self.small = fits_broadcast(changes, broadcast_rows)
         self.buckets = buckets or {}
+        self.rows = 0 if self.small else changes.count()
 
     def __call__(self, subset: DataFrame, meets: str | None = None) -> DataFrame:
         if self.small:
             return F.broadcast(subset)
         return subset.repartition(self.buckets[meets], *subset.columns) if meets in self.buckets else subset
 
+    def dealt(self, changes: DataFrame, table: Table) -> DataFrame:
+        """The rows of a large set by their primary key, for all joins and groupings by it; a smaller set is left to Spark."""
+        tasks = self.buckets.get(table.name)
+        if tasks is None and self.rows > TASK_ROWS:
+            tasks = max(int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-self.rows // ROWS_PER_DEAL))
+        return changes if self.small or tasks is None else changes.repartition(tasks, *table.primary_key)
+
 
 @dataclass(frozen=True)
 class Outcome:
@@ -91,6 +101,7 @@ def _key_breaches(changes: DataFrame, current: DataFrame, table: Table, hint: _H
     """Inserted keys that exist, updated keys that do not, and keys that occur twice in the set."""
     key = list(table.primary_key)
     rule = "_".join(key)
+    changes = hint.dealt(changes, table)
     # One row per key and operation, so that many copies of a key meet the table as one.
     keyed = changes.where(~keys.any_null(key)).select(*key, "op").distinct()
     existing = current.select(*key).join(hint(keyed.select(*key).distinct(), table.name), key, "left_semi")
@@ -233,7 +244,8 @@ def upsert(
     hint = _Hint(changes, buckets, broadcast_rows)
     rejected = cut_lineage(screen(changes, table, current, parents, hint))
     # A row whose key is NULL cannot be matched by an equi-join; it always breaks not_null.
-    accepted = changes.where(~keys.any_null(key)).join(hint(rejected.select(*key).distinct()), key, "left_anti")
+    dealt = hint.dealt(changes.where(~keys.any_null(key)), table)
+    accepted = dealt.join(hint(rejected.select(*key).distinct()), key, "left_anti")
     fresh = conform(accepted, table)
     kept = current.join(hint(fresh.select(*key), table.name), key, "left_anti").select(*current.columns)
     return Outcome(kept.unionByName(fresh), rejected)
