@@ -2,7 +2,8 @@
 
 The files lie in a folder of the caller's; the session's catalog only says how they are bucketed. Another session attaches the
 same folder with the number of buckets it was written with. One task writes one bucket, as one sorted file. The key must be
-a primary key, or at least have no hot value: a bucket is as large as its rows.
+a primary key, or at least have no hot value: a bucket is as large as its rows. A join reads a bucket in one task, so buckets are
+smaller than the files of a snapshot.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from cartloom.operators.profiling import quoted
 from cartloom.sources.snapshot import file_count
 
 
+ROWS_PER_BUCKET = 500_000
+MAX_BUCKETS = 100_000  # Spark's limit, unless it is raised
+
+
 @dataclass(frozen=True)
 class Bucketed:
     name: str
@@ -30,7 +35,10 @@ def _name() -> str:
 
 def write(df: DataFrame, path: str, key: list[str], buckets: int | None = None) -> Bucketed:
     """Write ``df`` in buckets by ``key``; their number follows rows and bytes unless it is given."""
-    buckets, name = buckets or file_count(df, None), _name()
+    if buckets is None:
+        rows = df.count()
+        buckets = min(MAX_BUCKETS, max(file_count(df, rows), -(-rows // ROWS_PER_BUCKET)))
+    name = _name()
     dealt = df.repartition(buckets, *[quoted(c) for c in key])
     dealt.write.bucketBy(buckets, *key).sortBy(*key).option("path", path).saveAsTable(name, format="parquet", mode="error")
     return Bucketed(name, df.sparkSession.table(name), buckets)

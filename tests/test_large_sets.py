@@ -2,6 +2,7 @@
 
 from cartloom.contract.model import Check, Column, Table
 from cartloom.operators import mutate
+from cartloom.sources import bucketed
 
 ROWS = Table(
     "rows", (Column("id", "bigint"), Column("v", "int")), primary_key=("id",), checks=(Check.compare("v", ">= 0", "not_negative"),)
@@ -41,3 +42,14 @@ def test_large_sets_are_dealt_by_key(spark, monkeypatch):
 def test_sets_that_fit_tasks_are_left_to_spark(spark):
     _, changes = change_set(spark)
     assert mutate._Hint(changes, broadcast_rows=0).dealt(changes, ROWS) is changes
+
+
+def test_buckets_hold_few_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(bucketed, "ROWS_PER_BUCKET", 250)
+    rows, changes = change_set(spark)
+    stored = bucketed.write(rows, f"{tmp_path}/rows", ["id"])
+    assert stored.buckets == 12
+    outcome = mutate.upsert(changes, ROWS, stored.rows, {}, {"rows": stored.buckets}, broadcast_rows=0)
+    found = {tuple(r) for r in outcome.rejected.where("id IS NOT NULL").collect()}
+    assert (found, {r.id: r.v for r in outcome.table.collect()}) == expected()
+    bucketed.forget(spark, stored)
