@@ -11,8 +11,13 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Two docu
    Shared shingles are ordered by a table of ``COUNTERS`` hashed counters over all classes, 8 MB whatever the input.
    The order of all shingles is (shared, counter, hash). Results don't depend on it, as any total order is right.
 3. A linked pair shares at least one of the first ``n - ceil(percent * n / 100) + 1`` of both sets. Of this
-   prefix the shared shingles are indexed; others can't match. Classes that hold the same are tied to the smallest of
-   them, so a shingle of any number of classes gives as many rows; tied classes are a neighbourhood (``components``).
+   prefix the shared shingles are indexed; others can't match. Classes that hold the same meet at the smallest of
+   them, their hub, once however many of its shingles they hold, so a shingle of any number of classes gives as many rows.
+   There sketches of the sets are compared: one bit per bucket of hashes, whether it holds an odd number. Two
+   sketches differ in no more bits than the sets in shingles, so a linked pair always passes, and one that only shares
+   passages or met by chance does not. (The larger a corpus is, the more classes meet by chance; without the sketches their ties grow into one
+   neighbourhood, faster than the input.) Of the pairs that pass at a hub a forest goes out; tied classes are a neighbourhood
+   (``components``). Hubs of more than ``HUB_ROWS`` rows or ``HUB_BYTES`` of sketches are split like neighbourhoods below.
 4. Neighbourhoods are dealt over cells. One of more than ``CELL_CLASSES`` classes or ``CELL_SHINGLES`` shingles is
    split into parts, and each pair of parts is a cell, so no task gets more than two parts.
 5. Within a cell, prefix shingles are joined, and a pair passes the length filter, the positional filter at its first
@@ -45,6 +50,7 @@ from pyspark.sql import functions as F
 from cartloom.llm.common import beside, materialized, plan_bytes, released, shared_folder, slices, table
 from cartloom.llm.components import components
 from cartloom.llm.shingles import parts_of
+from cartloom.llm.units import ranges
 from cartloom.operators.ordered import dense_row_number
 from cartloom.session import cut_lineage
 
@@ -53,6 +59,10 @@ SLICES = 64
 CHUNK_TOKENS = 1 << 20
 RANGE_TOKENS = 1 << 20
 TOKEN_BITS = 40
+HUB_ROWS = 1 << 16
+HUB_BYTES = 16 << 20
+FEW = 16
+BLOCK_WORDS = 1 << 19
 CELL_CLASSES = 256
 CELL_SHINGLES = 1 << 20
 PARTS = 16
@@ -67,6 +77,99 @@ def least_overlap(a: np.ndarray, b: int, percent: int) -> np.ndarray:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def most_apart(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """How many shingles only one of two linked sets of these sizes can hold; -1 where sizes alone forbid a link."""
+    need = least_overlap(a, b, percent)
+    return np.where(need <= np.minimum(a, b), a + b - 2 * need, -1)
+
+
+def sketch(own: np.ndarray, percent: int) -> bytes:
+    """Of distinct shingles, a bit per bucket: whether an odd number falls into it. Buckets are a power of two that follows the size."""
+    bits = 1 << max(8, (len(own) * (1 if percent >= 75 else 4) - 1).bit_length())
+    odd = np.bincount((own >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Sketches:
+    """Sizes and sketches of many sets, compared by their row numbers."""
+
+    def __init__(self, sizes: np.ndarray, column: pa.BinaryArray, percent: int) -> None:
+        self.sizes, self.percent = sizes, percent
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) // 8
+        self.flat = np.frombuffer(data, np.uint64, int(ends[-1]))
+        self.starts, self.words = ends[:-1], np.diff(ends)
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """In how many bits each pair differs, the wider sketch folded to the width of the other."""
+        found = np.zeros(len(i), np.int64)
+        widths = self.words[i] << 32 | self.words[j]
+        for width in np.unique(widths):
+            at, wide, slim = np.flatnonzero(widths == width), int(width) >> 32, int(width) & (1 << 32) - 1
+            step = max(1, BLOCK_WORDS // max(wide, slim))
+            for k in range(0, len(at), step):
+                some = at[k : k + step]
+                x, y = self._folded(i[some], min(wide, slim)), self._folded(j[some], min(wide, slim))
+                found[some] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        return found
+
+    def _folded(self, rows: np.ndarray, words: int) -> np.ndarray:
+        """Sketches of one width, of which parts of ``words`` lie over each other."""
+        own = int(self.words[rows[0]])
+        whole = self.flat[self.starts[rows][:, None] + np.arange(own)]
+        return np.bitwise_xor.reduce(whole.reshape(len(rows), own // words, words), axis=1)
+
+    def linkable(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs may link."""
+        most = most_apart(self.sizes[i], self.sizes[j], self.percent)
+        fits = np.flatnonzero(most >= 0)
+        passed = np.zeros(len(i), bool)
+        passed[fits] = self.apart(i[fits], j[fits]) <= most[fits]
+        return passed
+
+    def forest(self, rows: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Pairs that tie the same ``rows`` together as all pairs that may link.
+
+        Differences of sketches obey the triangle inequality, so rows at unlike distances from the first of their tree
+        need no comparison of their own.
+        """
+        ends: tuple[list, list] = [], []
+        left = rows[np.argsort(self.sizes[rows], kind="stable")]
+        far = np.full(len(self.sizes), -1, np.int64)
+        while len(left) > 1:
+            first, left = left[:1], left[1:]
+            around = left[: int(np.searchsorted(self.sizes[left] * self.percent**2, self.sizes[first[0]] * 10_000, "right"))]
+            around = around[self.words[around] >= self.words[first[0]]]
+            far[left], far[first] = -1, 0
+            far[around] = self.apart(np.broadcast_to(first, around.shape), around)
+            front = first
+            while len(front) and len(left):
+                turned = len(front) > len(left)
+                few, many, grown = (left, front, []) if turned else (front, left, [])
+                for x in few:
+                    most = most_apart(self.sizes[x], self.sizes[many], self.percent)
+                    fits = (most >= 0) & ((far[x] < 0) | (far[many] < 0) | (np.abs(far[many] - far[x]) <= most))
+                    some = many[fits]
+                    met = self.apart(np.broadcast_to(x, some.shape), some) <= most[fits]
+                    if not met.any():
+                        continue
+                    if turned:
+                        some = some[met][:1]
+                        grown.append(np.array([x]))
+                    else:
+                        some = some[met]
+                        grown.append(some)
+                        many = np.setdiff1d(many, some, assume_unique=True)
+                    ends[0].append(np.full(len(some), x))
+                    ends[1].append(some)
+                    if not len(many):
+                        break
+                front = np.concatenate(grown) if grown else front[:0]
+                left = np.setdiff1d(left, front, assume_unique=True) if turned else many
+            left = left[np.argsort(self.sizes[left], kind="stable")]
+        return ends
+
+
 def _digest(text: str | None) -> bytes | None:
     """Of the sequence of words; None without words."""
     words = b" ".join((text or "").encode("utf-8").lower().split())
@@ -198,7 +301,8 @@ def _ordered(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percent: int) -> DataFrame:
-    """(doc_id, digest, n, prefix) of ``docs`` (doc_id, text): size of the set, and the shared shingles of its prefix."""
+    """(doc_id, digest, n, shared, prefix, sketch) of ``docs`` (doc_id, text): size of the set, how many of it are shared, those of
+    them in its prefix, and the sketch of the set, null where the prefix has none."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +315,7 @@ def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percen
                 bits = np.unpackbits(np.frombuffer(file.read(), np.uint8))
             shared = (bits[: len(tokens)] > 0) | (held > 1)
             flags = shared[np.searchsorted(tokens, np.concatenate(sets) >> np.uint64(64 - TOKEN_BITS))] if len(tokens) else shared
-            prefixes, at = [], 0
+            prefixes, common_, sketches, at = [], [], [], 0
             for own in sets:
                 mine = flags[at : at + len(own)]
                 at += len(own)
@@ -219,14 +323,16 @@ def profiles(docs: DataFrame, answers: str, counts: Broadcast, size: int, percen
                 common = own[mine]
                 by = np.argsort(counts.value[(common & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")
                 prefixes.append(common[by[: max(0, left)]])
+                common_.append(len(common))
+                sketches.append(sketch(own, percent) if len(prefixes[-1]) else None)
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 pa.array([i for i, _ in ids], pa.int64()), pa.array([d for _, d in ids], pa.binary()),
-                pa.array([len(x) for x in sets], pa.int64()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes).view(np.int64))),
-            ], names=["doc_id", "digest", "n", "prefix"])
+                pa.array([len(x) for x in sets], pa.int64()), pa.array(common_, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes).view(np.int64))), pa.array(sketches, pa.binary()),
+            ], names=["doc_id", "digest", "n", "shared", "prefix", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, digest binary, n long, prefix array<long>")
+    return docs.mapInArrow(run, "doc_id long, digest binary, n long, shared long, prefix array<long>, sketch binary")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -242,12 +348,93 @@ def digests(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, digest binary")
 
 
-def neighbourhoods(profiled: DataFrame) -> DataFrame:
-    """(class, hood, n) of classes that share a prefix shingle with another."""
-    held = profiled.select(F.col("doc_id").alias("class"), F.explode("prefix").alias("shingle"))
-    shared = held.groupBy(F.col("shingle").alias("own")).agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most")
-    ties = held.join(shared, F.col("shingle") == F.col("own")).where("class <> least").select(F.col("class").alias("a"), F.col("least").alias("b"))
-    hoods = components(ties).select(F.col("node").alias("class"), F.col("root").alias("hood"))
+def _meetings(profiled: DataFrame, percent: int) -> DataFrame:
+    """(hub, class, digest, n): sets that hold a shingle of which the hub is the smallest holder, once each."""
+    held = profiled.select(F.col("doc_id").alias("class"), "digest", "n", "shared", F.posexplode("prefix").alias("place", "shingle"))
+    place = F.struct("class", "n", (F.col("shared") - F.col("place")).alias("rest"))  # of the set, from this shingle on
+    held_by = held.groupBy(F.col("shingle").alias("own")).agg(F.count("*").alias("holders"), F.min(place).alias("least"), F.max(place).alias("most"))
+    need = F.expr(f"({percent} * (least.n + most.n) + {99 + percent}) div {100 + percent}")
+    # a linked pair passes the positional filter at its first common shingle
+    met = held_by.where("least.class < most.class").where((F.col("holders") > 2) | (F.least("least.rest", "most.rest") >= need))
+    found = held.join(met.select("own", F.col("least.class").alias("hub")), F.col("shingle") == F.col("own"))
+    return found.select("hub", "class", "digest", "n").distinct()
+
+
+def _candidates(profiled: DataFrame, percent: int) -> DataFrame:
+    """(a, b): classes tied by pairs that may link, by a forest for each hub."""
+    meetings = cut_lineage(_meetings(profiled, percent))
+    sketches = profiled.where("sketch IS NOT NULL").select(F.col("doc_id").alias("of"), F.col("digest").alias("words"), "sketch").dropDuplicates(["of", "words"])
+    width = F.greatest(F.lit(32), F.col("n") * (1 if percent >= 75 else 4) / 4)  # bytes, at most
+    sizes = meetings.groupBy(F.col("hub").alias("split")).agg(F.count("*").alias("rows"), F.sum(width).alias("bytes"))
+    sizes = sizes.select("split", F.greatest(F.ceil(F.col("rows") / HUB_ROWS), F.ceil(F.col("bytes") / HUB_BYTES)).cast("int").alias("parts"))
+    large = cut_lineage(sizes.where("parts > 1"))
+    placed = meetings.join(beside(large), F.col("hub") == F.col("split"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("class", "digest"), "parts").cast("int"))
+    full = placed.join(sketches, (F.col("class") == F.col("of")) & (F.col("digest") == F.col("words")))
+    others = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("parts") - 1), F.col("part")))
+    dealt = full.select("*", F.explode(others).alias("other")).select(
+        "hub", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "class", "n", "sketch")
+
+    @released
+    def tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole(batches, ["hub", "low", "high"]):
+            a, b = _tied(rows, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    tasks = int(profiled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(tasks, "hub", "low", "high").sortWithinPartitions("hub", "low", "high")
+    return dealt.mapInArrow(tie, "a long, b long")
+
+
+def _edges(batch: pa.RecordBatch, key: list[str]) -> np.ndarray:
+    """The first rows of runs of equal keys, but for that of the batch."""
+    change = np.zeros(max(0, len(batch) - 1), bool)
+    for c in key:
+        values = batch.column(c).to_numpy()
+        change |= values[1:] != values[:-1]
+    return np.flatnonzero(change) + 1
+
+
+def _whole(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by ``key``, so that rows of equal keys come in one piece."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        edges = _edges(batch, key)
+        if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in key):
+            yield pa.concat_batches(held)
+            held = []
+        if len(edges):
+            yield pa.concat_batches([*held, batch.slice(0, int(edges[-1]))])
+            held, batch = [], batch.slice(int(edges[-1]))
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _tied(rows: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of classes for whole hubs: of few sets all that may link, of others a forest of these."""
+    sketches = Sketches(rows.column("n").to_numpy(), rows.column("sketch"), percent)
+    starts = np.concatenate([[0], _edges(rows, ["hub", "low", "high"])])
+    sizes = np.diff(np.append(starts, len(rows)))
+    ends = np.repeat(starts + sizes, sizes)
+    after = np.where(np.repeat(sizes, sizes) <= FEW, ends - np.arange(len(rows)) - 1, 0)
+    i = np.repeat(np.arange(len(rows)), after)
+    j = ranges(np.arange(len(rows)) + 1, after)
+    passed = sketches.linkable(i, j)
+    a, b = [i[passed]], [j[passed]]
+    for k in np.flatnonzero(sizes > FEW):
+        more = sketches.forest(np.arange(starts[k], starts[k] + sizes[k]))
+        a += more[0]
+        b += more[1]
+    names = rows.column("class").to_numpy()
+    return names[np.concatenate(a)], names[np.concatenate(b)]
+
+
+def neighbourhoods(profiled: DataFrame, percent: int) -> DataFrame:
+    """(class, hood, n) of classes that may link with another, through others as well."""
+    hoods = components(_candidates(profiled, percent)).select(F.col("node").alias("class"), F.col("root").alias("hood"))
     sizes = profiled.groupBy(F.col("doc_id").alias("of")).agg(F.sum("n").alias("n"))
     return cut_lineage(hoods.join(sizes, F.col("class") == F.col("of")).select("class", "hood", "n"))
 
@@ -383,7 +570,7 @@ def linked(docs: DataFrame, size: int, percent: int) -> DataFrame:
     answers, table_ = rarity(first, size)
     counts = spark.sparkContext.broadcast(table_)
     profiled = materialized(profiles(first, answers, counts, size, percent), "shingle-prefixes")
-    edges = _trees(first, neighbourhoods(profiled), counts, size, percent)
+    edges = _trees(first, neighbourhoods(profiled, percent), counts, size, percent)
     # rows that share a doc_id tie the classes of their texts
     several = places.where("a < b OR (a < doc_id AND rows > 1)").select("doc_id")
     tied = named.join(several, "doc_id").select(F.col("doc_id").alias("a"), F.col("class").alias("b")).where("a <> b")
