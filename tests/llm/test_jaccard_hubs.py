@@ -102,3 +102,41 @@ def test_split_hubs_against_brute_force(spark, monkeypatch, rows, size):
     docs += [(3, docs[5][1]), (907, docs[7][1]), (907, docs[8][1])]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
     assert sorted(map(tuple, jaccard.linked(df, 3, 90).collect()), key=str) == brute(docs, 3, 90)
+
+
+def test_large_groups_send_each_set_a_few_times(spark, monkeypatch):
+    """Near copies of one text: most are tied by sets compared once; only what stays apart meets all others."""
+    monkeypatch.setattr(jaccard, "CELL_CLASSES", 10)
+    monkeypatch.setattr(jaccard, "CHILDREN", 50)
+    sent, own = [], jaccard._judged
+
+    def judged(docs, placed, *rest):
+        sent.extend(r["cells"] for r in placed.collect())
+        return own(docs, placed, *rest)
+
+    monkeypatch.setattr(jaccard, "_judged", judged)
+    draw = random.Random(6)
+    base, docs = [f"w{i}" for i in range(200)], []
+    for i in range(600):
+        words = list(base)
+        for _ in range(draw.randint(0, 5)):
+            words[draw.randrange(200)] = f"x{draw.random()}"
+        docs.append((i, " ".join(words)))
+    docs += [(7, docs[8][1] + " end"), (7, docs[9][1]), (900, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    assert sorted(map(tuple, jaccard.linked(df, 3, 90).collect()), key=str) == brute(docs, 3, 90)
+    assert sum(sent) < 600 * 60 / 4, (sum(sent), len(sent))  # all pairs of 60 parts before
+
+
+@pytest.mark.parametrize("percent, size, near", [(90, 300, 40), (80, 600, 60)])
+def test_finer_sketches_tie_less_and_lose_nothing(percent, size, near):
+    sets = drawn(11 + percent, 60, near, size)
+    fine = jaccard.Sketches(np.array([len(s) for s in sets]), pa.array([jaccard.sketch(s, percent, 16) for s in sets], pa.binary()), percent, 16)
+    i, j = np.triu_indices(len(sets), 1)
+    overlap = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    linked = 100 * overlap >= percent * (fine.sizes[i] + fine.sizes[j] - overlap)
+    passed = fine.linkable(i, j)
+    assert passed[linked].all() and passed.sum() <= sketches_of(sets, percent).linkable(i, j).sum()
+    a, b = map(np.concatenate, fine.forest(np.arange(len(sets))))
+    assert roots(len(sets), zip(a, b)) == roots(len(sets), zip(i[passed], j[passed]))
+    assert len(set(b.tolist())) == len(b)  # one parent each
